@@ -380,7 +380,7 @@ sql("f5_hybrid_forecast", f"""WITH {HYBRID} SELECT h.event_type, h.idx, p.timest
 sql("f6_best_method", f"""WITH {HYBRID}, every AS (SELECT event_type, model AS method, actual_load, predicted_load FROM fused
     UNION ALL SELECT event_type, 'hybrid', actual_load, predicted_load FROM hybrid), m AS ({scores('event_type, method', 'every')})
     SELECT event_type, method AS best_method, MAE, RMSE, MAPE, R2 FROM m QUALIFY row_number() OVER (PARTITION BY event_type
-    ORDER BY RMSE, MAE, MAPE, list_position(['seasonal_naive', 'moving_average', 'hybrid'], method)) = 1""", *METRICS)
+    ORDER BY round(RMSE, 8), round(MAE, 8), round(MAPE, 8), list_position(['seasonal_naive', 'moving_average', 'hybrid'], method)) = 1""", *METRICS)
 COMPARED = f"{PREDICTED}, m AS ({scores('event_type, model', '(SELECT * REPLACE (upper(model) AS model) FROM fused)')})"
 sql("f9_model_comparison", f"WITH {COMPARED} SELECT event_type, model, RMSE, MAE, MAPE FROM m ORDER BY event_type, RMSE", "RMSE", "MAE", "MAPE")
 sql("f9_comparison_long", f"WITH {COMPARED} " + " UNION ALL ".join(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridtide.operators.clean import interpolate_in_time
+from gridtide.session import materialise
 
 KEYS = ["event_type"]
 PRIORITY = ["o_orderpriority"]
@@ -36,7 +37,8 @@ def hourly_gaps(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def hourly(spark: SparkSession, folder: str) -> DataFrame:
-    return interpolate_in_time(hourly_gaps(spark, folder), KEYS)
+    """Clean hourly series, stored before use like any cleaned input."""
+    return materialise(interpolate_in_time(hourly_gaps(spark, folder), KEYS))
 
 
 def priced_orders(spark: SparkSession, folder: str) -> DataFrame:

@@ -141,15 +141,15 @@ def box_statistics(
     df: DataFrame, groups: Sequence[str], value: str = "load", whisker: float = 1.5, group_rows: int = GROUP_ROWS
 ) -> DataFrame:
     """Quartiles, whisker ends and outlier count by group."""
-    marked = attach(df.select(*groups, value), _fences(df, groups, value, whisker, group_rows), groups)
+    marked = attach(df.select(*groups, value), _fences(df, groups, value, whisker, group_rows), groups, weight="_w")
     inside = F.col(value).between(F.col("low_fence"), F.col("high_fence"))
     return marked.groupBy(*groups).agg(
-        F.first("q1").alias("q1"),
-        F.first("median").alias("median"),
-        F.first("q3").alias("q3"),
-        F.least(F.min(F.when(inside, F.col(value))), F.first("q1")).alias("whisker_low"),
-        F.greatest(F.max(F.when(inside, F.col(value))), F.first("q3")).alias("whisker_high"),
-        F.count_if(~inside).alias("outliers"),
+        F.max("q1").alias("q1"),
+        F.max("median").alias("median"),
+        F.max("q3").alias("q3"),
+        F.least(F.min(F.when(inside, F.col(value))), F.max("q1")).alias("whisker_low"),
+        F.greatest(F.max(F.when(inside, F.col(value))), F.max("q3")).alias("whisker_high"),
+        F.sum(F.when(~inside, F.col("_w")).otherwise(0)).alias("outliers"),
     )
 
 

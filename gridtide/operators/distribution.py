@@ -18,6 +18,8 @@ ERROR_BINS = 50
 GRID_POINTS = 200
 # exp(-z*z/2) is exactly 0 in double arithmetic beyond this z, so skipping those terms changes nothing.
 ZERO_KERNEL = 39.0
+# Samples of one value that a single task turns into rows.
+RUN_ROWS = 1 << 16
 
 
 def _span(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -43,12 +45,12 @@ def histogram(df: DataFrame, value: str, bins: int, keys: Sequence[str] = ()) ->
         return F.when(i == bins - 1, F.col("hi")).otherwise(F.col("lo") + (i + 1) * width)
 
     guess = F.least(F.floor((F.col("_v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1))
-    placed = attach(data, span, keys).withColumn("_g", guess)
+    placed = attach(data, span, keys, weight="_w").withColumn("_g", guess)
     # Division and edges round differently, so a value next to an edge may need one step either way.
     step = F.when(F.col("_v") < left(F.col("_g")), -1).when(
         (F.col("_g") < bins - 1) & (F.col("_v") >= right(F.col("_g"))), 1
     ).otherwise(0)
-    counts = placed.groupBy(*keys, (F.col("_g") + step).cast("int").alias("bin")).agg(F.count("_v").alias("_c"))
+    counts = placed.groupBy(*keys, (F.col("_g") + step).cast("int").alias("bin")).agg(F.sum("_w").alias("_c"))
     spine = span.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     return lookup(spine, counts, [*keys, "bin"], how="left").select(
         *keys, "bin", left(F.col("bin")).alias("left"), right(F.col("bin")).alias("right"),
@@ -74,8 +76,8 @@ def density(df: DataFrame, value: str, bins: int, keys: Sequence[str] = (), poin
     first = F.greatest(F.lit(0), F.ceil((F.col("_v") - reach - F.col("lo")) / F.col("step")))
     last = F.least(F.lit(points - 1), F.floor((F.col("_v") + reach - F.col("lo")) / F.col("step")))
     z = (F.col("lo") + F.col("point") * F.col("step") - F.col("_v")) / F.col("h")
-    met = attach(data, span, keys).withColumn("point", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
-    sums = met.groupBy(*keys, "point").agg(F.sum(F.exp(-0.5 * z * z)).alias("_k"))
+    met = attach(data, span, keys, weight="_w").withColumn("point", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
+    sums = met.groupBy(*keys, "point").agg(F.sum(F.col("_w") * F.exp(-0.5 * z * z)).alias("_k"))
     grid = span.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     scale = (F.col("hi") - F.col("lo")) / bins / (F.col("h") * F.sqrt(2 * F.pi()))
     return lookup(grid, sums, [*keys, "point"], how="left").select(
@@ -84,17 +86,24 @@ def density(df: DataFrame, value: str, bins: int, keys: Sequence[str] = (), poin
     )
 
 
+def _distinct_values(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
+    counts = (
+        df.select(*keys, F.col(value).alias("value")).filter(F.col("value").isNotNull())
+        .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("count"))
+    )
+    return materialise(counts.repartitionByRange(*keys, "value").withColumn("_part", F.spark_partition_id()))
+
+
 def value_ranks(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
     """Distinct values with their `count`, the number of smaller values `below`, and the total `n`.
 
     Equal values collapse first. The rest is range-partitioned by value, written once so that the
     partition numbers are final, and numbered from the per-partition totals; a hot series spans many partitions.
     """
-    counts = (
-        df.select(*keys, F.col(value).alias("value")).filter(F.col("value").isNotNull())
-        .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("count"))
-    )
-    parts = materialise(counts.repartitionByRange(*keys, "value").withColumn("_part", F.spark_partition_id()))
+    return _ranked(_distinct_values(df, value, keys), keys)
+
+
+def _ranked(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     totals = parts.groupBy(*keys, "_part").agg(F.sum("count").alias("_c"))
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(
@@ -108,13 +117,25 @@ def value_ranks(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFram
     return placed.withColumn("below", below).drop("_at", "_part", "_before")
 
 
-def _every_rank(ranks: DataFrame) -> DataFrame:
-    return ranks.withColumn("rank", F.explode(F.sequence(F.col("below") + 1, F.col("below") + F.col("count"))))
+def sample_ranks(df: DataFrame, value: str, keys: Sequence[str] = (), run_rows: int = RUN_ROWS) -> DataFrame:
+    """`value_ranks` with one row per sample in `rank`.
+
+    Where a single value is very frequent, its samples are cut into runs that spread over tasks
+    before they become rows.
+    """
+    parts = _distinct_values(df, value, keys)
+    ranks = _ranked(parts, keys)
+    first, last = F.col("below") + 1, F.col("below") + F.col("count")
+    if (parts.agg(F.max("count")).first()[0] or 0) > run_rows:
+        runs = ranks.withColumn("_run", F.explode(F.sequence(first, last, F.lit(run_rows).cast("long"))))
+        ranks = runs.repartition(*keys, "_run")
+        first, last = F.col("_run"), F.least(last, F.col("_run") + run_rows - 1)
+    return ranks.withColumn("rank", F.explode(F.sequence(first, last))).drop("_run")
 
 
 def empirical_cdf(df: DataFrame, value: str = "load", keys: Sequence[str] = ()) -> DataFrame:
     """One row per sample in value order: `keys…, rank, value, ecdf`; equal values keep separate steps."""
-    return _every_rank(value_ranks(df, value, keys)).select(
+    return sample_ranks(df, value, keys).select(
         *keys, "rank", "value", (F.col("rank") / F.col("n")).alias("ecdf")
     )
 
@@ -130,7 +151,7 @@ def normal_qq(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
     i, n = F.col("rank"), F.col("n")
     edge = F.pow(F.lit(0.5), 1.0 / n)
     median = F.when(i == n, edge).when(i == 1, 1 - edge).otherwise((i - 0.3175) / (n + 0.365))
-    return _every_rank(value_ranks(df, value, keys)).select(
+    return sample_ranks(df, value, keys).select(
         *keys, "rank", normal_quantile(median).alias("theoretical"), F.col("value").alias("sample")
     )
 

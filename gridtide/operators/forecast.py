@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -20,6 +21,8 @@ from gridtide.session import materialise
 # Fixed value: rows of the last-week forecast view, seven days of 15-minute steps.
 LAST_WEEK_ROWS = 7 * 24 * 4
 ORDERING = ("RMSE", "MAE", "MAPE")
+# Significant digits in which two scores must differ: sums over rows in another order differ beyond that.
+SCORE_DIGITS = 10
 
 
 @dataclass(frozen=True)
@@ -32,6 +35,10 @@ class ComponentSeries:
     config: ForecastConfig
     keys: tuple[str, ...]
 
+    @cached_property
+    def scaled(self) -> DataFrame:
+        return scaled_components(self)
+
 
 @dataclass(frozen=True)
 class ForecastResult:
@@ -77,7 +84,7 @@ def scaled_components(series: ComponentSeries) -> DataFrame:
 
 def training_windows(series: ComponentSeries) -> DataFrame:
     cfg = series.config
-    past = scaled_components(series).filter("idx < split_idx")
+    past = series.scaled.filter("idx < split_idx")
     ends = {"first_idx": F.lit(cfg.lookback - 1), "last_idx": F.col("split_idx") - 1}
     return model_windows(past.withColumns(ends), cfg, series.keys)
 
@@ -85,7 +92,7 @@ def training_windows(series: ComponentSeries) -> DataFrame:
 def testing_windows(series: ComponentSeries) -> DataFrame:
     """Windows whose targets are all test rows; the first origin is the last training row."""
     cfg = series.config
-    context = test_context(scaled_components(series), cfg.lookback)
+    context = test_context(series.scaled, cfg.lookback)
     ends = {"first_idx": F.col("split_idx") - 1, "last_idx": F.col("n") - 1}
     return model_windows(context.withColumns(ends), cfg, series.keys)
 
@@ -124,9 +131,15 @@ def rank_order(names: Sequence[str]) -> Column:
     return F.array_position(F.array(*[F.lit(n) for n in names]), F.col("model"))
 
 
-def _first_by(table: DataFrame, groups: Sequence[str], order: Sequence, keep: str = "_place") -> DataFrame:
-    place = F.row_number().over(Window.partitionBy(*groups).orderBy(*[F.col(m).asc_nulls_last() for m in ORDERING], *order))
-    return table.withColumn(keep, place).filter(F.col(keep) == 1).drop(keep)
+def score_key(metric: str) -> Column:
+    """A metric cut to its significant digits, so that equal forecasts tie whatever the order of addition."""
+    size = F.pow(F.lit(10.0), F.floor(F.log10(F.col(metric))))
+    return F.when(F.col(metric) > 0, F.round(F.col(metric) / size, SCORE_DIGITS - 1) * size).otherwise(F.col(metric))
+
+
+def _first_by(table: DataFrame, groups: Sequence[str], order: Sequence) -> DataFrame:
+    place = F.row_number().over(Window.partitionBy(*groups).orderBy(*[score_key(m).asc_nulls_last() for m in ORDERING], *order))
+    return table.withColumn("_place", place).filter("_place = 1").drop("_place")
 
 
 def select_models(scores: DataFrame, keys: Sequence[str] = (), models: Sequence[str] | None = None) -> DataFrame:
@@ -148,7 +161,7 @@ def compare_models(results: DataFrame, groups: Sequence[str] = (), model: str =
 
 
 def best_of(comparison: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
-    place = F.row_number().over(Window.partitionBy(*groups).orderBy(F.col("RMSE").asc_nulls_last(), "model"))
+    place = F.row_number().over(Window.partitionBy(*groups).orderBy(score_key("RMSE").asc_nulls_last(), "model"))
     return comparison.withColumn("_place", place).filter("_place = 1").select(*groups, F.col("model").alias("best_model"))
 
 
@@ -248,7 +261,7 @@ def run_model_comparison(
     rmse = table.select(*keys, F.upper("strategy").alias("best_model"), F.col("RMSE").alias("_r"))
     clash = lookup(clash, rmse, [*keys, "best_model"])
     clash = lookup(clash, table.select(*keys, F.col("strategy").alias("_best"), F.col("RMSE").alias("_s")), [*keys, "_best"])
-    if not clash.filter("_r <> _s").isEmpty():
+    if not clash.filter(F.abs(F.col("_r") - F.col("_s")) > 1e-9 * F.abs(F.col("_r"))).isEmpty():
         raise RuntimeError("The two selections of the best model disagree.")
     final = attach(frame, best, keys).filter(F.col("strategy") == F.col("_best")).drop("_best")
     return table, comparison, final

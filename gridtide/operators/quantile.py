@@ -61,13 +61,13 @@ def _narrowed_quantiles(data: DataFrame, groups: Sequence[str], probabilities, n
             break
         brackets = open_ranks.groupBy(*groups).agg(F.collect_list(F.struct("rank", "lo", "hi", "below")).alias("_b"))
         hits = (
-            attach(data, brackets, groups)
+            attach(data, brackets, groups, weight="_w")
             .withColumn("_k", F.explode(F.filter("_b", lambda b: F.col("_v").between(b["lo"], b["hi"]))))
-            .select(*groups, "_v", "_k.*")
+            .select(*groups, "_v", "_w", "_k.*")
         )
         share = (F.col("_v") - F.col("lo")) / (F.col("hi") - F.col("lo"))
         counted = hits.groupBy(*groups, "rank", "below", F.least(F.floor(share * BINS), F.lit(BINS - 1)).alias("bin")).agg(
-            F.count("_v").alias("m"), F.min("_v").alias("lo"), F.max("_v").alias("hi")
+            F.sum("_w").alias("m"), F.min("_v").alias("lo"), F.max("_v").alias("hi")
         )
         upto = Window.partitionBy(*groups, "rank").orderBy("bin")
         stepped = counted.withColumn("_upto", F.col("below") + F.sum("m").over(upto)).withColumn("_from", F.col("_upto") - F.col("m"))

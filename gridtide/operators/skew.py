@@ -31,19 +31,26 @@ def attach(
     table: DataFrame,
     on: Sequence[str],
     how: str = "inner",
+    weight: str | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Add the columns of a one-row-per-group table to every row of the group.
 
     Without group columns the table has one row. Otherwise it is computed once and counted:
     a small table is broadcast, a large one is copied per salt so that no task gets a whole hot group.
+    Salts come from the row's content. Where the rows may be alike, name a `weight` column: the salted
+    form then collapses equal rows first and puts their number there; otherwise the weight is 1.
     """
     if not on:
-        return rows.crossJoin(F.broadcast(table))
+        joined = rows.crossJoin(F.broadcast(table))
+        return joined.withColumn(weight, F.lit(1).cast("long")) if weight else joined
     table = materialise(table)
     if table.count() <= broadcast_rows:
-        return lookup(rows, F.broadcast(table), on, how)
+        joined = lookup(rows, F.broadcast(table), on, how)
+        return joined.withColumn(weight, F.lit(1).cast("long")) if weight else joined
     salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)))
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(salts).cast("long"))
+    if weight:
+        rows = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias(weight))
     copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    return lookup(salted, copies, [*on, "_salt"], how).drop("_salt")
+    return lookup(rows.withColumn("_salt", salt), copies, [*on, "_salt"], how).drop("_salt")
