@@ -256,8 +256,8 @@ def transformed(source: str, groups: str, value: str = "load") -> str:
         WHERE k <= (n - 1) // 2 GROUP BY {groups}, k, n"""
 
 
-sql("w7_spectrum", f"SELECT event_type, k, k / n AS frequency, amplitude FROM ({transformed(HOURLY_INDEXED, 'event_type')})", "frequency", "amplitude")
-sql("w7_event_spectrum", f"""SELECT event_type, k, k / (n * sampling_hours) AS frequency, amplitude FROM ({transformed(INDEXED, 'event_type')})
+sql("w7_spectrum", f"SELECT event_type, k AS harmonic, k / n AS frequency, amplitude FROM ({transformed(HOURLY_INDEXED, 'event_type')})", "frequency", "amplitude")
+sql("w7_event_spectrum", f"""SELECT event_type, k AS harmonic, k / (n * sampling_hours) AS frequency, amplitude FROM ({transformed(INDEXED, 'event_type')})
     JOIN ({HOURS}) USING (event_type)""", "frequency", "amplitude")
 sql("w8_sliding_windows", f"""SELECT event_type, idx AS origin_idx, lag(load, 23) OVER o AS x_first, load AS x_last, sum(load) OVER (o ROWS BETWEEN 23 PRECEDING AND CURRENT ROW) AS x_sum,
     lead(load, 1) OVER o AS y_first, lead(load, 6) OVER o AS y_last, sum(load) OVER (o ROWS BETWEEN 1 FOLLOWING AND 6 FOLLOWING) AS y_sum

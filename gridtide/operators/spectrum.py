@@ -22,7 +22,7 @@ def spectrum(
     df: DataFrame, keys: Sequence[str] = (), value: str = "load", hours: DataFrame | float = 1.0,
     group_points: int = GROUP_POINTS,
 ) -> DataFrame:
-    """`keys…, k, frequency, amplitude` for the positive frequencies of the mean-centred series.
+    """`keys…, harmonic, frequency, amplitude` for the positive frequencies of the mean-centred series.
 
     `hours` is the sampling step: one number, or a table `keys…, sampling_hours`. Short series are
     transformed in one task each; series beyond `group_points` go through `_long_amplitudes`.
@@ -38,8 +38,8 @@ def spectrum(
         amplitudes = attach(amplitudes, hours, step_keys)
     else:
         amplitudes = amplitudes.withColumn("sampling_hours", F.lit(float(hours)))
-    # A step that rounds n*step up must not change the frequency order, so divide last.
-    return amplitudes.select(*keys, "k", (F.col("k") / (F.col("n") * F.col("sampling_hours"))).alias("frequency"), "amplitude")
+    frequency = F.col("harmonic") / (F.col("n") * F.col("sampling_hours"))
+    return amplitudes.select(*keys, "harmonic", frequency.alias("frequency"), "amplitude")
 
 
 def _schema(df: DataFrame, names: Sequence[str]) -> list[T.StructField]:
@@ -56,13 +56,13 @@ def _short_amplitudes(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
         top = (n - 1) // 2
         out = {k: np.repeat(group[k].iloc[:1].to_numpy(), top) for k in keys}
         out["n"] = np.full(top, n)
-        out["k"] = np.arange(1, top + 1)
+        out["harmonic"] = np.arange(1, top + 1)
         out["amplitude"] = np.abs(np.fft.rfft(signal)[1 : top + 1])
         return pd.DataFrame(out)
 
     schema = T.StructType([
         *_schema(rows, keys),
-        T.StructField("n", T.LongType()), T.StructField("k", T.LongType()), T.StructField("amplitude", T.DoubleType()),
+        T.StructField("n", T.LongType()), T.StructField("harmonic", T.LongType()), T.StructField("amplitude", T.DoubleType()),
     ])
     # A constant second key keeps the grouped form valid when there are no series keys.
     return rows.withColumn("_one", F.lit(1)).groupBy(*keys, "_one").applyInPandas(transform, schema)
@@ -140,7 +140,7 @@ def _long_amplitudes(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.lit(0.0).alias("b_re"), F.lit(0.0).alias("b_im"),
     )
     back = _transform(product, keys).filter((F.col("j") >= 1) & (F.col("j") <= F.floor((F.col("n") - 1) / 2)))
-    return back.select(*keys, "n", F.col("j").alias("k"), (F.hypot("a_re", "a_im") / F.col("m")).alias("amplitude"))
+    return back.select(*keys, "n", F.col("j").alias("harmonic"), (F.hypot("a_re", "a_im") / F.col("m")).alias("amplitude"))
 
 
 def dominant_frequency(amplitudes: DataFrame, groups: Sequence[str]) -> DataFrame:

@@ -17,7 +17,7 @@ from gridtide.sources.tables import component_export, run_metadata, write_clean_
 
 
 def load_clean(
-    spark: SparkSession, path: str, folder: str, keys: Sequence[str] = (), **time_range
+    spark: SparkSession, path: str, folder: str, keys: Sequence[str] = (), **selection_options
 ) -> tuple[DataFrame, TimeRange]:
     """Read, clean, store and select; the clean table is written once and read by all later steps."""
     raw, encoding = load_csv(spark, path)
@@ -25,7 +25,7 @@ def load_clean(
     clean = clean_load_data(raw, roles.timestamp, roles.load, keys)
     stored = spark.read.parquet(write_clean_series(clean.frame, f"{folder}/clean", keys))
     write_table(clean.quality, f"{folder}/data_quality_report", "csv", bom=True)
-    selection = resolve_time_range(stored, **(time_range or {"mode": "all"}))
+    selection = resolve_time_range(stored, **(selection_options or {"mode": "all"}))
     chosen = filter_by_time(stored, selection)
     write_table(run_metadata(chosen, path, encoding, roles.timestamp, roles.load, selection), f"{folder}/dataset_metadata", "csv", bom=True)
     return chosen, selection
@@ -33,13 +33,13 @@ def load_clean(
 
 def run(
     spark: SparkSession, folder: str, *, path: str | None = None, root: str = ".", mode: str = "analysis",
-    method: str = "best", config: ForecastConfig = ForecastConfig(), keys: Sequence[str] = (), **time_range,
+    method: str = "best", config: ForecastConfig = ForecastConfig(), keys: Sequence[str] = (), time_range: dict | None = None,
 ) -> ForecastResult | None:
-    """`mode` is analysis, forecast or both; results go below `folder`."""
+    """`mode` is analysis, forecast or both; `time_range` holds `resolve_time_range` arguments."""
     if mode not in ("analysis", "forecast", "both"):
         raise ValueError(f"Unknown mode: {mode}")
     path = path or choose_primary_dataset(spark, root)
-    df, selection = load_clean(spark, path, folder, keys, **time_range)
+    df, selection = load_clean(spark, path, folder, keys, **(time_range or {}))
     if mode in ("analysis", "both"):
         run_analysis(df, f"{folder}/analysis/{selection.label}", selection.description, keys)
     if mode == "analysis":
