@@ -418,3 +418,13 @@ sql("io8_analysis_scope", """SELECT 'start_time' AS field, strftime(min(ts), '%Y
     UNION ALL SELECT 'rows', count(*)::VARCHAR FROM events UNION ALL SELECT 'selection', 'all data'""")
 sql("io10_component_export", f"""SELECT event_type, timestamp, imf_1 AS IMF1, imf_2 AS IMF2, imf_3 AS IMF3, residual
     FROM ({components(INDEXED, 3)})""", "IMF1", "IMF2", "IMF3", "residual")
+sql("io1_io3_csv_encodings", """SELECT DISTINCT k.* FROM events, (SELECT 'UTF-8' AS written_as, 'utf-8' AS encoding
+    UNION ALL SELECT 'GB18030', 'gb18030') AS k""")
+sql("io2_io4_load_csv", TYPED, "load", "extra")
+sql("io5_clean_table", calendar(RAW), "load", *WAVES)
+sql("io5_csv_with_mark", RAW, "load")
+sql("io6_run_metadata", """SELECT 'dataset_path' AS field, 'events' AS value UNION ALL SELECT 'encoding', 'utf-8'
+    UNION ALL SELECT 'timestamp_column', 'ts' UNION ALL SELECT 'load_column', 'value'
+    UNION ALL SELECT 'rows_after_filter', count(*)::VARCHAR FROM events WHERE ts >= (SELECT max(ts) - INTERVAL 14 DAY FROM events)""")
+sql("io11_forecast_artifacts", f"""WITH {ONE}, m AS ({scores('event_type', 'one')}) """ + " UNION ALL ".join(
+    f"SELECT event_type, '{m}' AS metric, {m} AS value FROM m" for m in METRICS), "value")

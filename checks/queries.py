@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from checks import series as S
 from gridtide.functions.calendar import add_time_features, range_label, year_week
-from gridtide.functions.columns import parse_ratios
+from gridtide.functions.columns import infer_key_columns, parse_ratios
 from gridtide.operators import clean, decompose, describe, distribution, forecast, models, relate, score, select, sequence
 from gridtide.operators.position import index_series
 from gridtide.operators.spectrum import classify_components, spectrum
-from gridtide.sources.tables import analysis_scope, component_export
+from gridtide.session import scratch_folder
+from gridtide.sources import csv
+from gridtide.sources.tables import analysis_scope, component_export, run_metadata, write_clean_series, write_forecast, write_table
 
 KEYS = S.KEYS
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,7 +186,7 @@ query("a13_ramp_histogram")(lambda s, f: distribution.histogram(ramps(s, f), "ra
 query("a13_diff2_histogram")(lambda s, f: distribution.histogram(ramps(s, f), "diff2", distribution.DIFFERENCE_BINS, KEYS))
 query("a14_load_density")(lambda s, f: distribution.density(S.raw_events(s, f), "load", distribution.LOAD_BINS, KEYS))
 query("a15_empirical_cdf", 7)(lambda s, f: distribution.empirical_cdf(S.raw_events(s, f), "load", KEYS))
-query("a16_correlation_matrix", 8)(lambda s, f: relate.load_correlations(indexed(s, f), KEYS))
+query("a16_correlation_matrix", 8)(lambda s, f: relate.load_correlations(S.raw_events(s, f), KEYS))
 query("a17_weather_correlation", 8)(lambda s, f: relate.weather_correlation(S.weather_hours(s, f)))
 query("a18_sampling_hours", 8)(lambda s, f: relate.sampling_hours(S.raw_events(s, f), KEYS))
 
@@ -388,3 +390,60 @@ query("io8_analysis_scope")(lambda s, f: analysis_scope(S.raw_events(s, f), "all
 def _(spark, folder):
     parts = decompose.component_frame(indexed(spark, folder), 3, KEYS)
     return component_export(parts, decompose.component_names(parts), KEYS)
+
+
+def _written(spark, folder, encoding="UTF-8"):
+    path = scratch_folder(spark, "events")
+    S.dirty_events(spark, folder).write.option("header", "true").option("encoding", encoding).csv(path)
+    return path
+
+
+@query("io1_io3_csv_encodings")
+def _(spark, folder):
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    root = scratch_folder(spark, "files")
+    for name in ("UTF-8", "GB18030"):
+        S.dirty_events(spark, folder).write.option("header", "true").option("encoding", name).csv(f"{root}/{name}")
+    files = csv.find_csv_files(spark, root)
+    kinds = csv.detect_encodings(spark, f"{root}/*")
+    kind = F.element_at(F.split("path", "/"), -2).alias("written_as")
+    # Paths of the two listings differ in their scheme prefix, so files are matched by name and folder.
+    return kinds.select(kind, F.element_at(F.split("path", "/"), -1).alias("name"), "encoding").join(
+        files.select(kind, "name"), ["written_as", "name"]
+    ).select("written_as", "encoding").distinct()
+
+
+@query("io2_io4_load_csv")
+def _(spark, folder):
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    raw, _ = csv.load_csv(spark, _written(spark, folder, "GB18030"))
+    roles = infer_key_columns(raw, ("event_type",))
+    return clean.coerce_columns(raw, roles.timestamp, roles.load, KEYS)
+
+
+@query("io5_clean_table")
+def _(spark, folder):
+    path = write_clean_series(add_time_features(S.raw_events(spark, folder)), scratch_folder(spark, "clean"), KEYS)
+    return spark.read.parquet(path)
+
+
+@query("io5_csv_with_mark")
+def _(spark, folder):
+    path = write_table(S.raw_events(spark, folder), scratch_folder(spark, "marked"), "csv", bom=True)
+    raw, _ = csv.load_csv(spark, path)
+    return clean.coerce_columns(raw, "timestamp", "load", KEYS)
+
+
+@query("io6_run_metadata")
+def _(spark, folder):
+    df = S.raw_events(spark, folder)
+    selection = select.resolve_time_range(df, mode="recent", recent_value=2, recent_unit="weeks")
+    rows = df.filter(select.in_range(selection))
+    return run_metadata(rows, "events", "utf-8", "ts", "value", selection).filter("field <> 'selection'")
+
+
+@query("io11_forecast_artifacts", 4)
+def _(spark, folder):
+    target = scratch_folder(spark, "forecast")
+    write_forecast(single(spark, folder), target, KEYS)
+    return spark.read.schema("event_type string, metric string, value double").option("header", "true").csv(f"{target}/seasonal_naive_metrics")

@@ -45,7 +45,7 @@ def histogram(df: DataFrame, value: str, bins: int, keys: Sequence[str] = ()) ->
         return F.when(i == bins - 1, F.col("hi")).otherwise(F.col("lo") + (i + 1) * width)
 
     guess = F.least(F.floor((F.col("_v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1))
-    placed = attach(data, span, keys, weight="_w").withColumn("_g", guess)
+    placed = attach(data, span, keys, weight="_w", stored=True).withColumn("_g", guess)
     # Division and edges round differently, so a value next to an edge may need one step either way.
     step = F.when(F.col("_v") < left(F.col("_g")), -1).when(
         (F.col("_g") < bins - 1) & (F.col("_v") >= right(F.col("_g"))), 1
@@ -76,7 +76,7 @@ def density(df: DataFrame, value: str, bins: int, keys: Sequence[str] = (), poin
     first = F.greatest(F.lit(0), F.ceil((F.col("_v") - reach - F.col("lo")) / F.col("step")))
     last = F.least(F.lit(points - 1), F.floor((F.col("_v") + reach - F.col("lo")) / F.col("step")))
     z = (F.col("lo") + F.col("point") * F.col("step") - F.col("_v")) / F.col("h")
-    met = attach(data, span, keys, weight="_w").withColumn("point", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
+    met = attach(data, span, keys, weight="_w", stored=True).withColumn("point", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
     sums = met.groupBy(*keys, "point").agg(F.sum(F.col("_w") * F.exp(-0.5 * z * z)).alias("_k"))
     grid = span.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     scale = (F.col("hi") - F.col("lo")) / bins / (F.col("h") * F.sqrt(2 * F.pi()))

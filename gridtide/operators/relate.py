@@ -50,25 +50,45 @@ def lag_pairs(
 
 
 def correlation_matrix(df: DataFrame, columns: dict[str, Column], keys: Sequence[str] = ()) -> DataFrame:
-    """Long Pearson matrix over complete rows, from one aggregate of the upper triangle."""
+    """Long Pearson matrix over complete rows, from one aggregate of plain sums.
+
+    Sums of products lose digits when means are large against deviations, so columns should come
+    roughly centred; a shift does not change a correlation.
+    """
     names = list(columns)
+    size = range(len(names))
     complete = df.select(*keys, *[c.cast("double").alias(f"_c{i}") for i, c in enumerate(columns.values())]).dropna(
-        subset=[f"_c{i}" for i in range(len(names))]
+        subset=[f"_c{i}" for i in size]
     )
-    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
-    wide = complete.groupBy(*keys).agg(*[F.corr(f"_c{i}", f"_c{j}").alias(f"_{i}_{j}") for i, j in pairs])
+    sums = complete.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.sum(f"_c{i}").alias(f"_s{i}") for i in size],
+        *[F.sum(F.col(f"_c{i}") * F.col(f"_c{j}")).alias(f"_p{i}_{j}") for i in size for j in size if i <= j],
+    )
+
+    def moment(i: int, j: int) -> Column:
+        return F.col(f"_p{min(i, j)}_{max(i, j)}") - F.col(f"_s{i}") * F.col(f"_s{j}") / F.col("_n")
+
+    def pearson(i: int, j: int) -> Column:
+        spread = F.sqrt(F.greatest(moment(i, i) * moment(j, j), F.lit(0.0)))
+        return moment(i, j) / F.nullif(spread, F.lit(0.0))
+
     cells = [
-        F.struct(F.lit(a).alias("feature"), F.lit(b).alias("other"), F.col(f"_{min(i, j)}_{max(i, j)}").alias("corr"))
-        for i, a in enumerate(names) for j, b in enumerate(names)
+        F.struct(F.lit(names[i]).alias("feature"), F.lit(names[j]).alias("other"), pearson(i, j).alias("corr"))
+        for i in size for j in size
     ]
-    return wide.select(*keys, F.inline(F.array(*cells)))
+    return sums.select(*keys, F.inline(F.array(*cells)))
 
 
-def load_correlations(indexed: DataFrame, keys: Sequence[str] = (), value: str = "load", block_rows: int = BLOCK_ROWS) -> DataFrame:
+def load_correlations(
+    df: DataFrame, keys: Sequence[str] = (), value: str = "load", block_rows: int = BLOCK_ROWS, cell_rows: int = CELL_ROWS
+) -> DataFrame:
     """Correlations of the load, its lags, the hour and the weekday."""
-    lagged = with_lags(indexed, keys, {f"_lag{k}": k for k in LAGS}, value, block_rows)
+    indexed = index_series(df.select(*keys, "timestamp", value), keys, "timestamp", [value], cell_rows)
+    centred = indexed.withColumn(value, F.col(value) - F.col(f"total_{value}") / F.col("n"))
+    lagged = with_lags(centred, keys, {f"_lag{k}": k for k in LAGS}, value, block_rows)
     columns = {"load(t)": F.col(value), **{f"load(t-{k})": F.col(f"_lag{k}") for k in LAGS}}
-    columns |= {"hour": F.hour("timestamp"), "weekday": F.weekday("timestamp")}
+    columns |= {"hour": F.hour("timestamp") - 11.5, "weekday": F.weekday("timestamp") - 3}
     return correlation_matrix(lagged, columns, keys)
 
 

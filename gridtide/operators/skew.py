@@ -32,6 +32,7 @@ def attach(
     on: Sequence[str],
     how: str = "inner",
     weight: str | None = None,
+    stored: bool = False,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Add the columns of a one-row-per-group table to every row of the group.
@@ -40,11 +41,13 @@ def attach(
     a small table is broadcast, a large one is copied per salt so that no task gets a whole hot group.
     Salts come from the row's content. Where the rows may be alike, name a `weight` column: the salted
     form then collapses equal rows first and puts their number there; otherwise the weight is 1.
+    `stored` says that the table is already materialised.
     """
     if not on:
         joined = rows.crossJoin(F.broadcast(table))
         return joined.withColumn(weight, F.lit(1).cast("long")) if weight else joined
-    table = materialise(table)
+    if not stored:
+        table = materialise(table)
     if table.count() <= broadcast_rows:
         joined = lookup(rows, F.broadcast(table), on, how)
         return joined.withColumn(weight, F.lit(1).cast("long")) if weight else joined

@@ -44,7 +44,7 @@ def analysis_tables(df: DataFrame, description: str, keys: Sequence[str] = ()) -
         "acf": lambda: relate.autocorrelation(df, keys),
         "pacf": lambda: relate.partial_autocorrelation(relate.autocorrelation(df, keys), keys),
         "lag_pairs": lambda: relate.lag_pairs(indexed(), keys),
-        "correlation_matrix": lambda: relate.load_correlations(indexed(), keys),
+        "correlation_matrix": lambda: relate.load_correlations(df, keys),
         "spectrum": lambda: spectrum(df.select(*keys, "timestamp", "load"), keys, hours=relate.sampling_hours(df, keys)),
     }
     for scale in describe.SCALES:

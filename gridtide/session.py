@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +14,8 @@ def build_session(app: str = "gridtide", master: str | None = None, **conf: str)
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Work per row is heavy here; let small shuffles keep more than one task.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # GB18030, GBK and Big5 input files need the full set of JVM charsets.
         "spark.sql.legacy.javaCharsets": "true",
@@ -39,6 +42,12 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name below the shared checkpoint folder."""
+    _ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Compute `df` once into the shared checkpoint folder and cut its lineage.
 

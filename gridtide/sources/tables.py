@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from gridtide.operators.forecast import ForecastResult
 from gridtide.operators.score import METRICS, metrics_long
 from gridtide.operators.select import TimeRange
 
-BYTE_ORDER_MARK = "﻿"
+BYTE_ORDER_MARK = "\ufeff"
 
 
 def write_table(
@@ -18,9 +18,13 @@ def write_table(
 ) -> str:
     """Write a table; `bom` starts every CSV file with a UTF-8 byte-order mark for spreadsheet programs."""
     writer = df
+    if fmt == "csv":
+        # The CSV writer's own time format stops at milliseconds.
+        times = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType))]
+        writer = df.withColumns({c: F.col(c).cast("string") for c in times})
     if fmt == "csv" and bom:
         first = next(c for c in df.columns if c not in partition_by)
-        writer = df.withColumnRenamed(first, BYTE_ORDER_MARK + first)
+        writer = writer.withColumnRenamed(first, BYTE_ORDER_MARK + first)
     out = writer.write.mode(mode)
     if partition_by:
         out = out.partitionBy(*partition_by)
