@@ -17,8 +17,8 @@ CALENDAR_FEATURES = (
 def micros(ts: Column | str) -> Column:
     """Microseconds since 1970-01-01 of the wall clock, whatever the session time zone."""
     ts = F.col(ts) if isinstance(ts, str) else ts
-    seconds = F.unix_date(F.to_date(ts)).cast("long") * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60
-    return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("long")
+    since = ts.cast("timestamp_ntz") - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.call_function("div", since, F.expr("INTERVAL '0.000001' SECOND"))
 
 
 def season(month: Column) -> Column:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from statistics import NormalDist
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
@@ -16,8 +17,8 @@ LOAD_BINS = 50
 DIFFERENCE_BINS = 60
 ERROR_BINS = 50
 GRID_POINTS = 200
-# exp(-z*z/2) is exactly 0 in double arithmetic beyond this z, so skipping those terms changes nothing.
-ZERO_KERNEL = 39.0
+# Series whose kernel sums a task keeps before it passes them on.
+OPEN_SERIES = 4096
 # Samples of one value that a single task turns into rows.
 RUN_ROWS = 1 << 16
 
@@ -61,8 +62,8 @@ def histogram(df: DataFrame, value: str, bins: int, keys: Sequence[str] = ()) ->
 def density(df: DataFrame, value: str, bins: int, keys: Sequence[str] = (), points: int = GRID_POINTS) -> DataFrame:
     """Gaussian kernel density on an even grid, Scott bandwidth, scaled to the counts of a `bins` histogram.
 
-    Each row only meets the grid points where its kernel is not exactly zero, and the sums are
-    combined map-side, so what is shuffled is one row per grid point and task.
+    A task adds up the kernels of its rows per series, so what is shuffled is one row per grid point,
+    series and task.
     """
     data = df.select(*keys, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
     span = materialise(
@@ -72,12 +73,30 @@ def density(df: DataFrame, value: str, bins: int, keys: Sequence[str] = (), poin
             ((F.col("hi") - F.col("lo")) / (points - 1)).alias("step"),
         )
     )
-    reach = ZERO_KERNEL * F.col("h")
-    first = F.greatest(F.lit(0), F.ceil((F.col("_v") - reach - F.col("lo")) / F.col("step")))
-    last = F.least(F.lit(points - 1), F.floor((F.col("_v") + reach - F.col("lo")) / F.col("step")))
-    z = (F.col("lo") + F.col("point") * F.col("step") - F.col("_v")) / F.col("h")
-    met = attach(data, span, keys, weight="_w", stored=True).withColumn("point", F.explode(F.sequence(first.cast("int"), last.cast("int"))))
-    sums = met.groupBy(*keys, "point").agg(F.sum(F.col("_w") * F.exp(-0.5 * z * z)).alias("_k"))
+    keys = list(keys)
+    met = attach(data, span, keys, weight="_w", stored=True).select(*keys, "_v", "_w", "lo", "step", "h")
+
+    def kernels(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[tuple, np.ndarray] = {}
+        for batch in batches:
+            series = batch.groupby(keys, dropna=False, sort=False).ngroup().to_numpy() if keys else np.zeros(len(batch), int)
+            order = np.argsort(series, kind="stable")
+            rows = batch.iloc[order]
+            lo, step, h, v, w = (rows[c].to_numpy()[:, None] for c in ("lo", "step", "h", "_v", "_w"))
+            z = (lo + step * np.arange(points) - v) / h
+            starts = np.flatnonzero(np.diff(series[order], prepend=-1))
+            added = np.add.reduceat(w * np.exp(-0.5 * z * z), starts, axis=0)
+            names = list(rows.iloc[starts][keys].itertuples(index=False, name=None)) if keys else [()]
+            for name, part in zip(names, added):
+                sums[name] = sums[name] + part if name in sums else part
+            if len(sums) > OPEN_SERIES:
+                yield _kernel_rows(sums, keys)
+                sums = {}
+        if sums:
+            yield _kernel_rows(sums, keys)
+
+    schema = T.StructType([*[met.schema[k] for k in keys], T.StructField("point", T.IntegerType()), T.StructField("_k", T.DoubleType())])
+    sums = met.mapInPandas(kernels, schema).groupBy(*keys, "point").agg(F.sum("_k").alias("_k"))
     grid = span.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     scale = (F.col("hi") - F.col("lo")) / bins / (F.col("h") * F.sqrt(2 * F.pi()))
     return lookup(grid, sums, [*keys, "point"], how="left").select(
@@ -86,6 +105,12 @@ def density(df: DataFrame, value: str, bins: int, keys: Sequence[str] = (), poin
     )
 
 
+def _kernel_rows(sums: dict[tuple, np.ndarray], keys: list[str]) -> pd.DataFrame:
+    points = len(next(iter(sums.values())))
+    out = {k: [name[i] for name in sums for _ in range(points)] for i, k in enumerate(keys)}
+    return pd.DataFrame({**out, "point": np.tile(np.arange(points), len(sums)), "_k": np.concatenate(list(sums.values()))})
+
+
 def _distinct_values(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
     counts = (
         df.select(*keys, F.col(value).alias("value")).filter(F.col("value").isNotNull())
