@@ -6,10 +6,11 @@ cut. The SQL stays the same.
 
 from __future__ import annotations
 
+import dataclasses
 import inspect
 import sys
 
-from checks import compare
+from checks import compare, queries
 from gridtide.operators import (
     clean, decompose, describe, distribution, forecast, models, position, quantile, relate, sequence, skew, spectrum,
 )
@@ -25,7 +26,9 @@ def lower_bounds() -> None:
             names = list(inspect.signature(function).parameters)
             names = names[: function.__code__.co_argcount][-len(function.__defaults__):]
             function.__defaults__ = tuple(BOUNDS.get(n, d) for n, d in zip(names, function.__defaults__))
-    models.ForecastConfig.__dataclass_fields__["block_rows"].default = BOUNDS["block_rows"]
+    queries.SHORT = dataclasses.replace(queries.SHORT, block_rows=BOUNDS["block_rows"])
+    queries.RICH = dataclasses.replace(queries.RICH, block_rows=BOUNDS["block_rows"])
+    queries.prepared.__defaults__ = (queries.SHORT,)
 
 
 if __name__ == "__main__":

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from gridtide.operators.position import index_series
-from gridtide.operators.skew import attach
+from gridtide.operators.skew import attach, lookup
 
 # A series of up to this many rows is transformed in one task (16 MB of complex values).
 GROUP_POINTS = 1 << 20
@@ -155,18 +155,31 @@ def frequency_class(frequency: Column | str) -> Column:
     return F.when(frequency > HIGH_FREQUENCY, "high").when(frequency > MID_FREQUENCY, "mid").otherwise("low")
 
 
+def component_totals(long: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    return long.groupBy(*keys, "component").agg(
+        F.sum("value").alias("total_value"), F.sum(F.col("value") * F.col("value")).alias("energy")
+    )
+
+
+def component_spectra(
+    long: DataFrame, keys: Sequence[str] = (), hours: DataFrame | float = 1.0, group_points: int = GROUP_POINTS
+) -> DataFrame:
+    """`spectrum` of every component; `long` has `keys…, idx, n, component, value`."""
+    groups = [*keys, "component"]
+    centred = attach(long, component_totals(long, keys).select(*groups, "total_value"), groups)
+    return spectrum(centred, groups, "value", hours, group_points)
+
+
 def classify_components(
     long: DataFrame, keys: Sequence[str] = (), hours: DataFrame | float = 1.0, group_points: int = GROUP_POINTS
 ) -> DataFrame:
     """`keys…, index, component, dominant_freq, energy, category` from long components with positions.
 
-    `long` has `keys…, idx, n, component, value`; a component without positive frequencies gets 0.
+    A component without positive frequencies gets frequency 0.
     """
     groups = [*keys, "component"]
-    totals = long.groupBy(*groups).agg(F.sum("value").alias("total_value"), F.sum(F.col("value") * F.col("value")).alias("energy"))
-    centred = attach(long, totals.select(*groups, "total_value"), groups)
-    peaks = dominant_frequency(spectrum(centred, groups, "value", hours, group_points), groups)
-    named = totals.select(*groups, "energy").join(peaks, groups, "left")
+    peaks = dominant_frequency(component_spectra(long, keys, hours, group_points), groups)
+    named = lookup(component_totals(long, keys).select(*groups, "energy"), peaks, groups, "left")
     frequency = F.coalesce("dominant_freq", F.lit(0.0))
     return named.select(
         *keys, F.regexp_extract("component", r"(\d+)$", 1).cast("int").alias("index"), "component",

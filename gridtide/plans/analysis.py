@@ -7,7 +7,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 
 from gridtide.operators import describe, distribution, relate
-from gridtide.operators.decompose import component_names, decompose
 from gridtide.operators.position import index_series
 from gridtide.operators.spectrum import spectrum
 from gridtide.sources.tables import analysis_scope, write_table
@@ -59,10 +58,8 @@ def analysis_tables(df: DataFrame, description: str, keys: Sequence[str] = ()) -
 
 def run_analysis(df: DataFrame, folder: str, description: str, keys: Sequence[str] = (), fmt: str = "csv") -> dict[str, str]:
     """Write every analysis table below `folder`; name to path."""
-    return {name: write_table(make(), f"{folder}/{name}", fmt) for name, make in analysis_tables(df, description, keys).items()}
+    return write_all(analysis_tables(df, description, keys), folder, fmt)
 
 
-def component_tables(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """All components of every series on their own rows and timestamps."""
-    parts = decompose(index_series(df, keys), keys)
-    return parts.select(*keys, "timestamp", "load", *component_names(parts))
+def write_all(tables: dict[str, Callable[[], DataFrame]], folder: str, fmt: str = "csv") -> dict[str, str]:
+    return {name: write_table(make(), f"{folder}/{name}", fmt) for name, make in tables.items()}

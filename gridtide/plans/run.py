@@ -11,9 +11,10 @@ from gridtide.operators.clean import clean_load_data
 from gridtide.operators.forecast import ForecastResult, run_forecast
 from gridtide.operators.models import ForecastConfig
 from gridtide.operators.select import TimeRange, filter_by_time, resolve_time_range
-from gridtide.plans.analysis import run_analysis
+from gridtide.plans.analysis import run_analysis, write_all
+from gridtide.plans.forecast import component_tables, forecast_views
 from gridtide.sources.csv import choose_primary_dataset, load_csv
-from gridtide.sources.tables import component_export, run_metadata, write_clean_series, write_forecast, write_table
+from gridtide.sources.tables import run_metadata, write_clean_series, write_forecast, write_table
 
 
 def load_clean(
@@ -46,9 +47,6 @@ def run(
         return None
     result = run_forecast(df, config, method, keys)
     target = f"{folder}/forecast/{method.lower()}_{selection.label}"
-    series = result.series
-    imfs = [c for c in series.components if c.startswith("imf_")]
-    write_table(component_export(series.rows, imfs, keys), f"{target}/emd_components")
-    write_table(component_export(series.rows, imfs, keys, None), f"{target}/emd_decomposition_results")
+    write_all({**component_tables(result.series), **forecast_views(result)}, target)
     write_forecast(result, target, keys)
     return result

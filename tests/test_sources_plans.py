@@ -79,8 +79,12 @@ def test_whole_run(spark, folder, tmp_path):
     meta = {r["field"]: r["value"] for r in spark.read.csv(f"{out}/dataset_metadata", header=True).collect()}
     assert meta["timestamp_column"] == "时间" and meta["load_column"] == "负荷" and meta["rows_after_filter"] == "400"
     target = f"{out}/forecast/hybrid_all_data"
-    assert spark.read.parquet(f"{target}/emd_components").columns == ["timestamp", "IMF1", "residual"]
-    assert spark.read.parquet(f"{target}/emd_decomposition_results").columns == ["timestamp", "IMF1"]
+    read = lambda name: spark.read.csv(f"{target}/{name}", header=True)
+    assert read("emd_components").columns == ["timestamp", "IMF1", "residual"]
+    assert read("emd_decomposition_results").columns == ["timestamp", "IMF1"]
+    assert read("imf_frequency_classes").first()["component"] == "imf_1" and read("imf_energy").count() == 1
+    assert read("imf_spectrum").count() == 199 and read("imf_reconstruction").count() == 400
+    assert read("forecast_last_week").count() == 80 and read("prediction_error_histogram").count() == 50
     lines = [r["value"] for r in spark.read.text(f"{target}/hybrid_metrics_text").collect()]
     assert sorted(line.split(":")[0] for line in lines) == ["MAE", "MAPE", "R2", "RMSE"]
     stored = json.loads(spark.read.text(f"{target}/hybrid_metrics_json").first()["value"])
@@ -90,6 +94,21 @@ def test_whole_run(spark, folder, tmp_path):
         runs.run(spark, out, root=str(folder), mode="dance")
 
 
+def test_comparison_run(spark, tmp_path):
+    from gridtide.plans.forecast import run_comparison
+
+    df = frame(spark, {"a": walk(240), "b": walk(240, 5)}, {"a": times(240), "b": times(240)})
+    cfg = ForecastConfig(lookback=24, horizon=6, imf_components=1, exogenous=False)
+    days = spark.createDataFrame([("2024-01-10",)], "date string")
+    out = str(tmp_path / "cmp")
+    final = run_comparison(df, cfg, out, days, ["k"], ["seasonal_naive", "moving_average"])
+    read = lambda name: spark.read.csv(f"{out}/{name}", header=True)
+    assert final.count() == 96 and read("emd_model_metrics").count() == 4 and read("best_model").count() == 2
+    assert {r["category"] for r in read("holiday_error_stats").collect()} == {"Holiday", "Non-Holiday"}
+    assert {r["period"] for r in read("period_error_stats").collect()} == {"Peak Period", "Valley Period"}
+    assert read("error_qq").count() == 96 and read("forecast_metrics").count() == 8 and read("error_density").count() == 400
+
+
 def test_analysis_tables(spark, folder, tmp_path):
     df, selection = runs.load_clean(
         spark, str(folder / "data" / "main.csv"), str(tmp_path / "a"), mode="range", start="2018-01-02", end="2018-01-12"
