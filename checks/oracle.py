@@ -215,7 +215,7 @@ sql("a16_correlation_matrix", " UNION ALL ".join(
 WEATHER = f"""SELECT timestamp, max(load) FILTER (event_type = 'click') AS load, max(load) FILTER (event_type = 'view') AS temperature,
     max(load) FILTER (event_type = 'signup') AS humidity, max(load) FILTER (event_type = 'purchase') AS rainfall FROM ({HOUR_SUMS}) GROUP BY timestamp"""
 sql("a17_weather_correlation", " UNION ALL ".join(
-    f"""SELECT '{c}' AS feature, corr(load, {c}) AS corr FROM ({WEATHER})
+    f"""SELECT '{c}' AS feature, CASE WHEN NOT isnan(corr(load, {c})) THEN corr(load, {c}) END AS corr FROM ({WEATHER})
     WHERE load IS NOT NULL AND temperature IS NOT NULL AND humidity IS NOT NULL AND rainfall IS NOT NULL"""
     for c in ("temperature", "humidity", "rainfall")), "corr")
 HOURS = f"""SELECT event_type, CASE WHEN quantile_cont(step, 0.5) > 0 THEN quantile_cont(step, 0.5) / 3600 ELSE 1.0 END AS sampling_hours FROM (
