@@ -73,11 +73,18 @@ def correlation_matrix(df: DataFrame, columns: dict[str, Column], keys: Sequence
         spread = F.sqrt(F.greatest(moment(i, i) * moment(j, j), F.lit(0.0)))
         return moment(i, j) / F.nullif(spread, F.lit(0.0))
 
-    cells = [
-        F.struct(F.lit(names[i]).alias("feature"), F.lit(names[j]).alias("other"), pearson(i, j).alias("corr"))
-        for i in size for j in size
-    ]
-    return sums.select(*keys, F.inline(F.array(*cells)))
+    # Only the upper triangle is computed; positions of one flat array name the cell of each value.
+    triangle = [(i, j) for i in size for j in size if i <= j]
+    wide = sums.select(*keys, *[pearson(i, j).alias(f"_r{i}_{j}") for i, j in triangle])
+    flat = F.array(*[F.col(f"_r{min(i, j)}_{max(i, j)}") for i in size for j in size])
+    labels = F.array(*[F.lit(name) for name in names])
+    long = wide.select(*keys, F.posexplode(flat).alias("_pos", "corr"))
+    return long.select(
+        *keys,
+        labels[F.floor(F.col("_pos") / len(names)).cast("int")].alias("feature"),
+        labels[F.col("_pos") % len(names)].alias("other"),
+        "corr",
+    )
 
 
 def load_correlations(
