@@ -11,6 +11,7 @@ from gridtide.functions.calendar import add_time_features, micros
 from gridtide.functions.columns import quoted, to_number, to_timestamp
 from gridtide.operators.position import CELL_ROWS, cell_of, nearest_cells, time_cells
 from gridtide.operators.skew import lookup
+from gridtide.session import materialise
 
 QUALITY_METRICS = (
     "raw_rows", "invalid_timestamp_rows", "invalid_load_rows", "duplicated_timestamp_rows",
@@ -86,41 +87,57 @@ def _between(value: Column, before: Column, after: Column) -> Column:
     return F.coalesce(value, inside, before["v"], after["v"])
 
 
-def quality_report(typed: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """`metric, value` counts for a coerced table, before and after duplicate averaging.
+def summarise_times(typed: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """One row per series and time, the missing time included: column means, known cells and rows.
 
-    A gap survives interpolation only where a series has no known value in that column at all,
-    so the remaining gaps follow from counts without running the interpolation.
+    Both the clean series and the quality counts follow from this table, so the raw cells are parsed once.
     """
     columns = value_columns(typed, keys)
-    features = [c for c in columns if c != "load"]
-    raw = typed.agg(
-        F.count(F.lit(1)).alias("raw_rows"),
-        F.count_if(F.col("timestamp").isNull()).alias("invalid_timestamp_rows"),
-        F.count_if(F.col("load").isNull()).alias("invalid_load_rows"),
-    )
-    times = drop_invalid_times(typed).groupBy(*keys, "timestamp").agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.count(quoted(c)).alias(f"_has{i}") for i, c in enumerate(columns)]
+    return typed.groupBy(*keys, "timestamp").agg(
+        *[F.avg(quoted(c)).alias(c) for c in columns],
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count(quoted(c)).alias(f"_has{i}") for i, c in enumerate(columns)],
     )
-    series = times.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_times"),
-        F.sum("_rows").alias("_rows"),
-        *[F.sum(f"_has{i}").alias(f"_has{i}") for i in range(len(columns))],
-    )
-    holes = {c: F.when(F.col(f"_has{i}") == 0, F.col("_times")).otherwise(0) for i, c in enumerate(columns)}
-    missing_features = sum((holes[c] for c in features), F.lit(0))
-    cleaned = series.agg(
-        F.coalesce(F.sum(F.col("_rows") - F.col("_times")), F.lit(0)).alias("duplicated_timestamp_rows"),
-        F.coalesce(F.sum(holes["load"]), F.lit(0)).alias("remaining_missing_load"),
-        F.coalesce(F.sum(missing_features), F.lit(0)).alias("remaining_missing_features"),
-        F.coalesce(F.sum("_times"), F.lit(0)).alias("cleaned_rows"),
+
+
+def _summary_columns(summary: DataFrame, keys: Sequence[str]) -> list[str]:
+    return [c for c in value_columns(summary, keys) if not c.startswith(("_rows", "_has"))]
+
+
+def quality_of(summary: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """`metric, value` counts before and after duplicate averaging, from `summarise_times`.
+
+    A gap survives interpolation only where a series has no known value in that column at all,
+    so the remaining gaps follow from counts without running the interpolation.
+    """
+    columns = _summary_columns(summary, keys)
+    timed = F.col("timestamp").isNotNull()
+    known = F.col(f"_has{columns.index('load')}")
+    series = summary.groupBy(*keys).agg(
+        F.sum("_rows").alias("raw_rows"),
+        F.sum(F.when(~timed, F.col("_rows")).otherwise(0)).alias("invalid_timestamp_rows"),
+        F.sum(F.col("_rows") - known).alias("invalid_load_rows"),
+        F.count("timestamp").alias("cleaned_rows"),
+        *[F.sum(F.when(timed, F.col(f"_has{i}")).otherwise(0)).alias(f"_has{i}") for i in range(len(columns))],
     )
-    row = raw.crossJoin(F.broadcast(cleaned)).select(*[F.col(m).cast("long") for m in QUALITY_METRICS])
+    duplicated = F.col("raw_rows") - F.col("invalid_timestamp_rows") - F.col("cleaned_rows")
+    holes = {c: F.when(F.col(f"_has{i}") == 0, F.col("cleaned_rows")).otherwise(0) for i, c in enumerate(columns)}
+    per_series = series.withColumns({
+        "duplicated_timestamp_rows": duplicated,
+        "remaining_missing_load": holes["load"],
+        "remaining_missing_features": sum((holes[c] for c in columns if c != "load"), F.lit(0)),
+    })
+    row = per_series.agg(*[F.coalesce(F.sum(m), F.lit(0)).cast("long").alias(m) for m in QUALITY_METRICS])
     return row.unpivot([], list(QUALITY_METRICS), "metric", "value")
 
 
+def quality_report(typed: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """`quality_of` for a coerced table."""
+    return quality_of(summarise_times(typed, keys), keys)
+
+
 def clean_load_data(raw: DataFrame, timestamp_col: str, load_col: str, keys: Sequence[str] = ()) -> CleanSeries:
     """Clean one table of series; the frame ends with the calendar columns."""
-    typed = coerce_columns(raw, timestamp_col, load_col, keys)
-    unique = average_duplicates(drop_invalid_times(typed), keys)
-    return CleanSeries(add_time_features(interpolate_in_time(unique, keys)), quality_report(typed, keys))
+    summary = materialise(summarise_times(coerce_columns(raw, timestamp_col, load_col, keys), keys))
+    unique = drop_invalid_times(summary).select(*[quoted(k) for k in keys], "timestamp", *[quoted(c) for c in _summary_columns(summary, keys)])
+    return CleanSeries(add_time_features(interpolate_in_time(unique, keys)), quality_of(summary, keys))
