@@ -21,7 +21,7 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == WITHOUT_SQL
+    assert set(entry.QUERIES) - set(entry.oracle_sql()) == WITHOUT_SQL
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
