@@ -34,17 +34,17 @@ ORACLE["op6_substring_dedup"] = r"""
 WITH split AS (
   SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') AS w FROM documents
 ), windows AS (
-  SELECT doc_id, at, array_to_string(w[at:at + 12], ' ') AS seq
-  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS at FROM split)
+  SELECT doc_id, pos, array_to_string(w[pos:pos + 12], ' ') AS seq
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS pos FROM split)
 ), firsts AS (
   SELECT seq, min(doc_id) AS first_doc FROM windows GROUP BY seq
 ), gone AS (
-  SELECT doc_id, list(DISTINCT at + o) AS at
-  FROM (SELECT w.doc_id, w.at FROM windows w JOIN firsts f USING (seq) WHERE f.first_doc < w.doc_id), range(13) r(o)
+  SELECT doc_id, list(DISTINCT pos + o) AS spots
+  FROM (SELECT w.doc_id, w.pos FROM windows w JOIN firsts f USING (seq) WHERE f.first_doc < w.doc_id), range(13) r(o)
   GROUP BY doc_id
 ), kept AS (
-  SELECT s.doc_id, len(w) AS n_words, coalesce(len(g.at), 0) AS n_removed,
-    list_filter(w, (x, i) -> NOT coalesce(list_contains(g.at, i), false)) AS rest
+  SELECT s.doc_id, len(w) AS n_words, coalesce(len(g.spots), 0) AS n_removed,
+    list_filter(w, (x, i) -> NOT coalesce(list_contains(g.spots, i), false)) AS rest
   FROM split s LEFT JOIN gone g USING (doc_id)
 )
 SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed, sha256(array_to_string(rest, ' ')) AS kept_sha256 FROM kept
