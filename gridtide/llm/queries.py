@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridtide.llm import repeats
+from gridtide.llm import bpe, quality, repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -49,3 +49,19 @@ WITH split AS (
 )
 SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed, sha256(array_to_string(rest, ' ')) AS kept_sha256 FROM kept
 """
+
+
+@query("op8_quality_rules")
+def _(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, folder, "labels"))
+    return quality.judge(docs, model).drop("text")
+
+
+@query("op3_bpe")
+def _(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    coded = bpe.encode(docs, decoded="decoded_text")
+    return coded.select(
+        "doc_id", F.size("token_ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("decoded_text", 256).alias("decoded_sha256")
+    )
