@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridtide.llm import bpe, quality, repeats
+from gridtide.llm import bpe, neardup, quality, repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,7 +32,7 @@ def _(spark, folder):
 
 ORACLE["op6_substring_dedup"] = r"""
 WITH split AS (
-  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') AS w FROM documents
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
 ), windows AS (
   SELECT doc_id, pos, array_to_string(w[pos:pos + 12], ' ') AS seq
   FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS pos FROM split)
@@ -44,7 +44,7 @@ WITH split AS (
   GROUP BY doc_id
 ), kept AS (
   SELECT s.doc_id, len(w) AS n_words, coalesce(len(g.spots), 0) AS n_removed,
-    list_filter(w, (x, i) -> NOT coalesce(list_contains(g.spots, i), false)) AS rest
+    list_filter(w, lambda x, i: NOT coalesce(list_contains(g.spots, i), false)) AS rest
   FROM split s LEFT JOIN gone g USING (doc_id)
 )
 SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed, sha256(array_to_string(rest, ' ')) AS kept_sha256 FROM kept
@@ -65,3 +65,29 @@ def _(spark, folder):
     return coded.select(
         "doc_id", F.size("token_ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("decoded_text", 256).alias("decoded_sha256")
     )
+
+
+@query("op10_minhash_near_dedup")
+def _(spark, folder):
+    return neardup.near_duplicates(table(spark, folder, "documents").select("doc_id", "text")).drop("text")
+
+
+ORACLE["op10_minhash_near_dedup"] = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[pos:pos + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS pos FROM split WHERE len(w) > 0)
+), sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS MATERIALIZED (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM shingles x JOIN shingles y USING (s) WHERE x.doc_id <> y.doc_id GROUP BY ALL
+  ) JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * common >= 85 * (p.n + q.n - common)
+), reach(a, b) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, c.component_id, c.component_id = d.doc_id AS kept
+FROM documents d JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
+"""
