@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridtide.llm import bpe, neardup, quality, repeats
+from gridtide.llm import bpe, leaks, neardup, quality, repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -91,3 +91,9 @@ WITH RECURSIVE split AS (
 SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, c.component_id, c.component_id = d.doc_id AS kept
 FROM documents d JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
 """
+
+
+@query("op7_benchmark_decontamination")
+def _(spark, folder):
+    found = leaks.find_leaks(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", F.inline("leaks")).withColumnRenamed("item", "item_id")

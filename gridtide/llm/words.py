@@ -78,9 +78,14 @@ def lower_table() -> np.ndarray:
     return table
 
 
-def blocks(texts: pa.Array, lower: bool = False, limit: int = BLOCK_BYTES) -> Iterator[Words]:
-    """The words of each block; with `lower`, A-Z are lower-cased first."""
-    space, small = byte_class([32, *range(9, 14)]), lower_table()
+WHITE = (32, *range(9, 14))
+# All of ASCII but letters and digits.
+SIGNS = tuple(b for b in range(128) if not chr(b).isalnum())
+
+
+def blocks(texts: pa.Array, lower: bool = False, limit: int = BLOCK_BYTES, apart: tuple[int, ...] = WHITE) -> Iterator[Words]:
+    """The words of each block, which the bytes `apart` part; with `lower`, A-Z are lower-cased first."""
+    space, small = byte_class(apart), lower_table()
     for lo, hi, data, at in text_blocks(texts, limit):
         if lower:
             data = small[data]
