@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridtide.llm import bpe, leaks, neardup, quality, repeats
+from gridtide.llm import bpe, leaks, licenses, neardup, quality, repeats, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -97,3 +97,101 @@ FROM documents d JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c
 def _(spark, folder):
     found = leaks.find_leaks(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"))
     return found.select("doc_id", F.inline("leaks")).withColumnRenamed("item", "item_id")
+
+
+@query("op1_license_scan")
+def _(spark, folder):
+    return licenses.scan(table(spark, folder, "documents").select("doc_id", "text")).drop("matches")
+
+
+def _sql(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_TEMPLATE_ROWS = ", ".join(f"({i}, {_sql(label)}, [{', '.join(_sql(w) for w in sorted(set(licenses.words_of(text))))}])" for i, (label, text) in enumerate(licenses.TEMPLATES))
+_PHRASE_ROWS = ", ".join(f"({_sql(label)}, {_sql(phrase)}, {len(phrase.split())})" for phrase, label in licenses.PHRASES.items())
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ORACLE["op1_license_scan"] = rf"""
+WITH templates(template, label, words) AS (VALUES {_TEMPLATE_ROWS}
+), phrases(label, phrase, n) AS (VALUES {_PHRASE_ROWS}
+), docs AS (
+  SELECT doc_id, {_LOWER} AS low, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), places AS (
+  SELECT doc_id, label, pos - 1 AS pos FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS pos FROM docs) CROSS JOIN phrases
+  WHERE array_to_string(w[pos:pos + n - 1], ' ') = phrase
+), base AS (
+  SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list(DISTINCT label) AS base FROM places GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, regexp_extract_all(unnest(string_split(low, chr(10))), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM docs
+), found AS (
+  SELECT doc_id, label, len(list_intersect(list_distinct(w), words)) / len(words) AS share FROM lines CROSS JOIN templates
+  WHERE len(list_intersect(list_distinct(w), words)) >= ceil({licenses.CONTAINED} * len(words) - 1e-9)
+), best AS (SELECT doc_id, max(share) AS share, list(DISTINCT label) AS more FROM found GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+  array_to_string(list_sort(coalesce(base, [])), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []), coalesce(more, [])))), ',') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0)::DOUBLE END AS score
+FROM docs d LEFT JOIN base b ON b.doc_id = d.doc_id LEFT JOIN best x ON x.doc_id = d.doc_id
+"""
+
+
+def captures(pages: DataFrame) -> DataFrame:
+    """The pages as captures: the fetch day follows from the page id, because the table has none."""
+    return pages.select("page_id", "url", F.date_add(F.lit("2024-01-01").cast("date"), F.pmod("page_id", F.lit(365)).cast("int")).alias("fetched"))
+
+
+def list_entries(pages: DataFrame) -> DataFrame:
+    """A dated list made from the hosts that the pages have; which of them are listed, and when, follows from a hash."""
+    host = urls.host_of(F.col("url"))
+    path = F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*/([^/?#]+)", 1)
+    hosts = pages.select(host.alias("host"), path.alias("path")).distinct().filter("host IS NOT NULL")
+    pair = lambda kind, pattern: F.struct(F.lit(kind).alias("kind"), pattern.alias("pattern"))
+    prefix = F.when(F.col("path") != "", F.concat("host", F.lit("/"), "path"))
+    kinds = hosts.select(F.inline(F.array(pair("host", F.col("host")), pair("domain", F.substring_index("host", ".", -3)), pair("prefix", prefix))))
+    kinds = kinds.filter("pattern IS NOT NULL").distinct()
+    number = lambda at: F.conv(F.substring(F.md5(F.concat_ws("|", "kind", "pattern")), at, 6), 16, 10).cast("long")
+    day = lambda n: F.date_add(F.lit("2024-01-01").cast("date"), n.cast("int"))
+    dated = kinds.withColumns({"a": number(1), "b": number(7), "c": number(13)}).filter("a % 3 = 0")
+    start, stop = F.pmod("b", F.lit(300)), F.pmod("b", F.lit(300)) + 1 + F.pmod("c", F.lit(90))
+    category = F.element_at(F.array(F.lit("adult"), F.lit("malware"), F.lit("spam")), (F.pmod("c", F.lit(3)) + 1).cast("int"))
+    change = lambda action, at: F.struct(F.lit(action).alias("action"), day(at).alias("listed_at"))
+    changes = F.array(change("add", start), F.when(F.col("a") % 2 == 0, change("remove", stop)), F.when(F.col("a") % 4 == 0, change("add", stop + 20)))
+    return dated.select("kind", "pattern", category.alias("category"), F.inline(F.filter(changes, lambda x: x.isNotNull())))
+
+
+@query("op9_url_filter")
+def _(spark, folder):
+    pages = table(spark, folder, "pages")
+    return urls.judge(captures(pages), list_entries(pages))
+
+
+ORACLE["op9_url_filter"] = r"""
+WITH page AS (
+  SELECT page_id, url, DATE '2024-01-01' + (page_id % 365)::INTEGER AS fetched,
+    nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '') AS host,
+    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*/([^/?#]+)', 1) AS path
+  FROM pages
+), kinds AS (
+  SELECT DISTINCT kind, pattern FROM (
+    SELECT 'host' AS kind, host AS pattern FROM page
+    UNION ALL SELECT 'domain', array_to_string(string_split(host, '.')[-3:], '.') FROM page
+    UNION ALL SELECT 'prefix', CASE WHEN path <> '' THEN host || '/' || path END FROM page
+  ) WHERE pattern IS NOT NULL
+), hashed AS (SELECT kind, pattern, md5(kind || '|' || pattern) AS h FROM kinds
+), dated AS (
+  SELECT kind, pattern, ('0x' || substr(h, 1, 6))::BIGINT AS a, ('0x' || substr(h, 7, 6))::BIGINT AS b, ('0x' || substr(h, 13, 6))::BIGINT AS c FROM hashed
+), listed AS (
+  SELECT kind, pattern, ['adult', 'malware', 'spam'][c % 3 + 1] AS category, a, (b % 300)::INTEGER AS start, (b % 300 + 1 + c % 90)::INTEGER AS stop FROM dated WHERE a % 3 = 0
+), held AS (
+  SELECT kind, pattern, category, DATE '2024-01-01' + start AS valid_from, CASE WHEN a % 2 = 0 THEN DATE '2024-01-01' + stop END AS valid_to FROM listed
+  UNION ALL SELECT kind, pattern, category, DATE '2024-01-01' + (stop + 20), NULL FROM listed WHERE a % 4 = 0
+), hits AS (
+  SELECT p.page_id, h.* FROM page p JOIN held h ON p.fetched >= h.valid_from AND (h.valid_to IS NULL OR p.fetched < h.valid_to)
+    AND CASE h.kind WHEN 'host' THEN p.host = h.pattern WHEN 'domain' THEN p.host = h.pattern OR ends_with(p.host, '.' || h.pattern)
+      ELSE p.path <> '' AND p.host || '/' || p.path = h.pattern END
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY length(pattern) DESC, category, kind, pattern) AS place, count(*) OVER (PARTITION BY page_id) AS n FROM hits
+)
+SELECT p.page_id, p.url, p.fetched, p.host, b.n IS NOT NULL AS blocked, coalesce(b.n, 0)::BIGINT AS n_active, b.kind, b.pattern, b.category, b.valid_from AS active_since
+FROM page p LEFT JOIN best b ON b.page_id = p.page_id AND b.place = 1
+"""
