@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridtide.llm import bpe, leaks, licenses, neardup, quality, repeats, urls
+from gridtide.llm import bpe, leaks, licenses, lm, neardup, quality, repeats, shards, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -195,3 +195,13 @@ WITH page AS (
 SELECT p.page_id, p.url, p.fetched, p.host, b.n IS NOT NULL AS blocked, coalesce(b.n, 0)::BIGINT AS n_active, b.kind, b.pattern, b.category, b.valid_from AS active_since
 FROM page p LEFT JOIN best b ON b.page_id = p.page_id AND b.place = 1
 """
+
+
+@query("op2_balanced_shards")
+def _(spark, folder):
+    return shards.assign(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op4_lm_score")
+def _(spark, folder):
+    return lm.score(table(spark, folder, "documents").select("doc_id", "text"))
