@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridtide.llm import bpe, leaks, licenses, lm, neardup, quality, repeats, shards, urls
+from gridtide.llm import bpe, leaks, licenses, lm, neardup, quality, repeats, shards, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -205,3 +205,11 @@ def _(spark, folder):
 @query("op4_lm_score")
 def _(spark, folder):
     return lm.score(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op5_toxicity")
+def _(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, folder, "labels"))
+    held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % toxicity.MODULUS == toxicity.HELD
+    return toxicity.score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
