@@ -1,0 +1,17 @@
+"""Intermediate tables in the shared scratch folder."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from gridtide.session import scratch_folder
+
+
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """`df`, written once as Parquet below the shared checkpoint folder and read back with a short plan.
+
+    Unlike a checkpoint it is read by column; both survive the loss of executors.
+    """
+    folder = scratch_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
