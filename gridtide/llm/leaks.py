@@ -14,6 +14,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from gridtide.llm import words as W
@@ -68,7 +69,7 @@ def build(ids: np.ndarray, texts: list[str], score: float = SCORE) -> Index:
 
     def hashes(values: list[str]) -> list[np.ndarray]:
         out = []
-        for b in W.blocks(pa.array(values, pa.string()), lower=True, apart=W.SIGNS):
+        for b in W.blocks(pc.utf8_lower(pa.array(values, pa.string())), apart=W.SIGNS):
             h = hasher(b.data, b.starts, b.ends)
             out += [h[b.bounds[i] : b.bounds[i + 1]] for i in range(b.rows)]
         return out
@@ -205,8 +206,8 @@ def find_leaks(
     """All columns of `docs`, then `leaks`: one entry per test item found in the text, by item, with its best passage.
 
     An item is found if some passage reaches `score` of the item's own BM25 score and holds at least `overlap` of the
-    3-word runs of its question and of its answer each (runs of all its words, if it has fewer). Words are letters,
-    digits and everything beyond ASCII, A-Z lower-cased. `first_word` is where the best passage begins (ties: the
+    3-word runs of its question and of its answer each (runs of all its words, if it has fewer). Words are
+    letters, digits and everything beyond ASCII, in lower case. `first_word` is where the best passage begins (ties: the
     first), `passages` how many hold the item. Null or empty texts have no leaks; items that are null, empty or without
     an id are not looked for; items with equal ids count as one, whichever is found. Repeated rows get equal results.
     The items are indexed `index_bytes` at a time, each index in a pass of its own over the documents, because an index
@@ -228,7 +229,7 @@ def _pass(docs: DataFrame, sent, text: str, score: float, overlap: float) -> Dat
         index, hasher = sent.value, W.Hasher()
         for batch in batches:
             found: dict[int, dict[int, list]] = {}
-            for words in W.blocks(batch.column(batch.schema.get_field_index(text)), lower=True, apart=W.SIGNS):
+            for words in W.blocks(pc.utf8_lower(batch.column(batch.schema.get_field_index(text))), apart=W.SIGNS):
                 hashes = hasher(words.data, words.starts, words.ends)
                 for r, item, got, question, answer, first in _search(index, words, hashes, score, overlap):
                     best = found.setdefault(r, {}).setdefault(int(index.ids[item]), [-1.0, 0.0, 0.0, 0, 0])

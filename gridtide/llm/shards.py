@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gridtide.llm.tables import stored
 
-SHARDS, ROUNDS, SLACK = 8, 3, 0.02
+SHARDS, ROUNDS, SLACK = 8, 4, 0.1
 
 
 def _quotas(moves: list[list[int]], loads: list[int], capacity: float) -> list[list[float]]:
@@ -63,7 +63,7 @@ def propagate(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, slack
             break
         share = F.array(*[F.array(*[F.lit(float(x)) for x in line]) for line in _quotas(moves, loads, capacity)])
         # A group moves as one, unless it is so large that it would upset a shard by itself.
-        chance = F.when(F.col("members") > capacity / 16, _unit(F.col("row"), F.lit(step))).otherwise(_unit(F.col("group"), F.col("shard"), F.lit(step)))
+        chance = F.when(F.col("members") > capacity / 4, _unit(F.col("row"), F.lit(step))).otherwise(_unit(F.col("group"), F.lit(step)))
         goes = chance < F.element_at(F.element_at(share, F.col("shard") + 1), F.col("goal") + 1)
         state = wanted.select("row", "group", "members", "linked", F.when(goes, F.col("goal")).otherwise(F.col("shard")).alias("shard"))
     return state.drop("members")

@@ -37,7 +37,7 @@ LOOK_ALIKE |= {a.upper(): b for a, b in LOOK_ALIKE.items()}
 FOR_LETTERS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
 FOREIGN = re.compile("[Ͱ-ԯ]")
 MARKS = re.compile("[̀-ͯ]+")
-DISGUISED = re.compile(r"[^\W\d_][013457@$!]+(?=[^\W\d_])|(?<![\w@$!])[013457@$]+(?=[^\W\d_]{2})")
+DISGUISED = re.compile(r"[^\W\d_][013457@$!]+(?=[^\W\d_])|(?<![\w@$!])[013457@$]+(?=[^\W\d_])")
 BREAKS = re.compile(r"[\W_]+")
 
 

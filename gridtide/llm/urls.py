@@ -62,9 +62,9 @@ def judge(captures: DataFrame, entries: DataFrame, url: str = "url", at: str = "
     active = pairs.join(held, ["kind", "pattern"]).filter("valid_from <= __at AND (valid_to IS NULL OR __at < valid_to)")
     rank = F.struct((-F.length("pattern")).alias("short"), "category", "kind", "pattern", F.col("valid_from").alias("since"))
     active = active.groupBy("kind", "pattern", "__at").agg(F.count(F.lit(1)).alias("n"), F.min(rank).alias("top"))
-    verdicts = asked.join(active, ["kind", "pattern", "__at"]).groupBy("__url", "__at").agg(F.sum("n").alias("n"), F.min("top").alias("top"))
+    verdicts = asked.join(active, ["kind", "pattern", "__at"]).groupBy("__url", "__at").agg(F.sum("n").alias("__n"), F.min("top").alias("__top"))
     joined = captures.join(verdicts, (F.col(url) == F.col("__url")) & (F.col(at) == F.col("__at")), "left")
     return joined.withColumns({
-        "host": host_of(F.col(url)), "blocked": F.col("n").isNotNull(), "n_active": F.coalesce("n", F.lit(0).cast("long")),
-        "kind": F.col("top.kind"), "pattern": F.col("top.pattern"), "category": F.col("top.category"), "active_since": F.col("top.since"),
-    }).drop("__url", "__at", "n", "top")
+        "host": host_of(F.col(url)), "blocked": F.col("__n").isNotNull(), "n_active": F.coalesce("__n", F.lit(0).cast("long")),
+        "kind": F.col("__top.kind"), "pattern": F.col("__top.pattern"), "category": F.col("__top.category"), "active_since": F.col("__top.since"),
+    }).drop("__url", "__at", "__n", "__top")
