@@ -84,6 +84,9 @@ def calendar(source: str) -> str:
 sql("c3_parse_ratios", """SELECT 'when' AS "column", avg((event_id % 29 <> 0)::INT) AS time_ratio, 0.0::DOUBLE AS number_ratio FROM events
     UNION ALL SELECT 'what', 0.0, avg((event_id % 17 <> 0 AND event_id % 23 <> 0)::INT) FROM events
     UNION ALL SELECT 'kind', 0.0, 0.0""", "time_ratio", "number_ratio")
+sql("c3_integer_load", "SELECT date_trunc('day', o_orderdate)::TIMESTAMP AS timestamp, o_orderkey::DOUBLE AS load FROM orders", "load")
+sql("c4_short_years", """SELECT CASE event_id % 4 WHEN 0 THEN date_trunc('minute', ts) WHEN 3 THEN NULL ELSE date_trunc('day', ts)::TIMESTAMP END AS timestamp,
+    event_id::DOUBLE AS load FROM events""", "load")
 sql("c4_coerce_columns", TYPED, "load", "extra")
 sql("c5_drop_invalid_times", VALID, "load", "extra")
 sql("c6_average_duplicates", UNIQUE, "load", "extra")
@@ -259,10 +262,11 @@ def transformed(source: str, groups: str, value: str = "load") -> str:
 sql("w7_spectrum", f"SELECT event_type, k AS harmonic, k / n AS frequency, amplitude FROM ({transformed(HOURLY_INDEXED, 'event_type')})", "frequency", "amplitude")
 sql("w7_event_spectrum", f"""SELECT event_type, k AS harmonic, k / (n * sampling_hours) AS frequency, amplitude FROM ({transformed(INDEXED, 'event_type')})
     JOIN ({HOURS}) USING (event_type)""", "frequency", "amplitude")
-sql("w8_sliding_windows", f"""SELECT event_type, idx AS origin_idx, lag(load, 23) OVER o AS x_first, load AS x_last, sum(load) OVER (o ROWS BETWEEN 23 PRECEDING AND CURRENT ROW) AS x_sum,
-    lead(load, 1) OVER o AS y_first, lead(load, 6) OVER o AS y_last, sum(load) OVER (o ROWS BETWEEN 1 FOLLOWING AND 6 FOLLOWING) AS y_sum
-    FROM ({INDEXED}) WINDOW o AS (PARTITION BY event_type ORDER BY idx) QUALIFY idx >= 23 AND idx < n - 6""",
-    "x_first", "x_last", "x_sum", "y_first", "y_last", "y_sum")
+GRID = "floor(load * 1000 + 0.47)::BIGINT::VARCHAR"
+sql("w8_sliding_windows", f"""SELECT event_type, origin_idx, x, y FROM (SELECT event_type, idx AS origin_idx, n,
+    string_agg({GRID}, ' ') OVER (o ROWS BETWEEN 23 PRECEDING AND CURRENT ROW) AS x,
+    string_agg({GRID}, ' ') OVER (o ROWS BETWEEN 1 FOLLOWING AND 6 FOLLOWING) AS y
+    FROM ({INDEXED}) WINDOW o AS (PARTITION BY event_type ORDER BY idx)) WHERE origin_idx >= 23 AND origin_idx < n - 6""")
 SPLIT = f"SELECT *, greatest(floor(n * 0.8::DOUBLE), 72)::BIGINT AS split_idx FROM ({INDEXED})"
 sql("w9_split", f"""SELECT event_type, n, split_idx, count(*) FILTER (idx < split_idx) AS train_rows, count(*) FILTER (idx >= split_idx - 48) AS context_rows
     FROM ({SPLIT}) GROUP BY event_type, n, split_idx""")
@@ -301,6 +305,9 @@ def components(source: str, keep: int, rest: str = "residual") -> str:
 
 IMF = [f"imf_{j}" for j in range(1, 9)]
 sql("d1_decompose", f"SELECT * EXCLUDE (n, idx) FROM ({cascade(INDEXED)})", "load", *IMF)
+GAPS = """SELECT event_type, ts AS timestamp, CASE WHEN event_id % 17 <> 0 THEN value END AS load, count(*) OVER (PARTITION BY event_type) AS n,
+    row_number() OVER (PARTITION BY event_type ORDER BY ts) - 1 AS idx FROM events"""
+sql("d1_decompose_with_gaps", f"SELECT * EXCLUDE (n, idx) FROM ({cascade(GAPS)})", "load", *IMF)
 sql("d2_component_frame", f"SELECT * EXCLUDE (n, idx) FROM ({components(INDEXED, 6)})", "load", *IMF[:6], "residual")
 sql("d3_bounded_component_frame", f"SELECT * EXCLUDE (n, idx) FROM ({components(INDEXED, 3, 'remainder_component')})", "load", *IMF[:3], "remainder_component")
 
@@ -418,13 +425,15 @@ sql("io8_analysis_scope", """SELECT 'start_time' AS field, strftime(min(ts), '%Y
     UNION ALL SELECT 'rows', count(*)::VARCHAR FROM events UNION ALL SELECT 'selection', 'all data'""")
 sql("io10_component_export", f"""SELECT event_type, timestamp, imf_1 AS IMF1, imf_2 AS IMF2, imf_3 AS IMF3, residual
     FROM ({components(INDEXED, 3)})""", "IMF1", "IMF2", "IMF3", "residual")
-sql("io1_io3_csv_encodings", """SELECT DISTINCT k.* FROM events, (SELECT 'UTF-8' AS written_as, 'utf-8' AS encoding
-    UNION ALL SELECT 'GB18030', 'gb18030') AS k""")
+sql("io1_io3_csv_encodings", """SELECT k.written_as, k.encoding, false AS multiline, count(*)::BIGINT AS rows FROM events, (SELECT 'UTF-8' AS written_as, 'utf-8' AS encoding
+    UNION ALL SELECT 'GB18030', 'gb18030') AS k GROUP BY ALL""")
+sql("io2_choose_primary", "SELECT event_type, count(*)::BIGINT AS rows, 'utf-8' AS encoding FROM events WHERE event_type = 'click' GROUP BY ALL")
+sql("io4_quoted_breaks", """SELECT event_type, 'a "note"' || chr(10) || 'of ' || event_id AS note, value AS load FROM events""", "load")
 sql("io2_io4_load_csv", TYPED, "load", "extra")
 sql("io5_clean_table", calendar(RAW), "load", *WAVES)
 sql("io5_csv_with_mark", RAW, "load")
 sql("io6_run_metadata", """SELECT 'dataset_path' AS field, 'events' AS value UNION ALL SELECT 'encoding', 'utf-8'
-    UNION ALL SELECT 'timestamp_column', 'ts' UNION ALL SELECT 'load_column', 'value'
+    UNION ALL SELECT 'selection', (max(ts) - INTERVAL 14 DAY)::VARCHAR || ' ~ ' || max(ts)::VARCHAR FROM events UNION ALL SELECT 'timestamp_column', 'ts' UNION ALL SELECT 'load_column', 'value'
     UNION ALL SELECT 'rows_after_filter', count(*)::VARCHAR FROM events WHERE ts >= (SELECT max(ts) - INTERVAL 14 DAY FROM events)""")
 sql("io11_forecast_artifacts", f"""WITH {ONE}, m AS ({scores('event_type', 'one')}) """ + " UNION ALL ".join(
     f"SELECT event_type, '{m}' AS metric, {m} AS value FROM m" for m in METRICS), "value")

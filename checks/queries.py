@@ -64,6 +64,24 @@ def unique(spark, folder):
     return clean.average_duplicates(clean.drop_invalid_times(typed(spark, folder)), KEYS)
 
 
+
+
+@query("c3_integer_load")
+def _(spark, folder):
+    """Roles by content alone: whole numbers as text, left of dates with short years."""
+    raw = S.table(spark, folder, "orders").select(F.col("o_orderkey").cast("string").alias("first"), F.date_format("o_orderdate", "yy-M-d").alias("second"))
+    roles = infer_key_columns(raw)
+    return clean.coerce_columns(raw, roles.timestamp, roles.load).select("timestamp", "load")
+
+
+@query("c4_short_years")
+def _(spark, folder):
+    n = F.col("event_id") % 4
+    text = F.when(n == 0, F.date_format("ts", "M/d/yy H:mm")).when(n == 1, F.date_format("ts", "yy-M-d")).when(n == 2, F.date_format("ts", "yyyyMMdd")).otherwise(F.col("event_id").cast("string"))
+    raw = S.table(spark, folder, "events").select(text.alias("when"), F.col("event_id").cast("string").alias("what"))
+    return clean.coerce_columns(raw, "when", "what").select("timestamp", "load")
+
+
 query("c4_coerce_columns")(typed)
 query("c5_drop_invalid_times")(lambda s, f: clean.drop_invalid_times(typed(s, f)).orderBy("timestamp"))
 query("c6_average_duplicates")(unique)
@@ -217,11 +235,8 @@ def _(spark, folder):
 @query("w8_sliding_windows")
 def _(spark, folder):
     rows = sequence.sliding_windows(indexed(spark, folder), 24, 6, KEYS)
-    total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, b: a + b)
-    return rows.select(
-        "event_type", "origin_idx", F.element_at("x", 1).alias("x_first"), F.element_at("x", -1).alias("x_last"),
-        total("x").alias("x_sum"), F.element_at("y", 1).alias("y_first"), F.element_at("y", -1).alias("y_last"), total("y").alias("y_sum"),
-    )
+    text = lambda c: F.array_join(F.transform(c, lambda v: F.floor(v * 1000 + 0.47).cast("string")), " ")
+    return rows.select("event_type", "origin_idx", text("x").alias("x"), text("y").alias("y"))
 
 
 def split(spark, folder):
@@ -257,6 +272,14 @@ def _parts(spark, folder):
 
 
 query("d1_decompose")(lambda s, f: _parts(s, f).drop("n", "idx"))
+
+
+@query("d1_decompose_with_gaps")
+def _(spark, folder):
+    gaps = S.table(spark, folder, "events").select("event_type", F.col("ts").alias("timestamp"), F.when(F.col("event_id") % 17 != 0, F.col("value")).alias("load"))
+    return decompose.decompose(index_series(gaps, KEYS), KEYS).drop("n", "idx")
+
+
 query("d2_component_frame")(lambda s, f: decompose.component_frame(indexed(s, f), 6, KEYS).drop("n", "idx"))
 query("d3_bounded_component_frame")(lambda s, f: decompose.bounded_component_frame(indexed(s, f), 3, KEYS).drop("n", "idx"))
 
@@ -400,17 +423,37 @@ def _written(spark, folder, encoding="UTF-8"):
 
 @query("io1_io3_csv_encodings")
 def _(spark, folder):
+    """Every row that was written, counted by the encoding found for its file."""
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     root = scratch_folder(spark, "files")
     for name in ("UTF-8", "GB18030"):
         S.dirty_events(spark, folder).write.option("header", "true").option("encoding", name).csv(f"{root}/{name}")
-    files = csv.find_csv_files(spark, root)
-    kinds = csv.detect_encodings(spark, f"{root}/*")
-    kind = F.element_at(F.split("path", "/"), -2).alias("written_as")
+    listed = csv.find_csv_files(spark, root).select(F.element_at(F.split("path", "/"), -2).alias("written_as"), F.element_at(F.split("path", "/"), -1).alias("name"))
     # Paths of the two listings differ in their scheme prefix, so files are matched by name and folder.
-    return kinds.select(kind, F.element_at(F.split("path", "/"), -1).alias("name"), "encoding").join(
-        files.select(kind, "name"), ["written_as", "name"]
-    ).select("written_as", "encoding").distinct()
+    kinds = csv.detect_encodings(spark, f"{root}/*").select(F.element_at(F.split("path", "/"), -2).alias("written_as"), F.element_at(F.split("path", "/"), -1).alias("name"), "encoding", "multiline")
+    lines = spark.read.text(f"{root}/*").select(F.col("_metadata.file_path").alias("path")).groupBy("path").agg((F.count(F.lit(1)) - 1).alias("rows"))
+    lines = lines.select(F.element_at(F.split("path", "/"), -2).alias("written_as"), F.element_at(F.split("path", "/"), -1).alias("name"), "rows")
+    return kinds.join(listed, ["written_as", "name"]).join(lines, ["written_as", "name"]).groupBy("written_as", "encoding", "multiline").agg(F.sum("rows").alias("rows"))
+
+
+@query("io2_choose_primary")
+def _(spark, folder):
+    """The rows of the file chosen among three folders: `data` wins over size."""
+    root = scratch_folder(spark, "tree")
+    S.raw_events(spark, folder).coalesce(1).write.option("header", "true").csv(f"{root}/big")
+    S.raw_events(spark, folder).filter("event_type = 'click'").coalesce(1).write.option("header", "true").csv(f"{root}/data/small")
+    S.raw_events(spark, folder).coalesce(1).write.option("header", "true").csv(f"{root}/outputs/data")
+    raw, encoding = csv.load_csv(spark, csv.choose_primary_dataset(spark, root))
+    return raw.groupBy("event_type").agg(F.count(F.lit(1)).alias("rows")).withColumn("encoding", F.lit(encoding))
+
+
+@query("io4_quoted_breaks")
+def _(spark, folder):
+    path = scratch_folder(spark, "quoted")
+    note = F.concat(F.lit("a \"note\"\nof "), F.col("event_id").cast("string"))
+    S.table(spark, folder, "events").select("event_type", F.col("ts").cast("string").alias("time"), note.alias("note"), F.col("value").alias("load")).write.option("header", "true").option("escape", '"').csv(path)
+    raw, _ = csv.load_csv(spark, path)
+    return raw.select("event_type", F.col("note"), F.col("load").cast("double").alias("load"))
 
 
 @query("io2_io4_load_csv")
@@ -439,7 +482,7 @@ def _(spark, folder):
     df = S.raw_events(spark, folder)
     selection = select.resolve_time_range(df, mode="recent", recent_value=2, recent_unit="weeks")
     rows = df.filter(select.in_range(selection))
-    return run_metadata(rows, "events", "utf-8", "ts", "value", selection).filter("field <> 'selection'")
+    return run_metadata(rows, "events", "utf-8", "ts", "value", selection)
 
 
 @query("io11_forecast_artifacts", 4)

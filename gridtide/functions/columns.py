@@ -17,19 +17,25 @@ WEATHER_KEYWORDS = {
     "rainfall": ("降雨量", "rainfall", "precipitation", "rain", "降水"),
 }
 
-# Timestamp text forms tried in order after the ISO forms that a cast accepts.
+# Timestamp text forms by shape, tried after the ISO forms that a cast accepts. The year stands first with four digits,
+# or last with four or two; two digits are of this century from 00 to 68, else of the last one.
+CLOCK = r"( \d{1,2}:\d{2}(:\d{2})?)?"
 TIMESTAMP_PATTERNS = (
-    "y/M/d H:mm[:ss]",
-    "y-M-d H:mm[:ss]",
-    "y/M/d",
-    "y-M-d",
-    "M/d/y H:mm[:ss]",
-    "M/d/y",
-    "yyyyMMddHHmm",
-    "yyyyMMdd",
+    (r"\d{4}/\d{1,2}/\d{1,2}" + CLOCK, "yyyy/M/d[ H:mm[:ss]]"),
+    (r"\d{4}-\d{1,2}-\d{1,2}" + CLOCK, "yyyy-M-d[ H:mm[:ss]]"),
+    (r"\d{1,2}/\d{1,2}/\d{4}" + CLOCK, "M/d/yyyy[ H:mm[:ss]]"),
+    (r"\d{12}", "yyyyMMddHHmm"),
+    (r"\d{8}", "yyyyMMdd"),
 )
+# The same with a year of two digits, which the reader takes as 2000 to 2099.
+SHORT_YEARS = (
+    (r"\d{1,2}/\d{1,2}/\d{2}" + CLOCK, "M/d/yy[ H:mm[:ss]]"),
+    (r"\d{2}-\d{1,2}-\d{1,2}" + CLOCK, "yy-M-d[ H:mm[:ss]]"),
+)
+# Bare digits count as a time only with a year in this range.
+PLAUSIBLE_YEARS = (1900, 2100)
 
-# Derived text and key columns that never act as model inputs.
+# Derived text and key columns that never act as model inputs.
 NON_FEATURES = ("timestamp", "date", "weekday_name", "season", "load")
 
 
@@ -94,15 +100,22 @@ def to_timestamp(column: Column, data_type: T.DataType) -> Column:
     if not isinstance(data_type, T.StringType):
         return F.lit(None).cast("timestamp_ntz")
     text = F.trim(column)
-    forms = [text.try_cast("timestamp_ntz")]
-    forms += [F.try_to_timestamp(text, F.lit(p)).cast("timestamp_ntz") for p in TIMESTAMP_PATTERNS]
+    shaped = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}([ T]|$)"), text.try_cast("timestamp_ntz"))
+    forms = [shaped]
+    for shape, pattern in TIMESTAMP_PATTERNS:
+        parsed = F.when(text.rlike(f"^{shape}$"), F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz"))
+        forms.append(F.when(F.year(parsed).between(*PLAUSIBLE_YEARS), parsed) if shape in (r"\d{12}", r"\d{8}") else parsed)
+    for shape, pattern in SHORT_YEARS:
+        parsed = F.when(text.rlike(f"^{shape}$"), F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz"))
+        forms.append(F.when(F.year(parsed) < 2069, parsed).otherwise((parsed - F.expr("INTERVAL 100 YEAR")).cast("timestamp_ntz")))
     return F.coalesce(*forms)
 
 
 def infer_key_columns(df: DataFrame, keys: tuple[str, ...] = ()) -> KeyColumns:
     """Find the timestamp and load columns by name, else by the share of cells that parse.
 
-    Only text and native time columns can win the timestamp role by content.
+    Native time columns and text whose cells look like dates can win the timestamp role by content; bare digits
+    count as dates only with 8 or 12 of them and a year that makes sense.
     """
     if df.isEmpty():
         raise ValueError("The table is empty; its columns cannot be inferred.")

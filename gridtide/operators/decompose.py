@@ -17,11 +17,17 @@ MAX_COMPONENTS = 10
 
 
 def _smooth(values: np.ndarray, before: int, after: int) -> np.ndarray:
-    """Moving average with shortened ends, from running sums in extended precision."""
-    sums = np.concatenate([[0], np.cumsum(values, dtype=np.longdouble)])
+    """Moving average of the known values with shortened ends, from running sums in extended precision.
+
+    It is unknown only where the whole window is.
+    """
+    known = ~np.isnan(values)
+    sums = np.concatenate([[0], np.cumsum(np.where(known, values, 0), dtype=np.longdouble)])
+    counts = np.concatenate([[0], np.cumsum(known)])
     at = np.arange(len(values))
     low, high = np.maximum(at - before, 0), np.minimum(at + after + 1, len(values))
-    return ((sums[high] - sums[low]) / (high - low)).astype(float)
+    n = counts[high] - counts[low]
+    return np.where(n > 0, (sums[high] - sums[low]) / np.maximum(n, 1), np.nan).astype(float)
 
 
 def decompose(
@@ -33,7 +39,8 @@ def decompose(
     A window is used only on series longer than it, so short series have fewer components and NULLs.
     All steps share one shuffle: the rows of a block come with every neighbour that the whole cascade
     can reach, and one task smooths a block of bounded size. `keep` stops the cascade early; `causal`
-    uses trailing windows.
+    uses trailing windows. Windows pass over unknown values: where the value is NULL, so is `imf_1`, while the
+    later components are NULL only where a whole window is.
     """
     windows = CASCADE[: max(1, max_components - 1)]
     count = min(len(windows) + 1, max_components)
@@ -77,7 +84,8 @@ def component_frame(
 ) -> DataFrame:
     """The first `components` components and what they leave of the load, so that all sum to it."""
     parts = decompose(indexed, keys, value, max(MAX_COMPONENTS, components), components, causal, block_rows)
-    return parts.withColumn(rest, F.col(value) - sum((F.coalesce(c, F.lit(0.0)) for c in component_names(parts)), F.lit(0.0)))
+    total = sum((F.coalesce(c, F.lit(0.0)) for c in component_names(parts)), F.lit(0.0))
+    return parts.withColumn(rest, F.col(value) - total)
 
 
 def bounded_component_frame(

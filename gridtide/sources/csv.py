@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # Folders that never hold input, and the encodings tried in order.
 SKIPPED_FOLDERS = (".git", "outputs", "figures", "__pycache__", ".venv", "venv")
@@ -32,47 +32,56 @@ def choose_primary_dataset(spark: SparkSession, root: str) -> str:
     return best["path"]
 
 
-def _decodes(encoding: str) -> Column:
-    @F.pandas_udf(T.BooleanType())
-    def check(lines: pd.Series) -> pd.Series:
-        def fits(line: bytes) -> bool:
-            try:
-                line.decode(encoding)
-                return True
-            except UnicodeDecodeError:
-                return False
-
-        return lines.map(fits).astype(bool)
-
-    return check(F.col("value").cast("binary"))
-
-
 def detect_encodings(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """`path, encoding`: for each file the first encoding that decodes all of its lines.
+    """`path, encoding, multiline`: the first encoding that decodes all lines of a file, and whether quotes span lines.
 
-    Files are split by line across tasks. UTF-8 is checked in the JVM; only lines that fail it are
-    tried in Python. None of the encodings uses the newline byte inside a character.
+    Files are split by line across tasks. UTF-8 is checked in the JVM; only lines that fail it are tried in Python,
+    a batch of lines at a time. None of the encodings uses the newline byte, or the quote byte, inside a character.
+    A file in which some line has an odd number of quotes is taken to have cells with line breaks.
     """
-    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), "value")
-    utf8 = F.is_valid_utf8("value")
-    marked = lines.select("path", utf8.alias("utf-8"), F.when(~utf8, F.col("value")).alias("value"))
-    odd = marked.filter(F.col("value").isNotNull()).select("path", *[_decodes(e).alias(e) for e in MULTIBYTE])
-    broken = odd.groupBy("path").agg(*[F.every(e).alias(e) for e in MULTIBYTE])
-    files = marked.groupBy("path").agg(F.every("utf-8").alias("utf-8"))
-    chosen = F.when(F.col("utf-8"), "utf-8")
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), F.col("value").cast("binary").alias("value"))
+    utf8 = F.is_valid_utf8(F.col("value").cast("string"))
+    quotes = F.length("value") - F.length(F.replace(F.col("value").cast("string"), F.lit('"'), F.lit("")).cast("binary"))
+    marked = lines.select("path", utf8.alias("utf8"), (quotes % 2 == 1).alias("odd"), F.when(~utf8, F.col("value")).alias("value"))
+
+    def fits(encoding: str):
+        @F.pandas_udf(T.BooleanType())
+        def check(values: pd.Series) -> pd.Series:
+            def one(line: bytes) -> bool:
+                try:
+                    line.decode(encoding)
+                    return True
+                except UnicodeDecodeError:
+                    return False
+
+            # The whole batch at once; lines one by one only if it fails.
+            return pd.Series(True, values.index) if one(b"\n".join(values)) else values.map(one).astype(bool)
+
+        return check(F.col("value"))
+
+    files = marked.groupBy("path").agg(F.every("utf8").alias("utf8"), F.some("odd").alias("multiline"))
+    left = marked.filter(F.col("value").isNotNull()).select("path", "value")
+    broken = left.select("path", *[fits(e).alias(e) for e in MULTIBYTE]).groupBy("path").agg(*[F.every(e).alias(e) for e in MULTIBYTE])
+    chosen = F.when(F.col("utf8"), "utf-8")
     for encoding in MULTIBYTE:
         chosen = chosen.when(F.col(encoding), encoding)
-    return files.join(broken, "path", "left").select("path", chosen.otherwise("latin1").alias("encoding"))
+    return files.join(broken, "path", "left").select("path", chosen.otherwise("latin1").alias("encoding"), "multiline")
 
 
 def load_csv(spark: SparkSession, path: str, encoding: str | None = None) -> tuple[DataFrame, str]:
-    """All columns as text, and the encoding used. Cells are typed later, by the cleaning step."""
+    """All columns as text, and the encoding used. Cells are typed later, by the cleaning step.
+
+    Files with line breaks inside quotes are read whole, each in one task, because no place inside them is known
+    to be outside quotes; all other files are split.
+    """
+    found = detect_encodings(spark, path).groupBy("encoding").agg(F.some("multiline").alias("multiline")).limit(2).collect()
     if encoding is None:
-        found = detect_encodings(spark, path).select("encoding").distinct().limit(2).collect()
         if len(found) > 1:
             raise ValueError("The files have different encodings; load them one by one.")
-        encoding = found[0][0] if found else "utf-8"
+        encoding = found[0]["encoding"] if found else "utf-8"
     if encoding in MULTIBYTE:
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     reader = spark.read.option("header", "true").option("inferSchema", "false").option("encoding", JVM_NAMES[encoding])
+    if any(r["multiline"] for r in found):
+        reader = reader.option("multiLine", "true").option("escape", '"')
     return reader.csv(path), encoding

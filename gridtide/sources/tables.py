@@ -14,9 +14,9 @@ BYTE_ORDER_MARK = "\ufeff"
 
 
 def write_table(
-    df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (), mode: str = "overwrite", bom: bool = False
+    df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (), mode: str = "overwrite", bom: bool = True
 ) -> str:
-    """Write a table; `bom` starts every CSV file with a UTF-8 byte-order mark for spreadsheet programs."""
+    """Write a table; unless `bom` is off, every CSV file starts with a UTF-8 byte-order mark for spreadsheet programs."""
     writer = df
     if fmt == "csv":
         # The CSV writer's own time format stops at milliseconds.
@@ -35,8 +35,13 @@ def write_table(
 
 
 def write_clean_series(df: DataFrame, path: str, keys: Sequence[str] = ()) -> str:
-    """Clean series partitioned by series, year and month, so that time ranges skip files."""
-    return write_table(df, path, partition_by=[*keys, "year", "month"])
+    """Clean series in folders by year and month, so that time ranges skip files, and in order of series inside.
+
+    Rows are dealt out by ranges of month and series, so there are about as many files as tasks and months, however
+    many series there are; a reader of one series skips files and row groups by their smallest and largest key.
+    """
+    order = ["year", "month", *keys, "timestamp"]
+    return write_table(df.repartitionByRange(*order).sortWithinPartitions(*order), path, partition_by=["year", "month"])
 
 
 def _text_rows(row: DataFrame, key: str) -> DataFrame:

@@ -88,3 +88,19 @@ def test_range_reaches_the_scan(spark, month, tmp_path):
     week = select.resolve_time_range(stored, mode="range", start="2024-01-02", end="2024-01-09")
     plan = stored.filter(select.in_range(week))._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(timestamp" in plan and "LessThanOrEqual(timestamp" in plan
+
+
+def test_short_years_and_bare_digits(spark):
+    from gridtide.functions.columns import KeyColumns, infer_key_columns, to_timestamp
+
+    cells = {
+        "2018/1/1 0:00": "2018-01-01 00:00:00", "2018-1-2 3:04:05": "2018-01-02 03:04:05", "2018/1/3": "2018-01-03 00:00:00", "2018-1-4": "2018-01-04 00:00:00",
+        "1/2/18": "2018-01-02 00:00:00", "1/2/18 5:06": "2018-01-02 05:06:00", "18-1-2": "2018-01-02 00:00:00", "1/2/2018 5:06:07": "2018-01-02 05:06:07", "12/31/99": "1999-12-31 00:00:00",
+        "201801020304": "2018-01-02 03:04:00", "20180102": "2018-01-02 00:00:00", "2018-01-02T03:04:05": "2018-01-02 03:04:05",
+        "3512": None, "12345": None, "99999999": None, "18/13/40": None, "0018-01": None, "x": None, "": None,
+    }
+    df = spark.createDataFrame([(c,) for c in cells], "c string")
+    got = {r.c: r.t for r in df.select("c", to_timestamp(F.col("c"), df.schema["c"].dataType).cast("string").alias("t")).collect()}
+    assert got == cells
+    plain = spark.createDataFrame([("3512", "18-1-2"), ("4100", "18-1-3")], "a string, b string")
+    assert infer_key_columns(plain) == KeyColumns("b", "a")

@@ -179,3 +179,22 @@ def test_imputation(spark):
     df = spark.createDataFrame([("a", 1.0, None), ("a", None, None), ("a", 4.0, None)], "k string, x double, y double")
     got = sorted(map(tuple, sequence.impute_means(df, ["x", "y"], ["k"]).collect()))
     assert got == [("a", 1.0, 0.0), ("a", 2.5, 0.0), ("a", 4.0, 0.0)]
+
+
+def test_decomposition_passes_over_gaps(spark):
+    import pandas as pd
+
+    from gridtide.operators.decompose import CASCADE, decompose
+    from gridtide.operators.position import index_series
+
+    values = walk(900, 4)
+    values[[100, 101, 500]] = np.nan
+    df = spark.createDataFrame([(t, None if np.isnan(v) else float(v)) for t, v in zip(times(900), values)], "timestamp timestamp_ntz, load double")
+    got = pandas_of(decompose(index_series(df), block_rows=256), "timestamp")
+    level = pd.Series(values)
+    for j, window in enumerate(CASCADE, start=1):
+        smooth = level.rolling(window, center=True, min_periods=1).mean()
+        assert np.allclose(got[f"imf_{j}"], level - smooth, equal_nan=True)
+        assert got[f"imf_{j}"].isna().sum() == (3 if j == 1 else 0)
+        level = smooth
+    assert np.allclose(got["imf_8"], level)

@@ -136,3 +136,24 @@ def test_daily_metrics_on_a_stream(spark, tmp_path):
     got = {r["date"]: r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     want = {r["date"]: r for r in describe.peak_valley_metrics(df, ["k"]).collect()}
     assert len(got) >= 4 and all(np.isclose(got[d]["peak_valley_ratio"], want[d]["peak_valley_ratio"]) for d in got)
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    from gridtide.sources.csv import detect_encodings, load_csv
+
+    (tmp_path / "a.csv").write_bytes('time,note,load\n2018/1/1 0:00,"two\nlines, ""quoted""",1\n2018/1/1 1:00,plain,2\n'.encode())
+    df, encoding = load_csv(spark, str(tmp_path / "a.csv"))
+    assert encoding == "utf-8" and [tuple(r) for r in df.collect()] == [("2018/1/1 0:00", 'two\nlines, "quoted"', "1"), ("2018/1/1 1:00", "plain", "2")]
+    (tmp_path / "b.csv").write_bytes("时间,负荷\n2018/1/1 0:00,\"1\"\n".encode("gb18030"))
+    found = {r.path.rsplit("/", 1)[1]: (r.encoding, r.multiline) for r in detect_encodings(spark, str(tmp_path)).collect()}
+    assert found == {"a.csv": ("utf-8", True), "b.csv": ("gb18030", False)}
+
+
+def test_store_of_many_series_has_few_files(spark, tmp_path):
+    from gridtide.sources.tables import write_clean_series
+
+    rows = spark.range(60_000).selectExpr("concat('s', id % 10000) AS k", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(id div 1000) AS timestamp", "double(id) AS load")
+    df = rows.selectExpr("*", "year(timestamp) AS year", "month(timestamp) AS month")
+    path = write_clean_series(df, str(tmp_path / "store"), ["k"])
+    files = list((tmp_path / "store").rglob("*.parquet"))
+    assert len(files) <= 4 + 2 + 2 and spark.read.parquet(path).count() == 60_000
