@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from checks.queries import DIGITS
 from checks.series import HOLIDAYS
+from gridtide.operators.distribution import NORMAL_FAR, NORMAL_MIDDLE, NORMAL_NEAR
 
 ORACLE: dict[str, str] = {}
 
@@ -420,6 +421,30 @@ counted("a13_error_histogram", f"WITH {ERRORS} SELECT * FROM err", "error", 50)
 
 # --- tables -------------------------------------------------------------------------------------
 
+
+
+def ratio(x: str, coefficients) -> str:
+    def horner(values) -> str:
+        text = repr(values[-1])
+        for v in reversed(values[:-1]):
+            text = f"(({text}) * {x} + {v!r})"
+        return text
+
+    return f"({horner(coefficients[0])}) / ({horner(coefficients[1])})".replace("e-", "E-").replace("e+", "E+")
+
+
+def normal_points(source: str, value: str) -> str:
+    """Ordered samples and normal quantiles of their median ranks, by algorithm AS 241."""
+    p = "CASE WHEN i = n THEN pow(0.5::DOUBLE, 1.0::DOUBLE / n) WHEN i = 1 THEN 1 - pow(0.5::DOUBLE, 1.0::DOUBLE / n) ELSE (i - 0.3175::DOUBLE) / (n + 0.365::DOUBLE) END"
+    outer = f"CASE WHEN t <= 5 THEN {ratio('(t - 1.6)', NORMAL_NEAR)} ELSE {ratio('(t - 5.0)', NORMAL_FAR)} END"
+    return f"""SELECT event_type, i AS rank, CASE WHEN abs(q) <= 0.425 THEN q * {ratio('(0.180625 - q * q)', NORMAL_MIDDLE)} WHEN q < 0 THEN -({outer}) ELSE {outer} END AS theoretical, sample
+        FROM (SELECT *, p - 0.5::DOUBLE AS q, sqrt(-ln(least(p, 1 - p))) AS t FROM (SELECT *, {p} AS p FROM (
+            SELECT event_type, {value} AS sample, row_number() OVER (PARTITION BY event_type ORDER BY {value}) AS i, count(*) OVER (PARTITION BY event_type) AS n FROM ({source}))))"""
+
+
+sql("a24_error_qq", f"WITH {ERRORS} {normal_points('SELECT * FROM err', 'error')}", "theoretical", "sample")
+sql("a24_event_qq_fit", f"""SELECT event_type, regr_slope(sample, theoretical) AS slope, regr_intercept(sample, theoretical) AS intercept, corr(sample, theoretical) AS r
+    FROM ({normal_points(RAW, 'load')}) GROUP BY event_type""", "slope", "intercept", "r")
 sql("io8_analysis_scope", """SELECT 'start_time' AS field, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS value FROM events
     UNION ALL SELECT 'end_time', strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') FROM events
     UNION ALL SELECT 'rows', count(*)::VARCHAR FROM events UNION ALL SELECT 'selection', 'all data'""")

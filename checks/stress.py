@@ -15,7 +15,7 @@ from gridtide.operators import (
     clean, decompose, describe, distribution, forecast, models, position, quantile, relate, sequence, skew, spectrum,
 )
 
-BOUNDS = {"broadcast_rows": 0, "cell_rows": 50, "block_rows": 256, "group_rows": 20, "run_rows": 1, "group_points": 200}
+BOUNDS = {"cell_rows": 50, "block_rows": 256, "run_rows": 1, "group_points": 200}
 
 
 def lower_bounds() -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gridtide.functions.calendar import add_time_features, micros
 from gridtide.functions.columns import quoted, to_number, to_timestamp
-from gridtide.operators.position import CELL_ROWS, cell_of, nearest_cells, time_cells
+from gridtide.operators.position import CELL_ROWS, nearest_cells, time_cells
 from gridtide.operators.skew import lookup
 from gridtide.session import materialise
 
@@ -66,12 +66,12 @@ def interpolate_in_time(
 
     firsts = [F.min(known(c)).alias(f"_first{i}") for i, c in enumerate(columns)]
     lasts = [F.max(known(c)).alias(f"_last{i}") for i, c in enumerate(columns)]
-    bits, cells = time_cells(df, keys, "timestamp", [*firsts, *lasts], cell_rows)
+    cells = time_cells(df, keys, "timestamp", [*firsts, *lasts], cell_rows)
     span = range(len(columns))
-    cells = nearest_cells(cells, keys, bits, {f"_last{i}": f"_prev{i}" for i in span}, later=False)
-    cells = nearest_cells(cells, keys, bits, {f"_first{i}": f"_next{i}" for i in span}, later=True)
-    cells = cells.select(*keys, "_cell", *[f"_prev{i}" for i in span], *[f"_next{i}" for i in span])
-    rows = lookup(df.withColumn("_cell", cell_of("timestamp", bits)), cells, [*keys, "_cell"], keep="_at")
+    cells = nearest_cells(cells, keys, {f"_last{i}": f"_prev{i}" for i in span}, later=False)
+    cells = nearest_cells(cells, keys, {f"_first{i}": f"_next{i}" for i in span}, later=True)
+    near = cells.table.select(*keys, "_bits", "_cell", *[f"_prev{i}" for i in span], *[f"_next{i}" for i in span])
+    rows = lookup(cells.place(df, keys, "timestamp"), near, [*keys, "_bits", "_cell"], keep="_at")
     rows = rows.withColumns({f"_known{i}": known(c) for i, c in enumerate(columns)})
     upto = Window.partitionBy("_at").orderBy("timestamp").rowsBetween(Window.unboundedPreceding, 0)
     onward = Window.partitionBy("_at").orderBy(F.col("timestamp").desc()).rowsBetween(Window.unboundedPreceding, 0)

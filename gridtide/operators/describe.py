@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gridtide.functions.calendar import SEASON_ORDER, year_week
-from gridtide.operators.quantile import GROUP_ROWS, largest_group, quantile_columns, quantiles
+from gridtide.operators.quantile import quantiles
 from gridtide.operators.skew import attach, lookup
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -26,18 +26,12 @@ SCALES = {
 }
 
 
-def _with_quantiles(
-    df: DataFrame, groups: Sequence[str], value: str, aggregates: list[Column], names: Sequence[str], group_rows: int
-) -> DataFrame:
-    """Aggregates plus quartiles: in one pass where every group fits, else joined to the bracketed form."""
-    if largest_group(df, groups) <= group_rows:
-        return df.groupBy(*groups).agg(*aggregates, *quantile_columns(value, QUARTILES, names))
-    plain = df.groupBy(*groups).agg(*aggregates)
-    wanted = quantiles(df, groups, value, QUARTILES, names, group_rows)
-    return lookup(plain, wanted, list(groups), how="left")
+def _with_quantiles(df: DataFrame, groups: Sequence[str], value: str, aggregates: list[Column], names: Sequence[str]) -> DataFrame:
+    """Aggregates by group, joined to the quartiles."""
+    return lookup(df.groupBy(*groups).agg(*aggregates), quantiles(df, groups, value, QUARTILES, names), list(groups), how="left")
 
 
-def describe(df: DataFrame, groups: Sequence[str], value: str = "load", group_rows: int = GROUP_ROWS) -> DataFrame:
+def describe(df: DataFrame, groups: Sequence[str], value: str = "load") -> DataFrame:
     """count, mean, std, min, 25%, 50%, 75%, max by group."""
     aggregates = [
         F.count(value).alias("count"),
@@ -46,7 +40,7 @@ def describe(df: DataFrame, groups: Sequence[str], value: str = "load", group_ro
         F.min(value).alias("min"),
         F.max(value).alias("max"),
     ]
-    out = _with_quantiles(df, groups, value, aggregates, DESCRIBE_NAMES, group_rows)
+    out = _with_quantiles(df, groups, value, aggregates, DESCRIBE_NAMES)
     return out.select(*groups, "count", "mean", "std", "min", *DESCRIBE_NAMES, "max")
 
 
@@ -68,7 +62,7 @@ def kurtosis_unbiased(value: str) -> Column:
     return scale * ((n + 1) * F.kurtosis(value) + 6)
 
 
-def basic_statistics(df: DataFrame, keys: Sequence[str] = (), value: str = "load", group_rows: int = GROUP_ROWS) -> DataFrame:
+def basic_statistics(df: DataFrame, keys: Sequence[str] = (), value: str = "load") -> DataFrame:
     """Long table `keys…, metric, value` of the thirteen basic statistics."""
     aggregates = [
         F.count(value).cast("double").alias("count"),
@@ -81,7 +75,7 @@ def basic_statistics(df: DataFrame, keys: Sequence[str] = (), value: str = "load
         skewness_unbiased(value).alias("skewness"),
         kurtosis_unbiased(value).alias("kurtosis"),
     ]
-    wide = _with_quantiles(df, keys, value, aggregates, ("q1", "q2", "q3"), group_rows).withColumn("median", F.col("q2"))
+    wide = _with_quantiles(df, keys, value, aggregates, ("q1", "q2", "q3")).withColumn("median", F.col("q2"))
     return wide.unpivot(list(keys), list(BASIC_METRICS), "metric", "value")
 
 
@@ -131,17 +125,17 @@ def season_profile(df: DataFrame, keys: Sequence[str] = (), value: str = "load")
     return df.groupBy(*keys, "season", "hour").agg(F.avg(value).alias("mean_load")).withColumn("season_order", order)
 
 
-def _fences(df: DataFrame, groups: Sequence[str], value: str, whisker: float, group_rows: int) -> DataFrame:
+def _fences(df: DataFrame, groups: Sequence[str], value: str, whisker: float) -> DataFrame:
     reach = whisker * (F.col("q3") - F.col("q1"))
-    fences = quantiles(df, groups, value, QUARTILES, ("q1", "median", "q3"), group_rows)
+    fences = quantiles(df, groups, value, QUARTILES, ("q1", "median", "q3"))
     return fences.withColumns({"low_fence": F.col("q1") - reach, "high_fence": F.col("q3") + reach})
 
 
 def box_statistics(
-    df: DataFrame, groups: Sequence[str], value: str = "load", whisker: float = 1.5, group_rows: int = GROUP_ROWS
+    df: DataFrame, groups: Sequence[str], value: str = "load", whisker: float = 1.5
 ) -> DataFrame:
     """Quartiles, whisker ends and outlier count by group."""
-    marked = attach(df.select(*groups, value), _fences(df, groups, value, whisker, group_rows), groups, weight="_w")
+    marked = attach(df.select(*groups, value), _fences(df, groups, value, whisker), groups)
     inside = F.col(value).between(F.col("low_fence"), F.col("high_fence"))
     return marked.groupBy(*groups).agg(
         F.max("q1").alias("q1"),
@@ -149,15 +143,15 @@ def box_statistics(
         F.max("q3").alias("q3"),
         F.least(F.min(F.when(inside, F.col(value))), F.max("q1")).alias("whisker_low"),
         F.greatest(F.max(F.when(inside, F.col(value))), F.max("q3")).alias("whisker_high"),
-        F.sum(F.when(~inside, F.col("_w")).otherwise(0)).alias("outliers"),
+        F.count_if(~inside).alias("outliers"),
     )
 
 
 def box_outliers(
-    df: DataFrame, groups: Sequence[str], value: str = "load", whisker: float = 1.5, group_rows: int = GROUP_ROWS
+    df: DataFrame, groups: Sequence[str], value: str = "load", whisker: float = 1.5
 ) -> DataFrame:
     """The rows beyond the whiskers of their group."""
-    fences = _fences(df, groups, value, whisker, group_rows).select(*groups, "low_fence", "high_fence")
+    fences = _fences(df, groups, value, whisker).select(*groups, "low_fence", "high_fence")
     return attach(df, fences, groups).filter(~F.col(value).between(F.col("low_fence"), F.col("high_fence"))).drop(
         "low_fence", "high_fence"
     )

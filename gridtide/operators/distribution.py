@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from gridtide.operators.quantile import distinct_values, ranked
 from gridtide.operators.skew import attach, lookup
 from gridtide.session import materialise
 
@@ -46,12 +46,12 @@ def histogram(df: DataFrame, value: str, bins: int, keys: Sequence[str] = ()) ->
         return F.when(i == bins - 1, F.col("hi")).otherwise(F.col("lo") + (i + 1) * width)
 
     guess = F.least(F.floor((F.col("_v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1))
-    placed = attach(data, span, keys, weight="_w", stored=True).withColumn("_g", guess)
+    placed = attach(data, span, keys).withColumn("_g", guess)
     # Division and edges round differently, so a value next to an edge may need one step either way.
     step = F.when(F.col("_v") < left(F.col("_g")), -1).when(
         (F.col("_g") < bins - 1) & (F.col("_v") >= right(F.col("_g"))), 1
     ).otherwise(0)
-    counts = placed.groupBy(*keys, (F.col("_g") + step).cast("int").alias("bin")).agg(F.sum("_w").alias("_c"))
+    counts = placed.groupBy(*keys, (F.col("_g") + step).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("_c"))
     spine = span.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     return lookup(spine, counts, [*keys, "bin"], how="left").select(
         *keys, "bin", left(F.col("bin")).alias("left"), right(F.col("bin")).alias("right"),
@@ -74,7 +74,7 @@ def density(df: DataFrame, value: str, bins: int, keys: Sequence[str] = (), poin
         )
     )
     keys = list(keys)
-    met = attach(data, span, keys, weight="_w", stored=True).select(*keys, "_v", "_w", "lo", "step", "h")
+    met = attach(data, span, keys).select(*keys, "_v", "lo", "step", "h")
 
     def kernels(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[tuple, np.ndarray] = {}
@@ -82,10 +82,10 @@ def density(df: DataFrame, value: str, bins: int, keys: Sequence[str] = (), poin
             series = batch.groupby(keys, dropna=False, sort=False).ngroup().to_numpy() if keys else np.zeros(len(batch), int)
             order = np.argsort(series, kind="stable")
             rows = batch.iloc[order]
-            lo, step, h, v, w = (rows[c].to_numpy()[:, None] for c in ("lo", "step", "h", "_v", "_w"))
+            lo, step, h, v = (rows[c].to_numpy()[:, None] for c in ("lo", "step", "h", "_v"))
             z = (lo + step * np.arange(points) - v) / h
             starts = np.flatnonzero(np.diff(series[order], prepend=-1))
-            added = np.add.reduceat(w * np.exp(-0.5 * z * z), starts, axis=0)
+            added = np.add.reduceat(np.exp(-0.5 * z * z), starts, axis=0)
             names = list(rows.iloc[starts][keys].itertuples(index=False, name=None)) if keys else [()]
             for name, part in zip(names, added):
                 sums[name] = sums[name] + part if name in sums else part
@@ -111,45 +111,14 @@ def _kernel_rows(sums: dict[tuple, np.ndarray], keys: list[str]) -> pd.DataFrame
     return pd.DataFrame({**out, "point": np.tile(np.arange(points), len(sums)), "_k": np.concatenate(list(sums.values()))})
 
 
-def _distinct_values(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
-    counts = (
-        df.select(*keys, F.col(value).alias("value")).filter(F.col("value").isNotNull())
-        .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("count"))
-    )
-    return materialise(counts.repartitionByRange(*keys, "value").withColumn("_part", F.spark_partition_id()))
-
-
-def value_ranks(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Distinct values with their `count`, the number of smaller values `below`, and the total `n`.
-
-    Equal values collapse first. The rest is range-partitioned by value, written once so that the
-    partition numbers are final, and numbered from the per-partition totals; a hot series spans many partitions.
-    """
-    return _ranked(_distinct_values(df, value, keys), keys)
-
-
-def _ranked(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    totals = parts.groupBy(*keys, "_part").agg(F.sum("count").alias("_c"))
-    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(
-        *keys, "_part",
-        F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_c").over(Window.partitionBy(*keys)).alias("n"),
-    )
-    inside = Window.partitionBy("_at").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    below = F.col("_before") + F.coalesce(F.sum("count").over(inside), F.lit(0))
-    placed = lookup(parts, starts, [*keys, "_part"], keep="_at")
-    return placed.withColumn("below", below).drop("_at", "_part", "_before")
-
-
 def sample_ranks(df: DataFrame, value: str, keys: Sequence[str] = (), run_rows: int = RUN_ROWS) -> DataFrame:
     """`value_ranks` with one row per sample in `rank`.
 
     Where a single value is very frequent, its samples are cut into runs that spread over tasks
     before they become rows.
     """
-    parts = _distinct_values(df, value, keys)
-    ranks = _ranked(parts, keys)
+    parts = distinct_values(df, value, keys)
+    ranks = ranked(parts, keys)
     first, last = F.col("below") + 1, F.col("below") + F.col("count")
     if (parts.agg(F.max("count")).first()[0] or 0) > run_rows:
         runs = ranks.withColumn("_run", F.explode(F.sequence(first, last, F.lit(run_rows).cast("long"))))
@@ -165,10 +134,39 @@ def empirical_cdf(df: DataFrame, value: str = "load", keys: Sequence[str] = ())
     )
 
 
-@F.pandas_udf(T.DoubleType())
-def normal_quantile(p: pd.Series) -> pd.Series:
-    inverse = NormalDist().inv_cdf
-    return p.map(inverse)
+# The coefficients of algorithm AS 241 (Wichura 1988) for the normal quantile, numerators and denominators
+# in rising powers, for the middle, the near tails and the far tails.
+NORMAL_MIDDLE = (
+    (3.3871328727963666080e0, 1.3314166789178437745e2, 1.9715909503065514427e3, 1.3731693765509461125e4, 4.5921953931549871457e4, 6.7265770927008700853e4, 3.3430575583588128105e4, 2.5090809287301226727e3),
+    (1.0, 4.2313330701600911252e1, 6.8718700749205790830e2, 5.3941960214247511077e3, 2.1213794301586595867e4, 3.9307895800092710610e4, 2.8729085735721942674e4, 5.2264952788528545610e3),
+)
+NORMAL_NEAR = (
+    (1.42343711074968357734e0, 4.63033784615654529590e0, 5.76949722146069140550e0, 3.64784832476320460504e0, 1.27045825245236838258e0, 2.41780725177450611770e-1, 2.27238449892691845833e-2, 7.74545014278341407640e-4),
+    (1.0, 2.05319162663775882187e0, 1.67638483018380384940e0, 6.89767334985100004550e-1, 1.48103976427480074590e-1, 1.51986665636164571966e-2, 5.47593808499534494600e-4, 1.05075007164441684324e-9),
+)
+NORMAL_FAR = (
+    (6.65790464350110377720e0, 5.46378491116411436990e0, 1.78482653991729133580e0, 2.96560571828504891230e-1, 2.65321895265761230930e-2, 1.24266094738807843860e-3, 2.71155556874348757815e-5, 2.01033439929228813265e-7),
+    (1.0, 5.99832206555887937690e-1, 1.36929880922735805310e-1, 1.48753612908506148525e-2, 7.86869131145613259100e-4, 1.84631831751005468180e-5, 1.42151175831644588870e-7, 2.04426310338993978564e-15),
+)
+
+
+def _ratio(x: Column, coefficients: tuple[tuple[float, ...], tuple[float, ...]]) -> Column:
+    def horner(values: tuple[float, ...]) -> Column:
+        total = F.lit(values[-1])
+        for v in reversed(values[:-1]):
+            total = total * x + F.lit(v)
+        return total
+
+    return horner(coefficients[0]) / horner(coefficients[1])
+
+
+def normal_quantile(p: Column) -> Column:
+    """The quantile of the standard normal distribution, to about sixteen digits; NULL outside 0 to 1."""
+    q = p - 0.5
+    tail = F.sqrt(-F.log(F.least(p, 1 - p)))
+    outer = F.when(tail <= 5, _ratio(tail - 1.6, NORMAL_NEAR)).otherwise(_ratio(tail - 5.0, NORMAL_FAR))
+    inner = q * _ratio(F.lit(0.180625) - q * q, NORMAL_MIDDLE)
+    return F.when((p > 0) & (p < 1), F.when(F.abs(q) <= 0.425, inner).otherwise(F.when(q < 0, -outer).otherwise(outer)))
 
 
 def normal_qq(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:

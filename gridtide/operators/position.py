@@ -1,8 +1,9 @@
 """Row order inside a series without ever sorting a whole series in one task.
 
 A series is cut twice. *Cells* are slices of the time axis, found before any row has a number:
-2**40 microseconds (12.7 days) wide, or 2**30, or 2**20 where slices hold too many rows. Times
-are unique inside a series and whole microseconds, so the narrowest cell holds at most 2**20 rows.
+2**40 microseconds (12.7 days) wide; a slice that holds too many rows is cut into slices of 2**30,
+and those into slices of 2**20, while all others stay as they are. Times are unique inside a series
+and whole microseconds, so the narrowest cell holds at most 2**20 rows.
 Running values cross cells through a tree of cell totals with 1,024 children per node.
 *Blocks* are runs of a fixed number of consecutive positions, used once rows carry a dense `idx`;
 a frame that reaches past a block edge gets copies of its neighbours' rows.
@@ -11,6 +12,7 @@ a frame that reaches past a block edge gets copies of its neighbours' rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -28,32 +30,88 @@ def cell_of(ts: str | Column, bits: int) -> Column:
     return F.shiftright(micros(ts), bits)
 
 
-def time_cells(
-    df: DataFrame, keys: Sequence[str], ts: str, measures: Sequence[Column] = (), cell_rows: int = CELL_ROWS
-) -> tuple[int, DataFrame]:
-    """The widest cells that hold at most `cell_rows` rows, with their row count and `measures`."""
-    for bits in CELL_BITS:
-        cells = materialise(
-            df.groupBy(*keys, cell_of(ts, bits).alias("_cell")).agg(F.count(F.lit(1)).alias("_rows"), *measures)
-        )
-        if bits == CELL_BITS[-1] or (cells.agg(F.max("_rows")).first()[0] or 0) <= cell_rows:
-            return bits, cells
-
-
-def _climb(cells: DataFrame, keys: Sequence[str], bits: int, combine: dict[str, Column], visit) -> DataFrame:
-    """Walk the cell tree: `visit(level, group_columns, above)` runs at the root first, then downwards."""
-    if bits >= CELL_BITS[0]:
-        return visit(cells, list(keys), False)
-    parent = F.shiftright("_cell", FAN_BITS)
-    groups = cells.groupBy(*keys, parent.alias("_cell")).agg(*[c.alias(n) for n, c in combine.items()])
-    done = _climb(groups, keys, bits + FAN_BITS, combine, visit)
-    added = [c for c in done.columns if c not in groups.columns]
-    above = done.select(*keys, F.col("_cell").alias("_up"), *[F.col(c).alias(f"_above{c}") for c in added])
-    joined = lookup(cells.withColumn("_up", parent), above, [*keys, "_up"])
-    return visit(joined, [*keys, "_up"], True).drop("_up", *above.columns[len(keys) + 1:])
-
-
-def outline(cells: DataFrame, keys: Sequence[str], bits: int, running: dict[str, str], totals: dict[str, str]) -> DataFrame:
+@dataclass(frozen=True)
+class Cells:
+    """Cells of mixed widths: `table` has `keys…, _bits, _cell, _rows` and the measures, one row per cell."""
+
+    table: DataFrame
+    widths: tuple[int, ...]
+    overfull: tuple[DataFrame, ...]  # of each width but the last: the slices that were cut further
+
+    def place(self, df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
+        """Add `_bits` and `_cell` to rows."""
+        return _place(df, keys, ts, self.widths, self.overfull)
+
+    def with_table(self, table: DataFrame) -> Cells:
+        return Cells(table, self.widths, self.overfull)
+
+
+def _place(df: DataFrame, keys: Sequence[str], ts: str, widths: Sequence[int], overfull: Sequence[DataFrame]) -> DataFrame:
+    df = df.withColumns({"_bits": F.lit(widths[0]), "_cell": cell_of(ts, widths[0])})
+    for cut, width in zip(overfull, widths[1:]):
+        marked = lookup(df, cut.withColumn("_cut", F.lit(True)), [*keys, "_bits", "_cell"], how="left")
+        df = marked.withColumns({
+            "_bits": F.when(F.col("_cut"), F.lit(width)).otherwise(F.col("_bits")),
+            "_cell": F.when(F.col("_cut"), cell_of(ts, width)).otherwise(F.col("_cell")),
+        }).drop("_cut")
+    return df
+
+
+def time_cells(df: DataFrame, keys: Sequence[str], ts: str, measures: Sequence[Column] = (), cell_rows: int = CELL_ROWS) -> Cells:
+    """Cells of at most `cell_rows` rows, with their row count and `measures`.
+
+    The input is read once for all series; only where slices hold too many rows are these read again, more finely cut.
+    """
+    at = [*keys, "_bits", "_cell"]
+    widths, overfull, done = [CELL_BITS[0]], [], []
+    while True:
+        rows = _place(df, keys, ts, widths, overfull)
+        if overfull:
+            rows = rows.filter(F.col("_bits") == widths[-1])
+        counted = materialise(rows.groupBy(*at).agg(F.count(F.lit(1)).alias("_rows"), *measures))
+        full = counted.filter(F.col("_rows") > cell_rows)
+        if len(widths) == len(CELL_BITS) or full.isEmpty():
+            done.append(counted)
+            break
+        done.append(counted.filter(F.col("_rows") <= cell_rows))
+        overfull.append(full.select(*at))
+        widths.append(CELL_BITS[len(widths)])
+    table = done[0]
+    for more in done[1:]:
+        table = table.unionByName(more)
+    return Cells(table, tuple(widths), tuple(overfull))
+
+
+def _climb(cells: DataFrame, keys: Sequence[str], widths: Sequence[int], combine: dict[str, Column], visit) -> DataFrame:
+    """Walk the cell tree from the widest slices down: `visit(level, group_columns, nested)` runs on each level.
+
+    A level has its own cells and, for every slice that is cut further, one row that combines them.
+    """
+    own = cells.filter(F.col("_bits") == widths[0]) if len(widths) > 1 else cells
+    finer, above = None, None
+    for i, width in enumerate(widths):
+        last = i == len(widths) - 1
+        level = own
+        if not last:
+            finer = cells.filter(F.col("_bits") < width)
+            inner = finer.withColumn("_cell", F.expr(f"shiftright(_cell, {width} - _bits)")).groupBy(*keys, "_cell")
+            level = own.unionByName(inner.agg(*[c.alias(n) for n, c in combine.items()]).withColumn("_bits", F.lit(width)), allowMissingColumns=True)
+        if above is None:
+            done = visit(level, list(keys), False)
+        else:
+            joined = lookup(level.withColumn("_up", F.shiftright("_cell", FAN_BITS)), above, [*keys, "_up"])
+            done = visit(joined, [*keys, "_up"], True).drop("_up", *above.columns[len(keys) + 1:])
+        added = [c for c in done.columns if c not in level.columns]
+        if last:
+            out = done if i == 0 else out.unionByName(done, allowMissingColumns=True)
+            return out
+        mine = lookup(own, done.select(*keys, "_cell", *added), [*keys, "_cell"])
+        out = mine if i == 0 else out.unionByName(mine)
+        above = done.select(*keys, F.col("_cell").alias("_up"), *[F.col(c).alias(f"_above{c}") for c in added])
+        own = cells.filter(F.col("_bits") == widths[i + 1])
+
+
+def outline(cells: Cells, keys: Sequence[str], running: dict[str, str], totals: dict[str, str]) -> Cells:
     """Add to each cell the sum over earlier cells (`running`) and over the series (`totals`)."""
 
     def visit(level: DataFrame, groups: list[str], nested: bool) -> DataFrame:
@@ -66,10 +124,10 @@ def outline(cells: DataFrame, keys: Sequence[str], bits: int, running: dict[str,
             columns[out] = F.col(f"_above{out}") if nested else F.sum(source).over(Window.partitionBy(*groups))
         return level.withColumns(columns)
 
-    return _climb(cells, keys, bits, {c: F.sum(c) for c in {**running, **totals}}, visit)
+    return cells.with_table(_climb(cells.table, keys, cells.widths, {c: F.sum(c) for c in {**running, **totals}}, visit))
 
 
-def nearest_cells(cells: DataFrame, keys: Sequence[str], bits: int, columns: dict[str, str], *, later: bool) -> DataFrame:
+def nearest_cells(cells: Cells, keys: Sequence[str], columns: dict[str, str], *, later: bool) -> Cells:
     """Carry the closest non-null struct from the earlier (or later) cells; structs start with the time."""
     pick = F.min if later else F.max
 
@@ -82,7 +140,7 @@ def nearest_cells(cells: DataFrame, keys: Sequence[str], bits: int, columns: dic
             added[out] = F.coalesce(local, F.col(f"_above{out}")) if nested else local
         return level.withColumns(added)
 
-    return _climb(cells, keys, bits, {c: pick(c) for c in columns}, visit)
+    return cells.with_table(_climb(cells.table, keys, cells.widths, {c: pick(c) for c in columns}, visit))
 
 
 def index_series(
@@ -97,13 +155,13 @@ def index_series(
     Times must be unique inside a series. The rows are shuffled once, by series and cell.
     """
     measures = [F.sum(c).alias(f"_sum_{c}") for c in totals]
-    bits, cells = time_cells(df, keys, ts, measures, cell_rows)
-    placed = outline(
-        cells, keys, bits, {"_rows": "_start"}, {"_rows": "n", **{f"_sum_{c}": f"total_{c}" for c in totals}}
-    ).select(*keys, "_cell", "_start", "n", *[f"total_{c}" for c in totals])
-    rows = lookup(df.withColumn("_cell", cell_of(ts, bits)), placed, [*keys, "_cell"], keep="_at")
+    cells = time_cells(df, keys, ts, measures, cell_rows)
+    sums = {"_rows": "n", **{f"_sum_{c}": f"total_{c}" for c in totals}}
+    placed = outline(cells, keys, {"_rows": "_start"}, sums).table
+    placed = placed.select(*keys, "_bits", "_cell", "_start", "n", *[f"total_{c}" for c in totals])
+    rows = lookup(cells.place(df, keys, ts), placed, [*keys, "_bits", "_cell"], keep="_at")
     inside = Window.partitionBy("_at").orderBy(ts)
-    return rows.withColumn("idx", F.col("_start") + F.row_number().over(inside) - 1).drop("_at", "_cell", "_start")
+    return rows.withColumn("idx", F.col("_start") + F.row_number().over(inside) - 1).drop("_at", "_bits", "_cell", "_start")
 
 
 def with_halo(df: DataFrame, before: int, after: int = 0, block_rows: int = BLOCK_ROWS) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Exact quantiles by group with bounded memory per task."""
+"""Ranks and exact quantiles by group, without ever gathering a group."""
 
 from __future__ import annotations
 
@@ -6,76 +6,61 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gridtide.operators.skew import attach, lookup
+from gridtide.operators.skew import lookup
 from gridtide.session import materialise
 
-# Spark's `percentile` keeps the distinct values of a group in one buffer; up to this many rows is safe.
-GROUP_ROWS = 2_000_000
-BINS = 1024
 
+def distinct_values(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
+    """`keys…, value, count, _part`: distinct non-null values in order over the partitions, written once."""
+    counts = (
+        df.select(*keys, F.col(value).alias("value")).filter(F.col("value").isNotNull())
+        .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("count"))
+    )
+    return materialise(counts.repartitionByRange(*keys, "value").withColumn("_part", F.spark_partition_id()))
 
-def largest_group(df: DataFrame, groups: Sequence[str]) -> int:
-    return df.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
 
+def ranked(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Number the values of `distinct_values` from the totals of the partitions."""
+    totals = parts.groupBy(*keys, "_part").agg(F.sum("count").alias("_c"))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(
+        *keys, "_part",
+        F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_c").over(Window.partitionBy(*keys)).alias("n"),
+    )
+    inside = Window.partitionBy("_at").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.col("_before") + F.coalesce(F.sum("count").over(inside), F.lit(0))
+    placed = lookup(parts, starts, [*keys, "_part"], keep="_at")
+    return placed.withColumn("below", below).drop("_at", "_part", "_before")
 
-def quantile_columns(value: str | Column, probabilities: Sequence[float], names: Sequence[str]) -> list[Column]:
-    return [F.percentile(value, F.lit(p)).alias(n) for p, n in zip(probabilities, names)]
 
+def value_ranks(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Distinct values with their `count`, the number of smaller values `below`, and the total `n`.
 
-def quantiles(
-    df: DataFrame,
-    groups: Sequence[str],
-    value: str,
-    probabilities: Sequence[float],
-    names: Sequence[str],
-    group_rows: int = GROUP_ROWS,
-    largest: int | None = None,
-) -> DataFrame:
-    """One row per group with linear-interpolated quantiles of the non-null values.
-
-    `largest` is the row count of the largest group, when the caller already knows it.
+    Equal values collapse first. The rest is range-partitioned by value, written once so that the
+    partition numbers are final, and numbered from the per-partition totals; a hot series spans many partitions.
     """
-    data = df.select(*groups, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
-    if largest is None:
-        largest = largest_group(data, groups)
-    if largest <= group_rows:
-        return data.groupBy(*groups).agg(*quantile_columns("_v", probabilities, names))
-    return _narrowed_quantiles(data, groups, probabilities, names)
-
+    return ranked(distinct_values(df, value, keys), keys)
 
-def _narrowed_quantiles(data: DataFrame, groups: Sequence[str], probabilities, names) -> DataFrame:
-    """Pin each wanted rank by repeated equal-width counting inside a shrinking value bracket.
 
-    Every round counts `BINS` bins of each bracket (combined map-side), keeps the bin that holds the
-    rank and takes its own minimum and maximum as the next bracket, until both are the same value.
-    """
-    stats = data.groupBy(*groups).agg(F.count("_v").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
-    places = {p: F.lit(p) * (F.col("n") - 1) for p in probabilities}
-    wanted = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(x), F.ceil(x)) for x in places.values()])))
-    stats = materialise(stats)
-    state = stats.select(*groups, F.explode(wanted).alias("rank"), "lo", "hi", F.lit(0).cast("long").alias("below"))
-    while True:
-        state = materialise(state)
-        open_ranks = state.filter("lo < hi")
-        if open_ranks.isEmpty():
-            break
-        brackets = open_ranks.groupBy(*groups).agg(F.collect_list(F.struct("rank", "lo", "hi", "below")).alias("_b"))
-        hits = (
-            attach(data, brackets, groups, weight="_w")
-            .withColumn("_k", F.explode(F.filter("_b", lambda b: F.col("_v").between(b["lo"], b["hi"]))))
-            .select(*groups, "_v", "_w", "_k.*")
-        )
-        share = (F.col("_v") - F.col("lo")) / (F.col("hi") - F.col("lo"))
-        counted = hits.groupBy(*groups, "rank", "below", F.least(F.floor(share * BINS), F.lit(BINS - 1)).alias("bin")).agg(
-            F.sum("_w").alias("m"), F.min("_v").alias("lo"), F.max("_v").alias("hi")
-        )
-        upto = Window.partitionBy(*groups, "rank").orderBy("bin")
-        stepped = counted.withColumn("_upto", F.col("below") + F.sum("m").over(upto)).withColumn("_from", F.col("_upto") - F.col("m"))
-        chosen = stepped.filter((F.col("_from") <= F.col("rank")) & (F.col("rank") < F.col("_upto")))
-        state = state.filter("lo = hi").unionByName(chosen.select(*groups, "rank", "lo", "hi", F.col("_from").alias("below")))
-    ranks = state.groupBy(*groups).agg(F.map_from_entries(F.collect_list(F.struct("rank", "lo"))).alias("_at"))
+def at_ranks(probabilities: Sequence[float], names: Sequence[str], value: str = "value") -> list[Column]:
+    """Aggregates over `value_ranks` rows: quantiles interpolated between the two nearest ranks."""
     out = []
     for p, name in zip(probabilities, names):
-        low, high = F.col("_at")[F.floor(places[p])], F.col("_at")[F.ceil(places[p])]
-        out.append((low + (places[p] - F.floor(places[p])) * (high - low)).alias(name))
-    return lookup(stats, ranks, list(groups)).select(*groups, *out)
+        place = F.lit(float(p)) * (F.col("n") - 1)
+
+        def on(rank: Column) -> Column:
+            return F.max(F.when((F.col("below") <= rank) & (rank < F.col("below") + F.col("count")), F.col(value)))
+
+        low, high, share = on(F.floor(place)), on(F.ceil(place)), F.max(place - F.floor(place))
+        out.append(F.when((share == 0) | (low == high), low).otherwise((1 - share) * low + share * high).alias(name))
+    return out
+
+
+def quantiles(df: DataFrame, groups: Sequence[str], value: str, probabilities: Sequence[float], names: Sequence[str]) -> DataFrame:
+    """One row per group with linear-interpolated quantiles of the non-null values.
+
+    The order is that of doubles: -Infinity, numbers, Infinity, NaN. Three passes, whatever the values and sizes:
+    distinct values are counted, put in order over the partitions, and numbered; the wanted ranks are picked from them.
+    """
+    return value_ranks(df, value, groups).groupBy(*groups).agg(*at_ranks(probabilities, names))

@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from gridtide.functions.calendar import micros
 from gridtide.functions.columns import match_weather_columns, quoted
 from gridtide.operators.position import (
-    BLOCK_ROWS, CELL_ROWS, block_window, cell_of, home_rows, index_series, nearest_cells, time_cells, with_halo,
+    BLOCK_ROWS, CELL_ROWS, Cells, block_window, home_rows, index_series, nearest_cells, time_cells, with_halo,
 )
-from gridtide.operators.quantile import GROUP_ROWS, quantiles
+from gridtide.operators.quantile import quantiles
 from gridtide.operators.skew import lookup
 
 # Row lags of the lag views, and the most lags of the autocorrelation.
@@ -115,29 +115,28 @@ def weather_correlation(df: DataFrame, keys: Sequence[str] = (), value: str = "l
 
 def time_steps(df: DataFrame, keys: Sequence[str] = (), ts: str = "timestamp", cell_rows: int = CELL_ROWS) -> DataFrame:
     """`keys…, seconds` between successive rows; NULL on the first row of a series."""
-    return _time_steps(df, keys, ts, *_last_times(df, keys, ts, cell_rows))
+    return _time_steps(df, keys, ts, _last_times(df, keys, ts, cell_rows))
 
 
-def _last_times(df: DataFrame, keys: Sequence[str], ts: str, cell_rows: int) -> tuple[int, DataFrame]:
+def _last_times(df: DataFrame, keys: Sequence[str], ts: str, cell_rows: int) -> Cells:
     return time_cells(df, keys, ts, [F.max(micros(ts)).alias("_last")], cell_rows)
 
 
-def _time_steps(df: DataFrame, keys: Sequence[str], ts: str, bits: int, cells: DataFrame) -> DataFrame:
-    cells = nearest_cells(cells, keys, bits, {"_last": "_prev"}, later=False).select(*keys, "_cell", "_prev")
-    rows = df.select(*keys, micros(ts).alias("_u"), cell_of(ts, bits).alias("_cell"))
+def _time_steps(df: DataFrame, keys: Sequence[str], ts: str, cells: Cells) -> DataFrame:
+    near = nearest_cells(cells, keys, {"_last": "_prev"}, later=False).table.select(*keys, "_bits", "_cell", "_prev")
+    rows = cells.place(df.select(*keys, ts), keys, ts).select(*keys, micros(ts).alias("_u"), "_bits", "_cell")
     earlier = F.coalesce(F.lag("_u").over(Window.partitionBy("_at").orderBy("_u")), F.col("_prev"))
-    return lookup(rows, cells, [*keys, "_cell"], keep="_at").select(*keys, ((F.col("_u") - earlier) / 1e6).alias("seconds"))
+    return lookup(rows, near, [*keys, "_bits", "_cell"], keep="_at").select(*keys, ((F.col("_u") - earlier) / 1e6).alias("seconds"))
 
 
 def sampling_hours(
-    df: DataFrame, keys: Sequence[str] = (), ts: str = "timestamp", cell_rows: int = CELL_ROWS, group_rows: int = GROUP_ROWS
+    df: DataFrame, keys: Sequence[str] = (), ts: str = "timestamp", cell_rows: int = CELL_ROWS
 ) -> DataFrame:
     """Median time step in hours by series; 1.0 where there is none or it is not positive."""
-    bits, cells = _last_times(df, keys, ts, cell_rows)
-    steps = _time_steps(df, keys, ts, bits, cells)
-    series = cells.groupBy(*keys).agg(F.sum("_rows").alias("_rows"))
-    largest = series.agg(F.max("_rows")).first()[0] or 0
-    middle = quantiles(steps, keys, "seconds", [0.5], ["_step"], group_rows, largest)
+    cells = _last_times(df, keys, ts, cell_rows)
+    steps = _time_steps(df, keys, ts, cells)
+    series = cells.table.groupBy(*keys).agg(F.sum("_rows").alias("_rows"))
+    middle = quantiles(steps, keys, "seconds", [0.5], ["_step"])
     hours = F.when(F.col("_step") > 0, F.col("_step") / 3600.0).otherwise(1.0)
     return lookup(series, middle, list(keys), how="left").select(*keys, hours.alias("sampling_hours"))
 

@@ -6,11 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from gridtide.session import materialise
-
-# A lookup table of up to this many narrow rows (a few MB) is broadcast; beyond it, rows are salted.
-BROADCAST_ROWS = 100_000
-
+from gridtide.session import stored
 
 def lookup(rows: DataFrame, table: DataFrame, on: Sequence[str], how: str = "inner", keep: str | None = None) -> DataFrame:
     """Equi-join that treats NULL keys as equal and keeps one copy of the join columns.
@@ -26,34 +22,14 @@ def lookup(rows: DataFrame, table: DataFrame, on: Sequence[str], how: str = "inn
     return joined if keep else joined.drop(left)
 
 
-def attach(
-    rows: DataFrame,
-    table: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    weight: str | None = None,
-    stored: bool = False,
-    broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
+def attach(rows: DataFrame, table: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Add the columns of a one-row-per-group table to every row of the group.
 
-    Without group columns the table has one row. Otherwise it is computed once and counted:
-    a small table is broadcast, a large one is copied per salt so that no task gets a whole hot group.
-    Salts come from the row's content. Where the rows may be alike, name a `weight` column: the salted
-    form then collapses equal rows first and puts their number there; otherwise the weight is 1.
-    `stored` says that the table is already materialised.
+    Without group columns the table has one row. Otherwise it is written once, so that its size in bytes is known:
+    one below `spark.sql.autoBroadcastJoinThreshold` is broadcast, a larger one meets the rows in a sort-merge join.
+    A group has one row on that side, so adaptive execution splits the rows of a hot group over tasks, however alike
+    they are; nothing is copied for groups that are not hot.
     """
     if not on:
-        joined = rows.crossJoin(F.broadcast(table))
-        return joined.withColumn(weight, F.lit(1).cast("long")) if weight else joined
-    if not stored:
-        table = materialise(table)
-    if table.count() <= broadcast_rows:
-        joined = lookup(rows, F.broadcast(table), on, how)
-        return joined.withColumn(weight, F.lit(1).cast("long")) if weight else joined
-    salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(salts).cast("long"))
-    if weight:
-        rows = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias(weight))
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    return lookup(rows.withColumn("_salt", salt), copies, [*on, "_salt"], how).drop("_salt")
+        return rows.crossJoin(F.broadcast(table))
+    return lookup(rows, stored(table), on, how)

@@ -56,3 +56,10 @@ def materialise(df: DataFrame) -> DataFrame:
     """
     _ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """Like `materialise`, as Parquet in the same folder: read by column, and of a size that the optimizer knows."""
+    folder = scratch_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

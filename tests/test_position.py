@@ -1,10 +1,14 @@
+from datetime import timedelta
+
 import numpy as np
 import pytest
 from pyspark.sql import Window, functions as F
 
 from gridtide.operators import position
 from gridtide.operators.relate import differences, with_lags
-from tests.helpers import frame, pandas_of, uneven_times, walk
+from tests.helpers import START, frame, pandas_of, uneven_times, walk
+
+SCHEMA = "k string, timestamp timestamp_ntz, load double"
 
 
 @pytest.fixture(scope="module")
@@ -57,3 +61,17 @@ def test_raw_rows_never_meet_in_one_partition(two):
     plan = position.index_series(two, ["k"])._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
     assert "Window [row_number" in plan and "_at" in plan
+
+
+def test_a_dense_series_leaves_the_cells_of_others(spark):
+    slow = [("slow", START + timedelta(hours=i), float(i)) for i in range(4000)]
+    dense = [("dense", START + timedelta(microseconds=700 * i), float(i)) for i in range(3000)]
+    alone = position.time_cells(spark.createDataFrame(slow, SCHEMA), ["k"], "timestamp", cell_rows=400)
+    both = spark.createDataFrame(slow + dense, SCHEMA)
+    cells = position.time_cells(both, ["k"], "timestamp", cell_rows=400)
+    assert alone.widths == (40,) and cells.widths == (40, 30, 20)
+    assert cells.table.filter("k = 'slow'").count() == alone.table.count() < 20
+    assert cells.table.agg(F.sum("_rows")).first()[0] == 7000
+    got = pandas_of(position.index_series(both, ["k"], totals=["load"], cell_rows=400), "k", "timestamp")
+    assert got["idx"].tolist() == [*range(3000), *range(4000)]
+    assert set(got["total_load"]) == {sum(range(3000)), sum(range(4000))}

@@ -14,39 +14,56 @@ def mixed(spark):
     return spark.createDataFrame(rows, "g string, v double")
 
 
-def test_narrowed_quantiles_are_exact(mixed):
+def test_quantiles_are_exact(mixed):
     ps, names = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0], [f"p{i}" for i in range(7)]
-    plain = pandas_of(quantile.quantiles(mixed, ["g"], "v", ps, names), "p0", "p6")
-    narrow = pandas_of(quantile.quantiles(mixed, ["g"], "v", ps, names, group_rows=1), "p0", "p6")
-    assert len(plain) == len(narrow) == 4
-    assert np.allclose(plain[names], narrow[names], rtol=1e-14)
-
-
-def test_narrowed_quantiles_without_groups(mixed):
-    got = quantile.quantiles(mixed, [], "v", [0.5], ["m"], group_rows=1).first()[0]
-    assert got == mixed.agg(F.percentile("v", F.lit(0.5))).first()[0]
-
-
-def test_describe_is_the_same_either_way(mixed):
-    a = pandas_of(describe.describe(mixed, ["g"], "v"), "min", "max")
-    b = pandas_of(describe.describe(mixed, ["g"], "v", group_rows=1), "min", "max")
-    assert a.drop(columns="g").round(9).equals(b.drop(columns="g").round(9))
-
-
-def test_salted_attach_matches_broadcast(mixed):
+    plain = mixed.filter("v IS NOT NULL").groupBy("g").agg(*[F.percentile("v", F.lit(p)).alias(n) for p, n in zip(ps, names)])
+    plain, own = pandas_of(plain, "p0", "p6"), pandas_of(quantile.quantiles(mixed, ["g"], "v", ps, names), "p0", "p6")
+    assert len(plain) == len(own) == 4
+    assert np.allclose(plain[names], own[names], rtol=1e-14)
+
+
+def test_quantiles_without_groups(mixed):
+    assert quantile.quantiles(mixed, [], "v", [0.5], ["m"]).first()[0] == mixed.agg(F.percentile("v", F.lit(0.5))).first()[0]
+
+
+def test_quantiles_of_odd_values(spark):
+    """Infinities, tiny and huge values and a hot group take the same passes as any others."""
+    rng = np.random.default_rng(3)
+    data = {
+        "inf": [*map(float, range(2000)), float("inf")], "both": [float("-inf")] * 3 + [float("inf")] * 3, "nan": [1.0, 2.0, float("nan")],
+        "tails": [float(v) for v in 10.0 ** rng.uniform(-200, 30, 201)], "hot": [7.0] * 5000 + [1.0, 9.0], "one": [3.5],
+    }
+    df = spark.createDataFrame([(g, v) for g in data for v in data[g]] + [("none", None)], "g string, v double")
+    tracker = spark.sparkContext.statusTracker()
+    jobs = lambda: len(tracker.getJobIdsForGroup("quantiles"))
+    spark.sparkContext.setJobGroup("quantiles", "passes")
+    got = {r["g"]: r for r in quantile.quantiles(df, ["g"], "v", [0.25, 0.5, 0.75], ["a", "b", "c"]).collect()}
+    used = jobs()
+    spark.sparkContext.setJobGroup("other", "")
+    assert used <= 14 and set(got) == set(data)
+    assert (got["inf"]["a"], got["inf"]["b"], got["inf"]["c"]) == (500.0, 1000.0, 1500.0)
+    assert got["both"]["a"] == float("-inf") and np.isnan(got["both"]["b"]) and got["both"]["c"] == float("inf")
+    assert got["nan"]["b"] == 2.0 and np.isnan(got["nan"]["c"])
+    assert np.allclose([got["tails"][c] for c in "abc"], np.quantile(data["tails"], [0.25, 0.5, 0.75]), rtol=1e-12)
+    assert all(got["hot"][c] == 7.0 for c in "abc") and all(got["one"][c] == 3.5 for c in "abc")
+
+
+def test_attach_keeps_null_groups_and_copies_nothing(spark, mixed):
     table = mixed.groupBy("g").agg(F.max("v").alias("top"))
-    small = skew.attach(mixed, table, ["g"], weight="w").groupBy("g", "v", "top").agg(F.sum("w").alias("w"))
-    salted = skew.attach(mixed, table, ["g"], weight="w", broadcast_rows=0)
-    assert salted.filter("g = 'big' AND v = 0").first()["w"] == 500
-    key = lambda r: tuple(map(str, r))
-    assert sorted(small.collect(), key=key) == sorted(salted.select("g", "v", "top", "w").collect(), key=key)
-
-
-def test_salted_attach_spreads_one_group(spark):
-    rows = spark.range(4000).selectExpr("'x' AS g", "id")
-    salted = skew.attach(rows, spark.createDataFrame([("x", 1)], "g string, w int"), ["g"], broadcast_rows=0)
-    plan = salted._jdf.queryExecution().executedPlan().toString()
-    assert "_salt" in plan and salted.count() == 4000
+    joined = skew.attach(mixed, table, ["g"])
+    assert joined.count() == mixed.count() and joined.filter("g IS NULL").first()["top"] == 10.0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "2000")
+    try:
+        rows = spark.range(300_000).selectExpr("if(id % 3 = 0, 0, id % 150000) AS g", "id")
+        groups = spark.range(150_000).selectExpr("id AS g", "id * 2 AS w")
+        big = skew.attach(rows, groups, ["g"])
+        plan = big._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Generate" not in plan and "Broadcast" not in plan
+        assert big.filter("w = g * 2").count() == 300_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_basic_statistics_small_series(spark):
