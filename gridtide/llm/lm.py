@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from gridtide.llm import chunks as C, words as W
-from gridtide.llm.tables import stored
+from gridtide.session import stored
 
 CLASSES, WIDTH, PARTS, ROUNDS, NOISE = 512, 24, 8, 3, 128
 MODULUS, HELD = 7, 2
@@ -186,7 +186,11 @@ def score(
     counted = stored(C.settle(counted, _sum_up(classes), "chunk long, part long, totals array<long>, keys array<long>, counts array<long>, tokens long, words long"), "counts")
     sums = counted.filter("chunk IS NULL")
     total, vocabulary = (x or 0 for x in sums.agg(F.sum("tokens"), F.sum("words")).first())
-    listed = sums.select(F.inline(F.arrays_zip("keys", "counts"))).orderBy(F.desc("counts"), "keys").limit(classes).toPandas()
+    # The last of the commonest words has at least the count of the last among the first few of every range.
+    few = 2 * classes // n + 8
+    floor = sums.select(F.explode(F.slice("counts", 1, few)).alias("count")).orderBy(F.desc("count")).limit(classes).agg(F.min("count")).first()[0] or 0
+    common = F.filter(F.arrays_zip("keys", "counts"), lambda x: x["counts"] >= floor)
+    listed = sums.select(F.inline(common)).orderBy(F.desc("counts"), "keys").limit(classes).toPandas()
     model = _train(kept, listed["keys"].to_numpy(np.int64).view(np.uint64), listed["counts"].to_numpy(np.int64), int(total), int(vocabulary), width, rounds, parts)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # tables of fixed size
 
