@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from gridtide.session import materialise
+from gridtide.session import stored
 
 
 def _star(pairs: DataFrame, larger: bool) -> DataFrame:
@@ -24,13 +24,13 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """`node, component`: the smallest node reachable, for every node that has a link to another node.
 
     Alternating large-star and small-star steps; a node with very many links is summed up before it is shuffled and
-    joined by a join that can be split. Each step is written to the checkpoint folder. Null ends, links of a node to
+    joined by a join that can be split. Each step is written to the shared folder. Null ends, links of a node to
     itself and repeated links change nothing; no links give an empty table.
     """
     pairs = links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"), (F.col(a) != F.col(b)).alias("link")).filter("link").select("a", "b").distinct()
-    pairs, before = materialise(pairs), None
+    pairs, before = stored(pairs), None
     while True:
-        pairs = materialise(_star(_star(pairs, True), False))
+        pairs = stored(_star(_star(pairs, True), False))
         state = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             return pairs.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(

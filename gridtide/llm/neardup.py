@@ -6,23 +6,31 @@ keeps about one common node per level while less similar sets part. Small nodes
 leave out pairs that are far from the threshold, whatever is left is compared on its full sets. Independent trees are
 repeated to the wanted recall; a pair at similarity s misses all of t trees of one level with (1 - s) ** t.
 
-What a path cannot part (large groups that are all alike) is settled exactly: every member is compared with a few
-pivots, and members outside the largest component found so far with all members, in blocks of bounded size.
+What paths hardly part (large groups that are all alike) is first drawn together: every member is compared with a few
+members that look most like the whole group. From then on a node only needs the pairs of members outside its largest
+component with all others; it is done when there are none or few of them, and is dealt out further until then. Nodes
+left at the last level are compared in full, in blocks of bounded size.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
-from gridtide.llm import words as W
+from gridtide.llm import chunks as C, words as W
 from gridtide.llm.graph import components
-from gridtide.session import materialise
+from gridtide.session import stored
 
 SHINGLE, PERCENT = 5, 85
-TREES, PATH, SKETCH = 16, 48, 128
-NODE_LIMIT, LEVELS, PIVOTS = 256, 10, 4
+TREES, PATH, SKETCH = 8, 32, 128
+NODE_LIMIT, LEVELS, MORE_LEVELS = 256, 2, 3
+# Where members are compared with pivots or with other components only: rows of a block, as a multiple of the limit,
+# and the pairs that a node may still have to be compared, as a multiple of the limit's square.
+WIDE, FEW = 4, 64
+PIVOTS, VOTES = 4, 16
+# Shingles that a comparison sorts at a time.
+SLICE = 1 << 19
 # Sketches of 128 values are off by 0.03 at the threshold, as a standard deviation; pairs within 0.14 are compared in full.
 SLACK = 0.14
 
@@ -88,25 +96,33 @@ def _sketch(docs: DataFrame, id: str, text: str, k: int) -> DataFrame:
     return docs.select(F.col(id).cast("long"), text).mapInArrow(run, "doc long, size long, d1 long, d2 long, path array<long>, sketch binary")
 
 
+def _branch(rows: DataFrame, reps: DataFrame, trees: int, level: int) -> DataFrame:
+    """Deal `node, doc` out by one path function for each node, and a second one for the share the threshold asks for.
+
+    The last few path values come along as `votes`.
+    """
+    at = lambda salt: F.lit(trees + 1) + F.pmod(F.xxhash64("node", F.lit(salt)), F.lit(PATH - trees)).cast("int")
+    twice = F.pmod(F.xxhash64("node", F.lit(level + 500)), F.lit(PERCENT)) < 100 - PERCENT
+    picks = F.when(twice, F.array(at(level), at(level + 100))).otherwise(F.array(at(level)))
+    rows = rows.withColumn("pick", F.explode(F.array_distinct(picks))).join(reps.select("doc", "path"), "doc")
+    return rows.select(F.xxhash64("node", "pick", F.element_at("path", F.col("pick"))).alias("node"), "doc", F.slice("path", PATH - VOTES + 1, VOTES).alias("votes"))
+
+
 def _nodes(reps: DataFrame, trees: int, limit: int, levels: int) -> tuple[DataFrame, DataFrame | None]:
-    """`node, doc` of all nodes with 2 to `limit` members, and of those still larger at the last level."""
-    rows = reps.select("doc", F.posexplode(F.slice("path", 1, trees)).alias("tree", "value")).select("doc", F.xxhash64("tree", "value").alias("node"))
+    """`node, doc` of all nodes with 2 to `limit` members, and `node, doc, votes` of those still larger at the last level."""
+    rows = reps.select("doc", F.posexplode(F.slice("path", 1, trees)).alias("tree", "value")).select(F.xxhash64("tree", "value").alias("node"), "doc")
+    if levels == 1:
+        rows = rows.join(reps.select("doc", F.slice("path", PATH - VOTES + 1, VOTES).alias("votes")), "doc")
     done = []
     for level in range(1, levels + 1):
         sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        rows = materialise(rows.join(sizes, "node"))
+        rows = stored(rows.join(sizes, "node"), "nodes")
         done.append(rows.filter(F.col("n") <= limit).select("node", "doc"))
-        rows = rows.filter(F.col("n") > limit).select("node", "doc")
+        rows = rows.filter(F.col("n") > limit).drop("n")
         if rows.isEmpty():
             return _union(done), None
         if level < levels:
-            # One path function for each node, and a second one for the share that the threshold asks for.
-            free = PATH - trees
-            at = lambda salt: F.lit(trees + 1) + F.pmod(F.xxhash64("node", F.lit(salt)), F.lit(free)).cast("int")
-            twice = F.pmod(F.xxhash64("node", F.lit(level + 500)), F.lit(PERCENT)) < 100 - PERCENT
-            picks = F.when(twice, F.array(at(level), at(level + 100))).otherwise(F.array(at(level)))
-            rows = rows.withColumn("pick", F.explode(F.array_distinct(picks))).join(reps.select("doc", "path"), "doc")
-            rows = rows.select("doc", F.xxhash64("node", "pick", F.element_at("path", F.col("pick"))).alias("node"))
+            rows = _branch(rows, reps, trees, level)
     return _union(done), rows
 
 
@@ -136,40 +152,33 @@ def _groups(linked: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _loose(nodes: DataFrame, reps: DataFrame, least: float) -> DataFrame:
-    """Links `a, b` that join the members of a node whose sketches are about as similar as `least` or more."""
-
-    def run(table: pa.Table) -> pa.Table:
-        docs = table["doc"].to_numpy()
-        values = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint16).reshape(len(docs), SKETCH)
-        alike = np.stack([(values == v).sum(axis=1) for v in values]) >= least * SKETCH
-        label = _groups(alike)
-        joined = np.flatnonzero(label != np.arange(len(docs)))
-        return pa.table({"a": pa.array(docs[joined], pa.int64()), "b": pa.array(docs[label[joined]], pa.int64())})
-
-    return nodes.join(reps.select("doc", "sketch"), "doc").groupBy("node").applyInArrow(run, "a long, b long")
-
-
 def _exact(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links `a, b` of each block's members, compared on full sets: each member with the smallest it is connected to."""
 
     def run(table: pa.Table) -> pa.Table:
-        order = np.argsort(table["doc"].to_numpy(), kind="stable")
-        table = table.take(pa.array(order)).combine_chunks()
         docs = table["doc"].to_numpy()
-        lists = table["shingles"].combine_chunks()
-        sizes = pa.compute.list_value_length(lists).to_numpy().astype(np.int64)
-        _, column = np.unique(lists.flatten().to_numpy(), return_inverse=True)
-        row = np.repeat(np.arange(len(docs)), sizes)
-        by = np.argsort(column, kind="stable")
-        row, column = row[by], column[by]
+        place = np.argsort(np.argsort(docs, kind="stable"), kind="stable")
+        sizes, parts, lo = np.zeros(len(docs), np.int64), [], 0
+        for part in table["shingles"].chunks:
+            n = pa.compute.list_value_length(part).to_numpy().astype(np.int64)
+            sizes[place[lo : lo + len(n)]] = n
+            parts.append((part.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.repeat(place[lo : lo + len(n)].astype(np.int32), n)))
+            lo += len(n)
+        docs = np.sort(docs)
         common = np.zeros((len(docs), len(docs)), np.float32)
-        width = max(1, (8 << 20) // (4 * len(docs)))
-        for lo in range(0, int(column[-1]) + 1 if len(column) else 0, width):
-            a, b = np.searchsorted(column, [lo, lo + width])
-            present = np.zeros((len(docs), width), np.float32)
-            present[row[a:b], column[a:b] - lo] = 1
-            common += present @ present.T
+        width = max(1, (4 << 20) // (4 * len(docs)))
+        # A range of hashes at a time, so that long texts cost no more memory than their sets.
+        slices = int(sizes.sum()) // SLICE + 1
+        for k in range(slices):
+            value, row = (np.concatenate(x) for x in zip(*[(v[i], r[i]) for v, r in parts for i in [np.flatnonzero(C.range_of(v, slices) == k)]]))
+            by = np.argsort(value)
+            value, row = value[by], row[by]
+            column = np.cumsum(np.r_[False, value[1:] != value[:-1]]) if len(value) else value.astype(np.int64)
+            for left in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+                a, b = np.searchsorted(column, [left, left + width])
+                present = np.zeros((len(docs), width), np.float32)
+                present[row[a:b], column[a:b] - left] = 1
+                common += present @ present.T
         union = sizes[:, None] + sizes[None, :] - common
         label = _groups(100 * common >= percent * union)
         joined = np.flatnonzero(label != np.arange(len(docs)))
@@ -179,7 +188,7 @@ def _exact(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _shingles(docs: DataFrame, wanted: DataFrame, id: str, text: str, k: int) -> DataFrame:
-    """`doc, shingles` of the wanted documents; of rows with the same id, the one whose set was sketched."""
+    """`doc, shingles` of the wanted documents."""
 
     def run(batches):
         hasher = W.Hasher()
@@ -190,80 +199,119 @@ def _shingles(docs: DataFrame, wanted: DataFrame, id: str, text: str, k: int) ->
                 lists = pa.ListArray.from_arrays(pa.array(sets.bounds.astype(np.int32)), pa.array(sets.value.view(np.int64)))
                 yield pa.RecordBatch.from_pydict({"doc": ids, "shingles": lists})
 
-    texts = docs.select(F.col(id).cast("long").alias("doc"), F.col(text).alias("__text")).join(wanted.select("doc").distinct(), "doc")
+    # Sort-merge at every size, so that what is shuffled follows the input.
+    texts = docs.select(F.col(id).cast("long").alias("doc"), F.col(text).alias("__text")).join(wanted.select("doc").hint("merge"), "doc", "left_semi")
     return texts.select("doc", "__text").mapInArrow(run, "doc long, shingles array<long>")
 
 
-def _blocks(loose: DataFrame, nodes: DataFrame, limit: int) -> DataFrame:
-    """`block, doc`: a loose component that fits is a block; in larger ones, each node's part of it is."""
-    label = materialise(components(loose))
-    sizes = label.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
-    label = label.join(sizes, "component")
-    small = label.filter(F.col("n") <= limit).select(F.col("component").alias("block"), F.col("node").alias("doc"))
-    large = label.filter(F.col("n") > limit).select(F.col("node").alias("doc"), "component")
-    parts = nodes.join(large, "doc").select(F.xxhash64("node", "component").alias("node"), "doc")
-    return small.unionByName(_members(parts).withColumnRenamed("node", "block"))
+def _stars(big: DataFrame, limit: int) -> DataFrame:
+    """`block, doc`: the members of each node in parts, each part with the node's pivots.
 
+    The pivots are those whose sketch has the most values that are the commonest of the node at their place.
+    """
+    votes = big.select("node", F.posexplode("votes").alias("place", "value")).groupBy("node", "place", "value").agg(F.count(F.lit(1)).alias("n"))
+    common = votes.groupBy("node", "place").agg(F.max(F.struct("n", "value")).alias("top"), F.sum("n").alias("size"))
+    common = common.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("place", "top.value"))).alias("common"), F.ceil(F.max("size") / F.lit(limit * WIDE // 2)).cast("long").alias("parts"))
+    same = F.filter(F.zip_with("votes", F.transform("common", lambda x: x["value"]), lambda x, y: x == y), lambda x: x)
+    scored = big.join(common, "node").select("node", "doc", "parts", F.size(same).alias("alike"))
+    ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("alike"), "doc"))).filter(F.col("rank") <= PIVOTS)
+    own = scored.select(F.xxhash64("node", F.pmod(F.xxhash64("doc"), F.col("parts"))).alias("block"), "doc")
+    pivots = ranked.select("node", "doc", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    return own.unionByName(pivots.select(F.xxhash64("node", "part").alias("block"), "doc")).distinct()
+
+
+def _mixed(rows: DataFrame, label: DataFrame) -> DataFrame:
+    """`node, doc, component, n, out, top`: rows of the nodes that have `out` > 0 members outside their largest component `top`."""
+    known = rows.join(label.withColumnRenamed("node", "doc"), "doc", "left").select("node", "doc", F.coalesce("component", "doc").alias("component"))
+    counts = known.groupBy("node", "component").agg(F.count(F.lit(1)).alias("n"))
+    nodes = counts.groupBy("node").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("largest"))
+    nodes = nodes.select("node", "n", (F.col("n") - F.col("largest.n")).alias("out"), F.col("largest.component").alias("top")).filter("out > 0")
+    return known.join(nodes, "node")
 
-def _rest_stars(rest: DataFrame, limit: int) -> DataFrame:
-    """`node, doc`: parts of the nodes that are still too large, each with the node's pivots."""
-    sizes = rest.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *[F.min(F.struct(F.xxhash64("doc", F.lit(i)), "doc")).alias(f"p{i}") for i in range(PIVOTS)])
-    parts = F.ceil(F.col("n") / F.lit(limit // 2)).cast("long")
-    placed = rest.join(sizes.select("node", parts.alias("parts")), "node")
-    own = placed.select(F.xxhash64("node", F.pmod(F.xxhash64("doc"), F.col("parts"))).alias("node"), "doc")
-    pivots = sizes.select("node", parts.alias("parts"), F.explode(F.array(*[F.col(f"p{i}.doc") for i in range(PIVOTS)])).alias("doc"))
-    pivots = pivots.select(F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "node", "doc")
-    return own.unionByName(pivots.select(F.xxhash64("node", "part").alias("node"), "doc"))
 
+def _crossed(mixed: DataFrame, limit: int) -> DataFrame:
+    """`block, doc, component, sketch`: members outside a node's largest component with all its members, part by part."""
+    parts = lambda c: F.ceil(F.col(c) / F.lit(limit * WIDE // 2)).cast("long")
+    upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    mixed = mixed.withColumn("all_parts", parts("n")).withColumn("out_parts", parts("out"))
+    every = mixed.select("node", "doc", "component", "sketch", F.pmod(F.xxhash64("doc"), F.col("all_parts")).alias("i"), upto("out_parts").alias("j"))
+    outer = mixed.filter("component != top").select("node", "doc", "component", "sketch", F.pmod(F.xxhash64("doc", F.lit(1)), F.col("out_parts")).alias("j"), upto("all_parts").alias("i"))
+    return every.unionByName(outer).select(F.xxhash64("node", "i", "j").alias("block"), "doc", "component", "sketch").distinct()
 
-def _rest_pairs(rest: DataFrame, label: DataFrame, limit: int) -> DataFrame:
-    """`node, doc`: members outside a node's largest component with all members, part by part."""
-    known = rest.join(label.withColumnRenamed("node", "doc"), "doc", "left").select("node", "doc", F.coalesce("component", "doc").alias("component"))
-    counts = known.groupBy("node", "component").agg(F.count(F.lit(1)).alias("n"))
-    nodes = counts.groupBy("node").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("top"))
-    nodes = nodes.withColumn("m", F.col("n") - F.col("top.n")).filter("m > 0")
-    part = lambda c: F.ceil(F.col(c) / F.lit(limit // 2)).cast("long")
-    known = known.join(nodes.select("node", part("n").alias("all"), part("m").alias("out"), F.col("top.component").alias("top")), "node")
-    own = F.pmod(F.xxhash64("doc"), F.col("all"))
-    every = known.select("node", "doc", own.alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("out") - 1)).alias("j"))
-    outer = known.filter("component <> top").select("node", "doc", F.pmod(F.xxhash64("doc", F.lit(1)), F.col("out")).alias("j"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("all") - 1)).alias("i"))
-    return every.unionByName(outer).select(F.xxhash64("node", "i", "j").alias("node"), "doc").distinct()
+
+def _close(parts: DataFrame, least: float) -> DataFrame:
+    """`block, doc`: what is left of each block once members go that look like nothing in another component.
+
+    `parts` has `block, doc, sketch`, and `component` where some links are known already.
+    """
+    known = "component" in parts.columns
+
+    def run(table: pa.Table) -> pa.Table:
+        docs = table["doc"].to_numpy()
+        values = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint16).reshape(len(docs), SKETCH)
+        alike = np.stack([(values == v).sum(axis=1) for v in values]) >= least * SKETCH
+        if known:
+            component = table["component"].to_numpy()
+            near = (alike & (component[:, None] != component[None, :])).any(axis=1)
+        else:
+            near = alike.sum(axis=1) > 1
+        return pa.table({"block": table["block"].filter(pa.array(near)), "doc": pa.array(docs[near])})
+
+    left = parts.groupBy("block").applyInArrow(run, "block long, doc long")
+    sets = left.groupBy("block").agg(F.sort_array(F.collect_list("doc")).alias("members")).dropDuplicates(["members"])
+    return sets.select("block", F.explode("members").alias("doc"))
+
+
+def _alike(big: DataFrame, reps: DataFrame, sets: DataFrame, links: DataFrame, percent: int, trees: int, limit: int, levels: int, more: int, least: float) -> DataFrame:
+    """The links that the nodes still too large after `levels` levels hold."""
+    links = links.unionByName(stored(_exact(_stars(big, limit), sets, percent), "links"))
+    label = components(links)
+    done, rows = [], big.select("node", "doc")
+    for level in range(levels, levels + more + 1):
+        mixed = stored(_mixed(rows, label), "mixed")
+        few = F.col("out") * F.col("n") <= FEW * limit * limit
+        done.append(mixed.filter(few) if level < levels + more else mixed)
+        rows = mixed.filter(~few).select("node", "doc")
+        if level == levels + more or rows.isEmpty():
+            break
+        rows = _branch(rows, reps, trees, level).drop("votes")
+    sketched = _union(done).join(reps.select("doc", "sketch"), "doc")
+    blocks = stored(_close(_crossed(sketched, limit), least), "blocks")
+    return links.unionByName(stored(_exact(blocks, sets, percent), "links"))
 
 
 def near_duplicates(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, trees: int = TREES, limit: int = NODE_LIMIT, levels: int = LEVELS
+    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, trees: int = TREES, limit: int = NODE_LIMIT, levels: int = LEVELS,
+    more_levels: int = MORE_LEVELS,
 ) -> DataFrame:
     """All columns of `docs`, then `n_shingles`, `component_id` and `kept`; columns of those names are replaced.
 
     Sets of `shingle`-word runs (A-Z lower-cased; a shorter text is one run), linked where 100 times the intersection is
     at least `percent` times the union. `component_id` is the smallest id reachable, `kept` says that it is the row's own.
-    Texts without words (also null) have empty sets and link with nothing. Rows with equal ids are one document and
-    get one verdict. A null id links with nothing: its component is null and the row is kept. Empty tables give none.
+    Texts without words (also null) have empty sets and link with nothing. Rows with equal ids get one
+    verdict, that of the smallest component of any of them. A null id links with nothing: its component is null and the row is kept. Empty tables give none.
     """
     docs = docs.drop("n_shingles", "component_id", "kept")
-    sketched = _sketch(docs, id, text, shingle)
-    every = materialise(sketched)
+    every = stored(_sketch(docs, id, text, shingle), "sketches")
     keys = ["d1", "d2", "size"]
     classes = every.filter("d1 IS NOT NULL AND doc IS NOT NULL").groupBy(*keys).agg(F.min(F.struct("doc", "path", "sketch")).alias("r"))
-    reps = materialise(classes.select("r.doc", "r.path", "r.sketch", *keys))
-    nodes, rest = _nodes(reps, trees, limit, levels)
-    nodes = materialise(_members(nodes))
+    reps = stored(classes.select("r.doc", "r.path", "r.sketch", *keys), "sets")
+    nodes, big = _nodes(reps, trees, limit, levels)
     least = percent / 100 - SLACK
-
-    def confirmed(nodes: DataFrame) -> DataFrame:
-        blocks = materialise(_blocks(_loose(nodes, reps, least), nodes, limit))
-        return materialise(_exact(blocks, _shingles(docs, blocks, id, text, shingle), percent))
-
-    links = confirmed(nodes)
-    if rest is not None:
-        rest = materialise(rest)
-        links = links.unionByName(confirmed(materialise(_rest_stars(rest, limit))))
-        links = links.unionByName(confirmed(materialise(_rest_pairs(rest, components(links), limit))))
+    sketched = _members(nodes).withColumnRenamed("node", "block").join(reps.select("doc", "sketch"), "doc")
+    blocks = stored(_close(sketched, least), "blocks")
+    if big is not None:
+        big = stored(big, "nodes")
+    wanted = blocks.select("doc") if big is None else blocks.select("doc").unionAll(big.select("doc"))
+    sets = stored(_shingles(docs, wanted, id, text, shingle), "shingles")
+    links = stored(_exact(blocks, sets, percent), "links")
+    if big is not None:
+        links = _alike(big, reps, sets, links, percent, trees, limit, levels, more_levels, least)
     label = components(links).withColumnRenamed("node", "rep")
     of_class = reps.select(*keys, F.col("doc").alias("rep")).join(label, "rep", "left").select(*keys, F.coalesce("component", "rep").alias("component"))
-    found = every.select("doc", *keys).join(of_class, keys, "left")
-    # Rows with equal ids: one verdict for all of them.
-    found = found.filter("doc IS NOT NULL").groupBy("doc").agg(F.max("size").alias("n_shingles"), F.min("component").alias("component_id"))
-    out = docs.join(found.withColumnRenamed("doc", "__doc"), F.col(id).cast("long") == F.col("__doc"), "left").drop("__doc")
-    own = F.coalesce("component_id", F.col(id).cast("long"))
-    return out.withColumns({"n_shingles": F.coalesce("n_shingles", F.lit(0).cast("long")), "component_id": own, "kept": F.coalesce(own == F.col(id).cast("long"), F.lit(True))})
+    found = every.select("doc", *keys).join(of_class, keys, "left").filter("doc IS NOT NULL")
+    found = found.groupBy("doc").agg(F.max("size").alias("n_shingles"), F.min("component").alias("component_id"))
+    own = F.col(id).cast("long")
+    out = docs.join(found.withColumnRenamed("doc", "__doc"), own == F.col("__doc"), "left").drop("__doc")
+    out = out.withColumns({"n_shingles": F.coalesce("n_shingles", F.lit(0).cast("long")), "component_id": F.coalesce("component_id", own)})
+    return out.withColumn("kept", F.coalesce(F.col("component_id") == own, F.lit(True)))
