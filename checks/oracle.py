@@ -338,22 +338,31 @@ sql("a25_a26_component_energy", f"""WITH parts AS MATERIALIZED ({cascade(INDEXED
 
 # --- forecasting --------------------------------------------------------------------------------
 
-# Lookback 48, horizon 24, period and moving average 24 rows, three components.
-L, H, ALL_PARTS = 48, 24, ["imf_1", "imf_2", "imf_3", "residual"]
-PARTS = f"SELECT *, greatest(floor(n * 0.8::DOUBLE), {L + H})::BIGINT AS split_idx FROM ({components(HOURLY_INDEXED, 3)})"
-PREDICTED = f"""parts AS MATERIALIZED ({PARTS}),
-    long AS MATERIALIZED (SELECT *, avg(value) OVER (PARTITION BY event_type, component ORDER BY idx ROWS BETWEEN {H - 1} PRECEDING AND CURRENT ROW) AS ma
-        FROM ({long_form('SELECT * FROM parts', ALL_PARTS, 'event_type, idx, n, split_idx')})),
+def predicted(source: str, look: int, ahead: int, names: list[str]) -> str:
+    """`parts`, `long`, `comp` and `fused`: components, averages, the two plain models' predictions, and their sums.
+
+    Period and moving average have as many rows as the horizon.
+    """
+    return f"""parts AS MATERIALIZED (SELECT *, greatest(floor(n * 0.8::DOUBLE), {look + ahead})::BIGINT AS split_idx FROM ({source})),
+    long AS MATERIALIZED (SELECT *, avg(value) OVER (PARTITION BY event_type, component ORDER BY idx ROWS BETWEEN {ahead - 1} PRECEDING AND CURRENT ROW) AS ma
+        FROM ({long_form('SELECT * FROM parts', names, 'event_type, idx, n, split_idx')})),
     comp AS MATERIALIZED (
         SELECT a.event_type, a.component, 'seasonal_naive' AS model, a.idx, a.value AS actual, b.value AS predicted
-        FROM long AS a JOIN long AS b ON b.event_type = a.event_type AND b.component = a.component AND b.idx = a.idx - {H} WHERE a.idx >= a.split_idx
-        UNION ALL SELECT a.event_type, a.component, 'moving_average', a.idx, a.value, avg(b.ma)
-        FROM long AS a JOIN long AS b ON b.event_type = a.event_type AND b.component = a.component
-            AND b.idx BETWEEN greatest(a.split_idx - 1, a.idx - {H}) AND least(a.n - {H + 1}, a.idx - 1)
-        WHERE a.idx >= a.split_idx GROUP BY a.event_type, a.component, a.idx, a.value),
+        FROM long AS a JOIN long AS b ON b.event_type = a.event_type AND b.component = a.component AND b.idx = a.idx - {ahead} WHERE a.idx >= a.split_idx
+        UNION ALL SELECT event_type, component, 'moving_average', idx, value, predicted FROM (
+            SELECT *, avg(CASE WHEN idx BETWEEN split_idx - 1 AND n - {ahead + 1} THEN ma END) OVER (PARTITION BY event_type, component ORDER BY idx
+                ROWS BETWEEN {ahead} PRECEDING AND 1 PRECEDING) AS predicted FROM long) WHERE idx >= split_idx),
     fused AS (SELECT event_type, model, idx, sum(actual) AS actual_load, sum(predicted) AS predicted_load FROM comp GROUP BY ALL)"""
 
 
+# Lookback 48, horizon 24, three components.
+L, H, ALL_PARTS = 48, 24, ["imf_1", "imf_2", "imf_3", "residual"]
+PREDICTED = predicted(components(HOURLY_INDEXED, 3), L, H, ALL_PARTS)
+# The defaults on raw events.
+EVENT_PARTS = [*IMF[:6], "residual"]
+EVENT_PREDICTED = predicted(components(INDEXED, 6), 672, 96, EVENT_PARTS)
+
+
 def scores(groups: str, source: str, y: str = "actual_load", p: str = "predicted_load", extra: str = "") -> str:
     return f"""SELECT {groups}, avg(abs({y} - {p})) AS MAE, sqrt(avg(pow({y} - {p}, 2))) AS RMSE,
         100 * avg(CASE WHEN abs({y}) >= 1e-8 THEN abs(({y} - {p}) / {y}) END) AS MAPE,
@@ -366,10 +375,13 @@ ONE = f"""{PREDICTED}, one AS (SELECT f.event_type, f.idx, p.timestamp, actual_l
 ERRORS = f"{ONE}, err AS (SELECT * REPLACE (predicted_load - actual_load AS error) FROM one)"
 FORECAST = ("actual_load", "predicted_load", "error")
 
-sql("f1_scaled_features", f"""WITH parts AS (SELECT *, greatest(floor(n * 0.8::DOUBLE), 72)::BIGINT AS split_idx FROM ({components(HOURLY_INDEXED, 1)})),
-    long AS ({long_form('SELECT * FROM parts', ['imf_1', 'residual'], 'event_type, idx, split_idx')}),
-    s AS (SELECT event_type, component, avg(value) AS m, stddev_pop(value) + 1e-8 AS sd FROM long WHERE idx < split_idx GROUP BY ALL)
-    SELECT event_type, idx, component, (value - m) / sd AS z, 13 AS inputs FROM long JOIN s USING (event_type, component)""", "z")
+INPUTS = {"hour": "hour(timestamp)::DOUBLE", "weekday": "((isodow(timestamp) - 1)::DOUBLE)", "is_weekend": "(isodow(timestamp) >= 6)::INT::DOUBLE", "hour_sin": "sin(2 * pi() * (hour(timestamp) + minute(timestamp) / 60) / 24)"}
+sql("f1_scaled_features", f"""WITH parts AS (SELECT *, {', '.join(f'{e} AS {c}' for c, e in INPUTS.items())}, greatest(floor(n * 0.8::DOUBLE), 72)::BIGINT AS split_idx FROM ({components(HOURLY_INDEXED, 1)})),
+    long AS ({long_form('SELECT * FROM parts', ['imf_1', 'residual'], 'event_type, idx, split_idx, ' + ', '.join(INPUTS))}),
+    s AS (SELECT event_type, component, avg(value) AS m, stddev_pop(value) + 1e-8 AS sd FROM long WHERE idx < split_idx GROUP BY ALL),
+    x AS (SELECT event_type, {', '.join(f'avg({c}) AS m_{c}, stddev_pop({c}) + 1e-8 AS s_{c}' for c in INPUTS)} FROM parts WHERE idx < split_idx GROUP BY event_type)
+    SELECT event_type, idx, component, (value - m) / sd AS z, 13 AS inputs, {', '.join(f'({c} - m_{c}) / s_{c} AS {c}' for c in INPUTS)}
+    FROM long JOIN s USING (event_type, component) JOIN x USING (event_type)""", "z", *INPUTS)
 sql("w11_f2ab_component_forecasts", f"WITH {PREDICTED} SELECT * FROM comp", "actual", "predicted")
 COMPONENT_SCORES = scores("event_type, component, model", "comp", "actual", "predicted")
 sql("f4_component_metrics", f"WITH {PREDICTED} {COMPONENT_SCORES}", *METRICS)
@@ -400,6 +412,33 @@ sql("f10_strategy_metrics", f"""WITH {PREDICTED}, m AS ({scores('event_type, str
 sql("f11_fusion_comparison", f"""WITH {PREDICTED}, every AS (SELECT * REPLACE (upper(model) AS model) FROM fused UNION ALL
     SELECT event_type, 'FREQ_FUSION', idx, avg(actual_load), avg(predicted_load) FROM fused GROUP BY event_type, idx),
     m AS ({scores('event_type, model', 'every')}) SELECT event_type, model, RMSE, MAE, MAPE FROM m""", "RMSE", "MAE", "MAPE")
+EVENT_SCORED = f"""{EVENT_PREDICTED}, sc AS ({COMPONENT_SCORES}), chosen AS (SELECT event_type, component, model AS selected_model, MAE, RMSE, MAPE, R2 FROM sc
+    QUALIFY row_number() OVER (PARTITION BY event_type, component ORDER BY RMSE, MAE, MAPE, model DESC) = 1)"""
+sql("f4_event_forecast", f"""WITH {EVENT_PREDICTED} SELECT f.event_type, f.idx, p.timestamp, actual_load, predicted_load, actual_load - predicted_load AS error
+    FROM fused AS f JOIN parts AS p ON p.event_type = f.event_type AND p.idx = f.idx WHERE model = 'moving_average'""", *FORECAST)
+sql("f5_event_selection", f"WITH {EVENT_SCORED} SELECT * FROM chosen", *METRICS)
+sql("f6_event_best", f"""WITH {EVENT_SCORED}, hybrid AS (SELECT c.event_type, c.idx, sum(actual) AS actual_load, sum(predicted) AS predicted_load
+    FROM comp AS c JOIN chosen AS x ON x.event_type = c.event_type AND x.component = c.component AND x.selected_model = c.model GROUP BY c.event_type, c.idx),
+    every AS (SELECT event_type, model AS method, actual_load, predicted_load FROM fused UNION ALL SELECT event_type, 'hybrid', actual_load, predicted_load FROM hybrid),
+    m AS ({scores('event_type, method', 'every')})
+    SELECT event_type, method AS best_method, MAE, RMSE, MAPE, R2 FROM m QUALIFY row_number() OVER (PARTITION BY event_type
+    ORDER BY round(RMSE, 8), round(MAE, 8), round(MAPE, 8), list_position(['seasonal_naive', 'moving_average', 'hybrid'], method)) = 1""", *METRICS)
+sql("f7_dispatch", f"WITH {ONE} SELECT * FROM one", *FORECAST)
+CALENDAR_INPUTS = ("year", "month", "day", "hour", "minute", "weekday", "is_weekend", "hour_sin", "hour_cos", "weekday_sin", "weekday_cos", "month_sin", "month_cos")
+sql("t7_exogenous_columns", " UNION ALL ".join(f"SELECT '{c}' AS \"column\", sum({c}::INT::DOUBLE) AS total FROM ({calendar(RAW)})" if c == "is_weekend" else f"SELECT '{c}' AS \"column\", sum({c}::DOUBLE) AS total FROM ({calendar(RAW)})" for c in CALENDAR_INPUTS), "total")
+# Inputs of the linear model without calendar: 1, the value, the one before, the recent mean; then the value one period before each target and the step.
+LINEAR = ["1", "z", "before", "recent", "p", "h"]
+MOMENTS = [f"sum({x} * {y})" for x in LINEAR for y in LINEAR] + [f"sum({x} * y)" for x in LINEAR]
+sql("f2c_normal_matrix", f"""WITH {PREDICTED}, s AS (SELECT event_type, component, avg(value) AS m, stddev_pop(value) + 1e-8 AS sd FROM long WHERE idx < split_idx GROUP BY ALL),
+    z AS MATERIALIZED (SELECT event_type, component, idx, split_idx, (value - m) / sd AS z FROM long JOIN s USING (event_type, component) WHERE idx < split_idx),
+    w AS MATERIALIZED (SELECT *, coalesce(lag(z) OVER o, z) AS before, avg(z) OVER (o ROWS BETWEEN {H - 1} PRECEDING AND CURRENT ROW) AS recent,
+        list(z) OVER (o ROWS BETWEEN {H - 1} PRECEDING AND CURRENT ROW) AS ps, list(z) OVER (o ROWS BETWEEN 1 FOLLOWING AND {H} FOLLOWING) AS ys
+        FROM z WINDOW o AS (PARTITION BY event_type, component ORDER BY idx)),
+    steps AS MATERIALIZED (SELECT event_type, component, z, before, recent, unnest(ps) AS p, unnest(ys) AS y, unnest(range(1, {H + 1})) / {H}::DOUBLE AS h
+        FROM w WHERE idx >= {L - 1} AND idx <= split_idx - 1 - {H})
+    SELECT event_type, component, unnest(range(0, {len(MOMENTS)}))::INT AS pos, unnest(sums) AS v FROM (SELECT event_type, component, [{', '.join(MOMENTS)}] AS sums FROM steps GROUP BY ALL)""", "v")
+sql("f2cd_learned_coverage", f"""SELECT event_type, model, idx, load AS actual_load, true AS predicted FROM (SELECT *, greatest(floor(n * 0.8::DOUBLE), {L + H})::BIGINT AS split_idx FROM ({HOURLY_INDEXED})),
+    (SELECT unnest(['linear', 'gbt']) AS model) WHERE idx >= split_idx""", "actual_load")
 sql("f12_error_analysis_rows", f"WITH {ERRORS} SELECT * EXCLUDE (idx) FROM err", *FORECAST)
 sql("f13_last_rows", f"""WITH {ONE} SELECT * EXCLUDE (idx) FROM one
     QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY idx DESC) <= 168""", *FORECAST)
@@ -448,6 +487,11 @@ sql("a24_event_qq_fit", f"""SELECT event_type, regr_slope(sample, theoretical) A
 sql("io8_analysis_scope", """SELECT 'start_time' AS field, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS value FROM events
     UNION ALL SELECT 'end_time', strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') FROM events
     UNION ALL SELECT 'rows', count(*)::VARCHAR FROM events UNION ALL SELECT 'selection', 'all data'""")
+sql("io9_filtered_data", "SELECT event_type, ts AS timestamp, value AS load FROM events WHERE ts >= (SELECT max(ts) - INTERVAL 14 DAY FROM events)", "load")
+sql("io10_without_residual", f"SELECT event_type, timestamp, imf_1 AS IMF1, imf_2 AS IMF2, imf_3 AS IMF3 FROM ({components(INDEXED, 3)})", "IMF1", "IMF2", "IMF3")
+ARTIFACTS = {"forecast": ("frame", ("actual_load", "predicted_load")), "metrics_json": ("m", METRICS), "component_metrics": ("chosen", METRICS), "selection": ("chosen", METRICS)}
+sql("io11_artifact_tables", f"""WITH {HYBRID}, frame AS (SELECT event_type, actual_load, predicted_load FROM hybrid), m AS ({scores('event_type', 'frame')}) """ + " UNION ALL ".join(
+    f"SELECT event_type, count(*) AS rows, '{c}' AS \"column\", sum({c}) AS total, '{name}' AS \"table\" FROM {source} GROUP BY event_type" for name, (source, columns) in ARTIFACTS.items() for c in columns), "total")
 sql("io10_component_export", f"""SELECT event_type, timestamp, imf_1 AS IMF1, imf_2 AS IMF2, imf_3 AS IMF3, residual
     FROM ({components(INDEXED, 3)})""", "IMF1", "IMF2", "IMF3", "residual")
 sql("io1_io3_csv_encodings", """SELECT k.written_as, k.encoding, false AS multiline, count(*)::BIGINT AS rows FROM events, (SELECT 'UTF-8' AS written_as, 'utf-8' AS encoding

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from checks import series as S
 from gridtide.functions.calendar import add_time_features, range_label, year_week
-from gridtide.functions.columns import infer_key_columns, parse_ratios
+from gridtide.functions.columns import infer_key_columns, numeric_exogenous_columns, parse_ratios
 from gridtide.operators import clean, decompose, describe, distribution, forecast, models, relate, score, select, sequence
 from gridtide.operators.position import index_series
 from gridtide.operators.spectrum import classify_components, spectrum
-from gridtide.session import scratch_folder
+from gridtide.plans.analysis import analysis_tables
+from gridtide.session import scratch_folder, stored
 from gridtide.sources import csv
 from gridtide.sources.tables import analysis_scope, component_export, run_metadata, write_clean_series, write_forecast, write_table
 
@@ -288,7 +290,7 @@ query("d3_bounded_component_frame")(lambda s, f: decompose.bounded_component_fra
 def _(spark, folder):
     parts = decompose.decompose(index_series(S.hourly(spark, folder), KEYS), KEYS)
     names = decompose.component_names(parts)
-    return classify_components(decompose.components_long(parts, names, ["event_type", "idx", "n"]), KEYS)
+    return classify_components(stored(decompose.components_long(parts, names, ["event_type", "idx", "n"])), KEYS)
 
 
 @query("d5_reconstruct_bands")
@@ -324,8 +326,11 @@ def _component_forecasts(spark, folder):
 
 @query("f1_scaled_features", 6)
 def _(spark, folder):
-    long = forecast.scaled_components(prepared(spark, folder, RICH))
-    return long.select("event_type", "idx", "component", "z", F.array_size("exog").alias("inputs"))
+    """Scaled components with the scaled calendar inputs that SQL can follow: month, hour, weekday and weekend."""
+    series = prepared(spark, folder, RICH)
+    at = {c: series.exogenous.index(c) + 1 for c in ("hour", "weekday", "is_weekend", "hour_sin")}
+    long = forecast.scaled_components(series)
+    return long.select("event_type", "idx", "component", "z", F.array_size("exog").alias("inputs"), *[F.element_at("exog", i).alias(c) for c, i in at.items()])
 
 
 query("w11_f2ab_component_forecasts")(_component_forecasts)
@@ -379,10 +384,68 @@ def _(spark, folder):
     return forecast.compare_models(forecast.add_fusion_result(results, mean), KEYS)
 
 
+# The published settings on the raw events: lookback 672, horizon 96, six components, calendar inputs.
+DEFAULTS = models.ForecastConfig()
+
+
+def event_series(spark, folder):
+    return forecast.prepare(add_time_features(S.raw_events(spark, folder)), DEFAULTS, KEYS)
+
+
+@query("f4_event_forecast")
+def _(spark, folder):
+    return forecast.run_single(event_series(spark, folder), "moving_average").forecast.drop("n")
+
+
+@query("f5_event_selection", 4)
+def _(spark, folder):
+    return forecast.run_hybrid(event_series(spark, folder), models=PLAIN_MODELS).selection
+
+
+@query("f6_event_best", 4)
+def _(spark, folder):
+    return forecast.run_best(event_series(spark, folder), PLAIN_MODELS).best_method
+
+
+@query("f7_dispatch")
+def _(spark, folder):
+    """The method name ignores case and leads to the single model."""
+    cfg = dataclasses.replace(SHORT, exogenous=False)
+    return forecast.run_forecast(S.hourly(spark, folder), cfg, "Seasonal_Naive", KEYS).forecast.drop("n")
+
+
+@query("f2c_normal_matrix", 4)
+def _(spark, folder):
+    """The sums that the linear model is solved from, by component and place in the matrix."""
+    series = prepared(spark, folder)
+    sums = models.normal_equations(forecast.training_windows(series), series.config, KEYS)
+    return sums.select("event_type", "component", F.posexplode("gram").alias("pos", "v"))
+
+
+@query("t7_exogenous_columns")
+def _(spark, folder):
+    """The model inputs found in a table, each with its sum."""
+    df = add_time_features(S.raw_events(spark, folder)).withColumn("note", F.lit("text"))
+    names = numeric_exogenous_columns(df, KEYS)
+    sums = df.agg(*[F.sum(F.col(c).cast("double")).alias(c) for c in names])
+    return sums.unpivot([], names, "column", "total")
+
+
 query("f12_error_analysis_rows")(lambda s, f: score.for_error_analysis(single(s, f).forecast).drop("n", "idx"))
 query("f13_last_rows")(lambda s, f: forecast.last_week(single(s, f).forecast, 7 * 24).drop("n", "idx"))
 query("f13_last_event_rows")(lambda s, f: forecast.last_week(indexed(s, f)).drop("n"))
 query("f2c_linear_forecast")(lambda s, f: forecast.run_single(prepared(s, f, RICH), "linear").forecast.drop("n"))
+
+
+@query("f2cd_learned_coverage")
+def _(spark, folder):
+    """Every test row of every series has one prediction of each learned model, next to the true value."""
+    series = prepared(spark, folder, RICH)
+    found = forecast.component_forecasts(series, ("linear", "gbt"))
+    fused = forecast.fuse_components(found, [*KEYS, "model"])
+    return fused.select(*KEYS, "model", "idx", "actual_load", (F.col("predicted_load").isNotNull() & ~F.isnan("predicted_load")).alias("predicted"))
+
+
 query("f2d_gbt_forecast")(lambda s, f: forecast.run_single(prepared(s, f, RICH), "gbt").forecast.drop("n"))
 
 # --- error analysis -----------------------------------------------------------------------------
@@ -409,6 +472,24 @@ query("a24_event_qq_fit", 4)(
 query("io8_analysis_scope")(lambda s, f: analysis_scope(S.raw_events(s, f), "all data"))
 
 
+@query("io9_filtered_data")
+def _(spark, folder):
+    """The filtered table of an analysis run, read back."""
+    df = S.raw_events(spark, folder)
+    chosen = df.filter(select.in_range(select.resolve_time_range(df, mode="recent", recent_value=2, recent_unit="weeks")))
+    made = analysis_tables(add_time_features(chosen), "recent", KEYS)["filtered_load_data"]()
+    raw = spark.read.option("header", "true").csv(write_table(made, scratch_folder(spark, "filtered"), "csv"))
+    return raw.select("event_type", F.col("timestamp").cast("timestamp_ntz"), F.col("load").cast("double"))
+
+
+@query("io10_without_residual")
+def _(spark, folder):
+    parts = decompose.component_frame(indexed(spark, folder), 3, KEYS)
+    path = write_table(component_export(parts, decompose.component_names(parts), KEYS, None), scratch_folder(spark, "imfs"), "csv")
+    raw = spark.read.option("header", "true").csv(path)
+    return raw.select("event_type", F.col("timestamp").cast("timestamp_ntz"), *[F.col(c).cast("double") for c in raw.columns if c.startswith("IMF")])
+
+
 @query("io10_component_export")
 def _(spark, folder):
     parts = decompose.component_frame(indexed(spark, folder), 3, KEYS)
@@ -490,3 +571,19 @@ def _(spark, folder):
     target = scratch_folder(spark, "forecast")
     write_forecast(single(spark, folder), target, KEYS)
     return spark.read.schema("event_type string, metric string, value double").option("header", "true").csv(f"{target}/seasonal_naive_metrics")
+
+
+@query("io11_artifact_tables", 4)
+def _(spark, folder):
+    """The numbers of every table that a hybrid run writes, added up by table, series and column."""
+    target = scratch_folder(spark, "forecast")
+    write_forecast(hybrid(spark, folder), target, KEYS)
+    read = spark.read.option("header", "true")
+    tables = {"forecast": read.csv(f"{target}/hybrid_forecast"), "metrics_json": spark.read.json(f"{target}/hybrid_metrics_json"), "component_metrics": read.csv(f"{target}/hybrid_component_metrics"), "selection": read.csv(f"{target}/imf_model_selection")}
+    out = None
+    for name, df in tables.items():
+        numbers = [c for c in df.columns if c in ("actual_load", "predicted_load", "MAE", "RMSE", "MAPE", "R2")]
+        sums = df.groupBy("event_type").agg(F.count(F.lit(1)).alias("rows"), *[F.sum(F.col(c).cast("double")).alias(c) for c in numbers])
+        long = sums.unpivot(["event_type", "rows"], numbers, "column", "total").withColumn("table", F.lit(name))
+        out = long if out is None else out.unionByName(long)
+    return out

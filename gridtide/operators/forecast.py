@@ -11,12 +11,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from gridtide.functions.calendar import add_time_features
 from gridtide.functions.columns import numeric_exogenous_columns
 from gridtide.operators.decompose import component_frame, component_names
-from gridtide.operators.models import MODELS, ForecastConfig, find_model, model_windows
+from gridtide.operators.models import LEARNING, MODELS, ForecastConfig, find_model, model_windows
 from gridtide.operators.position import index_series, tail_rows
 from gridtide.operators.score import METRICS, metrics
 from gridtide.operators.sequence import average_overlaps, impute_means, standardise, test_context, with_split
 from gridtide.operators.skew import attach, lookup
-from gridtide.session import materialise
+from gridtide.session import materialise, stored
 
 # Fixed value: rows of the last-week forecast view, seven days of 15-minute steps.
 LAST_WEEK_ROWS = 7 * 24 * 4
@@ -34,6 +34,7 @@ class ComponentSeries:
     exogenous: list[str]
     config: ForecastConfig
     keys: tuple[str, ...]
+    rejected: DataFrame | None = None  # `keys…, n` of the series without room for both windows
 
     @cached_property
     def scaled(self) -> DataFrame:
@@ -49,10 +50,14 @@ class ForecastResult:
     selection: DataFrame | None = None
     best_method: DataFrame | None = None
     series: ComponentSeries | None = None
+    candidates: tuple[ForecastResult, ...] = ()
 
 
 def prepare(df: DataFrame, cfg: ForecastConfig, keys: Sequence[str] = ()) -> ComponentSeries:
-    """Index, decompose and split every series; a series without room for both windows is an error."""
+    """Index, decompose and split every series.
+
+    Series without room for both windows are left out and listed in `rejected`; if none is left, that is an error.
+    """
     cfg.check()
     keys = tuple(keys)
     exogenous = numeric_exogenous_columns(df, keys) if cfg.exogenous else []
@@ -60,10 +65,13 @@ def prepare(df: DataFrame, cfg: ForecastConfig, keys: Sequence[str] = ()) -> Com
     names = [*component_names(rows), "residual"]
     rows = with_split(rows, cfg.train_ratio, cfg.lookback, cfg.horizon)
     rows = materialise(rows.select(*keys, "timestamp", "load", "idx", "n", "split_idx", *names, *exogenous))
-    short = rows.filter(F.col("n") - F.col("split_idx") < cfg.horizon).select("n").first()
-    if short is not None:
-        raise ValueError(f"A series of {short['n']} rows is too short: lower lookback or horizon, or give a longer range.")
-    return ComponentSeries(rows, names, exogenous, cfg, keys)
+    short = F.col("n") - F.col("split_idx") < cfg.horizon
+    fits = rows.filter(~short)
+    if fits.isEmpty():
+        longest = rows.agg(F.max("n")).first()[0] or 0
+        raise ValueError(f"A series of {longest} rows is too short: lower lookback or horizon, or give a longer range.")
+    rejected = rows.filter(short & (F.col("idx") == 0)).select(*keys, "n")
+    return ComponentSeries(fits, names, exogenous, cfg, keys, rejected)
 
 
 def scaled_components(series: ComponentSeries) -> DataFrame:
@@ -98,9 +106,16 @@ def testing_windows(series: ComponentSeries) -> DataFrame:
 
 
 def component_forecasts(series: ComponentSeries, models: Sequence[str]) -> DataFrame:
-    """`keys…, component, model, idx, actual, predicted`, overlapping predictions averaged."""
+    """`keys…, component, model, idx, actual, predicted`, overlapping predictions averaged.
+
+    Windows are computed once and read by every model, the training windows only if some model learns.
+    """
     groups = [*series.keys, "component"]
     train, test = training_windows(series), testing_windows(series)
+    if any(m.lower() in LEARNING for m in models):
+        train, test = stored(train, "windows"), stored(test, "windows")
+    elif len(models) > 1:
+        test = stored(test, "windows")
     parts = [
         average_overlaps(find_model(m)(train, test, series.config, series.keys), groups).withColumn("model", F.lit(m.lower()))
         for m in models
@@ -224,7 +239,7 @@ def run_best(series: ComponentSeries, models: Sequence[str] | None = None) -> Fo
         frame = part if frame is None else frame.unionByName(part)
     chosen = attach(frame, best.select(*keys, "best_method"), keys).filter(F.col("_method") == F.col("best_method"))
     forecast = materialise(chosen.drop("_method", "best_method"))
-    return ForecastResult("best", forecast, metrics(forecast, keys), None, results[-1].selection, best, series)
+    return ForecastResult("best", forecast, metrics(forecast, keys), None, results[-1].selection, best, series, tuple(results))
 
 
 def run_forecast(df: DataFrame, cfg: ForecastConfig, method: str, keys: Sequence[str] = ()) -> ForecastResult:

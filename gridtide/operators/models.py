@@ -53,13 +53,19 @@ class ForecastConfig:
 
 Model = Callable[[DataFrame, DataFrame, ForecastConfig, Sequence[str]], DataFrame]
 MODELS: dict[str, Model] = {}
+# Names of the models that read the training windows.
+LEARNING: set[str] = set()
 
 
-def register_model(name: str) -> Callable[[Model], Model]:
-    """Add a model under a lower-case name; the order of registration breaks ties in selection."""
+def register_model(name: str, learns: bool = True) -> Callable[[Model], Model]:
+    """Add a model under a lower-case name; the order of registration breaks ties in selection.
+
+    A model that does not learn gets test windows only; its training windows are never computed.
+    """
 
     def add(model: Model) -> Model:
         MODELS[name.lower()] = model
+        (LEARNING.add if learns else LEARNING.discard)(name.lower())
         return model
 
     return add
@@ -108,19 +114,19 @@ def per_step(windows: DataFrame, predicted: Column, keys: Sequence[str]) -> Data
     )
 
 
-@register_model("seasonal_naive")
+@register_model("seasonal_naive", learns=False)
 def seasonal_naive(train: DataFrame, test: DataFrame, cfg: ForecastConfig, keys: Sequence[str]) -> DataFrame:
     """The value one period before the target."""
     return per_step(test, F.col("season"), keys)
 
 
-@register_model("moving_average")
+@register_model("moving_average", learns=False)
 def moving_average(train: DataFrame, test: DataFrame, cfg: ForecastConfig, keys: Sequence[str]) -> DataFrame:
     """The mean of the last rows of the lookback."""
     return per_step(test, F.array_repeat("mean_recent", cfg.horizon), keys)
 
 
-def _normal_equations(train: DataFrame, cfg: ForecastConfig, keys: Sequence[str]) -> DataFrame:
+def normal_equations(train: DataFrame, cfg: ForecastConfig, keys: Sequence[str]) -> DataFrame:
     """`keys…, component, gram`: the flattened normal matrix and right-hand side of every component.
 
     Each batch of rows yields one partial sum per component; the partial sums are added by position.
@@ -168,7 +174,7 @@ def _solver(ridge: float):
 def linear(train: DataFrame, test: DataFrame, cfg: ForecastConfig, keys: Sequence[str]) -> DataFrame:
     """Ridge regression of every future step on the window's features, one fit per series and component."""
     groups = [*keys, "component"]
-    fitted = _normal_equations(train, cfg, keys).select(*groups, _solver(cfg.ridge)("gram").alias("beta"))
+    fitted = normal_equations(train, cfg, keys).select(*groups, _solver(cfg.ridge)("gram").alias("beta"))
     windows = attach(test, fitted, groups)
     base = F.size("features")
     level = F.aggregate(F.zip_with(F.slice("beta", F.lit(1), base), "features", lambda b, x: b * x), F.lit(0.0), lambda s, x: s + x)
@@ -196,13 +202,13 @@ def boosted_trees(train: DataFrame, test: DataFrame, cfg: ForecastConfig, keys:
     """Gradient-boosted trees on the same inputs; one distributed fit per component, shared by all series."""
     from pyspark.ml.regression import GBTRegressor
 
-    learn, score = _step_rows(train, cfg, keys), _step_rows(test, cfg, keys)
     parts = []
-    for (name,) in sorted(train.select("component").distinct().collect()):
+    for (name,) in sorted(train.select("component").distinct().collect()):  # as many as the decomposition has parts
+        learn, score = (_step_rows(w.filter(F.col("component") == name), cfg, keys) for w in (train, test))
         trees = GBTRegressor(
             featuresCol="inputs", labelCol="label", predictionCol="z", maxIter=cfg.tree_rounds, maxDepth=cfg.tree_depth, seed=cfg.seed
-        ).fit(learn.filter(F.col("component") == name))
-        parts.append(trees.transform(score.filter(F.col("component") == name)))
+        ).fit(learn)
+        parts.append(trees.transform(score))
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)

@@ -27,11 +27,13 @@ def spectrum(
     `hours` is the sampling step: one number, or a table `keys…, sampling_hours`. Short series are
     transformed in one task each; series beyond `group_points` go through `_long_amplitudes`.
     """
-    rows = df if "idx" in df.columns and f"total_{value}" in df.columns else index_series(df, keys, totals=[value])
+    ready = "idx" in df.columns and f"total_{value}" in df.columns
+    rows = df if ready else index_series(df, keys, totals=[value])
+    largest = (df if ready else df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))).agg(F.max("n")).first()[0] or 0
     centred = rows.select(*keys, "idx", "n", (F.col(value) - F.col(f"total_{value}") / F.col("n")).alias("x"))
     short = centred.filter(F.col("n") <= group_points)
     amplitudes = _short_amplitudes(short, keys)
-    if not centred.filter(F.col("n") > group_points).isEmpty():
+    if largest > group_points:
         amplitudes = amplitudes.unionByName(_long_amplitudes(centred.filter(F.col("n") > group_points), keys))
     if isinstance(hours, DataFrame):
         step_keys = [k for k in keys if k in hours.columns]

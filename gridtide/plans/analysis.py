@@ -3,27 +3,36 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import cache
 
 from pyspark.sql import DataFrame
 
 from gridtide.operators import describe, distribution, relate
 from gridtide.operators.position import index_series
 from gridtide.operators.spectrum import spectrum
+from gridtide.session import stored
 from gridtide.sources.tables import analysis_scope, write_table
 
 
 def analysis_tables(df: DataFrame, description: str, keys: Sequence[str] = ()) -> dict[str, Callable[[], DataFrame]]:
     """Name to table maker. `df` is a clean, filtered frame with calendar columns, best read from a table.
 
-    Tables are made on demand, so a caller pays only for those it reads.
+    Tables are made on demand, so a caller pays only for those it reads. Positions, differences and the
+    autocorrelation are stored when first asked for and read by all tables that need them.
     """
     keys = list(keys)
 
+    @cache
     def indexed() -> DataFrame:
-        return index_series(df, keys)
+        return stored(index_series(df, keys, totals=["load"]), "indexed")
 
+    @cache
     def ramps() -> DataFrame:
-        return relate.differences(indexed(), keys)
+        return stored(relate.differences(indexed(), keys).select(*keys, "timestamp", "ramp", "diff2"), "ramps")
+
+    @cache
+    def acf() -> DataFrame:
+        return stored(relate.autocorrelation(df, keys), "acf")
 
     tables: dict[str, Callable[[], DataFrame]] = {
         "analysis_scope": lambda: analysis_scope(df, description),
@@ -39,12 +48,12 @@ def analysis_tables(df: DataFrame, description: str, keys: Sequence[str] = ()) -
         "load_histogram": lambda: distribution.histogram(df, "load", distribution.LOAD_BINS, keys),
         "load_density": lambda: distribution.density(df, "load", distribution.LOAD_BINS, keys),
         "load_ecdf": lambda: distribution.empirical_cdf(df, "load", keys),
-        "differences": lambda: ramps().select(*keys, "timestamp", "ramp", "diff2"),
-        "acf": lambda: relate.autocorrelation(df, keys),
-        "pacf": lambda: relate.partial_autocorrelation(relate.autocorrelation(df, keys), keys),
+        "differences": ramps,
+        "acf": acf,
+        "pacf": lambda: relate.partial_autocorrelation(acf(), keys),
         "lag_pairs": lambda: relate.lag_pairs(indexed(), keys),
         "correlation_matrix": lambda: relate.load_correlations(df, keys),
-        "spectrum": lambda: spectrum(df.select(*keys, "timestamp", "load"), keys, hours=relate.sampling_hours(df, keys)),
+        "spectrum": lambda: spectrum(indexed().select(*keys, "timestamp", "load", "idx", "n", "total_load"), keys, hours=relate.sampling_hours(df, keys)),
     }
     for scale in describe.SCALES:
         tables[f"{scale}_statistics"] = lambda scale=scale: describe.describe_scale(df, scale, keys)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import cache
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -13,6 +14,7 @@ from gridtide.operators.models import ForecastConfig
 from gridtide.operators.relate import sampling_hours
 from gridtide.operators.spectrum import classify_components, component_spectra
 from gridtide.plans.analysis import write_all
+from gridtide.session import stored
 from gridtide.sources.tables import component_export, write_table
 
 Tables = dict[str, Callable[[], DataFrame]]
@@ -24,11 +26,13 @@ def component_tables(series: ComponentSeries) -> Tables:
     names = [c for c in series.components if c.startswith("imf_")]
     rest = next(c for c in series.components if c not in names)
 
+    @cache
     def long() -> DataFrame:
-        return components_long(rows, names, [*keys, "idx", "n"])
+        return stored(components_long(rows, names, [*keys, "idx", "n"]), "components")
 
+    @cache
     def hours() -> DataFrame:
-        return sampling_hours(rows, keys)
+        return stored(sampling_hours(rows, keys), "hours")
 
     return {
         "emd_components": lambda: component_export(rows, names, keys, rest),

@@ -20,6 +20,8 @@ def build_session(app: str = "gridtide", master: str | None = None, **conf: str)
         # GB18030, GBK and Big5 input files need the full set of JVM charsets.
         "spark.sql.legacy.javaCharsets": "true",
         "spark.ui.enabled": "false",
+        # Checkpoints go when nothing refers to them any more; `drop_scratch` removes stored tables.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     builder = SparkSession.builder.appName(app)
@@ -63,3 +65,14 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     folder = scratch_folder(df.sparkSession, name)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove everything that this session wrote below the checkpoint folder, at the end of a run.
+
+    Frames that read stored or checkpointed tables cannot be used afterwards.
+    """
+    folder = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if folder.isDefined():
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder.get())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

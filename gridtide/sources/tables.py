@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -80,7 +81,10 @@ def _metric_lines(table: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def write_forecast(result: ForecastResult, folder: str, keys: Sequence[str] = (), fmt: str = "csv") -> list[str]:
-    """Forecast, metrics (table, text, JSON), component metrics, selection and best-method summary."""
+    """Forecast, metrics (table, text, JSON), component metrics, selection and best-method summary.
+
+    The best of several methods brings the tables of every candidate along; series that were too short are listed.
+    """
     name, keys = result.method, list(keys)
     columns = [*keys, "timestamp", "actual_load", "predicted_load", "error"]
     written = [
@@ -99,4 +103,8 @@ def write_forecast(result: ForecastResult, folder: str, keys: Sequence[str] = ()
         lead = F.concat_ws("/", *[F.col(k).cast("string") for k in keys], F.lit("best_method: ")) if keys else F.lit("best_method: ")
         line = best.select(F.concat(lead, "best_method").alias("value"))
         written.append(write_table(line.unionByName(_metric_lines(best, keys)), f"{folder}/best_method_summary", "text"))
+    for candidate in result.candidates:
+        written += write_forecast(dataclasses.replace(candidate, series=None), folder, keys, fmt)
+    if result.series is not None and result.series.rejected is not None and keys:
+        written.append(write_table(result.series.rejected, f"{folder}/rejected_series", fmt))
     return written
