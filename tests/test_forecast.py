@@ -126,12 +126,24 @@ def test_bad_requests(two):
         fc.run_forecast(two, CFG, "prophet", ["k"])
     with pytest.raises(ValueError):
         models.find_model("none")
-    with pytest.raises(ValueError):
-        fc.prepare(two, models.ForecastConfig(lookback=190, horizon=20, exogenous=False), ["k"])
+    with pytest.raises(ValueError):  # no series is long enough
+        fc.prepare(two, models.ForecastConfig(lookback=250, horizon=20, exogenous=False), ["k"])
     with pytest.raises(ValueError):
         fc.prepare(two, models.ForecastConfig(lookback=10, horizon=20), ["k"])
 
 
+def test_short_series_are_listed_and_the_others_go_on(two, tmp_path):
+    from gridtide.sources.tables import write_forecast
+
+    cfg = models.ForecastConfig(lookback=190, horizon=20, imf_components=1, exogenous=False)
+    series = fc.prepare(two, cfg, ["k"])
+    assert [tuple(r) for r in series.rejected.collect()] == [("b", 200)]
+    best = fc.run_best(series, ["seasonal_naive", "moving_average"])
+    assert {r["k"] for r in best.forecast.select("k").distinct().collect()} == {"a"}
+    written = {p.rsplit("/", 1)[1] for p in write_forecast(best, str(tmp_path), ["k"])}
+    assert {"rejected_series", "best_forecast", "seasonal_naive_forecast", "moving_average_forecast", "hybrid_forecast", "hybrid_component_metrics"} <= written
+
+
 def test_user_model(two):
     @models.register_model("zero")
     def zero(train, test, cfg, keys):
