@@ -18,6 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from gridtide.llm import words as W
+from gridtide.session import stored
 
 K1, B = 1.2, 0.75
 SCORE, OVERLAP, GRAM = 0.6, 0.5, 3
@@ -63,18 +64,29 @@ def split_item(text: str) -> tuple[str, str]:
     return " ".join(words[:cut]), " ".join(words[cut:])
 
 
-def build(ids: np.ndarray, texts: list[str], score: float = SCORE) -> Index:
-    """The index of some items; items without words cannot be found and are left out."""
-    hasher = W.Hasher()
+class Statistics(NamedTuple):
+    """What scores take from all items, whichever of them an index holds; items without words are not counted."""
+
+    items: int
+    words: int
+    longest: int  # words of the longest item
+    terms: np.ndarray  # sorted hashes, with all those of the index among them
+    df: np.ndarray  # items that have the term
+
+
+def _hashes(values: list[str], hasher: W.Hasher) -> list[np.ndarray]:
+    """The word hashes of each text."""
+    out = []
+    for b in W.blocks(pc.utf8_lower(pa.array(values, pa.string())), apart=W.SIGNS):
+        h = hasher(b.data, b.starts, b.ends)
+        out += [h[b.bounds[i] : b.bounds[i + 1]] for i in range(b.rows)]
+    return out
 
-    def hashes(values: list[str]) -> list[np.ndarray]:
-        out = []
-        for b in W.blocks(pc.utf8_lower(pa.array(values, pa.string())), apart=W.SIGNS):
-            h = hasher(b.data, b.starts, b.ends)
-            out += [h[b.bounds[i] : b.bounds[i + 1]] for i in range(b.rows)]
-        return out
 
-    found = hashes(texts)
+def build(ids: np.ndarray, texts: list[str], score: float = SCORE, whole: Statistics | None = None) -> Index:
+    """The index of some items, weighted by the statistics of all (none: these are all); items without words cannot be found and are left out."""
+    hasher = W.Hasher()
+    found = _hashes(texts, hasher)
     some = [i for i, h in enumerate(found) if len(h)]
     ids, texts, found = ids[some], [texts[i] for i in some], [found[i] for i in some]
     sizes = np.array([len(h) for h in found], np.int64)
@@ -82,9 +94,11 @@ def build(ids: np.ndarray, texts: list[str], score: float = SCORE) -> Index:
     item = np.repeat(np.arange(len(ids)), sizes)
     pairs, tf = np.unique(term * max(len(ids), 1) + item, return_counts=True)
     term, item = pairs // max(len(ids), 1), pairs % max(len(ids), 1)
-    df = np.bincount(term, minlength=len(terms))
-    idf = np.log(1 + (len(ids) - df + 0.5) / (df + 0.5))
-    parts = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[item] / max(sizes.mean() if len(sizes) else 1, 1)))
+    if whole is None:
+        whole = Statistics(len(ids), int(sizes.sum()), int(sizes.max()) if len(sizes) else 1, terms, np.bincount(term, minlength=len(terms)))
+    df = whole.df[np.searchsorted(whole.terms, terms)]
+    idf = np.log(1 + (whole.items - df + 0.5) / (df + 0.5))
+    parts = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[item] / max(whole.words / max(whole.items, 1), 1)))
     parts = parts / np.bincount(item, parts, len(ids))[item] if len(ids) else parts
     starts = np.searchsorted(term, np.arange(len(terms) + 1))
     most = np.maximum.reduceat(parts, starts[:-1]) if len(terms) else parts
@@ -98,8 +112,8 @@ def build(ids: np.ndarray, texts: list[str], score: float = SCORE) -> Index:
         heavy[t] = False
     near = np.zeros(1 << SMALL_TABLE_BITS, bool)
     near[(terms[heavy] >> np.uint64(64 - SMALL_TABLE_BITS)).astype(np.int64)] = True
-    halves = [hashes(list(x)) if x else [] for x in zip(*map(split_item, texts))] or [[], []]
-    return Index(ids, terms, starts, item, parts, most, heavy, light, near, *([_own_grams(h) for h in half] for half in halves), int(sizes.max()) if len(sizes) else 1)
+    halves = [_hashes(list(x), hasher) if x else [] for x in zip(*map(split_item, texts))] or [[], []]
+    return Index(ids, terms, starts, item, parts, most, heavy, light, near, *([_own_grams(h) for h in half] for half in halves), whole.longest)
 
 
 def block_max_wand(index: Index, terms: np.ndarray, score: float) -> dict[int, float]:
@@ -211,19 +225,46 @@ def find_leaks(
     first), `passages` how many hold the item. Null or empty texts have no leaks; items that are null, empty or without
     an id are not looked for; items with equal ids count as one, whichever is found. Repeated rows get equal results.
     The items are indexed `index_bytes` at a time, each index in a pass of its own over the documents, because an index
-    is sent to all tasks.
+    is sent to all tasks. Weights and passage lengths come from all items, so results do not depend on `index_bytes`.
     """
     docs = docs.drop("leaks")
     items = items.select(F.col(item_id).cast("long").alias("id"), F.col(item_text).alias("text")).filter("id IS NOT NULL AND text IS NOT NULL").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     rounds = max(1, -(-total // index_bytes))
     out = docs.withColumn("leaks", F.array().cast(MATCH))
+    items = items.withColumn("round", F.pmod(F.xxhash64("id"), F.lit(rounds)))
+    whole = _statistics(items) if rounds > 1 else lambda k: None
     for k in range(rounds):
-        part = items.filter(F.pmod(F.xxhash64("id"), F.lit(rounds)) == k).toArrow().sort_by([("id", "ascending"), ("text", "ascending")])
-        out = _pass(out, docs.sparkSession.sparkContext.broadcast(build(part["id"].to_numpy(), part["text"].to_pylist(), score)), text, score, overlap)
+        part = items.filter(F.col("round") == k).toArrow().sort_by([("id", "ascending"), ("text", "ascending")])
+        out = _pass(out, docs.sparkSession.sparkContext.broadcast(build(part["id"].to_numpy(), part["text"].to_pylist(), score, whole(k))), text, score, overlap)
     return out
 
 
+def _statistics(items: DataFrame):
+    """A function that gives the statistics of all items for the terms of one round, from `text, round`."""
+
+    def run(batches):
+        hasher = W.Hasher()
+        for batch in batches:
+            found = _hashes(batch["text"].to_pylist(), hasher)
+            terms = [np.unique(h).view(np.int64) for h in found]
+            yield pa.RecordBatch.from_pydict({"round": batch["round"], "n": pa.array([len(h) for h in found], pa.int64()), "terms": pa.array(terms, pa.list_(pa.int64()))})
+
+    found = stored(items.select("text", "round").mapInArrow(run, "round long, n long, terms array<long>").filter("n > 0"), "item_terms")
+    total = found.agg(F.count(F.lit(1)), F.sum("n"), F.max("n")).first()
+    terms = found.select("round", F.explode("terms").alias("term")).groupBy("round", "term").agg(F.count(F.lit(1)).alias("n"))
+    terms = terms.groupBy("term").agg(F.sum("n").alias("df"), F.collect_list("round").alias("rounds"))  # at most one entry per round
+    terms = stored(terms, "item_df")
+
+    def of(k: int) -> Statistics:
+        own = terms.filter(F.array_contains("rounds", F.lit(k).cast("long"))).select("term", "df").toArrow()
+        hashes, df = own["term"].to_numpy().view(np.uint64), own["df"].to_numpy()
+        order = np.argsort(hashes)
+        return Statistics(total[0], total[1] or 0, total[2] or 1, hashes[order], df[order])
+
+    return of
+
+
 def _pass(docs: DataFrame, sent, text: str, score: float, overlap: float) -> DataFrame:
     def run(batches):
         index, hasher = sent.value, W.Hasher()

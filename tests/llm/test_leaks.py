@@ -58,6 +58,25 @@ def test_planted_items_are_found_and_nothing_else(spark):
         assert all(m["question_overlap"] == 1 and m["score"] > 0.99 for r in found.collect() for m in r.leaks)
 
 
+def test_partial_copies_do_not_depend_on_the_rounds(spark):
+    """Copies that lose words or have them replaced, around the threshold; items of very different lengths."""
+    rng, rows = random.Random(5), items(40)
+    rows += [(i, " ".join(words(rng, n)) + ". " + " ".join(words(rng, 6)) + ".") for i, n in ((100, 90), (101, 150))]
+    texts = []
+    for k in range(300):
+        item = rows[rng.randrange(len(rows))][1].split(" ")
+        lost = rng.uniform(0.2, 0.6)
+        copy = [w if rng.random() > lost else f"new{rng.randrange(99)}" for w in item[: rng.randint(len(item) // 2, len(item))]]
+        texts.append((k, " ".join(words(rng, rng.randint(0, 60)) + copy + words(rng, rng.randint(0, 60))), "", "", 0))
+    docs, table = spark.createDataFrame(texts, SCHEMA), spark.createDataFrame([*rows, (901, " . ")], "item_id long, text string")
+    results = []
+    for size in (leaks.INDEX_BYTES, 3000, 600):
+        found = leaks.find_leaks(docs, table, overlap=0.0, index_bytes=size).collect()
+        results.append(sorted((r.doc_id, m["item"], round(m["score"], 9), m["question_overlap"], m["answer_overlap"], m["first_word"], m["passages"]) for r in found for m in r.leaks))
+    assert results[0] == results[1] == results[2]
+    assert sum(0.6 <= x[2] < 0.7 for x in results[0]) >= 5
+
+
 def test_no_items_or_documents(spark, docs, nothing):
     none = spark.createDataFrame([], "item_id long, text string")
     assert leaks.find_leaks(docs, none).filter("size(leaks) > 0").count() == 0
