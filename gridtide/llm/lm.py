@@ -1,4 +1,4 @@
-"""Language-model scores: a log-bilinear model trained with noise-contrastive estimation.
+"""Language-model scores: exact word pairs over a log-bilinear model trained with noise-contrastive estimation.
 
 The corpus is kept in chunks. Word counts are summed up per chunk, settled by ranges of word hashes and sent back to the
 chunks that have the words, so every token's exact count is at hand where its text is. The commonest words get a class
@@ -6,10 +6,15 @@ of their own, all others share one and are told apart by their smoothed counts.
 classes before it: the context's vector is a sum of one matrix product per place, the score its product with the
 class's output vector plus a bias.
 
-Training reads the counts of all class trigrams of the training rows, at most classes cubed however large the corpus.
-They are dealt out to a fixed number of parts; in each round every part runs its own steps from the same parameters,
-and the driver averages a fixed number of parameter sets. Probabilities are normalised: the sum over all classes is
-taken once for every possible context, by batched matrix products.
+Training reads the counts of all class trigrams of the training rows, at most classes cubed however large the corpus;
+every occurrence counts in every round. They are dealt out to a fixed number of parts; in each round every part runs its
+own steps from the same parameters, and the driver averages a fixed number of parameter sets. Probabilities are
+normalised: the sum over all classes is taken once for every possible context, by batched matrix products.
+
+What is known of single words, with or without a class, grows with the corpus: the counts of all pairs of neighbouring
+words are settled like the words' own. A word's probability after the word before it is (pairs + s * m) / (count + s), m
+being the class model's probability and `count` that of the word before; it adds up to one. The strength s is fitted by
+range of `count` on all training tokens, each judged by the counts without itself.
 """
 
 from __future__ import annotations
@@ -27,7 +32,10 @@ CLASSES, WIDTH, PARTS, ROUNDS, NOISE = 512, 24, 8, 3, 128
 MODULUS, HELD = 7, 2
 BEGIN, REST = 0, 1  # the class before a text, and the class of all words without one of their own
 END_KEY = np.uint64(0x5EED0FE4D)  # stands for the end of a text among the word hashes
+BEGIN_KEY = np.uint64(0x5EED0BE61)  # stands for the place before a text in word pairs
 LOG10 = np.log(10.0)
+PAIR_RANGES = 4  # ranges of word pairs for each range of words, as there are more of them
+STRENGTHS = np.array([1e12, *4.0 ** np.arange(8, -2, -1)])  # candidates; the first leaves the class model alone
 BATCH, RATE, LEAST_STEPS = 512, 0.1, 200
 
 
@@ -63,6 +71,18 @@ class Tokens:
         self.counts = np.concatenate(counts) if counts else np.zeros(0, np.int64)
         self.bounds = np.r_[0, np.cumsum(self.counts)]
 
+    def pairs(self) -> np.ndarray:
+        """Hashes of each token and the one before it."""
+        before = np.r_[BEGIN_KEY, self.key[:-1]][: len(self.key)]
+        before[self.bounds[:-1]] = BEGIN_KEY
+        return W.mix(W.mix(before) + self.key)
+
+    def before(self, count: np.ndarray) -> np.ndarray:
+        """The count of the token before each; before a text, that of the ends, one for each text."""
+        out = np.r_[0, count[:-1]][: len(count)]
+        out[self.bounds[:-1]] = count[self.bounds[1:] - 1]
+        return out
+
     def per_text(self, values: np.ndarray) -> np.ndarray:
         return np.add.reduceat(values, self.bounds[:-1]) if len(self.counts) else np.zeros(0)
 
@@ -111,6 +131,12 @@ def _sum_up(top: int):
     return work
 
 
+def _sum_pairs(g: C.Gathered) -> pa.Table:
+    """Totals of every pair of a range, sent back to the chunks."""
+    keys, inverse = np.unique(g.keys, return_inverse=True)
+    return g.answer(totals=np.bincount(inverse, g.column("counts"), len(keys)).astype(np.int64)[inverse])
+
+
 def _start(classes: int, width: int) -> np.ndarray:
     """Parameters in one array of classes x (3 width + 1): two context tables, the output table and the bias."""
     rng = np.random.default_rng(7)
@@ -119,23 +145,33 @@ def _start(classes: int, width: int) -> np.ndarray:
     return out
 
 
+def pieces_of(count: np.ndarray, rng: np.random.Generator, least: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in random order and their weights, on average 1 or less. Counts above the mean are cut into equal pieces, so
+    steps stay small, and every pass (as many as give `least` pieces) holds all occurrences exactly once."""
+    mean = count.sum() / len(count)
+    cuts = np.ceil(count / mean).astype(np.int64)
+    rows = np.repeat(np.arange(len(count)), cuts)
+    order = np.concatenate([rng.permutation(len(rows)) for _ in range(max(1, -(-least // len(rows))))])
+    return rows[order], (count / cuts / mean)[rows[order]]
+
+
 def nce_steps(params: np.ndarray, code: np.ndarray, count: np.ndarray, unigram: np.ndarray, seed: int, noise: int = NOISE, batch: int = BATCH, rate: float = RATE) -> np.ndarray:
-    """One pass over weighted trigrams by AdaGrad; each batch is set against `noise` classes drawn from the unigram shares."""
+    """One pass over all trigrams by AdaGrad; each batch is set against `noise` classes drawn from the unigram shares."""
     classes, width = len(params), (params.shape[1] - 1) // 3
     rng = np.random.default_rng(seed)
     a, b, c = code // classes**2, code // classes % classes, code % classes
     p, seen = params.copy(), np.full(params.shape, 1e-8)
     log_noise = np.log(noise * np.maximum(unigram, 1e-12))
-    # Rows are drawn by their counts, so common trigrams come more than once and steps stay small.
-    drawn = rng.choice(len(code), size=max(len(code), LEAST_STEPS * batch), p=count / count.sum())
+    drawn, share = pieces_of(count, rng, LEAST_STEPS * batch)
     for lo in range(0, len(drawn), batch):
-        i = drawn[lo : lo + batch]
+        i, weight = drawn[lo : lo + batch], share[lo : lo + batch, None]
         x, y, w = a[i], b[i], c[i]
         z = rng.choice(classes, noise, p=unigram)
         h = p[x, :width] + p[y, width : 2 * width]
         q, qz = p[w, 2 * width : 3 * width], p[z, 2 * width : 3 * width]
         good = 1 / (1 + np.exp(-np.clip((h * q).sum(1) + p[w, -1] - log_noise[w], -30, 30))) - 1
-        bad = 1 / (1 + np.exp(-np.clip(h @ qz.T + p[z, -1] - log_noise[z], -30, 30)))
+        good *= weight[:, 0]
+        bad = weight / (1 + np.exp(-np.clip(h @ qz.T + p[z, -1] - log_noise[z], -30, 30)))
         slope = np.zeros_like(p)
         to_h = good[:, None] * q + bad @ qz
         np.add.at(slope[:, :width], x, to_h)
@@ -165,7 +201,8 @@ def score(
 
     Learns from the rows whose crc32 of the id as text leaves a remainder other than 2 by 7 (null id: the empty text).
     Tokens: words outside white space with A-Z lower-cased, then one end; a null or empty text is an end alone.
-    `base_score` sums log10((c + 1) / (N + V + 1)), `score` is the model's log10 probability. Repeated rows count each.
+    `base_score` sums log10((c + 1) / (N + V + 1)), `score` is the log10 probability by word pairs and the class model.
+    Repeated rows count each.
     Without training rows every count is 0 and all classes are equally likely.
     """
     held = F.crc32(F.coalesce(F.col(id).cast("string"), F.lit("")).cast("binary")) % MODULUS == HELD
@@ -192,32 +229,92 @@ def score(
     common = F.filter(F.arrays_zip("keys", "counts"), lambda x: x["counts"] >= floor)
     listed = sums.select(F.inline(common)).orderBy(F.desc("counts"), "keys").limit(classes).toPandas()
     model = _train(kept, listed["keys"].to_numpy(np.int64).view(np.uint64), listed["counts"].to_numpy(np.int64), int(total), int(vocabulary), width, rounds, parts)
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # tables of fixed size
+    context = docs.sparkSession.sparkContext
+    sent = context.broadcast(model)  # tables of fixed size
 
-    def judge(key, left, right):
-        m: Model = sent.value
+    def emit_pairs(batches):
+        for batch in batches:
+            for chunk, payload in zip(batch["chunk"].to_pylist(), batch["payload"]):
+                table = C.unpack(payload.as_buffer())
+                tokens = Tokens(table["text"].combine_chunks())
+                learned = np.repeat(~table["held"].to_numpy(), tokens.counts)
+                keys, inverse = np.unique(tokens.pairs(), return_inverse=True)
+                rows = C.by_range(chunk, keys, PAIR_RANGES * n, counts=np.bincount(inverse[learned], minlength=len(keys)).astype(np.int32))
+                if rows is not None:
+                    yield rows
+
+    paired = kept.mapInArrow(emit_pairs, "chunk long, part long, keys array<long>, counts array<int>")
+    paired = stored(C.settle(paired, _sum_pairs, "chunk long, part long, totals array<long>"), "pairs")
+    answers = counted.filter("chunk IS NOT NULL").select("chunk", "part", "totals", F.lit(False).alias("pair"))
+    answers = answers.unionAll(paired.select("chunk", "part", "totals", F.lit(True).alias("pair")))
+    known = kept.select("chunk", "payload").groupBy("chunk").cogroup(answers.groupBy("chunk"))
+
+    def counts_of(left, right):
+        """The chunk's rows and tokens, and every token's own count, its pair's, and that of the one before it."""
         table = C.unpack(left["payload"][0].as_buffer())
         tokens = Tokens(table["text"].combine_chunks())
-        keys, inverse = np.unique(tokens.key, return_inverse=True)
-        totals = right.sort_by("part")["totals"].combine_chunks().flatten().to_numpy()
-        count, cls = totals[inverse], _class_of(keys, m.keys, m.classes, m.near)[inverse]
-        log_count = np.log10(totals + 1.0)[inverse]
-        two, one = _contexts(cls, tokens)
-        parts = np.empty(len(cls))
-        for lo in range(0, len(cls), 1 << 16):
-            s = slice(lo, lo + (1 << 16))
-            parts[s] = np.einsum("ij,ij->i", m.first[two[s]] + m.second[one[s]], m.output[cls[s]]) + m.bias[cls[s]] - m.log_sum[two[s], one[s]]
-        parts = parts / LOG10 + np.where(cls == REST, log_count - m.rest, 0.0)
+        count, pairs = (
+            right.filter(right["pair"] if pair else pa.compute.invert(right["pair"])).sort_by("part")["totals"].combine_chunks().flatten().to_numpy()[np.unique(keys, return_inverse=True)[1]]
+            for pair, keys in ((False, tokens.key), (True, tokens.pairs()))
+        )
+        return table, tokens, count, pairs, tokens.before(count)
+
+    def fit(key, left, right):
+        table, tokens, count, pairs, before = counts_of(left, right)
+        at = np.flatnonzero(np.repeat(~table["held"].to_numpy(), tokens.counts))
+        log_class = _class_scores(sent.value, tokens, count, 1)
+        sums = np.zeros((len(STRENGTHS), 64))
+        for lo in range(0, len(at), 1 << 16):
+            i = at[lo : lo + (1 << 16)]
+            p, bins = 10 ** log_class[i], _bins(before[i])
+            for k, s in enumerate(STRENGTHS):
+                sums[k] += np.bincount(bins, np.log10((pairs[i] - 1 + s * p) / (before[i] - 1 + s)), 64)
+        some = np.flatnonzero(sums.any(axis=0))
+        return pa.table({"bin": pa.array(some, pa.int64()), "sums": pa.array(list(sums.T[some]), pa.list_(pa.float64()))})
+
+    fitted = known.applyInArrow(fit, "bin long, sums array<double>").groupBy("bin").agg(*[F.sum(F.get("sums", F.lit(k))).alias(f"s{k}") for k in range(len(STRENGTHS))])
+    strength = np.full(64, STRENGTHS[0])
+    for row in fitted.collect():  # a row for each power of two
+        strength[row[0]] = STRENGTHS[int(np.argmax(row[1:]))]
+    strength[0] = strength[1]  # a word seen once says nothing without itself
+
+    def judge(key, left, right):
+        table, tokens, count, pairs, before = counts_of(left, right)
+        log_class = _class_scores(sent.value, tokens, count, 0)
+        parts = _mixed(pairs, before, log_class, strength[_bins(before)])
         return pa.table({
             "id": table[id], "held_out": table["held"], "n_tokens": pa.array(tokens.counts), "n_known": pa.array(tokens.per_text((count > 0).astype(np.int64)).astype(np.int64)),
-            "train_tokens": pa.array(np.full(len(tokens.counts), m.tokens, np.int64)), "base_score": pa.array(tokens.per_text(log_count) - tokens.counts * np.log10(m.tokens + m.words + 1.0)),
+            "train_tokens": pa.array(np.full(len(tokens.counts), total, np.int64)), "base_score": pa.array(tokens.per_text(np.log10(count + 1.0)) - tokens.counts * np.log10(total + vocabulary + 1.0)),
             "score": pa.array(tokens.per_text(parts)),
         })
 
     kind = docs.schema[id].dataType
     schema = T.StructType([T.StructField("id", kind), T.StructField("held_out", T.BooleanType())] + [T.StructField(x, T.LongType()) for x in ("n_tokens", "n_known", "train_tokens")] + [T.StructField(x, T.DoubleType()) for x in ("base_score", "score")])
-    answers = counted.filter("chunk IS NOT NULL").select("chunk", "part", "totals")
-    return kept.select("chunk", "payload").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(judge, schema).withColumnRenamed("id", id)
+    return known.applyInArrow(judge, schema).withColumnRenamed("id", id)
+
+
+def _bins(count: np.ndarray) -> np.ndarray:
+    """The power of two at or below each count; 0 for none."""
+    return np.log2(np.maximum(count, 1)).astype(np.int64)
+
+
+def _mixed(pairs: np.ndarray, before: np.ndarray, log_class: np.ndarray, strength: np.ndarray) -> np.ndarray:
+    """The log10 probability of tokens from the counts of their pairs and of the tokens before; unknown ones leave the class model alone."""
+    return np.where(before > 0, np.log10((pairs + strength * 10**log_class) / (before + strength)), log_class)
+
+
+def _class_scores(m: Model, tokens: Tokens, count: np.ndarray, left_out: int) -> np.ndarray:
+    """The class model's log10 probability of each token, its own count less by `left_out`."""
+    cls = _class_of(tokens.key, m.keys, m.classes, m.near)
+    two, one = _contexts(cls, tokens)
+    out = np.empty(len(cls))
+    for lo in range(0, len(cls), 1 << 16):
+        s = slice(lo, lo + (1 << 16))
+        out[s] = np.einsum("ij,ij->i", m.first[two[s]] + m.second[one[s]], m.output[cls[s]]) + m.bias[cls[s]] - m.log_sum[two[s], one[s]]
+    rest = cls == REST
+    out /= LOG10
+    out[rest] += np.log10(np.maximum(count[rest] + 1.0 - left_out, 1.0)) - np.log10(10**m.rest - left_out)
+    return out
 
 
 def _train(kept: DataFrame, keys: np.ndarray, counts: np.ndarray, total: int, vocabulary: int, width: int, rounds: int, parts: int) -> Model:

@@ -47,6 +47,39 @@ def test_model_beats_the_base_on_held_out_text(spark):
     assert sum(r.score for r in scored) > 0.75 * sum(r.base_score for r in scored)
 
 
+def test_words_without_a_class_are_learned(spark):
+    """Far more words than classes, each of which says which one follows: only exact pairs can know."""
+    rng, rows = random.Random(3), []
+    for i in range(300):
+        at, text = rng.randrange(400), []
+        for _ in range(60):
+            text.append(f"w{at}")
+            at = (at * 7 + 1) % 400 if rng.random() < 0.9 else rng.randrange(400)
+        rows.append((i, " ".join(text), "", "", 0))
+    for chunk_bytes in (3000, 1 << 22):
+        scored = [r for r in lm.score(spark.createDataFrame(rows, SCHEMA), classes=8, rounds=1, chunk_bytes=chunk_bytes).collect() if r.held_out]
+        assert sum(r.score for r in scored) > 0.6 * sum(r.base_score for r in scored)
+
+
+def test_pair_probabilities_add_up():
+    """Over all words after one context, with or without a count."""
+    rng = np.random.default_rng(4)
+    lower = rng.dirichlet(np.ones(30))
+    for strength in (0.25, 16.0, 1e12):
+        for pairs in (np.zeros(30), rng.poisson(0.5, 30) * rng.integers(1, 9, 30)):
+            out = 10 ** lm._mixed(pairs, np.full(30, pairs.sum()), np.log10(lower), np.full(30, strength))
+            assert abs(out.sum() - 1) < 1e-6 and (out[pairs > 0] > 0).all()
+
+
+def test_every_occurrence_counts_once_in_each_pass():
+    count = np.array([1.0, 2, 50, 7, 1, 1, 300])
+    rows, share = lm.pieces_of(count, np.random.default_rng(1))
+    assert np.allclose(np.bincount(rows, share, len(count)), count / count.mean())
+    rows, share = lm.pieces_of(count, np.random.default_rng(1), 100)
+    passes = np.bincount(rows, share, len(count)) / (count / count.mean())
+    assert len(rows) >= 100 and np.allclose(passes, round(passes[0]))
+
+
 def test_probabilities_add_up():
     rng = np.random.default_rng(2)
     p = rng.normal(size=(9, 13))
