@@ -1,6 +1,7 @@
 """License scans: an exact set-similarity join between text blocks and license templates.
 
-Everything is DataFrame code. A block is a line; a template is found in it if at least the threshold's share of the
+Everything is DataFrame code. A block is a line or, with `wrapped`, a line and as many of the words after it as the longest
+template can still need, so that a template which begins in it is whole however it is broken into lines. A template is found in it if at least the threshold's share of the
 template's distinct words is in the block. Words are put in one global order, rare ones first, by the number of blocks of the
 corpus that have them. Two sets that share `need` words of a template share one of its first `size - need + 1` words
 (prefix filter); a block needs at least `need` of the templates' words (length filter); and the places of a shared word
@@ -62,14 +63,15 @@ def _phrase(norm: str, phrase: str) -> Column:
 
 
 def scan(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", phrases: dict[str, str] = PHRASES, templates: tuple[tuple[str, str], ...] = TEMPLATES, contained: float = CONTAINED
+    docs: DataFrame, id: str = "doc_id", text: str = "text", phrases: dict[str, str] = PHRASES, templates: tuple[tuple[str, str], ...] = TEMPLATES, contained: float = CONTAINED, wrapped: bool = False
 ) -> DataFrame:
     """One row per row of `docs`: `id`, `n_words, n_base, first_word, last_word, base_labels, labels, score, matches`.
 
     The base columns tell where the words of a phrase stand one after the other, anywhere in the text. `matches` has
     `block, template, share` of every line (from 0) and template (by its place) that meet the threshold; `labels` adds
     the templates' labels; `score` is the largest share, 1 where a phrase is found, 0 where nothing is. Words are ASCII
-    letters and digits and everything beyond ASCII, lower-cased. Null text: no words. Rows with equal or null ids are
+    letters and digits and everything beyond ASCII, lower-cased. With `wrapped`, a block is its line and the words after it,
+    one less than the longest template has; the block's number is that of its first line. Null text: no words. Rows with equal or null ids are
     kept apart. Without templates only the base is reported.
     """
     sets = [sorted(set(words_of(t))) for _, t in templates]
@@ -77,10 +79,13 @@ def scan(
     vocabulary = sorted({w for s in sets for w in s}) or [""]
     lines = F.split(F.regexp_replace("__low", OTHER_BUT_BREAKS, " "), "\n")
     known = lambda line: F.filter(F.array_distinct(F.split(line, " ")), lambda w: w.isin(vocabulary))
+    listed = F.filter(F.transform(lines, lambda line, i: F.struct(i.alias("block"), F.transform(F.filter(F.split(line, " "), lambda w: w != ""), lambda w: F.when(w.isin(vocabulary), w).otherwise("")).alias("words"))), lambda b: F.size(b["words"]) > 0)
     blocks = F.filter(F.transform(lines, lambda line, i: F.struct(i.alias("block"), known(line).alias("words"))), lambda b: F.size(b["words"]) > 0)
     norm = F.concat(F.lit(" "), F.trim(F.regexp_replace("__low", OTHER, " ")), F.lit(" "))
     low = docs.select(F.monotonically_increasing_id().alias("__row"), F.col(id), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("__low"))
-    found = low.select("__row", F.col(id), blocks.alias("__blocks"), norm.alias("__norm"))
+    found = low.select("__row", F.col(id), (listed if wrapped else blocks).alias("__blocks"), norm.alias("__norm"))
+    if wrapped:
+        found = found.withColumn("__blocks", _with_next("__blocks", max((len(words_of(t)) for _, t in templates), default=1) - 1))
     found = found.select("__row", F.col(id), "__blocks", F.when(F.col("__norm") == "  ", F.lit(0)).otherwise(_spaces(F.col("__norm")) - 1).cast("long").alias("n_words"), *[_phrase("__norm", p).alias(f"__p{i}") for i, p in enumerate(phrases)])
     places = F.array(*[F.when(F.col(f"__p{i}").isNotNull(), F.struct(F.lit(label).alias("label"), F.col(f"__p{i}.n").alias("n"), F.col(f"__p{i}.first").alias("first"), F.col(f"__p{i}.last").alias("last"))) for i, label in enumerate(phrases.values())])
     found = found.withColumn("__places", F.filter(places, lambda x: x.isNotNull())).select("__row", F.col(id), "__blocks", "n_words", "__places")
@@ -103,6 +108,14 @@ def scan(
     )
 
 
+def _with_next(lines: str, more: int) -> Column:
+    """Each line's known words and those among the next `more` words of the text, from lines that all have words (unknown ones are empty)."""
+    after = lambda j: F.slice(F.flatten(F.transform(F.slice(lines, j + 2, more), lambda x: x["words"])), 1, more)
+    known = lambda words: F.array_distinct(F.filter(words, lambda w: w != ""))
+    some = F.transform(lines, lambda b, j: F.when(F.exists(b["words"], lambda w: w != ""), F.struct(b["block"].alias("block"), known(F.concat(b["words"], after(j))).alias("words"))))
+    return F.filter(some, lambda b: b.isNotNull())
+
+
 def _join(blocks: DataFrame, sets: list[list[str]], need: list[int]) -> DataFrame:
     """`__row, block, template, share` of all pairs that meet the threshold, from `__row, block, words`."""
     spark = blocks.sparkSession

@@ -135,6 +135,25 @@ FROM docs d LEFT JOIN base b ON b.doc_id = d.doc_id LEFT JOIN best x ON x.doc_id
 """
 
 
+@query("op1_wrapped_license_scan")
+def _(spark, folder):
+    return licenses.scan(table(spark, folder, "documents").select("doc_id", "text"), wrapped=True).drop("matches")
+
+
+_LINES = r"""lines AS (
+  SELECT doc_id, regexp_extract_all(unnest(string_split(low, chr(10))), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM docs
+)"""
+# The same with every line followed by one word less than the longest template has.
+_WRAPPED_LINES = rf"""numbered AS (
+  SELECT doc_id, all_w, i, len(regexp_extract_all(parts[i], '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS n
+  FROM (SELECT doc_id, all_w, parts, unnest(range(1, len(parts) + 1)) AS i FROM (SELECT doc_id, w AS all_w, string_split(low, chr(10)) AS parts FROM docs))
+), ended AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY i)::BIGINT AS e FROM numbered
+), lines AS (SELECT doc_id, all_w[e - n + 1:e + {max(len(licenses.words_of(t)) for _, t in licenses.TEMPLATES) - 1}] AS w FROM ended WHERE n > 0
+)"""
+assert _LINES in ORACLE["op1_license_scan"]
+ORACLE["op1_wrapped_license_scan"] = ORACLE["op1_license_scan"].replace(_LINES, _WRAPPED_LINES)
+
+
 def captures(pages: DataFrame) -> DataFrame:
     """The pages as captures: the fetch day follows from the page id, because the table has none."""
     return pages.select("page_id", "url", F.date_add(F.lit("2024-01-01").cast("date"), F.pmod("page_id", F.lit(365)).cast("int")).alias("fetched"))

@@ -39,5 +39,35 @@ def test_against_brute_force(spark, docs):
     assert got == want
 
 
+def wrapped_brute(text):
+    low = (text or "").translate(LOW)
+    lines, every = [WORD.findall(x) for x in low.split("\n")], WORD.findall(low)
+    reach, at, found = max(len(licenses.words_of(t)) for _, t in licenses.TEMPLATES), 0, set()
+    for line in lines:
+        own = set(every[at : at + len(line) + reach - 1]) if line else set()
+        at += len(line)
+        for label, template in licenses.TEMPLATES:
+            s = set(licenses.words_of(template))
+            if len(own & s) >= math.ceil(licenses.CONTAINED * len(s) - 1e-9):
+                found.add(label)
+    return found
+
+
+def test_templates_wrapped_over_lines(spark, docs):
+    bsd = "Copyright someone\n# Redistribution and use in source and binary forms, with or without\n# modification, are permitted\n#\nmore"
+    mpl = "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. */\nint x;"
+    texts = [bsd, mpl] + ["\n\n".join(t.split(" ")) for _, t in licenses.TEMPLATES] + [t.replace(" ", "\n", 3) + " and on\n" * 9 for _, t in licenses.TEMPLATES]
+    texts += ["all " + "\nx" * 22 + " rights reserved", "rights\n\nof all\nreserved", "", "\n\n"]
+    rows = [(i, t, "", "", 0) for i, t in enumerate(texts)]
+    every = docs.unionAll(spark.createDataFrame(rows, SCHEMA))
+    got = sorted(((r.doc_id, r.labels, r.base_labels) for r in licenses.scan(every, wrapped=True).collect()), key=repr)
+    want = [(r.doc_id, brute(r.text)[4], wrapped_brute(r.text)) for r in every.collect()]
+    assert got == sorted(((i, ",".join(sorted({x for x in base.split(",") if x} | more)), base) for i, base, more in want), key=repr)
+    labels = {r.doc_id: r.labels for r in licenses.scan(spark.createDataFrame(rows, SCHEMA), wrapped=True).collect()}
+    by_line = {r.doc_id: r.labels for r in licenses.scan(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert (labels[0], labels[1]) == ("bsd", "mpl") and (by_line[0], by_line[1]) == ("", "")
+    assert all(label in labels[2 + i].split(",") for i, (label, _) in enumerate(licenses.TEMPLATES))
+
+
 def test_empty_table(nothing):
     assert licenses.scan(nothing).count() == 0
