@@ -74,7 +74,7 @@ def load_csv(spark: SparkSession, path: str, encoding: str | None = None) -> tup
     Files with line breaks inside quotes are read whole, each in one task, because no place inside them is known
     to be outside quotes; all other files are split.
     """
-    found = detect_encodings(spark, path).groupBy("encoding").agg(F.some("multiline").alias("multiline")).limit(2).collect()
+    found = detect_encodings(spark, path).groupBy("encoding").agg(F.collect_list(F.when(F.col("multiline"), F.col("path"))).alias("whole"), F.every("multiline").alias("all")).limit(2).collect()
     if encoding is None:
         if len(found) > 1:
             raise ValueError("The files have different encodings; load them one by one.")
@@ -82,6 +82,13 @@ def load_csv(spark: SparkSession, path: str, encoding: str | None = None) -> tup
     if encoding in MULTIBYTE:
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     reader = spark.read.option("header", "true").option("inferSchema", "false").option("encoding", JVM_NAMES[encoding])
-    if any(r["multiline"] for r in found):
-        reader = reader.option("multiLine", "true").option("escape", '"')
-    return reader.csv(path), encoding
+    whole = [p for r in found for p in r["whole"]]
+    if not whole:
+        return reader.csv(path), encoding
+    out = spark.read.options(header="true", inferSchema="false", encoding=JVM_NAMES[encoding], multiLine="true", escape='"').csv(path)
+    if not all(r["all"] for r in found):
+        # Columns go by place, named by the first file, as if all were read at once.
+        split = spark.read.options(header="true", encoding=JVM_NAMES[encoding]).schema(out.schema).csv(path)
+        of_whole = lambda df: df.metadataColumn("_metadata")["file_path"].isin(whole)
+        out = out.filter(of_whole(out)).unionAll(split.filter(~of_whole(split)))
+    return out, encoding

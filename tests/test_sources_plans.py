@@ -157,3 +157,20 @@ def test_store_of_many_series_has_few_files(spark, tmp_path):
     path = write_clean_series(df, str(tmp_path / "store"), ["k"])
     files = list((tmp_path / "store").rglob("*.parquet"))
     assert len(files) <= 4 + 2 + 2 and spark.read.parquet(path).count() == 60_000
+
+
+def test_only_files_with_quoted_breaks_are_read_whole(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('t,note,load\n1,"one ""a""\ntwo",5\n')
+    (tmp_path / "b.csv").write_text("t,note,load\n" + "".join(f'{i},"say, {i}",{i}\n' if i % 2 == 0 else f"{i},plain,{i}\n" for i in range(10, 4000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+        df, encoding = csv.load_csv(spark, str(tmp_path))
+        alone, _ = csv.load_csv(spark, str(tmp_path / "b.csv"))
+        rows = df.selectExpr("*", "spark_partition_id() AS task").collect()
+        assert encoding == "utf-8" and df.columns == ["t", "note", "load"]
+        assert [r["note"] for r in rows if r["t"] == "1"] == ['one "a"\ntwo']
+        assert sorted(tuple(r)[:3] for r in rows if r["t"] != "1") == sorted(tuple(r) for r in alone.collect()) and len(rows) == 3991
+        assert len({r["task"] for r in rows if r["t"] != "1"}) > 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
