@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridtide.llm import bpe, leaks, licenses, lm, neardup, quality, repeats, shards, toxicity, urls
+from gridtide.llm import bpe, leaks, licenses, lm, neardup, periodic, quality, repeats, shards, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -232,3 +232,60 @@ def _(spark, folder):
     model = toxicity.train(docs, table(spark, folder, "labels"))
     held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % toxicity.MODULUS == toxicity.HELD
     return toxicity.score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+def with_loops(docs: DataFrame) -> DataFrame:
+    """The documents' words; in every tenth, by a hash of the id, those from a place on repeat a few of them (as the query is stated)."""
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    picked = docs.withColumns({"h": h, "w": F.when(h % 10 == 0, words)}).withColumns({"g": F.floor(F.col("h") / 10), "n": F.size("w").cast("long")})
+    placed = picked.withColumn("a", F.expr("CASE WHEN n > 0 THEN g % n END")).withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    looped = F.expr("array_join(transform(sequence(0L, n - 1), i -> w[CAST(IF(i < a, i, a + (i - a) % p) AS INT)]), ' ')")
+    return placed.select("doc_id", F.when(F.col("n") > 0, looped).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_periodic_runs")
+def _(spark, folder):
+    found = periodic.find_runs(with_loops(table(spark, folder, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    best = F.col("best_run")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"),
+        F.expr("1000 * best_run.length div best_run.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
+    )
+
+
+# CRC-32 of a decimal number's digits, unsigned: bit by bit, because DuckDB has no such function.
+def _crc32(number: str) -> str:
+    step = "list_reduce([xor(crc, b)] || range(8), lambda v, i: xor(v >> 1, (v & 1) * 3988292384))"
+    return f"xor(list_reduce([4294967295::BIGINT] || list_transform(string_split({number}::VARCHAR, ''), lambda x: ascii(x)::BIGINT), lambda crc, b: {step}), 4294967295)"
+
+
+ORACLE["op13_periodic_runs"] = rf"""
+WITH split AS (
+  SELECT doc_id, {_crc32('doc_id')} AS h, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS o FROM documents
+), placed AS (SELECT doc_id, o, len(o) AS n, h % 10 = 0 AND len(o) > 0 AS looped, (h // 10) % greatest(len(o), 1) AS a, 3 + (h // 10) % 8 AS k FROM split
+), docs AS (
+  SELECT doc_id, n, CASE WHEN looped THEN list_transform(range(n), lambda i: o[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // k) END]) ELSE o END AS w FROM placed
+), words AS MATERIALIZED (SELECT doc_id, unnest(range(n)) AS i, unnest(w) AS word FROM docs
+), pairs AS (
+  SELECT x.doc_id, y.i - x.i AS q, x.i FROM words x JOIN words y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 3 * (y.i - x.i) <= (SELECT n FROM docs d WHERE d.doc_id = x.doc_id)
+), islands AS (
+  SELECT doc_id, q, min(i) AS s, max(i) + 1 + q AS e FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs)
+  GROUP BY doc_id, q, island HAVING max(i) + 1 + q - min(i) >= greatest(24, 3 * q)
+), runs AS MATERIALIZED (
+  SELECT doc_id, s, e - s AS len, q FROM islands x WHERE NOT EXISTS (SELECT 1 FROM islands y WHERE y.doc_id = x.doc_id AND y.q < x.q AND y.s <= x.s AND y.e >= x.e)
+), gone AS (
+  SELECT doc_id, list(DISTINCT i) AS spots FROM (SELECT doc_id, unnest(range(s + q, s + len)) AS i FROM runs) GROUP BY doc_id
+), best AS (
+  SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY len::HUGEINT * 1000000000000 // q DESC, s, q) = 1
+), listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS lines FROM runs GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, b.s::BIGINT AS start, b.len::BIGINT AS length, b.q::BIGINT AS period, (1000 * b.len // b.q)::BIGINT AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256,
+  sha256(array_to_string(list_filter(w, lambda x, i: NOT coalesce(list_contains(g.spots, i - 1), false)), ' ')) AS collapsed_sha256
+FROM docs d LEFT JOIN listed l USING (doc_id) LEFT JOIN best b USING (doc_id) LEFT JOIN gone g USING (doc_id)
+"""

@@ -15,7 +15,7 @@ WITHOUT_PYTHON = ("op1_license_scan", "op2_balanced_shards", "op9_url_filter")
 
 def test_all_are_registered():
     numbers = {int(n[2:].split("_")[0]) for n in QUERIES}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
