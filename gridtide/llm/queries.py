@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridtide.llm import bpe, leaks, licenses, lm, neardup, periodic, quality, repeats, shards, toxicity, urls
+from gridtide.llm import bpe, leaks, licenses, lm, neardup, periodic, quality, repeats, shards, toxicity, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -289,3 +289,26 @@ SELECT d.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, b.s::BIGINT AS start, b.
   sha256(array_to_string(list_filter(w, lambda x, i: NOT coalesce(list_contains(g.spots, i - 1), false)), ' ')) AS collapsed_sha256
 FROM docs d LEFT JOIN listed l USING (doc_id) LEFT JOIN best b USING (doc_id) LEFT JOIN gone g USING (doc_id)
 """
+
+
+@query("op11_warc_index")
+def _(spark, folder):
+    pages = table(spark, folder, "pages")
+    archive = warc.write_archives(pages)
+    wanted = pages.select("page_id", warc.url_key("url").alias("key")).distinct()
+    found = warc.read_records(archive, warc.lookup(archive, wanted, "key", "page_id"), payload=False)
+    record = F.col("record")
+    return found.select(
+        "page_id", record["payload_bytes"].alias("payload_bytes"), record["payload_digest"].alias("payload_digest"), record["record_type"].alias("record_type"),
+        F.url_decode(record["refers_to"]).cast("long").alias("refers_to"),
+    )
+
+
+ORACLE["op11_warc_index"] = """
+WITH page AS (SELECT page_id, coalesce(html, '') AS body FROM pages
+), last AS (SELECT *, max(page_id) OVER (PARTITION BY body) AS kept, strlen(body) AS size FROM page
+), judged AS (SELECT *, size >= 1000 AND page_id < kept AS again FROM last)
+SELECT page_id, size::BIGINT AS payload_bytes, sha1(body) AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN again THEN kept END::BIGINT AS refers_to
+FROM judged
+"""
