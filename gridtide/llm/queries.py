@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridtide.llm import bpe, leaks, licenses, lm, neardup, periodic, quality, repeats, shards, toxicity, urls, warc
+from gridtide.llm import bpe, leaks, licenses, lm, neardup, periodic, prefixes, quality, repeats, shards, toxicity, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -312,3 +312,31 @@ SELECT page_id, size::BIGINT AS payload_bytes, sha1(body) AS payload_digest, CAS
   CASE WHEN again THEN kept END::BIGINT AS refers_to
 FROM judged
 """
+
+
+@query("op12_prefix_trie")
+def _(spark, folder):
+    head = lambda c: F.crc32(c.cast("string").cast("binary")) % 9
+    return prefixes.build_trie(table(spark, folder, "conversations"), lambda c: c - c % 5, head).drop("n_ends")
+
+
+ORACLE["op12_prefix_trie"] = rf"""
+WITH own AS (
+  SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS t FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), headed AS (SELECT conv_id, t, conv_id - conv_id % 5 AS base, {_crc32('conv_id')} % 9 AS h FROM own
+), rebuilt AS (SELECT o.conv_id, list_concat(coalesce(b.t[1:h], []), o.t[h + 1:]) AS t FROM headed o LEFT JOIN own b ON b.conv_id = o.base
+), members AS MATERIALIZED (
+  SELECT conv_id, d, to_json(t[1:d])::VARCHAR AS seq, CASE WHEN d > 0 THEN to_json(t[1:d - 1])::VARCHAR END AS up, CASE WHEN d > 0 THEN strlen(t[d].text) ELSE 0 END AS bytes, d = len(t) AS last
+  FROM (SELECT conv_id, t, unnest(range(len(t) + 1)) AS d FROM rebuilt)
+), nodes AS MATERIALIZED (
+  SELECT seq, any_value(up) AS up, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS own_saved,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '') AS ends
+  FROM members GROUP BY seq
+), children AS (SELECT up AS seq, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY up
+), sums AS (
+  SELECT m.seq, sum(n.own_saved) AS saved, count(*) FILTER (c.n IS NULL) AS leaves
+  FROM nodes n JOIN members m ON m.conv_id = n.conv_id AND m.d <= n.depth LEFT JOIN children c ON c.seq = n.seq GROUP BY m.seq
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0)::BIGINT AS n_children, s.leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM nodes n LEFT JOIN nodes p ON p.seq = n.up LEFT JOIN children c ON c.seq = n.seq JOIN sums s ON s.seq = n.seq
+"""
