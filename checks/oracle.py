@@ -498,6 +498,8 @@ sql("io1_io3_csv_encodings", """SELECT k.written_as, k.encoding, false AS multil
     UNION ALL SELECT 'GB18030', 'gb18030') AS k GROUP BY ALL""")
 sql("io2_choose_primary", "SELECT event_type, count(*)::BIGINT AS rows, 'utf-8' AS encoding FROM events WHERE event_type = 'click' GROUP BY ALL")
 sql("io4_quoted_breaks", """SELECT event_type, 'a "note"' || chr(10) || 'of ' || event_id AS note, value AS load FROM events""", "load")
+sql("io4_doubled_quotes", """SELECT event_type, ts AS timestamp, value AS load,
+    CASE WHEN event_id % 2 = 1 THEN '"x", ' || event_id || ',' || chr(10) || '"",' || chr(10) WHEN event_id % 6 <> 0 THEN 'a "b", c "' || event_id || '"' END AS note FROM events""", "load")
 sql("io2_io4_load_csv", TYPED, "load", "extra")
 sql("io5_clean_table", calendar(RAW), "load", *WAVES)
 sql("io5_csv_with_mark", RAW, "load")

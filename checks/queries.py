@@ -537,6 +537,20 @@ def _(spark, folder):
     return raw.select("event_type", F.col("note"), F.col("load").cast("double").alias("load"))
 
 
+@query("io4_doubled_quotes")
+def _(spark, folder):
+    """Commas, inner quotes and empty quotes, in files of one folder with and without breaks in quotes."""
+    root = scratch_folder(spark, "doubled")
+    events = S.table(spark, folder, "events")
+    plain = F.when(F.col("event_id") % 6 == 0, "").otherwise(F.concat(F.lit('a "b", c "'), F.col("event_id").cast("string"), F.lit('"')))
+    broken = F.concat(F.lit('"x", '), F.col("event_id").cast("string"), F.lit(',\n"",\n'))
+    for name, rest, note in (("plain", 0, plain), ("broken", 1, broken)):
+        rows = events.filter(F.col("event_id") % 2 == rest).select(F.col("ts").cast("string").alias("time"), note.alias("note"), F.col("value").alias("load"), "event_type")
+        rows.write.option("header", "true").option("escape", '"').options(emptyValue='""', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(f"{root}/{name}")
+    raw, _ = csv.load_csv(spark, f"{root}/*")
+    return raw.select("event_type", "note", F.col("time").cast("timestamp_ntz").alias("timestamp"), F.col("load").cast("double").alias("load"))
+
+
 @query("io2_io4_load_csv")
 def _(spark, folder):
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")

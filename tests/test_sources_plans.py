@@ -159,18 +159,75 @@ def test_store_of_many_series_has_few_files(spark, tmp_path):
     assert len(files) <= 4 + 2 + 2 and spark.read.parquet(path).count() == 60_000
 
 
-def test_only_files_with_quoted_breaks_are_read_whole(spark, tmp_path):
-    (tmp_path / "a.csv").write_text('t,note,load\n1,"one ""a""\ntwo",5\n')
-    (tmp_path / "b.csv").write_text("t,note,load\n" + "".join(f'{i},"say, {i}",{i}\n' if i % 2 == 0 else f"{i},plain,{i}\n" for i in range(10, 4000)))
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    try:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
-        df, encoding = csv.load_csv(spark, str(tmp_path))
-        alone, _ = csv.load_csv(spark, str(tmp_path / "b.csv"))
-        rows = df.selectExpr("*", "spark_partition_id() AS task").collect()
-        assert encoding == "utf-8" and df.columns == ["t", "note", "load"]
-        assert [r["note"] for r in rows if r["t"] == "1"] == ['one "a"\ntwo']
-        assert sorted(tuple(r)[:3] for r in rows if r["t"] != "1") == sorted(tuple(r) for r in alone.collect()) and len(rows) == 3991
-        assert len({r["task"] for r in rows if r["t"] != "1"}) > 1
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+@pytest.fixture
+def small_ranges(spark):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.minPartitionNum")
+    before = {n: spark.conf.get(n, None) for n in names}
+    spark.conf.set(names[0], "200")
+    spark.conf.set(names[1], "1")
+    yield
+    for n, value in before.items():
+        spark.conf.unset(n) if value is None else spark.conf.set(n, value)
+
+
+def test_files_with_quoted_breaks_are_split(spark, tmp_path, small_ranges):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    (tmp_path / "a.csv").write_text('t,note,load\n' + "".join(f'{i},"one ""{i}""\ntwo",5\n' for i in range(3000)))
+    (tmp_path / "b.csv").write_text("t,note,load\n" + "".join(f'{i},"say, {i}",{i}\n' if i % 2 == 0 else f"{i},plain,{i}\n" for i in range(10_000, 13_000)))
+    df, encoding = csv.load_csv(spark, str(tmp_path))
+    alone, _ = csv.load_csv(spark, str(tmp_path / "b.csv"))
+    rows = df.selectExpr("*", "spark_partition_id() AS task").collect()
+    assert encoding == "utf-8" and df.columns == ["t", "note", "load"]
+    assert sorted((int(r["t"]), r["note"]) for r in rows if int(r["t"]) < 10_000) == [(i, f'one "{i}"\ntwo') for i in range(3000)]
+    assert sorted(tuple(r)[:3] for r in rows if int(r["t"]) >= 10_000) == sorted(tuple(r) for r in alone.collect()) and len(rows) == 6000
+    assert len({r["task"] for r in rows if int(r["t"]) < 10_000}) > 3
+
+
+def test_doubled_quotes(spark, tmp_path):
+    """The same record reads alike whether or not some file of the folder has a break in quotes."""
+    line = '2024-01-01 00:00,"a ""b"", c",1\n2024-01-01 01:00,"a ""b"" c",2\n2024-01-01 02:00,"",3\n2024-01-01 03:00,back\\slash \\" 5" wide,4\n2024-01-01 04:00,"back\\",5\n'
+    want = [("2024-01-01 00:00", 'a "b", c', "1"), ("2024-01-01 01:00", 'a "b" c', "2"), ("2024-01-01 02:00", None, "3"), ("2024-01-01 03:00", 'back\\slash \\" 5" wide', "4"), ("2024-01-01 04:00", "back\\", "5")]
+    (tmp_path / "a.csv").write_text("time,note,load\n" + line)
+    assert sorted(map(tuple, csv.load_csv(spark, str(tmp_path))[0].collect())) == want
+    (tmp_path / "b.csv").write_text("time,note,load\n" + line.replace("2024", "2025") + '2026,"x\ny",9\n')
+    got = sorted(map(tuple, csv.load_csv(spark, str(tmp_path))[0].collect()))
+    assert got == want + [(t.replace("2024", "2025"), *r) for t, *r in want] + [("2026", "x\ny", "9")]
+
+
+@pytest.mark.parametrize("sent, encoding", [(csv.SENT_BLOCKS, "utf-8"), (0, "utf-8-sig"), (csv.SENT_BLOCKS, "gb18030")])
+def test_records_over_many_ranges(spark, tmp_path, small_ranges, monkeypatch, sent, encoding):
+    """Random cells, some longer than several byte ranges, against Python's own reader."""
+    import csv as plain
+    import random
+
+    monkeypatch.setattr(csv, "SENT_BLOCKS", sent)
+    rng = random.Random(8)
+    parts = ["a", "负荷", ",", '"', "\n", " ", "\\", "x" * 30, '",', "\n\n", '"\n"']
+    want = []
+    for k in range(6):
+        with open(tmp_path / f"f{k}.csv", "w", encoding=encoding, newline="") as f:
+            out = plain.writer(f, lineterminator="\r\n" if k % 2 else "\n")
+            out.writerow(["t\nime" if k % 2 else "time", 'a "note", ' + "long " * 30, "load"])
+            if k == 3:
+                f.write("\n   \n")
+            for i in range(60):
+                row = [f"{k}-{i}", "".join(rng.choice(parts) for _ in range(rng.choice([0, 1, 3, 3, 20]))), rng.choice(["1", "", "5\" wide"])]
+                out.writerow(row) if rng.random() < 0.9 else f.write(f'{row[0]},5" by 7" or \\",{i}\n')
+    for k in range(6):
+        with open(tmp_path / f"f{k}.csv", encoding=encoding, newline="") as f:
+            want += [tuple(c or None for c in row) for row in list(plain.reader(f))[1:] if any(c.strip() for c in row)]
+    df, found = csv.load_csv(spark, str(tmp_path))
+    assert df.columns == ["time", 'a "note", ' + "long " * 30, "load"] and found == ("utf-8" if encoding == "utf-8-sig" else encoding)
+    assert sorted(map(tuple, df.collect()), key=repr) == sorted(want, key=repr)
+    kinds = {r.path.rsplit("/", 1)[1]: r.multiline for r in csv.detect_encodings(spark, str(tmp_path)).collect()}
+    assert len(kinds) == 6 and all(kinds.values())
+
+
+def test_other_ranges_than_before_are_refused(spark, tmp_path, small_ranges):
+    (tmp_path / "a.csv").write_text('t,note\n' + "".join(f'{i},"one\n{i}"\n' for i in range(100)))
+    df, _ = csv.load_csv(spark, str(tmp_path))
+    assert df.count() == 100
+    df, _ = csv.load_csv(spark, str(tmp_path))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    with pytest.raises(Exception, match="cut otherwise"):
+        df.select("note").collect()
