@@ -179,9 +179,10 @@ def _clash(rows: DataFrame, nodes: DataFrame, prefixes: DataFrame, turns: DataFr
     if nodes.filter("turn1 <> turn1_max OR turn2 <> turn2_max").limit(1).count():
         return True
     several = nodes.filter("src <> src_max OR pos <> pos_max").select("key1", "key2")
-    refs = rows.select("key1", "key2", "src", "pos").join(several, ["key1", "key2"], "left_semi").distinct()
+    # Distinct first: what follows a join on the node alone must not need the rows of a node together.
+    refs = rows.select("key1", "key2", "src", "pos").distinct().join(several, ["key1", "key2"], "left_semi")
     places = prefixes.select(F.col("conv").alias("src"), "pos", "turn", "digest")
-    refs = refs.join(places, ["src", "pos"]).withColumn("place", F.struct("src", "turn", F.lower(F.hex("digest"))))
+    refs = stored(refs.join(places, ["src", "pos"]).select("key1", "key2", F.struct("src", "turn", F.lower(F.hex("digest"))).alias("place")), "references")
     texts = turns.select(F.struct("conv", "turn", "digest").alias("place2"), "role", "text")
     read = refs.join(texts, F.col("place") == F.col("place2")).groupBy("key1", "key2")
     read = read.agg(F.min("role").alias("r"), F.max("role").alias("r2"), F.min("text").alias("t"), F.max("text").alias("t2"))
