@@ -108,11 +108,14 @@ def _sql(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-_TEMPLATE_ROWS = ", ".join(f"({i}, {_sql(label)}, [{', '.join(_sql(w) for w in sorted(set(licenses.words_of(text))))}])" for i, (label, text) in enumerate(licenses.TEMPLATES))
+_TEMPLATE_ROWS = ", ".join(
+    f"({i}, {_sql(label)}, [{', '.join(_sql(w) for w in sorted(set(licenses.words_of(text))))}], [{', '.join(_sql(w) for w in licenses.words_of(named))}])" for i, (label, text, named) in enumerate(licenses.TEMPLATES)
+)
 _PHRASE_ROWS = ", ".join(f"({_sql(label)}, {_sql(phrase)}, {len(phrase.split())})" for phrase, label in licenses.PHRASES.items())
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_LONGEST = max(len(licenses.words_of(text)) for _, text, _ in licenses.TEMPLATES)
 ORACLE["op1_license_scan"] = rf"""
-WITH templates(template, label, words) AS (VALUES {_TEMPLATE_ROWS}
+WITH templates(template, label, words, named) AS (VALUES {_TEMPLATE_ROWS}
 ), phrases(label, phrase, n) AS (VALUES {_PHRASE_ROWS}
 ), docs AS (
   SELECT doc_id, {_LOWER} AS low, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
@@ -121,11 +124,16 @@ WITH templates(template, label, words) AS (VALUES {_TEMPLATE_ROWS}
   WHERE array_to_string(w[pos:pos + n - 1], ' ') = phrase
 ), base AS (
   SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list(DISTINCT label) AS base FROM places GROUP BY doc_id
-), lines AS (
-  SELECT doc_id, regexp_extract_all(unnest(string_split(low, chr(10))), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM docs
+), numbered AS (
+  SELECT doc_id, all_w, i, len(regexp_extract_all(parts[i], '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS n
+  FROM (SELECT doc_id, all_w, parts, unnest(range(1, len(parts) + 1)) AS i FROM (SELECT doc_id, w AS all_w, string_split(low, chr(10)) AS parts FROM docs))
+), ended AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY i)::BIGINT AS e FROM numbered
+), lines AS (SELECT doc_id, i, list_distinct(all_w[e - n + 1:e + {_LONGEST - 1}]) AS w FROM ended WHERE n > 0
+), met AS (
+  SELECT doc_id, i, label, named, len(list_intersect(w, words)) / len(words) AS share FROM lines CROSS JOIN templates
+  WHERE len(list_intersect(w, words)) >= ceil({licenses.CONTAINED} * len(words) - 1e-9) AND list_has_all(w, named)
 ), found AS (
-  SELECT doc_id, label, len(list_intersect(list_distinct(w), words)) / len(words) AS share FROM lines CROSS JOIN templates
-  WHERE len(list_intersect(list_distinct(w), words)) >= ceil({licenses.CONTAINED} * len(words) - 1e-9)
+  SELECT * FROM met x WHERE NOT EXISTS (SELECT 1 FROM met y WHERE y.doc_id = x.doc_id AND y.i = x.i AND len(y.named) > len(x.named) AND list_has_all(y.named, x.named))
 ), best AS (SELECT doc_id, max(share) AS share, list(DISTINCT label) AS more FROM found GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
   array_to_string(list_sort(coalesce(base, [])), ',') AS base_labels,
@@ -135,25 +143,6 @@ FROM docs d LEFT JOIN base b ON b.doc_id = d.doc_id LEFT JOIN best x ON x.doc_id
 """
 
 
-@query("op1_wrapped_license_scan")
-def _(spark, folder):
-    return licenses.scan(table(spark, folder, "documents").select("doc_id", "text"), wrapped=True).drop("matches")
-
-
-_LINES = r"""lines AS (
-  SELECT doc_id, regexp_extract_all(unnest(string_split(low, chr(10))), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM docs
-)"""
-# The same with every line followed by one word less than the longest template has.
-_WRAPPED_LINES = rf"""numbered AS (
-  SELECT doc_id, all_w, i, len(regexp_extract_all(parts[i], '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS n
-  FROM (SELECT doc_id, all_w, parts, unnest(range(1, len(parts) + 1)) AS i FROM (SELECT doc_id, w AS all_w, string_split(low, chr(10)) AS parts FROM docs))
-), ended AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY i)::BIGINT AS e FROM numbered
-), lines AS (SELECT doc_id, all_w[e - n + 1:e + {max(len(licenses.words_of(t)) for _, t in licenses.TEMPLATES) - 1}] AS w FROM ended WHERE n > 0
-)"""
-assert _LINES in ORACLE["op1_license_scan"]
-ORACLE["op1_wrapped_license_scan"] = ORACLE["op1_license_scan"].replace(_LINES, _WRAPPED_LINES)
-
-
 def captures(pages: DataFrame) -> DataFrame:
     """The pages as captures: the fetch day follows from the page id, because the table has none."""
     return pages.select("page_id", "url", F.date_add(F.lit("2024-01-01").cast("date"), F.pmod("page_id", F.lit(365)).cast("int")).alias("fetched"))
