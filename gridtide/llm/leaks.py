@@ -18,6 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from gridtide.llm import words as W
+from gridtide.llm.sending import send
 from gridtide.session import stored
 
 K1, B = 1.2, 0.75
@@ -236,7 +237,7 @@ def find_leaks(
     whole = _statistics(items) if rounds > 1 else lambda k: None
     for k in range(rounds):
         part = items.filter(F.col("round") == k).toArrow().sort_by([("id", "ascending"), ("text", "ascending")])
-        out = _pass(out, docs.sparkSession.sparkContext.broadcast(build(part["id"].to_numpy(), part["text"].to_pylist(), score, whole(k))), text, score, overlap)
+        out = _pass(out, send(docs.sparkSession, build(part["id"].to_numpy(), part["text"].to_pylist(), score, whole(k))), text, score, overlap)
     return out
 
 
@@ -267,7 +268,7 @@ def _statistics(items: DataFrame):
 
 def _pass(docs: DataFrame, sent, text: str, score: float, overlap: float) -> DataFrame:
     def run(batches):
-        index, hasher = sent.value, W.Hasher()
+        index, hasher = sent(), W.Hasher()
         for batch in batches:
             found: dict[int, dict[int, list]] = {}
             for words in W.blocks(pc.utf8_lower(batch.column(batch.schema.get_field_index(text))), apart=W.SIGNS):

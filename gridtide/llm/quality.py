@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from gridtide.llm import words as W
+from gridtide.llm.sending import send
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 SYMBOLS = b"#*$%&|<>"
@@ -214,10 +215,10 @@ def judge(docs: DataFrame, model: Model, text: str = "text", keep_from: float =
     names = [n for n, _ in RESULT]
     docs = docs.drop(*names)
     schema = T.StructType(docs.schema.fields + [T.StructField(n, T.DoubleType() if k == "double" else T.BooleanType() if k == "boolean" else T.LongType()) for n, k in RESULT])
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # a table of fixed size
+    sent = send(docs.sparkSession, model)  # a table of fixed size
 
     def run(batches):
-        hasher, learned = W.Hasher(), sent.value
+        hasher, learned = W.Hasher(), sent()
         for batch in batches:
             found = {n: [np.zeros(0, float if k == "double" else bool if k == "boolean" else np.int64)] for n, k in RESULT}
             for block in _blocks(batch.column(batch.schema.get_field_index(text)), hasher):

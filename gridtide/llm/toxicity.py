@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from gridtide.llm import words as W
+from gridtide.llm.sending import send as send_value
+from gridtide.session import stored
 
 MODULUS, HELD = 5, 0
 # Training reads at most so many labelled rows of each class, chosen by a hash of the id.
@@ -164,7 +166,8 @@ def train(
     prior = min(max(shares.get(1, 0) / max(sum(shares.values()), 1), 0.001), 0.999)
     order = F.xxhash64(F.col(id))
     chosen = known.filter("__toxic = 1").orderBy(order, id).limit(toxic_rows).unionAll(known.filter("__toxic = 0").orderBy(order, id).limit(clean_rows))
-    sample = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen.withColumnRenamed(id, "id")), "id").select("id", "__toxic", "text")
+    sample = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen.withColumnRenamed(id, "id")), "id")
+    sample = stored(sample.select(F.col("id").cast("string").alias("id"), "__toxic", "text"), "toxicity_rows")  # read five times
 
     def sign(batches):
         hasher = W.Hasher()
@@ -182,31 +185,32 @@ def train(
                 yield pa.RecordBatch.from_pydict({"id": part.column(0), "toxic": part.column(1), "signs": pa.array(signs, pa.list_(pa.int64()))})
 
     seen, used, n = set(), set(), Counter()
-    for row in sorted(sample.mapInArrow(sign, "id long, toxic int, signs array<long>").collect()):
+    for row in sorted(sample.mapInArrow(sign, "id string, toxic int, signs array<long>").collect()):
         if row["id"] not in used and not seen.intersection(enumerate(row["signs"])):
             seen.update(enumerate(row["signs"]))
             used.add(row["id"])
             n[row["toxic"]] += 1
-    send = docs.sparkSession.sparkContext.broadcast
+    send = lambda value: send_value(docs.sparkSession, value)
     wanted = send(used)  # at most toxic_rows + clean_rows numbers
 
-    def folded(batch) -> Iterator[tuple[int, str]]:
+    def folded(batch, ids: set) -> Iterator[tuple[int, str]]:
         for i, toxic, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            if i in wanted.value:
+            if i in ids:
                 yield toxic, fold(value or "")
 
     def count(only: int, limit_to=None, words=None):
         def run(batches):
             found: Counter = Counter()
+            ids, begins, limit = wanted(), words and words(), limit_to and limit_to()
             for batch in batches:
-                for toxic, value in folded(batch):
+                for toxic, value in folded(batch, ids):
                     if toxic != only:
                         continue
-                    if words is not None:
-                        begins = words.value
-                        found.update({f" {w} " for w in set(value.split()) if any(f" {w}"[:k] in begins for k in range(SHORTEST + 1, len(w) + 2)) and f" {w} " not in begins})
+                    if begins is not None:
+                        terms = {f" {w} " for w in set(value.split()) if any(f" {w}"[:k] in begins for k in range(SHORTEST + 1, len(w) + 2)) and f" {w} " not in begins}
                     else:
-                        found.update(_terms(value) if limit_to is None else _terms(value) & limit_to.value)
+                        terms = _terms(value)
+                    found.update(terms if limit is None else terms & limit)
             yield pa.RecordBatch.from_pydict({"term": pa.array(list(found), pa.string()), "n": pa.array(list(found.values()), pa.int64())})
 
         return sample.mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
@@ -218,17 +222,18 @@ def train(
     toxic = dict(count(1).filter(F.col("n") >= least).collect()) if n[1] and n[0] else {}
     clean = dict(count(0, send(set(toxic) | {f" {w} " for w in SEEDS})).collect()) if toxic else {}
     entries = choose(toxic, clean, n[1], n[0])
-    begins = send({t for t in entries if not t.endswith(" ")})
-    innocent = dict(count(0, words=begins).collect()) if begins.value else {}
-    guilty = dict(count(1, words=begins).filter(F.col("term").isin(list(innocent))).collect()) if innocent else {}
+    beginnings = {t for t in entries if not t.endswith(" ")}
+    begins = send(beginnings)
+    innocent = dict(count(0, words=begins).collect()) if beginnings else {}
+    guilty = dict(count(1, send(set(innocent)), begins).collect()) if innocent else {}
     spared = {w for w in innocent if not guilty.get(w)} | {fold(x) for x in exceptions}
     model = Model(entries, frozenset(spared), (0.0, 0.0, 0.0))
     sent = send(model)
 
     def measure(batches):
-        matcher = Matcher(sent.value)
+        matcher, ids = Matcher(sent()), wanted()
         for batch in batches:
-            rows = [(toxic, *matcher.features(value)) for toxic, value in folded(batch)]
+            rows = [(toxic, *matcher.features(value)) for toxic, value in folded(batch, ids)]
             yield pa.RecordBatch.from_pydict({"toxic": pa.array([r[0] for r in rows], pa.int32()), "x": pa.array([r[1] for r in rows], pa.float64()), "y": pa.array([r[2] for r in rows], pa.float64())})
 
     rows = sorted(sample.mapInArrow(measure, "toxic int, x double, y double").collect())
@@ -242,10 +247,10 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     Only the text counts. Null and empty texts get the score of a text without matches. Rows are independent.
     """
     docs = docs.drop("score", "predicted")
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the training rows
+    sent = send_value(docs.sparkSession, model)  # bounded by the training rows
 
     def run(batches):
-        matcher = Matcher(sent.value)
+        matcher = Matcher(sent())
         for batch in batches:
             at = batch.schema.get_field_index(text)
             for lo, hi, _, _ in W.text_blocks(batch.column(at)):
