@@ -5,6 +5,10 @@ each passage is a query of its distinct words. Scores are divided by the item's
 one threshold holds for all items. A passage that shares only words of low weight with an item cannot reach it; so
 passages first add up their hits on the other words, in one array operation per block of text, and only those that can
 still reach the threshold with all the light words run through the index. Nothing above the threshold is lost.
+
+What is retrieved is then confirmed in windows of the item's own length (and a quarter more): one of them must reach the threshold and
+hold enough of question and answer by itself. So the passages' length, which follows from the longest item, decides what
+is looked at, never what is found.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from gridtide.session import stored
 
 K1, B = 1.2, 0.75
 SCORE, OVERLAP, GRAM = 0.6, 0.5, 3
+WINDOW = 1.25  # words of a window for each word of the item
 POSTING_BLOCK = 32
 # Test items are indexed, and sent to the tasks, so many bytes at a time.
 INDEX_BYTES = 8 << 20
@@ -42,7 +47,9 @@ class Index(NamedTuple):
     near: np.ndarray  # small table: may a hash be a heavy term
     questions: list[tuple[int, np.ndarray]]  # words in a run, and the hashes of each item's runs
     answers: list[tuple[int, np.ndarray]]
-    reach: int  # words of the longest item
+    reach: int  # words of the longest window
+    own: list[tuple[np.ndarray, np.ndarray]]  # each item's terms, and their shares of its score
+    windows: np.ndarray  # words of each item's window
 
 
 def _grams(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -114,7 +121,11 @@ def build(ids: np.ndarray, texts: list[str], score: float = SCORE, whole: Statis
     near = np.zeros(1 << SMALL_TABLE_BITS, bool)
     near[(terms[heavy] >> np.uint64(64 - SMALL_TABLE_BITS)).astype(np.int64)] = True
     halves = [_hashes(list(x), hasher) if x else [] for x in zip(*map(split_item, texts))] or [[], []]
-    return Index(ids, terms, starts, item, parts, most, heavy, light, near, *([_own_grams(h) for h in half] for half in halves), whole.longest)
+    by_item = np.argsort(item, kind="stable")
+    cuts = np.searchsorted(item[by_item], np.arange(1, len(ids)))
+    own = list(zip(np.split(terms[term[by_item]], cuts), np.split(parts[by_item], cuts))) if len(ids) else []
+    longest = int(np.ceil(WINDOW * whole.longest))
+    return Index(ids, terms, starts, item, parts, most, heavy, light, near, *([_own_grams(h) for h in half] for half in halves), longest, own, np.ceil(WINDOW * sizes).astype(np.int64))
 
 
 def block_max_wand(index: Index, terms: np.ndarray, score: float) -> dict[int, float]:
@@ -174,8 +185,48 @@ def _survivors(index: Index, term: np.ndarray, window: np.ndarray, score: float)
     return np.unique(key[total >= score - 1e-9] // len(index.ids))
 
 
+def _found_at(values: np.ndarray, sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the values that are among the keys, and which key each is."""
+    if not len(sorted_keys) or not len(values):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    key = np.minimum(np.searchsorted(sorted_keys, values), len(sorted_keys) - 1)
+    at = np.flatnonzero(sorted_keys[key] == values)
+    return at, key[at]
+
+
+def _confirm(index: Index, item: int, passage: np.ndarray, starts_below: int, score: float, overlap: float) -> list[tuple]:
+    """`first word, score, question, answer` of every window of the item's length that holds it, from its first word of the item on."""
+    size = int(index.windows[item])
+    terms, parts = index.own[item]
+    at, term = _found_at(passage, terms)
+    # With repeated words counted each time no window can have less than its share.
+    total = np.r_[0.0, np.cumsum(parts[term])]
+    start = at[at < starts_below]
+    most = total[np.searchsorted(at, start + size)] - total[np.searchsorted(at, start)]
+    start = start[most >= score - 1e-9]
+    if not len(start):
+        return []
+    halves = []
+    for n, half in (index.questions[item], index.answers[item]):
+        runs, _ = W.runs(passage, np.array([0, len(passage)]), n, 31 + n)
+        halves.append((n, len(half), *_found_at(runs, half)))
+    out = []
+    for first in start.tolist():
+        lo, hi = np.searchsorted(at, (first, first + size))
+        got = float(parts[np.unique(term[lo:hi])].sum())
+        if got < score - 1e-9:
+            continue
+        shares = []
+        for n, whole, places, gram in halves:
+            lo, hi = np.searchsorted(places, (first, first + size - n + 1))
+            shares.append(len(np.unique(gram[lo:hi])) / whole if whole else 1.0)
+        if min(shares) >= overlap:
+            out.append((first, got, *shares))
+    return out
+
+
 def _search(index: Index, words: W.Words, hashes: np.ndarray, score: float, overlap: float) -> list[tuple]:
-    """`row, item, score, question, answer, first word` of every verified passage of one block of texts."""
+    """`row, item, first word, score, question, answer` of every window of one block of texts that holds an item."""
     reach = index.reach
     at = np.flatnonzero(index.near[(hashes >> np.uint64(64 - SMALL_TABLE_BITS)).astype(np.int64)])
     if not len(at) or not len(index.ids):
@@ -185,7 +236,7 @@ def _search(index: Index, words: W.Words, hashes: np.ndarray, score: float, over
     at, term = at[hit], term[hit]
     row = np.searchsorted(words.bounds, at, "right") - 1
     step = (at - words.bounds[row]) // reach
-    # Passage number s of a row covers the words from s * reach on, twice `reach` long; numbers are made unique.
+    # Passage number s of a row covers the words from s * reach on, twice `reach` long, and has the windows that start in its first half.
     per_row = np.diff(words.bounds) // reach + 1
     base = np.r_[0, np.cumsum(per_row)]
     both = np.concatenate([base[row] + step, (base[row] + step - 1)[step > 0]])
@@ -197,15 +248,8 @@ def _search(index: Index, words: W.Words, hashes: np.ndarray, score: float, over
         passage = hashes[lo : min(lo + 2 * reach, words.bounds[r + 1])]
         own = np.unique(passage)
         t = np.minimum(np.searchsorted(index.terms, own), len(index.terms) - 1)
-        grams: dict[int, np.ndarray] = {}
-        for item, got in block_max_wand(index, t[index.terms[t] == own], score).items():
-            shares = []
-            for n, half in (index.questions[item], index.answers[item]):
-                if n not in grams:
-                    grams[n] = _grams(passage, n)
-                shares.append(float(np.isin(half, grams[n]).mean()) if len(half) else 1.0)
-            if min(shares) >= overlap:
-                out.append((r + words.first, item, got, shares[0], shares[1], first))
+        for item in block_max_wand(index, t[index.terms[t] == own], score):
+            out += [(r + words.first, item, first + p, *found) for p, *found in _confirm(index, item, passage, reach, score, overlap)]
     return out
 
 
@@ -220,11 +264,11 @@ def find_leaks(
 ) -> DataFrame:
     """All columns of `docs`, then `leaks`: one entry per test item found in the text, by item, with its best passage.
 
-    An item is found if some passage reaches `score` of the item's own BM25 score and holds at least `overlap` of the
+    An item is found if some window, a quarter longer than the item, reaches `score` of the item's own BM25 score and holds at least `overlap` of the
     3-word runs of its question and of its answer each (runs of all its words, if it has fewer). Words are
-    letters, digits and everything beyond ASCII, in lower case. `first_word` is where the best passage begins (ties: the
-    first), `passages` how many hold the item. Null or empty texts have no leaks; items that are null, empty or without
-    an id are not looked for; items with equal ids count as one, whichever is found. Repeated rows get equal results.
+    letters, digits and everything beyond ASCII, in lower case. The entry tells of the window with the highest score (ties: the
+    first) and where it begins; `passages` is how many windows hold the item that do not overlap. Null or empty texts have no leaks; items that are null, empty or without
+    an id are not looked for; items with equal ids count as one, whichever is found. Items and texts may be of any length. Repeated rows get equal results.
     The items are indexed `index_bytes` at a time, each index in a pass of its own over the documents, because an index
     is sent to all tasks. Weights and passage lengths come from all items, so results do not depend on `index_bytes`.
     """
@@ -273,18 +317,23 @@ def _pass(docs: DataFrame, sent, text: str, score: float, overlap: float) -> Dat
             found: dict[int, dict[int, list]] = {}
             for words in W.blocks(pc.utf8_lower(batch.column(batch.schema.get_field_index(text))), apart=W.SIGNS):
                 hashes = hasher(words.data, words.starts, words.ends)
-                for r, item, got, question, answer, first in _search(index, words, hashes, score, overlap):
-                    best = found.setdefault(r, {}).setdefault(int(index.ids[item]), [-1.0, 0.0, 0.0, 0, 0])
-                    if got > best[0] + 1e-9:
-                        best[:4] = got, question, answer, first
-                    best[4] += 1
+                for r, item, first, got, question, answer in _search(index, words, hashes, score, overlap):
+                    found.setdefault(r, {}).setdefault(int(index.ids[item]), []).append((first, int(index.windows[item]), got, question, answer))
             if found:
                 at = batch.schema.get_field_index("leaks")
                 lists = batch.column(at).to_pylist()
                 for r, items in found.items():
-                    more = [dict(zip(("item", "score", "question_overlap", "answer_overlap", "first_word", "passages"), (i, *v))) for i, v in items.items()]
-                    lists[r] = sorted(lists[r] + more, key=lambda x: x["item"])
+                    lists[r] = sorted(lists[r] + [_entry(i, windows) for i, windows in items.items()], key=lambda x: x["item"])
                 batch = batch.set_column(at, batch.schema.field(at), pa.array(lists, batch.schema.field(at).type))
             yield batch
 
     return docs.mapInArrow(run, docs.schema)
+
+
+def _entry(item: int, windows: list[tuple]) -> dict:
+    windows, apart, free = sorted(windows), 0, 0
+    for first, size, *_ in windows:
+        if first >= free:
+            apart, free = apart + 1, first + size
+    first, _, score, question, answer = max(windows, key=lambda x: (round(x[2], 9), -x[0]))
+    return {"item": item, "score": score, "question_overlap": question, "answer_overlap": answer, "first_word": first, "passages": apart}

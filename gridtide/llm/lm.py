@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from gridtide.llm import chunks as C, words as W
+from gridtide.llm.sending import send
 from gridtide.session import stored
 
 CLASSES, WIDTH, PARTS, ROUNDS, NOISE = 512, 24, 8, 3, 128
@@ -230,7 +231,7 @@ def score(
     listed = sums.select(F.inline(common)).orderBy(F.desc("counts"), "keys").limit(classes).toPandas()
     model = _train(kept, listed["keys"].to_numpy(np.int64).view(np.uint64), listed["counts"].to_numpy(np.int64), int(total), int(vocabulary), width, rounds, parts)
     context = docs.sparkSession.sparkContext
-    sent = context.broadcast(model)  # tables of fixed size
+    sent = send(docs.sparkSession, model)  # tables of fixed size
 
     def emit_pairs(batches):
         for batch in batches:
@@ -262,7 +263,7 @@ def score(
     def fit(key, left, right):
         table, tokens, count, pairs, before = counts_of(left, right)
         at = np.flatnonzero(np.repeat(~table["held"].to_numpy(), tokens.counts))
-        log_class = _class_scores(sent.value, tokens, count, 1)
+        log_class = _class_scores(sent(), tokens, count, 1)
         sums = np.zeros((len(STRENGTHS), 64))
         for lo in range(0, len(at), 1 << 16):
             i = at[lo : lo + (1 << 16)]
@@ -280,7 +281,7 @@ def score(
 
     def judge(key, left, right):
         table, tokens, count, pairs, before = counts_of(left, right)
-        log_class = _class_scores(sent.value, tokens, count, 0)
+        log_class = _class_scores(sent(), tokens, count, 0)
         parts = _mixed(pairs, before, log_class, strength[_bins(before)])
         return pa.table({
             "id": table[id], "held_out": table["held"], "n_tokens": pa.array(tokens.counts), "n_known": pa.array(tokens.per_text((count > 0).astype(np.int64)).astype(np.int64)),

@@ -77,6 +77,49 @@ def test_partial_copies_do_not_depend_on_the_rounds(spark):
     assert sum(0.6 <= x[2] < 0.7 for x in results[0]) >= 5
 
 
+def plain_leaks(texts, rows, score, overlap):
+    """Every window of every text against every item."""
+    index = leaks.build(np.array([i for i, _ in rows]), [t for _, t in rows], score)
+    found = set()
+    for doc, text, *_ in texts:
+        (h,) = leaks._hashes([text or ""], leaks.W.Hasher())
+        for k, (terms, parts) in enumerate(index.own):
+            for first in range(len(h)):
+                window = h[first : first + int(index.windows[k])]
+                if parts[np.isin(terms, window)].sum() >= score - 1e-9:
+                    halves = [(np.isin(half, leaks._grams(window, n)).mean() if len(half) else 1.0) for n, half in (index.questions[k], index.answers[k])]
+                    if min(halves) >= overlap:
+                        found.add((doc, int(index.ids[k])))
+                        break
+    return found
+
+
+def test_windows_against_brute_force(spark):
+    """Copies with words lost, put in or moved apart; an item far longer than the others changes nothing for them."""
+    rng, rows = random.Random(9), items(15)
+    texts = []
+    for k in range(90):
+        item = rows[rng.randrange(len(rows))][1].split(" ")
+        copy = [w for w in item if rng.random() > rng.choice([0, 0.1, 0.3])]
+        for _ in range(rng.choice([0, 0, 2, 5, 40])):
+            copy.insert(rng.randrange(len(copy) + 1), f"more{rng.randrange(99)}")
+        texts.append((k, " ".join(words(rng, rng.randint(0, 80)) + copy + words(rng, rng.randint(0, 80))), "", "", 0))
+    question, answer = rows[3][1].split(". ")
+    apart = " ".join([question + ".", *(f"far{i}" for i in range(400)), answer])
+    texts += [(200, apart, "", "", 0), (201, " ".join([rows[3][1]] * 3), "", "", 0)]
+    docs = spark.createDataFrame(texts, SCHEMA)
+    long_ = (700, " ".join(f"far{rng.randrange(5000)}" for _ in range(900)) + ". End of it.")
+    want = plain_leaks(texts, rows, leaks.SCORE, leaks.OVERLAP)
+    assert 30 < len(want) < 90 and (200, 3) not in want
+    for more in ([], [long_]):
+        got = leaks.find_leaks(docs, spark.createDataFrame([*rows, *more], "item_id long, text string")).collect()
+        if not more:
+            assert {(r.doc_id, m["item"]) for r in got for m in r.leaks} == want
+        else:  # weights change a little with another item, the windows do not
+            assert {(r.doc_id, m["item"]) for r in got for m in r.leaks} == plain_leaks(texts, [*rows, *more], leaks.SCORE, leaks.OVERLAP)
+        assert [m["passages"] >= 2 for r in got if r.doc_id == 201 for m in r.leaks if m["item"] == 3] == [True]
+
+
 def test_no_items_or_documents(spark, docs, nothing):
     none = spark.createDataFrame([], "item_id long, text string")
     assert leaks.find_leaks(docs, none).filter("size(leaks) > 0").count() == 0
