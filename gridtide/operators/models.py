@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from gridtide.operators import trees
 from gridtide.operators.position import BLOCK_ROWS, block_window, home_rows, with_halo
 from gridtide.operators.skew import attach
 
@@ -33,7 +34,9 @@ class ForecastConfig:
     ridge: float = 1e-6
     tree_rounds: int = 20
     tree_depth: int = 5
-    seed: int = 42
+    tree_bins: int = 32                # of each input
+    tree_rate: float = 0.1             # of every tree after the first
+    tree_rows: int = 20                # fewest steps in a leaf
     block_rows: int = BLOCK_ROWS
 
     @property
@@ -185,35 +188,7 @@ def linear(train: DataFrame, test: DataFrame, cfg: ForecastConfig, keys: Sequenc
     return per_step(windows.withColumn("_level", level), predicted, keys)
 
 
-def _step_rows(windows: DataFrame, cfg: ForecastConfig, keys: Sequence[str]) -> DataFrame:
-    from pyspark.ml.functions import array_to_vector
-
-    steps = F.posexplode(F.arrays_zip("season", "truth"))
-    rows = windows.select(*keys, "component", "origin_idx", "features", "center", "scale", steps.alias("_pos", "_s"))
-    inputs = F.concat("features", F.array(F.col("_s.season"), (F.col("_pos") + 1) / cfg.horizon))
-    return rows.select(
-        *keys, "component", "origin_idx", (F.col("_pos") + 1).alias("h"), "center", "scale",
-        array_to_vector(inputs).alias("inputs"), F.col("_s.truth").alias("label"),
-    )
-
-
 @register_model("gbt")
 def boosted_trees(train: DataFrame, test: DataFrame, cfg: ForecastConfig, keys: Sequence[str]) -> DataFrame:
-    """Gradient-boosted trees on the same inputs; one distributed fit per component, shared by all series."""
-    from pyspark.ml.regression import GBTRegressor
-
-    parts = []
-    for (name,) in sorted(train.select("component").distinct().collect()):  # as many as the decomposition has parts
-        learn, score = (_step_rows(w.filter(F.col("component") == name), cfg, keys) for w in (train, test))
-        trees = GBTRegressor(
-            featuresCol="inputs", labelCol="label", predictionCol="z", maxIter=cfg.tree_rounds, maxDepth=cfg.tree_depth, seed=cfg.seed
-        ).fit(learn)
-        parts.append(trees.transform(score))
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
-    return rows.select(
-        *keys, "component", "origin_idx", "h", (F.col("origin_idx") + F.col("h")).alias("target_idx"),
-        (F.col("label") * F.col("scale") + F.col("center")).alias("truth"),
-        (F.col("z") * F.col("scale") + F.col("center")).alias("pred"),
-    )
+    """Gradient-boosted trees on the same inputs; one ensemble per component, shared by all series, all grown at once."""
+    return per_step(trees.boost(train, test, cfg, keys), F.col("predicted"), keys)
