@@ -230,7 +230,6 @@ def score(
     common = F.filter(F.arrays_zip("keys", "counts"), lambda x: x["counts"] >= floor)
     listed = sums.select(F.inline(common)).orderBy(F.desc("counts"), "keys").limit(classes).toPandas()
     model = _train(kept, listed["keys"].to_numpy(np.int64).view(np.uint64), listed["counts"].to_numpy(np.int64), int(total), int(vocabulary), width, rounds, parts)
-    context = docs.sparkSession.sparkContext
     sent = send(docs.sparkSession, model)  # tables of fixed size
 
     def emit_pairs(batches):
