@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.queries import DIGITS
+from checks.queries import DIGITS, SHORT
 from checks.series import HOLIDAYS
 from gridtide.operators.distribution import NORMAL_FAR, NORMAL_MIDDLE, NORMAL_NEAR
 
@@ -355,12 +355,108 @@ def predicted(source: str, look: int, ahead: int, names: list[str]) -> str:
     fused AS (SELECT event_type, model, idx, sum(actual) AS actual_load, sum(predicted) AS predicted_load FROM comp GROUP BY ALL)"""
 
 
-# Lookback 48, horizon 24, three components.
+NUMBERS = tuple(c for c in CALENDAR if c not in ("weekday_name", "date", "season"))
+
+
+def scaled(names: list[str], exog: tuple[str, ...] = ()) -> str:
+    """`z`: every component, and the inputs of its row, under the mean and deviation of the training rows."""
+    def unit(c: str, m: str, sd: str) -> str:
+        return f"({c} - {m}) / CASE WHEN {sd} > 0 THEN {sd} + 1e-8 ELSE 1 END"
+
+    inputs = [f"({CALENDAR[c]})::INT::DOUBLE AS x_{c}" if c == "is_weekend" else f"({CALENDAR[c]})::DOUBLE AS x_{c}" for c in exog]
+    moments = [f"avg(x_{c}) AS m_{c}, stddev_pop(x_{c}) AS s_{c}" for c in exog]
+    rows = f"SELECT event_type, idx, split_idx{''.join(', ' + x for x in inputs)} FROM parts"
+    return f"""sized AS MATERIALIZED (SELECT event_type, component, avg(value) AS m, stddev_pop(value) AS sd FROM long WHERE idx < split_idx GROUP BY ALL),
+    inputs AS MATERIALIZED ({rows}), ranged AS (SELECT event_type{''.join(', ' + x for x in moments)} FROM inputs WHERE idx < split_idx GROUP BY event_type),
+    z AS MATERIALIZED (SELECT l.event_type, l.component, l.idx, l.n, l.split_idx, l.value, m, CASE WHEN sd > 0 THEN sd + 1e-8 ELSE 1 END AS sd, {unit('value', 'm', 'sd')} AS z
+        {''.join(f', {unit(f"x_{c}", f"m_{c}", f"s_{c}")} AS {c}' for c in exog)}
+        FROM long AS l JOIN sized USING (event_type, component) JOIN inputs AS i ON i.event_type = l.event_type AND i.idx = l.idx JOIN ranged AS r ON r.event_type = l.event_type)"""
+
+
+def windowed(look: int, ahead: int) -> str:
+    """`w`: origins of training and test windows with the season before and the truth after them."""
+    return f"""w AS MATERIALIZED (SELECT * FROM (SELECT *, coalesce(lag(z) OVER o, z) AS before, avg(z) OVER (o ROWS BETWEEN {ahead - 1} PRECEDING AND CURRENT ROW) AS recent,
+        list(z) OVER (o ROWS BETWEEN {ahead - 1} PRECEDING AND CURRENT ROW) AS ps, list(z) OVER (o ROWS BETWEEN 1 FOLLOWING AND {ahead} FOLLOWING) AS ys,
+        idx <= split_idx - 1 - {ahead} AS train FROM z WINDOW o AS (PARTITION BY event_type, component ORDER BY idx))
+        WHERE idx >= {look - 1} AND (train OR idx BETWEEN split_idx - 1 AND n - 1 - {ahead}))"""
+
+
+def solved(ahead: int, exog: tuple[str, ...] = ()) -> str:
+    """`linear`: predictions of the linear model; its normal equations are added up by window and solved by elimination, a column at a time."""
+    fixed = ["1", "z", "before", "recent", *exog]
+    n, k = len(fixed) + 2, len(fixed)
+    steps = [j / ahead for j in range(1, ahead + 1)]
+    h1, h2 = sum(steps), sum(x * x for x in steps)
+    hs = f"[{', '.join(map(repr, steps))}]"
+    dot = lambda a, b: f"list_dot_product({a}, {b})"
+    pairs = {}
+    for i, a in enumerate(fixed):
+        for j, b in enumerate(fixed):
+            pairs[i, j] = f"{ahead} * sum({a} * {b})"
+        pairs[i, k] = pairs[k, i] = f"sum({a} * list_sum(ps))"
+        pairs[i, k + 1] = pairs[k + 1, i] = f"{h1!r} * sum({a})"
+        pairs[i, n] = f"sum({a} * list_sum(ys))"
+    pairs |= {(k, k): f"sum({dot('ps', 'ps')})", (k, k + 1): f"sum({dot('ps', hs)})", (k + 1, k): f"sum({dot('ps', hs)})", (k + 1, k + 1): f"{h2!r} * count(*)", (k, n): f"sum({dot('ps', 'ys')})", (k + 1, n): f"sum({dot('ys', hs)})"}
+    ridge = "1e-6 * greatest(a_0_0, 1.0)"
+    parts = [f"e AS MATERIALIZED (SELECT event_type, component, {', '.join(f'{pairs[i, j]} AS a_{i}_{j}' for i in range(n) for j in range(n + 1))} FROM w WHERE train GROUP BY event_type, component)"]
+    parts.append(f"e0 AS MATERIALIZED (SELECT event_type, component, {', '.join((f'a_{i}_{j} + {ridge}' if i == j else f'a_{i}_{j}') + f' AS a_{i}_{j}' for i in range(n) for j in range(n + 1))} FROM e)")
+    for c in range(n):
+        cells = [f"a_{c}_{j} / a_{c}_{c} AS a_{c}_{j}" if i == c else f"a_{i}_{j} - a_{i}_{c} * (a_{c}_{j} / a_{c}_{c}) AS a_{i}_{j}" for i in range(n) for j in range(c + 1, n + 1)]
+        parts.append(f"e{c + 1} AS MATERIALIZED (SELECT event_type, component, {', '.join(cells)} FROM e{c})")
+    level = " + ".join(f"a_{i}_{n} * {x}" for i, x in enumerate(fixed))
+    parts.append(f"""linear AS MATERIALIZED (SELECT event_type, component, 'linear' AS model, idx, max(actual) AS actual, avg(predicted) AS predicted FROM (
+        SELECT event_type, component, idx + unnest(range(1, {ahead + 1})) AS idx, unnest(ys) * sd + m AS actual,
+        (({level}) + a_{k}_{n} * unnest(ps) + a_{k + 1}_{n} * unnest({hs})) * sd + m AS predicted FROM w JOIN e{n} USING (event_type, component) WHERE NOT train) GROUP BY event_type, component, idx)""")
+    return ",\n    ".join(parts)
+
+
+def boosted(ahead: int, rounds: int, depth: int, bins: int = 32, rate: float = 0.1, least: int = 20) -> str:
+    """`gbt`: predictions of the trees without further inputs, grown level by level from sums of residuals in steps of 2**-20."""
+    inputs = ["z", "before", "recent", "p", "h"]  # numbers 1 to 5; number 0 is constant
+    edge = ", ".join(f"min({x}) AS lo_{x}, max({x}) AS hi_{x}" for x in inputs)
+    place = lambda x: f"CASE WHEN hi_{x} > lo_{x} THEN least(greatest(floor(({x} - lo_{x}) / (hi_{x} - lo_{x}) * {bins - 1} + 0.47), 0), {bins - 1})::INT ELSE 0 END"
+    parts = [f"""st AS MATERIALIZED (SELECT event_type, component, m, sd, train, idx + unnest(range(1, {ahead + 1})) AS target, z, before, recent, unnest(ps) AS p, unnest(ys) AS y, unnest(range(1, {ahead + 1})) / {ahead}::DOUBLE AS h FROM w)""",
+        f"ed AS MATERIALIZED (SELECT component, {edge} FROM st WHERE train GROUP BY component)",
+        f"t0 AS MATERIALIZED (SELECT event_type, component, m, sd, train, target, y, 0.0::DOUBLE AS f, 1 AS node, {', '.join(f'{place(x)} AS b{i + 1}' for i, x in enumerate(inputs))} FROM st JOIN ed USING (component))"]
+    previous = "t0"
+    for r in range(rounds):
+        name = f"r{r}"
+        parts.append(f"{name} AS MATERIALIZED (SELECT * REPLACE (1 AS node), floor((y - f) * 1048576 + 0.5)::BIGINT AS g FROM {previous})")
+        for level in range(depth):
+            cells = ", ".join(f"{{'f': {i}, 'b': b{i}}}" for i in range(1, 6))
+            parts.append(f"""{name}h{level} AS (SELECT component, node, c.f AS feature, c.b AS cut, sum(g) AS s, count(*) AS k
+                FROM (SELECT component, node, g, unnest([{cells}]) AS c FROM {name} WHERE train AND node >= {1 << level}) GROUP BY ALL)""")
+            parts.append(f"""{name}c{level} AS (SELECT component, node, feature, cut, sum(s) OVER o AS gl, sum(k) OVER o AS nl, sum(s) OVER (PARTITION BY component, node, feature) AS gt, sum(k) OVER (PARTITION BY component, node, feature) AS nt
+                FROM {name}h{level} WINDOW o AS (PARTITION BY component, node, feature ORDER BY cut))""")
+            parts.append(f"""{name}b{level} AS MATERIALIZED (SELECT * FROM (SELECT component, node, feature, cut, gl::DOUBLE * gl::DOUBLE / nl + (gt - gl)::DOUBLE * (gt - gl)::DOUBLE / (nt - nl) - gt::DOUBLE * gt::DOUBLE / nt AS gain
+                FROM {name}c{level} WHERE nl >= {least} AND nt - nl >= {least}) WHERE gain > 1e-6 * 1048576 * 1048576 QUALIFY row_number() OVER (PARTITION BY component, node ORDER BY gain DESC, feature, cut) = 1)""")
+            value = "CASE feature " + " ".join(f"WHEN {i} THEN b{i}" for i in range(1, 6)) + " END"
+            parts.append(f"""{name}n{level} AS MATERIALIZED (SELECT t.* REPLACE (CASE WHEN feature IS NULL THEN t.node ELSE 2 * t.node + ({value} > cut)::INT END AS node) FROM {name} AS t LEFT JOIN {name}b{level} AS x ON x.component = t.component AND x.node = t.node)""")
+            name = f"{name}n{level}"
+        parts.append(f"""v{r} AS MATERIALIZED (SELECT component, node, sum(g)::DOUBLE / count(*) / 1048576 * {rate if r else 1.0!r} AS v FROM {name} WHERE train GROUP BY ALL)""")
+        parts.append(f"t{r + 1} AS MATERIALIZED (SELECT t.* EXCLUDE (g) REPLACE (f + v AS f) FROM {name} AS t JOIN v{r} USING (component, node))")
+        previous = f"t{r + 1}"
+    parts.append(f"""gbt AS MATERIALIZED (SELECT event_type, component, 'gbt' AS model, target AS idx, max(y * sd + m) AS actual, avg(f * sd + m) AS predicted FROM {previous} WHERE NOT train GROUP BY event_type, component, target)""")
+    return ",\n    ".join(parts)
+
+
+def with_learned(plain: str, learned: str, *models: str) -> str:
+    """The statements of the plain models, with learned ones in `comp` and `fused`."""
+    first, rest = plain.split("    comp AS MATERIALIZED (", 1)
+    both, fused_ = rest.rsplit("    fused AS ", 1)
+    more = "".join(f" UNION ALL SELECT event_type, component, model, idx, actual, predicted FROM {m}" for m in models)
+    return f"{first}    {learned},\n    comp0 AS MATERIALIZED ({both}    comp AS MATERIALIZED (SELECT * FROM comp0{more}),\n    fused AS {fused_}"
+
+
+# Lookback 48, horizon 24, three components, all four models.
 L, H, ALL_PARTS = 48, 24, ["imf_1", "imf_2", "imf_3", "residual"]
-PREDICTED = predicted(components(HOURLY_INDEXED, 3), L, H, ALL_PARTS)
-# The defaults on raw events.
+MODELS = ["seasonal_naive", "moving_average", "linear", "gbt"]
+PLAIN = predicted(components(HOURLY_INDEXED, 3), L, H, ALL_PARTS)
+PREDICTED = with_learned(PLAIN, ",\n    ".join([scaled(ALL_PARTS), windowed(L, H), solved(H), boosted(H, SHORT.tree_rounds, SHORT.tree_depth)]), "linear", "gbt")
+# The defaults on raw events, with all inputs; the trees at this size are too slow here.
 EVENT_PARTS = [*IMF[:6], "residual"]
-EVENT_PREDICTED = predicted(components(INDEXED, 6), 672, 96, EVENT_PARTS)
+EVENT_PLAIN = predicted(components(INDEXED, 6), 672, 96, EVENT_PARTS)
+EVENT_PREDICTED = with_learned(EVENT_PLAIN, ",\n    ".join([scaled(EVENT_PARTS, NUMBERS), windowed(672, 96), solved(96, NUMBERS)]), "linear")
 
 
 def scores(groups: str, source: str, y: str = "actual_load", p: str = "predicted_load", extra: str = "") -> str:
@@ -370,28 +466,22 @@ def scores(groups: str, source: str, y: str = "actual_load", p: str = "predicted
 
 
 METRICS = ("MAE", "RMSE", "MAPE", "R2")
-ONE = f"""{PREDICTED}, one AS (SELECT f.event_type, f.idx, p.timestamp, actual_load, predicted_load, actual_load - predicted_load AS error
+ONE = f"""{PLAIN}, one AS (SELECT f.event_type, f.idx, p.timestamp, actual_load, predicted_load, actual_load - predicted_load AS error
     FROM fused AS f JOIN parts AS p ON p.event_type = f.event_type AND p.idx = f.idx WHERE model = 'seasonal_naive')"""
 ERRORS = f"{ONE}, err AS (SELECT * REPLACE (predicted_load - actual_load AS error) FROM one)"
 FORECAST = ("actual_load", "predicted_load", "error")
 
-INPUTS = {"hour": "hour(timestamp)::DOUBLE", "weekday": "((isodow(timestamp) - 1)::DOUBLE)", "is_weekend": "(isodow(timestamp) >= 6)::INT::DOUBLE", "hour_sin": "sin(2 * pi() * (hour(timestamp) + minute(timestamp) / 60) / 24)"}
-sql("f1_scaled_features", f"""WITH parts AS (SELECT *, {', '.join(f'{e} AS {c}' for c, e in INPUTS.items())}, greatest(floor(n * 0.8::DOUBLE), 72)::BIGINT AS split_idx FROM ({components(HOURLY_INDEXED, 1)})),
-    long AS ({long_form('SELECT * FROM parts', ['imf_1', 'residual'], 'event_type, idx, split_idx, ' + ', '.join(INPUTS))}),
-    s AS (SELECT event_type, component, avg(value) AS m, stddev_pop(value) + 1e-8 AS sd FROM long WHERE idx < split_idx GROUP BY ALL),
-    x AS (SELECT event_type, {', '.join(f'avg({c}) AS m_{c}, stddev_pop({c}) + 1e-8 AS s_{c}' for c in INPUTS)} FROM parts WHERE idx < split_idx GROUP BY event_type)
-    SELECT event_type, idx, component, (value - m) / sd AS z, 13 AS inputs, {', '.join(f'({c} - m_{c}) / s_{c} AS {c}' for c in INPUTS)}
-    FROM long JOIN s USING (event_type, component) JOIN x USING (event_type)""", "z", *INPUTS)
+sql("f1_scaled_features", f"""WITH {EVENT_PLAIN}, {scaled(EVENT_PARTS, NUMBERS)} SELECT event_type, idx, component, z, {', '.join(NUMBERS)} FROM z""", "z", *NUMBERS)
 sql("w11_f2ab_component_forecasts", f"WITH {PREDICTED} SELECT * FROM comp", "actual", "predicted")
 COMPONENT_SCORES = scores("event_type, component, model", "comp", "actual", "predicted")
 sql("f4_component_metrics", f"WITH {PREDICTED} {COMPONENT_SCORES}", *METRICS)
 sql("f4_f8_single_forecast", f"WITH {ONE} SELECT * FROM one", *FORECAST)
 sql("a19_forecast_metrics", f"""WITH {ONE}, m AS ({scores('event_type', 'one')}) """ + " UNION ALL ".join(
     f"SELECT event_type, '{m}' AS metric, {m} AS value FROM m" for m in METRICS), "value")
-sql("a20_error_metrics", f"""WITH {PREDICTED}, m AS ({scores('event_type', "(SELECT * FROM fused WHERE model = 'moving_average')")})
+sql("a20_error_metrics", f"""WITH {PLAIN}, m AS ({scores('event_type', "(SELECT * FROM fused WHERE model = 'moving_average')")})
     SELECT event_type, RMSE, MAE, MAPE FROM m""", "RMSE", "MAE", "MAPE")
 CHOSEN = f"""{PREDICTED}, sc AS ({COMPONENT_SCORES}), chosen AS (SELECT event_type, component, model AS selected_model, MAE, RMSE, MAPE, R2 FROM sc
-    QUALIFY row_number() OVER (PARTITION BY event_type, component ORDER BY RMSE, MAE, MAPE, model DESC) = 1)"""
+    QUALIFY row_number() OVER (PARTITION BY event_type, component ORDER BY RMSE, MAE, MAPE, list_position({MODELS}, model)) = 1)"""
 sql("f5_model_selection", f"WITH {CHOSEN} SELECT * FROM chosen", *METRICS)
 HYBRID = f"""{CHOSEN}, hybrid AS (SELECT c.event_type, c.idx, sum(actual) AS actual_load, sum(predicted) AS predicted_load
     FROM comp AS c JOIN chosen AS x ON x.event_type = c.event_type AND x.component = c.component AND x.selected_model = c.model GROUP BY c.event_type, c.idx)"""
@@ -400,7 +490,7 @@ sql("f5_hybrid_forecast", f"""WITH {HYBRID} SELECT h.event_type, h.idx, p.timest
 sql("f6_best_method", f"""WITH {HYBRID}, every AS (SELECT event_type, model AS method, actual_load, predicted_load FROM fused
     UNION ALL SELECT event_type, 'hybrid', actual_load, predicted_load FROM hybrid), m AS ({scores('event_type, method', 'every')})
     SELECT event_type, method AS best_method, MAE, RMSE, MAPE, R2 FROM m QUALIFY row_number() OVER (PARTITION BY event_type
-    ORDER BY round(RMSE, 8), round(MAE, 8), round(MAPE, 8), list_position(['seasonal_naive', 'moving_average', 'hybrid'], method)) = 1""", *METRICS)
+    ORDER BY round(RMSE, 8), round(MAE, 8), round(MAPE, 8), list_position({[*MODELS, 'hybrid']}, method)) = 1""", *METRICS)
 COMPARED = f"{PREDICTED}, m AS ({scores('event_type, model', '(SELECT * REPLACE (upper(model) AS model) FROM fused)')})"
 sql("f9_model_comparison", f"WITH {COMPARED} SELECT event_type, model, RMSE, MAE, MAPE FROM m ORDER BY event_type, RMSE", "RMSE", "MAE", "MAPE")
 sql("f9_comparison_long", f"WITH {COMPARED} " + " UNION ALL ".join(
@@ -409,11 +499,17 @@ sql("f9_best_model", f"""WITH {COMPARED} SELECT event_type, model AS best_model
     QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY RMSE, model) = 1""")
 sql("f10_strategy_metrics", f"""WITH {PREDICTED}, m AS ({scores('event_type, strategy', "(SELECT *, 'EMD+' || model AS strategy FROM fused)")})
     SELECT *, 3 AS imf_components FROM m""", *METRICS)
+STRATEGIES = f"{PREDICTED}, every AS (SELECT * REPLACE ('EMD+' || model AS model) FROM fused), m AS ({scores('event_type, model', 'every')})"
+sql("f10_strategy_comparison", f"WITH {STRATEGIES} SELECT event_type, upper(model) AS model, RMSE, MAE, MAPE FROM m", "RMSE", "MAE", "MAPE")
+sql("f10_best_forecast", f"""WITH {STRATEGIES}, top AS (SELECT event_type, model FROM m QUALIFY row_number() OVER (PARTITION BY event_type
+    ORDER BY RMSE, MAE, MAPE, list_position({['EMD+' + x for x in MODELS]}, model)) = 1)
+    SELECT e.event_type, e.idx, p.timestamp, actual_load, predicted_load, actual_load - predicted_load AS error, e.model AS strategy
+    FROM every AS e JOIN top USING (event_type, model) JOIN parts AS p ON p.event_type = e.event_type AND p.idx = e.idx""", *FORECAST)
 sql("f11_fusion_comparison", f"""WITH {PREDICTED}, every AS (SELECT * REPLACE (upper(model) AS model) FROM fused UNION ALL
     SELECT event_type, 'FREQ_FUSION', idx, avg(actual_load), avg(predicted_load) FROM fused GROUP BY event_type, idx),
     m AS ({scores('event_type, model', 'every')}) SELECT event_type, model, RMSE, MAE, MAPE FROM m""", "RMSE", "MAE", "MAPE")
 EVENT_SCORED = f"""{EVENT_PREDICTED}, sc AS ({COMPONENT_SCORES}), chosen AS (SELECT event_type, component, model AS selected_model, MAE, RMSE, MAPE, R2 FROM sc
-    QUALIFY row_number() OVER (PARTITION BY event_type, component ORDER BY RMSE, MAE, MAPE, model DESC) = 1)"""
+    QUALIFY row_number() OVER (PARTITION BY event_type, component ORDER BY RMSE, MAE, MAPE, list_position({MODELS}, model)) = 1)"""
 sql("f4_event_forecast", f"""WITH {EVENT_PREDICTED} SELECT f.event_type, f.idx, p.timestamp, actual_load, predicted_load, actual_load - predicted_load AS error
     FROM fused AS f JOIN parts AS p ON p.event_type = f.event_type AND p.idx = f.idx WHERE model = 'moving_average'""", *FORECAST)
 sql("f5_event_selection", f"WITH {EVENT_SCORED} SELECT * FROM chosen", *METRICS)
@@ -422,21 +518,20 @@ sql("f6_event_best", f"""WITH {EVENT_SCORED}, hybrid AS (SELECT c.event_type, c.
     every AS (SELECT event_type, model AS method, actual_load, predicted_load FROM fused UNION ALL SELECT event_type, 'hybrid', actual_load, predicted_load FROM hybrid),
     m AS ({scores('event_type, method', 'every')})
     SELECT event_type, method AS best_method, MAE, RMSE, MAPE, R2 FROM m QUALIFY row_number() OVER (PARTITION BY event_type
-    ORDER BY round(RMSE, 8), round(MAE, 8), round(MAPE, 8), list_position(['seasonal_naive', 'moving_average', 'hybrid'], method)) = 1""", *METRICS)
+    ORDER BY round(RMSE, 8), round(MAE, 8), round(MAPE, 8), list_position({[*MODELS, 'hybrid']}, method)) = 1""", *METRICS)
 sql("f7_dispatch", f"WITH {ONE} SELECT * FROM one", *FORECAST)
 CALENDAR_INPUTS = ("year", "month", "day", "hour", "minute", "weekday", "is_weekend", "hour_sin", "hour_cos", "weekday_sin", "weekday_cos", "month_sin", "month_cos")
 sql("t7_exogenous_columns", " UNION ALL ".join(f"SELECT '{c}' AS \"column\", sum({c}::INT::DOUBLE) AS total FROM ({calendar(RAW)})" if c == "is_weekend" else f"SELECT '{c}' AS \"column\", sum({c}::DOUBLE) AS total FROM ({calendar(RAW)})" for c in CALENDAR_INPUTS), "total")
 # Inputs of the linear model without calendar: 1, the value, the one before, the recent mean; then the value one period before each target and the step.
 LINEAR = ["1", "z", "before", "recent", "p", "h"]
 MOMENTS = [f"sum({x} * {y})" for x in LINEAR for y in LINEAR] + [f"sum({x} * y)" for x in LINEAR]
-sql("f2c_normal_matrix", f"""WITH {PREDICTED}, s AS (SELECT event_type, component, avg(value) AS m, stddev_pop(value) + 1e-8 AS sd FROM long WHERE idx < split_idx GROUP BY ALL),
-    z AS MATERIALIZED (SELECT event_type, component, idx, split_idx, (value - m) / sd AS z FROM long JOIN s USING (event_type, component) WHERE idx < split_idx),
-    w AS MATERIALIZED (SELECT *, coalesce(lag(z) OVER o, z) AS before, avg(z) OVER (o ROWS BETWEEN {H - 1} PRECEDING AND CURRENT ROW) AS recent,
-        list(z) OVER (o ROWS BETWEEN {H - 1} PRECEDING AND CURRENT ROW) AS ps, list(z) OVER (o ROWS BETWEEN 1 FOLLOWING AND {H} FOLLOWING) AS ys
-        FROM z WINDOW o AS (PARTITION BY event_type, component ORDER BY idx)),
-    steps AS MATERIALIZED (SELECT event_type, component, z, before, recent, unnest(ps) AS p, unnest(ys) AS y, unnest(range(1, {H + 1})) / {H}::DOUBLE AS h
-        FROM w WHERE idx >= {L - 1} AND idx <= split_idx - 1 - {H})
+sql("f2c_normal_matrix", f"""WITH {PLAIN}, {scaled(ALL_PARTS)}, {windowed(L, H)},
+    steps AS MATERIALIZED (SELECT event_type, component, z, before, recent, unnest(ps) AS p, unnest(ys) AS y, unnest(range(1, {H + 1})) / {H}::DOUBLE AS h FROM w WHERE train)
     SELECT event_type, component, unnest(range(0, {len(MOMENTS)}))::INT AS pos, unnest(sums) AS v FROM (SELECT event_type, component, [{', '.join(MOMENTS)}] AS sums FROM steps GROUP BY ALL)""", "v")
+FRAMED = """SELECT f.event_type, f.idx, p.timestamp, actual_load, predicted_load, actual_load - predicted_load AS error
+    FROM fused AS f JOIN parts AS p ON p.event_type = f.event_type AND p.idx = f.idx WHERE model = """
+sql("f2c_linear_forecast", f"WITH {EVENT_PREDICTED} {FRAMED} 'linear'", *FORECAST)
+sql("f2d_gbt_forecast", f"WITH {PREDICTED} {FRAMED} 'gbt'", *FORECAST)
 sql("f2cd_learned_coverage", f"""SELECT event_type, model, idx, load AS actual_load, true AS predicted FROM (SELECT *, greatest(floor(n * 0.8::DOUBLE), {L + H})::BIGINT AS split_idx FROM ({HOURLY_INDEXED})),
     (SELECT unnest(['linear', 'gbt']) AS model) WHERE idx >= split_idx""", "actual_load")
 sql("f12_error_analysis_rows", f"WITH {ERRORS} SELECT * EXCLUDE (idx) FROM err", *FORECAST)

@@ -27,7 +27,7 @@ def lower_bounds() -> None:
             names = names[: function.__code__.co_argcount][-len(function.__defaults__):]
             function.__defaults__ = tuple(BOUNDS.get(n, d) for n, d in zip(names, function.__defaults__))
     queries.SHORT = dataclasses.replace(queries.SHORT, block_rows=BOUNDS["block_rows"])
-    queries.RICH = dataclasses.replace(queries.RICH, block_rows=BOUNDS["block_rows"])
+    queries.DEFAULTS = dataclasses.replace(queries.DEFAULTS, block_rows=BOUNDS["block_rows"])
     queries.prepared.__defaults__ = (queries.SHORT,)
 
 
