@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from gridtide.operators.position import BLOCK_ROWS, with_halo
 from gridtide.operators.sequence import reach
+from gridtide.operators.sifting import sift_components
 
 # Centred window lengths of the smoothing cascade, and the most components.
 CASCADE = (4, 16, 48, 96, 192, 336, 672)
@@ -80,10 +81,19 @@ def component_names(df: DataFrame) -> list[str]:
 
 def component_frame(
     indexed: DataFrame, components: int = 6, keys: Sequence[str] = (), value: str = "load", rest: str = "residual",
-    causal: bool = False, block_rows: int = BLOCK_ROWS,
+    causal: bool = False, block_rows: int = BLOCK_ROWS, method: str = "cascade",
 ) -> DataFrame:
-    """The first `components` components and what they leave of the load, so that all sum to it."""
-    parts = decompose(indexed, keys, value, max(MAX_COMPONENTS, components), components, causal, block_rows)
+    """The first `components` components and what they leave of the load, so that all sum to it.
+
+    `method` is `cascade` (moving averages) or `sifting` (envelopes of extrema; never causal).
+    """
+    if method not in ("cascade", "sifting") or (causal and method == "sifting"):
+        raise ValueError("The method is cascade or sifting, and only the cascade can be causal.")
+    most = max(MAX_COMPONENTS, components)
+    if method == "sifting":
+        parts = sift_components(indexed, keys, value, most, components, block_rows=block_rows)
+    else:
+        parts = decompose(indexed, keys, value, most, components, causal, block_rows)
     total = sum((F.coalesce(c, F.lit(0.0)) for c in component_names(parts)), F.lit(0.0))
     return parts.withColumn(rest, F.col(value) - total)
 

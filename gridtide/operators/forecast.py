@@ -61,7 +61,7 @@ def prepare(df: DataFrame, cfg: ForecastConfig, keys: Sequence[str] = ()) -> Com
     cfg.check()
     keys = tuple(keys)
     exogenous = numeric_exogenous_columns(df, keys) if cfg.exogenous else []
-    rows = component_frame(index_series(df, keys), cfg.imf_components, keys, causal=cfg.causal, block_rows=cfg.block_rows)
+    rows = component_frame(index_series(df, keys), cfg.imf_components, keys, causal=cfg.causal, block_rows=cfg.block_rows, method=cfg.decomposition)
     names = [*component_names(rows), "residual"]
     rows = with_split(rows, cfg.train_ratio, cfg.lookback, cfg.horizon)
     rows = materialise(rows.select(*keys, "timestamp", "load", "idx", "n", "split_idx", *names, *exogenous))

@@ -31,6 +31,7 @@ class ForecastConfig:
     exogenous: bool = True
     strict_scaling: bool = False
     causal: bool = False
+    decomposition: str = "cascade"     # or "sifting"
     ridge: float = 1e-6
     tree_rounds: int = 20
     tree_depth: int = 5
