@@ -121,6 +121,17 @@ sql("t1_all_range", selection("lo", "hi", "false", "'all_data'"))
 sql("t2_clipped_range", selection(
     "greatest(TIMESTAMP '2023-12-01', lo)", "least(TIMESTAMP '2024-01-20 12:00:00', hi)",
     "TIMESTAMP '2023-12-01' < lo OR TIMESTAMP '2024-01-20 12:00:00' > hi"))
+CUT_ORDERS = """SELECT o_orderpriority, o_orderdate AS t FROM orders WHERE o_orderdate < CASE o_orderpriority WHEN '1-URGENT' THEN TIMESTAMP '1996-03-01' WHEN '5-LOW' THEN TIMESTAMP '1995-01-05' ELSE TIMESTAMP '2100-01-01' END"""
+sql("t1_series_ranges", f"""WITH o AS ({CUT_ORDERS}), b AS (SELECT o_orderpriority, min(t) AS lo, max(t) AS hi FROM o GROUP BY ALL),
+    r AS (SELECT o_orderpriority, greatest(hi - INTERVAL 35 DAY, lo) AS start, hi AS "end", hi - INTERVAL 35 DAY < lo AS clipped FROM b)
+    SELECT *, CASE WHEN "end" - start < INTERVAL 7 DAY THEN 'shorter than 7 days' END AS problem,
+    CASE WHEN "end" - start < INTERVAL 7 DAY THEN 0 ELSE (SELECT count(*) FROM o WHERE o.o_orderpriority = r.o_orderpriority AND t BETWEEN r.start AND r."end") END::BIGINT AS rows FROM r""")
+# Lunar new years of the order years, and the other days off by the rules of the time.
+SPRINGS = ("1992-02-04", "1993-01-23", "1994-02-10", "1995-01-31", "1996-02-19", "1997-02-07", "1998-01-28", "1999-02-16", "2000-02-05", "2001-01-24", "2002-02-12")
+OFF = " UNION ALL ".join([f"SELECT DATE '{d}' + {i}::INTEGER AS d" for d in SPRINGS for i in range(3)] + [f"SELECT DATE '{y}-{d}'" for y in range(1992, 2003)
+    for d in ("01-01", "05-01", "10-01", "10-02", *(("10-03",) if y >= 1999 else ()), *(("05-02", "05-03") if y >= 2000 else ()))])
+sql("t5_china_holidays", f"SELECT o_orderdate AS timestamp, count(DISTINCT o_orderpriority)::BIGINT AS series FROM orders WHERE o_orderdate::DATE IN (SELECT d FROM ({OFF})) GROUP BY ALL")
+sql("c1_normalised_names", "SELECT p_partkey, replace(lower(p_name), ' ', '') AS name FROM part")
 sql("t3_filter_by_time", f"SELECT * FROM ({RAW}) WHERE timestamp BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-14 23:45:00'", "load")
 sql("t4_peak_valley_hours", f"SELECT *, hour(timestamp) BETWEEN 18 AND 21 AS is_peak, hour(timestamp) BETWEEN 2 AND 4 AS is_valley FROM ({RAW})", "load")
 DAYS = ", ".join(f"DATE '{d}'" for d in HOLIDAYS)
@@ -216,11 +227,11 @@ LAGGED = f"""SELECT *, lag(load, 1) OVER w AS l1, lag(load, 24) OVER w AS l24, l
 sql("a16_correlation_matrix", " UNION ALL ".join(
     f"SELECT event_type, '{a}' AS feature, '{b}' AS other, corr({x}, {y}) AS corr FROM ({LAGGED}) WHERE l168 IS NOT NULL GROUP BY event_type"
     for a, x in FEATURES.items() for b, y in FEATURES.items()), "corr")
-WEATHER = f"""SELECT timestamp, max(load) FILTER (event_type = 'click') AS load, max(load) FILTER (event_type = 'view') AS temperature,
-    max(load) FILTER (event_type = 'signup') AS humidity, max(load) FILTER (event_type = 'purchase') AS rainfall FROM ({HOUR_SUMS}) GROUP BY timestamp"""
+WEATHER = f"""SELECT kind AS event_type, timestamp, max(load) FILTER (event_type = kind) AS load, max(load) FILTER (event_type = 'view') AS temperature,
+    max(load) FILTER (event_type = 'signup') AS humidity, max(load) FILTER (event_type = 'purchase') AS rainfall FROM ({HOUR_SUMS}), (SELECT unnest(['click', 'error']) AS kind) GROUP BY kind, timestamp"""
 sql("a17_weather_correlation", " UNION ALL ".join(
-    f"""SELECT '{c}' AS feature, CASE WHEN NOT isnan(corr(load, {c})) THEN corr(load, {c}) END AS corr FROM ({WEATHER})
-    WHERE load IS NOT NULL AND temperature IS NOT NULL AND humidity IS NOT NULL AND rainfall IS NOT NULL"""
+    f"""SELECT event_type, '{c}' AS feature, CASE WHEN NOT isnan(corr(load, {c})) THEN corr(load, {c}) END AS corr FROM ({WEATHER})
+    WHERE load IS NOT NULL AND temperature IS NOT NULL AND humidity IS NOT NULL AND rainfall IS NOT NULL GROUP BY event_type"""
     for c in ("temperature", "humidity", "rainfall")), "corr")
 HOURS = f"""SELECT event_type, CASE WHEN quantile_cont(step, 0.5) > 0 THEN quantile_cont(step, 0.5) / 3600 ELSE 1.0 END AS sampling_hours FROM (
     SELECT event_type, (epoch_us(timestamp) - lag(epoch_us(timestamp)) OVER (PARTITION BY event_type ORDER BY timestamp)) / 1e6 AS step
@@ -308,6 +319,11 @@ IMF = [f"imf_{j}" for j in range(1, 9)]
 sql("d1_decompose", f"SELECT * EXCLUDE (n, idx) FROM ({cascade(INDEXED)})", "load", *IMF)
 GAPS = """SELECT event_type, ts AS timestamp, CASE WHEN event_id % 17 <> 0 THEN value END AS load, count(*) OVER (PARTITION BY event_type) AS n,
     row_number() OVER (PARTITION BY event_type ORDER BY ts) - 1 AS idx FROM events"""
+sql("d1_sifting_extrema", f"""WITH x AS (SELECT event_type, idx, floor(load) AS v FROM ({INDEXED})),
+    r AS (SELECT *, sum(new::INT) OVER (PARTITION BY event_type ORDER BY idx) AS run FROM (SELECT *, coalesce(v <> lag(v) OVER (PARTITION BY event_type ORDER BY idx), true) AS new FROM x)),
+    g AS (SELECT event_type, run, min(idx) AS a, max(idx) AS b, any_value(v) AS value FROM r GROUP BY ALL),
+    n AS (SELECT *, lag(value) OVER o AS l, lead(value) OVER o AS u FROM g WINDOW o AS (PARTITION BY event_type ORDER BY a))
+    SELECT event_type, (value > l)::INT AS kind, a + (b - a) // 2 AS at, value FROM n WHERE (value > l AND value > u) OR (value < l AND value < u)""", "value")
 sql("d1_decompose_with_gaps", f"SELECT * EXCLUDE (n, idx) FROM ({cascade(GAPS)})", "load", *IMF)
 sql("d2_component_frame", f"SELECT * EXCLUDE (n, idx) FROM ({components(INDEXED, 6)})", "load", *IMF[:6], "residual")
 sql("d3_bounded_component_frame", f"SELECT * EXCLUDE (n, idx) FROM ({components(INDEXED, 3, 'remainder_component')})", "load", *IMF[:3], "remainder_component")
@@ -534,6 +550,8 @@ sql("f2c_linear_forecast", f"WITH {EVENT_PREDICTED} {FRAMED} 'linear'", *FORECAS
 sql("f2d_gbt_forecast", f"WITH {PREDICTED} {FRAMED} 'gbt'", *FORECAST)
 sql("f2cd_learned_coverage", f"""SELECT event_type, model, idx, load AS actual_load, true AS predicted FROM (SELECT *, greatest(floor(n * 0.8::DOUBLE), {L + H})::BIGINT AS split_idx FROM ({HOURLY_INDEXED})),
     (SELECT unnest(['linear', 'gbt']) AS model) WHERE idx >= split_idx""", "actual_load")
+sql("f3_registry", f"""SELECT event_type, component, model, n - split_idx AS rows, split_idx AS first_row
+    FROM (SELECT DISTINCT event_type, n, greatest(floor(n * 0.8::DOUBLE), {L + H})::BIGINT AS split_idx FROM ({HOURLY_INDEXED})), (SELECT unnest({ALL_PARTS}) AS component), (SELECT unnest({MODELS}) AS model)""")
 sql("f12_error_analysis_rows", f"WITH {ERRORS} SELECT * EXCLUDE (idx) FROM err", *FORECAST)
 sql("f13_last_rows", f"""WITH {ONE} SELECT * EXCLUDE (idx) FROM one
     QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY idx DESC) <= 168""", *FORECAST)
@@ -603,3 +621,18 @@ sql("io6_run_metadata", """SELECT 'dataset_path' AS field, 'events' AS value UNI
     UNION ALL SELECT 'rows_after_filter', count(*)::VARCHAR FROM events WHERE ts >= (SELECT max(ts) - INTERVAL 14 DAY FROM events)""")
 sql("io11_forecast_artifacts", f"""WITH {ONE}, m AS ({scores('event_type', 'one')}) """ + " UNION ALL ".join(
     f"SELECT event_type, '{m}' AS metric, {m} AS value FROM m" for m in METRICS), "value")
+BEST = f"""{HYBRID}, every AS (SELECT event_type, model AS method, idx, actual_load, predicted_load FROM fused
+    UNION ALL SELECT event_type, 'hybrid', idx, actual_load, predicted_load FROM hybrid), m AS ({scores('event_type, method', 'every')}),
+    best AS (SELECT event_type, method AS best_method, MAE, RMSE, MAPE, R2 FROM m QUALIFY row_number() OVER (PARTITION BY event_type
+    ORDER BY round(RMSE, 8), round(MAE, 8), round(MAPE, 8), list_position({[*MODELS, 'hybrid']}, method)) = 1)"""
+sql("io11_best_forecasts", f"""WITH {BEST}, every_table AS (SELECT method AS "table", event_type, idx, actual_load, predicted_load FROM every
+    UNION ALL SELECT 'best', e.event_type, idx, actual_load, predicted_load FROM every AS e JOIN best AS b ON b.event_type = e.event_type AND b.best_method = e.method)
+    SELECT "table", e.event_type, p.timestamp, actual_load, predicted_load, actual_load - predicted_load AS error
+    FROM every_table AS e JOIN parts AS p ON p.event_type = e.event_type AND p.idx = e.idx""", *FORECAST)
+sql("io11_best_scores", f"""WITH {BEST}
+    SELECT method || '_metrics_json' AS "table", event_type, NULL::VARCHAR AS component, NULL::VARCHAR AS chosen, MAE, RMSE, MAPE, R2 FROM m
+    UNION ALL SELECT 'best_metrics_json', event_type, NULL, NULL, MAE, RMSE, MAPE, R2 FROM best
+    UNION ALL SELECT 'best_method_metrics', event_type, NULL, best_method, MAE, RMSE, MAPE, R2 FROM best
+    UNION ALL SELECT model || '_component_metrics', event_type, component, NULL, MAE, RMSE, MAPE, R2 FROM sc
+    UNION ALL SELECT 'hybrid_component_metrics', event_type, component, NULL, MAE, RMSE, MAPE, R2 FROM chosen
+    UNION ALL SELECT 'imf_model_selection', event_type, component, selected_model, MAE, RMSE, MAPE, R2 FROM chosen""", *METRICS)

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from checks import series as S
 from gridtide.functions.calendar import add_time_features, range_label, year_week
-from gridtide.functions.columns import infer_key_columns, numeric_exogenous_columns, parse_ratios
-from gridtide.operators import clean, decompose, describe, distribution, forecast, models, relate, score, select, sequence
+from gridtide.functions.columns import infer_key_columns, normalised, numeric_exogenous_columns, parse_ratios
+from gridtide.operators import clean, decompose, describe, distribution, forecast, models, relate, score, select, sequence, sifting
 from gridtide.operators.position import index_series
 from gridtide.operators.spectrum import classify_components, spectrum
 from gridtide.plans.analysis import analysis_tables
@@ -154,6 +154,31 @@ def _(spark, folder):
     return S.raw_events(spark, folder).withColumns(flags)
 
 
+@query("t1_series_ranges")
+def _(spark, folder):
+    """The last five weeks of each order priority, whose first and last days differ, and how many orders they hold."""
+    # Some priorities are made to end early, so that ranges differ and one is too short.
+    orders = S.priced_orders(spark, folder)
+    cut = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("1996-03-01")).when(F.col("o_orderpriority") == "5-LOW", F.lit("1995-01-05")).otherwise(F.lit("2100-01-01"))
+    orders = orders.filter(F.col("timestamp") < cut.cast("timestamp_ntz"))
+    ranges = select.resolve_time_ranges(orders, S.PRIORITY, mode="recent", recent_value=5, recent_unit="weeks")
+    rows = select.filter_by_times(orders, ranges, S.PRIORITY).groupBy(*S.PRIORITY).agg(F.count(F.lit(1)).alias("rows"))
+    return ranges.join(rows, S.PRIORITY, "left").na.fill(0, ["rows"])
+
+
+@query("t5_china_holidays")
+def _(spark, folder):
+    """Order days with the public holidays of their years, by the calendar's rules."""
+    return select.flag_holidays(S.daily_orders(spark, folder)).filter("is_holiday").groupBy("timestamp").agg(F.count(F.lit(1)).alias("series"))
+
+
+@query("c1_normalised_names")
+def _(spark, folder):
+    """Part names with blanks put around them, as normalised."""
+    parts = S.table(spark, folder, "part")
+    return parts.select("p_partkey", normalised(F.concat(F.lit(" \t"), F.initcap("p_name"), F.lit("  "))).alias("name"))
+
+
 query("t5_holiday_flag")(lambda s, f: select.flag_holidays(S.raw_events(s, f), S.holidays(s)))
 
 
@@ -208,7 +233,7 @@ query("a13_diff2_histogram")(lambda s, f: distribution.histogram(ramps(s, f), "d
 query("a14_load_density")(lambda s, f: distribution.density(S.raw_events(s, f), "load", distribution.LOAD_BINS, KEYS))
 query("a15_empirical_cdf", 7)(lambda s, f: distribution.empirical_cdf(S.raw_events(s, f), "load", KEYS))
 query("a16_correlation_matrix", 8)(lambda s, f: relate.load_correlations(S.raw_events(s, f), KEYS))
-query("a17_weather_correlation", 8)(lambda s, f: relate.weather_correlation(S.weather_hours(s, f)))
+query("a17_weather_correlation", 8)(lambda s, f: relate.weather_correlation(S.weather_hours(s, f), KEYS))
 query("a18_sampling_hours", 8)(lambda s, f: relate.sampling_hours(S.raw_events(s, f), KEYS))
 
 # --- sequences ----------------------------------------------------------------------------------
@@ -277,6 +302,19 @@ def _parts(spark, folder):
 query("d1_decompose")(lambda s, f: _parts(s, f).drop("n", "idx"))
 
 
+@query("d1_sifting")
+def _(spark, folder):
+    """Components by sifting; envelopes through all extrema are beyond SQL, so this has none."""
+    return sifting.sift_components(indexed(spark, folder), KEYS, max_components=4, sifts=4).drop("n", "idx")
+
+
+@query("d1_sifting_extrema")
+def _(spark, folder):
+    """The minima and maxima that the first envelopes go through, by series."""
+    rounded = indexed(spark, folder).withColumn("load", F.floor("load"))
+    return sifting.extrema(rounded, KEYS)
+
+
 @query("d1_decompose_with_gaps")
 def _(spark, folder):
     gaps = S.table(spark, folder, "events").select("event_type", F.col("ts").alias("timestamp"), F.when(F.col("event_id") % 17 != 0, F.col("value")).alias("load"))
@@ -449,6 +487,14 @@ def _(spark, folder):
     return sums.unpivot([], names, "column", "total")
 
 
+@query("f3_registry")
+def _(spark, folder):
+    """Every registered model, found by its name in capitals, and the rows it predicts of each series and component."""
+    series = prepared(spark, folder)
+    found = forecast.component_forecasts(series, [m.upper() for m in models.MODELS])
+    return found.groupBy(*KEYS, "component", "model").agg(F.count("predicted").alias("rows"), F.min("idx").alias("first_row"))
+
+
 query("f12_error_analysis_rows")(lambda s, f: score.for_error_analysis(single(s, f).forecast).drop("n", "idx"))
 query("f13_last_rows")(lambda s, f: forecast.last_week(single(s, f).forecast, 7 * 24).drop("n", "idx"))
 query("f13_last_event_rows")(lambda s, f: forecast.last_week(indexed(s, f)).drop("n"))
@@ -620,3 +666,35 @@ def _(spark, folder):
         long = sums.unpivot(["event_type", "rows"], numbers, "column", "total").withColumn("table", F.lit(name))
         out = long if out is None else out.unionByName(long)
     return out
+
+
+@query("io11_best_forecasts", 4)
+def _(spark, folder):
+    """Every row of the forecast tables that a best run writes: its own, one for each model, and the hybrid's."""
+    target = scratch_folder(spark, "forecast")
+    write_forecast(forecast.run_best(prepared(spark, folder)), target, KEYS)
+    out = None
+    for name in ("best", "hybrid", *models.MODELS):
+        df = spark.read.option("header", "true").csv(f"{target}/{name}_forecast").select(
+            F.lit(name).alias("table"), "event_type", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), *[F.col(c).cast("double").alias(c) for c in ("actual_load", "predicted_load", "error")]
+        )
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+@query("io11_best_scores", 4)
+def _(spark, folder):
+    """Every row of its score tables: of the methods, of their components, of the selection, and of the best."""
+    target = scratch_folder(spark, "forecast")
+    write_forecast(forecast.run_best(prepared(spark, folder)), target, KEYS)
+    csv_, json_ = (lambda n: spark.read.option("header", "true").csv(f"{target}/{n}")), (lambda n: spark.read.json(f"{target}/{n}"))
+    tables = {f"{m}_metrics_json": json_(f"{m}_metrics_json") for m in ("best", "hybrid", *models.MODELS)}
+    tables |= {f"{m}_component_metrics": csv_(f"{m}_component_metrics").drop("model", "selected_model") for m in ("hybrid", *models.MODELS)}
+    tables |= {"imf_model_selection": csv_("imf_model_selection"), "best_method_metrics": json_("best_method_metrics")}
+    out = None
+    for name, df in tables.items():
+        chosen = next((F.col(c) for c in ("selected_model", "best_method") if c in df.columns), F.lit(None).cast("string"))
+        part = F.col("component") if "component" in df.columns else F.lit(None).cast("string")
+        rows = df.select(F.lit(name).alias("table"), "event_type", part.alias("component"), chosen.alias("chosen"), *[F.col(m).cast("double").alias(m) for m in ("MAE", "RMSE", "MAPE", "R2")])
+        out = rows if out is None else out.unionByName(rows)
+    return out

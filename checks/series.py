@@ -53,10 +53,10 @@ def daily_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def weather_hours(spark: SparkSession, folder: str) -> DataFrame:
-    """One series with three other event types standing in for the weather columns."""
-    roles = {"click": "load", "view": "temperature", "signup": "humidity", "purchase": "rainfall"}
-    wide = hour_sums(spark, folder).groupBy("timestamp").pivot("event_type", list(roles)).agg(F.first("load"))
-    return wide.withColumnsRenamed(roles)
+    """Two event types as series, with the three others standing in for the weather columns of both."""
+    roles = {"view": "temperature", "signup": "humidity", "purchase": "rainfall"}
+    wide = hour_sums(spark, folder).groupBy("timestamp").pivot("event_type", ["click", "error", *roles]).agg(F.first("load"))
+    return wide.withColumnsRenamed(roles).unpivot(["timestamp", *roles.values()], ["click", "error"], "event_type", "load")
 
 
 def dirty_events(spark: SparkSession, folder: str) -> DataFrame:

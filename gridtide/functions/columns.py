@@ -49,6 +49,12 @@ def normalise_name(name: str) -> str:
     return str(name).strip().lower().replace(" ", "")
 
 
+def normalised(name: str | Column) -> Column:
+    """`normalise_name` of a column of names."""
+    name = F.col(name) if isinstance(name, str) else name
+    return F.replace(F.lower(F.regexp_replace(name.cast("string"), r"(?U)^\s+|\s+$", "")), F.lit(" "), F.lit(""))
+
+
 def first_match(columns: list[str], keywords: tuple[str, ...]) -> str | None:
     """First column, in schema order, whose normalised name contains a keyword."""
     return next((c for c in columns if any(k in normalise_name(c) for k in keywords)), None)

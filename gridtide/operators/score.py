@@ -58,12 +58,12 @@ def period_error_stats(forecast: DataFrame, keys: Sequence[str] = ()) -> DataFra
     return metrics(period_rows(forecast), [*keys, "period"], names=METRICS[:3], count="sample_count")
 
 
-def with_day_type(forecast: DataFrame, holidays: DataFrame) -> DataFrame:
+def with_day_type(forecast: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
     flagged = flag_holidays(forecast, holidays)
     return flagged.withColumn("day_type", F.when(F.col("is_holiday"), "Holiday").otherwise("Non-Holiday")).drop("is_holiday")
 
 
-def holiday_error_stats(forecast: DataFrame, holidays: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def holiday_error_stats(forecast: DataFrame, holidays: DataFrame | None = None, keys: Sequence[str] = ()) -> DataFrame:
     """`keys…, category, MAE, RMSE, MAPE, sample_count` for holidays and other days."""
     typed = with_day_type(forecast, holidays).withColumnRenamed("day_type", "category")
     return metrics(typed, [*keys, "category"], names=METRICS[:3], count="sample_count")

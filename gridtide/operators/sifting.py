@@ -104,6 +104,19 @@ def _extrema(marks: DataFrame, keys: Sequence[str]) -> DataFrame:
     return every.select(*keys, "kind", F.expr("start + (end - start) div 2").alias("at"), "value")
 
 
+def extrema(indexed: DataFrame, keys: Sequence[str] = (), value: str = "load", block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """`keys…, kind, at, value`: all minima (kind 0) and maxima (1) of each series, by position; a flat one counts once, in its middle."""
+    return _extrema(stored(_marks(_in_blocks(indexed, keys, value, block_rows), keys), "marks"), keys)
+
+
+def _in_blocks(indexed: DataFrame, keys: Sequence[str], value: str, block_rows: int) -> DataFrame:
+    """Known values of each block in order, as arrays `at` and `h`."""
+    known = indexed.filter(F.col(value).isNotNull() & ~F.isnan(value)).select(*keys, "idx", F.col(value).cast("double").alias("v"))
+    cells = known.groupBy(*keys, F.expr(f"idx div {block_rows}L").alias("_block")).agg(F.array_sort(F.collect_list(F.struct("idx", "v"))).alias("_c"))
+    field = lambda name, out: F.transform("_c", lambda c: c[name]).alias(out)
+    return cells.select(*keys, "_block", field("idx", "at"), field("v", "h"))
+
+
 def _knots(extrema: DataFrame, ends: DataFrame, keys: Sequence[str], block_rows: int) -> DataFrame:
     """`keys…, kind, idx, n, at, value`: numbered extrema with the mirrored ones, of series that have enough of both kinds."""
     groups = [*keys, "kind"]
@@ -177,10 +190,7 @@ def sift_components(
     count = min(max_components, keep or max_components)
     if not 1 <= count or sifts < 1:
         raise ValueError("At least one component and one sift are needed.")
-    known = indexed.filter(F.col(value).isNotNull() & ~F.isnan(value)).select(*keys, "idx", F.col(value).cast("double").alias("v"))
-    cells = known.groupBy(*keys, F.expr(f"idx div {block_rows}L").alias("_block")).agg(F.array_sort(F.collect_list(F.struct("idx", "v"))).alias("_c"))
-    field = lambda name, out: F.transform("_c", lambda c: c[name]).alias(out)
-    blocks = stored(cells.select(*keys, "_block", field("idx", "at"), field("v", "h"), field("v", "rest")), "blocks")
+    blocks = stored(_in_blocks(indexed, keys, value, block_rows).withColumn("rest", F.col("h")), "blocks")
     ends = blocks.groupBy(*keys).agg(F.min(F.element_at("at", 1)).alias("_first"), F.max(F.element_at("at", -1)).alias("_last"))
     ends, names, parts = stored(ends, "ends"), [f"imf_{j}" for j in range(1, count + 1)], []
     for j, name in enumerate(names, start=1):

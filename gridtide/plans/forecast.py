@@ -54,7 +54,7 @@ def forecast_views(result: ForecastResult) -> Tables:
     }
 
 
-def error_tables(forecast: DataFrame, holidays: DataFrame, keys: Sequence[str] = ()) -> Tables:
+def error_tables(forecast: DataFrame, holidays: DataFrame | None = None, keys: Sequence[str] = ()) -> Tables:
     """Error statistics and chart data, with errors as predicted minus actual."""
     keys = list(keys)
     errors = score.for_error_analysis(forecast)
@@ -71,7 +71,7 @@ def error_tables(forecast: DataFrame, holidays: DataFrame, keys: Sequence[str] =
 
 
 def run_comparison(
-    df: DataFrame, cfg: ForecastConfig, folder: str, holidays: DataFrame, keys: Sequence[str] = (),
+    df: DataFrame, cfg: ForecastConfig, folder: str, holidays: DataFrame | None = None, keys: Sequence[str] = (),
     models: Sequence[str] | None = None, fmt: str = "csv",
 ) -> DataFrame:
     """Compare `EMD+<model>` strategies, write their tables and the error analysis of the best; returns its forecast."""
