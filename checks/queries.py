@@ -487,6 +487,16 @@ def _(spark, folder):
     return sums.unpivot([], names, "column", "total")
 
 
+def _network(name):
+    # Twenty steps for each network: enough to move, few enough for a check of every query.
+    make = lambda s, f: forecast.run_single(prepared(s, f, dataclasses.replace(SHORT, net_steps=20)), name).forecast.drop("n")
+    query(f"f2_{name}_forecast")(make)
+
+
+for _name in models.SERIES_MODELS:
+    _network(_name)
+
+
 @query("f3_registry")
 def _(spark, folder):
     """Every registered model, found by its name in capitals, and the rows it predicts of each series and component."""

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from gridtide.functions.calendar import add_time_features
 from gridtide.functions.columns import numeric_exogenous_columns
 from gridtide.operators.decompose import component_frame, component_names
-from gridtide.operators.models import LEARNING, MODELS, ForecastConfig, find_model, model_windows
+from gridtide.operators.models import LEARNING, MODELS, SERIES_MODELS, ForecastConfig, find_model, model_windows
 from gridtide.operators.position import index_series, tail_rows
 from gridtide.operators.score import METRICS, metrics
 from gridtide.operators.sequence import average_overlaps, impute_means, standardise, test_context, with_split
@@ -114,12 +114,16 @@ def component_forecasts(series: ComponentSeries, models: Sequence[str]) -> DataF
     train, test = training_windows(series), testing_windows(series)
     if any(m.lower() in LEARNING for m in models):
         train, test = stored(train, "windows"), stored(test, "windows")
-    elif len(models) > 1:
+    elif sum(m.lower() in MODELS for m in models) > 1:
         test = stored(test, "windows")
-    parts = [
-        average_overlaps(find_model(m)(train, test, series.config, series.keys), groups).withColumn("model", F.lit(m.lower()))
-        for m in models
-    ]
+
+    def predictions(name: str) -> DataFrame:
+        model = find_model(name)
+        if name.lower() in SERIES_MODELS:
+            return model(series.scaled, series.config, series.keys)
+        return model(train, test, series.config, series.keys)
+
+    parts = [average_overlaps(predictions(m), groups).withColumn("model", F.lit(m.lower())) for m in models]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -245,7 +249,7 @@ def run_best(series: ComponentSeries, models: Sequence[str] | None = None) -> Fo
 def run_forecast(df: DataFrame, cfg: ForecastConfig, method: str, keys: Sequence[str] = ()) -> ForecastResult:
     """Forecast with one model, `hybrid` or `best`; the method name ignores case."""
     name = method.lower()
-    if name not in MODELS and name not in ("hybrid", "best"):
+    if name not in MODELS and name not in SERIES_MODELS and name not in ("hybrid", "best"):
         raise ValueError(f"Unsupported forecast method: {method}")
     if cfg.exogenous and "hour_sin" not in df.columns:
         df = add_time_features(df)

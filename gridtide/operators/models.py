@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from gridtide.operators import trees
+from gridtide.operators import neural, trees
 from gridtide.operators.position import BLOCK_ROWS, block_window, home_rows, with_halo
 from gridtide.operators.skew import attach
 
@@ -38,6 +38,10 @@ class ForecastConfig:
     tree_bins: int = 32                # of each input
     tree_rate: float = 0.1             # of every tree after the first
     tree_rows: int = 20                # fewest steps in a leaf
+    net_steps: int = 60                # of the networks
+    net_rate: float = 0.01
+    net_rows: int = 1024               # origins of a segment
+    seed: int = 42
     block_rows: int = BLOCK_ROWS
 
     @property
@@ -59,6 +63,8 @@ Model = Callable[[DataFrame, DataFrame, ForecastConfig, Sequence[str]], DataFram
 MODELS: dict[str, Model] = {}
 # Names of the models that read the training windows.
 LEARNING: set[str] = set()
+# Models that read whole scaled series instead of windows; they are run when named, and are no default candidates.
+SERIES_MODELS: dict[str, Callable[[DataFrame, ForecastConfig, Sequence[str]], DataFrame]] = {}
 
 
 def register_model(name: str, learns: bool = True) -> Callable[[Model], Model]:
@@ -75,11 +81,11 @@ def register_model(name: str, learns: bool = True) -> Callable[[Model], Model]:
     return add
 
 
-def find_model(name: str) -> Model:
-    try:
-        return MODELS[name.lower()]
-    except KeyError:
-        raise ValueError(f"Unsupported model: {name}") from None
+def find_model(name: str) -> Callable:
+    found = MODELS.get(name.lower()) or SERIES_MODELS.get(name.lower())
+    if found is None:
+        raise ValueError(f"Unsupported model: {name}")
+    return found
 
 
 def model_windows(long: DataFrame, cfg: ForecastConfig, keys: Sequence[str]) -> DataFrame:
@@ -193,3 +199,12 @@ def linear(train: DataFrame, test: DataFrame, cfg: ForecastConfig, keys: Sequenc
 def boosted_trees(train: DataFrame, test: DataFrame, cfg: ForecastConfig, keys: Sequence[str]) -> DataFrame:
     """Gradient-boosted trees on the same inputs; one ensemble per component, shared by all series, all grown at once."""
     return per_step(trees.boost(train, test, cfg, keys), F.col("predicted"), keys)
+
+
+def _register_network(name: str) -> None:
+    run = neural.forecaster(name)
+    SERIES_MODELS[name] = lambda scaled, cfg, keys: per_step(run(scaled, cfg, keys), F.col("predicted"), keys)
+
+
+for _name in neural.NETWORKS:
+    _register_network(_name)

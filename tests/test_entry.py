@@ -12,7 +12,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="driver tables
 
 # Cheap queries that cover aggregation, positions, blocks, ranks and cleaning.
 SAMPLE = ("a2_peak_valley", "a10_event_box_statistics", "a15_empirical_cdf", "c6_average_duplicates", "d1_decompose", "p10_year_week", "w3_lag_pairs")
-WITHOUT_SQL = {"d1_sifting", "f2d_event_forecast", "f6_event_best_of_all"}
+WITHOUT_SQL = {"d1_sifting", "f2_tcn_forecast", "f2_lstm_forecast", "f2_autoformer_forecast", "f2_scinet_forecast", "f2d_event_forecast", "f6_event_best_of_all"}
 
 
 def test_entry(spark):

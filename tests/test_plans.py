@@ -13,7 +13,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="driver tables
 # The published settings need longer series than the smallest tables have.
 LONGER = {"f1_scaled_features", "f2c_linear_forecast", "f4_event_forecast", "f5_event_selection", "f6_event_best"}
 # These fit trees many times over; their plans are those of the windows that the others have.
-SLOW = {"f2d_event_forecast", "f6_event_best_of_all"}
+SLOW = {"f2_tcn_forecast", "f2_lstm_forecast", "f2_autoformer_forecast", "f2_scinet_forecast", "f2d_event_forecast", "f6_event_best_of_all"}
 
 
 def planned(df) -> str:
