@@ -100,6 +100,11 @@ sql("c7_quality_report", f"""WITH t AS ({TYPED}), u AS ({UNIQUE})
     UNION ALL SELECT 'remaining_missing_features', count(*) FILTER (extra IS NULL) FROM ({filled(UNIQUE, 'load', 'extra')})
     UNION ALL SELECT 'cleaned_rows', count(*) FROM u""")
 sql("c8_interpolate_in_time", filled(UNIQUE, "load", "extra"), "load", "extra")
+# Final are the times an hour before the latest one, but for those after the last known value before that.
+FINAL = f"SELECT * FROM ({UNIQUE}) WHERE timestamp < (SELECT max(timestamp) - INTERVAL 1 HOUR FROM ({VALID}))"
+sql("c6_c8_stream_cleaning", f"""WITH f AS MATERIALIZED ({FINAL}), k AS (SELECT event_type, max(timestamp) AS last_known FROM f WHERE load IS NOT NULL GROUP BY ALL)
+    SELECT x.event_type, x.timestamp, x.load, f.load IS NULL AS filled FROM ({filled('SELECT * FROM f', 'load')}) AS x JOIN f ON f.event_type = x.event_type AND f.timestamp = x.timestamp
+    JOIN k ON k.event_type = x.event_type WHERE x.timestamp <= last_known""", "load")
 sql("c8_hourly_spine_filled", HOURLY, "load")
 sql("clean_load_data", calendar(filled(UNIQUE, "load", "extra")), "load", "extra", *WAVES)
 
@@ -615,6 +620,8 @@ sql("io4_doubled_quotes", """SELECT event_type, ts AS timestamp, value AS load,
     CASE WHEN event_id % 2 = 1 THEN '"x", ' || event_id || ',' || chr(10) || '"",' || chr(10) WHEN event_id % 6 <> 0 THEN 'a "b", c "' || event_id || '"' END AS note FROM events""", "load")
 sql("io2_io4_load_csv", TYPED, "load", "extra")
 sql("io5_clean_table", calendar(RAW), "load", *WAVES)
+sql("io5_store_positions", """SELECT o_orderpriority, timestamp, load, count(*) OVER (PARTITION BY o_orderpriority) AS n, row_number() OVER (PARTITION BY o_orderpriority ORDER BY timestamp) - 1 AS idx
+    FROM (SELECT o_orderpriority, o_orderdate AS timestamp, sum(o_totalprice / 1000) AS load FROM orders GROUP BY ALL)""", "load")
 sql("io5_csv_with_mark", RAW, "load")
 sql("io6_run_metadata", """SELECT 'dataset_path' AS field, 'events' AS value UNION ALL SELECT 'encoding', 'utf-8'
     UNION ALL SELECT 'selection', (max(ts) - INTERVAL 14 DAY)::VARCHAR || ' ~ ' || max(ts)::VARCHAR FROM events UNION ALL SELECT 'timestamp_column', 'ts' UNION ALL SELECT 'load_column', 'value'

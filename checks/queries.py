@@ -16,7 +16,9 @@ from gridtide.operators.spectrum import classify_components, spectrum
 from gridtide.plans.analysis import analysis_tables
 from gridtide.session import scratch_folder, stored
 from gridtide.sources import csv
+from gridtide.sources.store import index_store, replace_months, write_store
 from gridtide.sources.tables import analysis_scope, component_export, run_metadata, write_clean_series, write_forecast, write_table
+from gridtide.streaming.cleaning import clean_stream
 
 KEYS = S.KEYS
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -708,3 +710,27 @@ def _(spark, folder):
         rows = df.select(F.lit(name).alias("table"), "event_type", part.alias("component"), chosen.alias("chosen"), *[F.col(m).cast("double").alias(m) for m in ("MAE", "RMSE", "MAPE", "R2")])
         out = rows if out is None else out.unionByName(rows)
     return out
+
+
+@query("c6_c8_stream_cleaning")
+def _(spark, folder):
+    """The dirty events as a stream: what is final when the stream has been read, an hour before its latest time."""
+    typed = clean.coerce_columns(S.dirty_events(spark, folder), "时间", "负荷", KEYS).select("event_type", "timestamp", "load")
+    source, target = scratch_folder(spark, "stream"), scratch_folder(spark, "cleaned")
+    typed.write.parquet(source)
+    stream = spark.readStream.schema(typed.schema).parquet(source)
+    writer = clean_stream(stream, KEYS, "1 hour", 24.0 * 365).writeStream.format("parquet").outputMode("append")
+    writer.option("checkpointLocation", scratch_folder(spark, "state")).trigger(availableNow=True).start(target).awaitTermination()
+    return spark.read.schema("event_type string, timestamp timestamp_ntz, load double, filled boolean").parquet(target)
+
+
+@query("io5_store_positions")
+def _(spark, folder):
+    """Order days from a bucketed store, one of whose months came late and was put in its place."""
+    path = scratch_folder(spark, "store")
+    name, days = f"orders_{path[-32:]}", S.daily_orders(spark, folder)
+    late = (F.year("timestamp") == 1995) & (F.month("timestamp") == 3)
+    write_store(days.withColumn("load", F.when(late, -F.col("load")).otherwise(F.col("load"))), name, path, S.PRIORITY, buckets=8)
+    replace_months(days.filter(late), name, S.PRIORITY)
+    spark.catalog.refreshTable(name)
+    return index_store(spark.table(name), S.PRIORITY)
