@@ -1,20 +1,21 @@
-"""Language-model scores: exact word pairs over a log-bilinear model trained with noise-contrastive estimation.
+"""Language-model scores: a log-bilinear model over classes of the whole vocabulary, trained with noise-contrastive estimation.
 
-The corpus is kept in chunks. Word counts are summed up per chunk, settled by ranges of word hashes and sent back to the
-chunks that have the words, so every token's exact count is at hand where its text is. The commonest words get a class
-of their own, all others share one and are told apart by their smoothed counts. The model predicts a class from the two
-classes before it: the context's vector is a sum of one matrix product per place, the score its product with the
-class's output vector plus a bias.
+A word's probability is that of its class after the two classes before it, times the word's share of its class. Both levels are
+normalised, so the whole adds up to one over all words of the training rows and one more for any unknown word.
 
-Training reads the counts of all class trigrams of the training rows, at most classes cubed however large the corpus;
-every occurrence counts in every round. They are dealt out to a fixed number of parts; in each round every part runs its
-own steps from the same parameters, and the driver averages a fixed number of parameter sets. Probabilities are
+Classes. The commonest words have a class of their own. Every other word seen at least twice gets a vector: the sum of fixed random codes
+of the common words that stand before and after it, over all its occurrences in the training rows. Vectors are cut
+into classes by their nearest centre; the centres are fitted on the vectors of a bounded number of common words. Words seen once share the class of
+the unknown ones: how often something new comes, and after what, is learned from them; the unknown word's share in it
+follows from how many words were seen once and twice.
+
+Class model. The context's vector is a sum of one matrix product per place, the score its product with the class's output vector plus a bias.
+Training reads the counts of all class trigrams of the training rows, every occurrence in every round. They are dealt out to parts of bounded size, as many as the
+corpus needs; in each round every part runs its own steps from the same parameters, and the driver averages them. Probabilities are
 normalised: the sum over all classes is taken once for every possible context, by batched matrix products.
 
-What is known of single words, with or without a class, grows with the corpus: the counts of all pairs of neighbouring
-words are settled like the words' own. A word's probability after the word before it is (pairs + s * m) / (count + s), m
-being the class model's probability and `count` that of the word before; it adds up to one. The strength s is fitted by
-range of `count` on all training tokens, each judged by the counts without itself.
+The corpus is kept in chunks. Counts and vectors are summed up per chunk, settled by ranges of word hashes and sent back to the
+chunks that have the words, so what is known of every token is at hand where its text is; it grows with the corpus.
 """
 
 from __future__ import annotations
@@ -29,29 +30,35 @@ from gridtide.llm import chunks as C, words as W
 from gridtide.llm.sending import send
 from gridtide.session import stored
 
-CLASSES, WIDTH, PARTS, ROUNDS, NOISE = 512, 24, 8, 3, 128
+CLASSES, OWN, WIDTH, ROUNDS, NOISE = 512, 320, 24, 3, 128  # classes in all; of single words
+CODES, CODE_WIDTH, FITTED, FIT_ROUNDS = 512, 16, 20_000, 15  # words with a code, numbers in it, words that centres are fitted on
+PART_ROWS = 1 << 20  # trigrams that one task learns from in a round
 MODULUS, HELD = 7, 2
-BEGIN, REST = 0, 1  # the class before a text, and the class of all words without one of their own
+BEGIN, REST = 0, 1  # the class before a text, and that of words seen once or never
 END_KEY = np.uint64(0x5EED0FE4D)  # stands for the end of a text among the word hashes
-BEGIN_KEY = np.uint64(0x5EED0BE61)  # stands for the place before a text in word pairs
 LOG10 = np.log(10.0)
-PAIR_RANGES = 4  # ranges of word pairs for each range of words, as there are more of them
-STRENGTHS = np.array([1e12, *4.0 ** np.arange(8, -2, -1)])  # candidates; the first leaves the class model alone
 BATCH, RATE, LEAST_STEPS = 512, 0.1, 200
 
 
 class Model(NamedTuple):
-    keys: np.ndarray  # sorted hashes of the words with a class
-    classes: np.ndarray  # their classes
-    near: np.ndarray  # small table: may a hash have a class
-    first: np.ndarray  # context vectors of the word two before, by class, its matrix applied
-    second: np.ndarray  # of the word before
+    first: np.ndarray  # context vectors of the class two before, its matrix applied
+    second: np.ndarray  # of the class before
     output: np.ndarray
     bias: np.ndarray
     log_sum: np.ndarray  # by context
-    tokens: int  # N
-    words: int  # V
-    rest: float  # log10 of the total that smoothed counts of words without a class are divided by
+    sizes: np.ndarray  # training tokens of each class
+    unknown: float  # the unknown word's share of its class
+    single: float  # that of each word seen once
+
+
+class Classes(NamedTuple):
+    """How words come to their classes."""
+
+    keys: np.ndarray  # sorted hashes of the words with a class of their own
+    numbers: np.ndarray  # their classes
+    near: np.ndarray  # small table: may a hash have one
+    centres: np.ndarray  # of the other classes, which follow
+    mean: np.ndarray  # of all vectors, by occurrence
 
 
 class Tokens:
@@ -72,18 +79,6 @@ class Tokens:
         self.counts = np.concatenate(counts) if counts else np.zeros(0, np.int64)
         self.bounds = np.r_[0, np.cumsum(self.counts)]
 
-    def pairs(self) -> np.ndarray:
-        """Hashes of each token and the one before it."""
-        before = np.r_[BEGIN_KEY, self.key[:-1]][: len(self.key)]
-        before[self.bounds[:-1]] = BEGIN_KEY
-        return W.mix(W.mix(before) + self.key)
-
-    def before(self, count: np.ndarray) -> np.ndarray:
-        """The count of the token before each; before a text, that of the ends, one for each text."""
-        out = np.r_[0, count[:-1]][: len(count)]
-        out[self.bounds[:-1]] = count[self.bounds[1:] - 1]
-        return out
-
     def per_text(self, values: np.ndarray) -> np.ndarray:
         return np.add.reduceat(values, self.bounds[:-1]) if len(self.counts) else np.zeros(0)
 
@@ -117,25 +112,65 @@ def _sum_up(top: int):
         total = np.bincount(inverse, g.column("counts"), len(keys)).astype(np.int64)
         best = np.lexsort((keys, -total))[:top]
         best = best[total[best] > 0]
+        extra = {"chunk": [None], "part": [None], "totals": [None], "keys": [keys[best].view(np.int64)], "counts": [total[best]]}
+        extra |= {"tokens": [int(total.sum())], "words": [int((total > 0).sum())], "ones": [int((total == 1).sum())], "twos": [int((total == 2).sum())]}
+        extra = pa.table({c: pa.array(v, COUNTED[c]) for c, v in extra.items()})
         out = g.answer(totals=total[inverse])
-        n = len(out)
-        none = pa.nulls(n, pa.list_(pa.int64()))
-        for name, one, kind in (("keys", keys[best].view(np.int64), None), ("counts", total[best], None), ("tokens", int(total.sum()), pa.int64()), ("words", int((total > 0).sum()), pa.int64())):
-            column = none if kind is None else pa.nulls(n, kind)
-            out = out.append_column(name, column)
-        extra = pa.table({
-            "chunk": pa.array([None], pa.int64()), "part": pa.array([None], pa.int64()), "totals": pa.nulls(1, pa.list_(pa.int64())), "keys": pa.array([keys[best].view(np.int64)], pa.list_(pa.int64())),
-            "counts": pa.array([total[best]], pa.list_(pa.int64())), "tokens": pa.array([int(total.sum())], pa.int64()), "words": pa.array([int((total > 0).sum())], pa.int64()),
-        })
+        for c in extra.column_names[3:]:
+            out = out.append_column(c, pa.nulls(len(out), COUNTED[c]))
+        return pa.concat_tables([out.cast(extra.schema), extra])
+
+    return work
+
+
+COUNTED = {"chunk": pa.int64(), "part": pa.int64(), "totals": pa.list_(pa.int64()), "keys": pa.list_(pa.int64()), "counts": pa.list_(pa.int64()), "tokens": pa.int64(), "words": pa.int64(), "ones": pa.int64(), "twos": pa.int64()}
+
+
+def _sum_vectors(top: int):
+    """The vector of every word of a range (its direction, in steps of 1 / 127), sent back to the chunks, and those of the commonest in one more row."""
+
+    def work(g: C.Gathered) -> pa.Table:
+        keys, inverse = np.unique(g.keys, return_inverse=True)
+        parts = g.column("sums").reshape(len(g.keys), -1)
+        sums = np.zeros((len(keys), parts.shape[1]))
+        np.add.at(sums, inverse, parts)
+        counts = np.zeros(len(keys), np.int64)
+        counts[inverse] = g.column("totals")
+        vectors = directions(sums / np.maximum(counts, 1)[:, None])
+        best = np.lexsort((keys, -counts))[:top]
+        cuts = pa.array(np.r_[g.bounds].astype(np.int64) * vectors.shape[1], pa.int64())
+        answer = pa.LargeListArray.from_arrays(cuts, pa.array(vectors[inverse].ravel(), pa.int8())).cast(pa.list_(pa.int8()))
+        out = pa.table({"chunk": g.table["chunk"], "part": g.table["part"], "vectors": answer, "keys": pa.nulls(len(g.sizes), pa.list_(pa.int64())), "counts": pa.nulls(len(g.sizes), pa.list_(pa.int64()))})
+        extra = pa.table({"chunk": pa.nulls(1, pa.int64()), "part": pa.nulls(1, pa.int64()), "vectors": pa.array([vectors[best].ravel()], pa.list_(pa.int8())), "keys": pa.array([keys[best].view(np.int64)], pa.list_(pa.int64())), "counts": pa.array([counts[best]], pa.list_(pa.int64()))})
         return pa.concat_tables([out.cast(extra.schema), extra])
 
     return work
 
 
-def _sum_pairs(g: C.Gathered) -> pa.Table:
-    """Totals of every pair of a range, sent back to the chunks."""
-    keys, inverse = np.unique(g.keys, return_inverse=True)
-    return g.answer(totals=np.bincount(inverse, g.column("counts"), len(keys)).astype(np.int64)[inverse])
+def directions(vectors: np.ndarray) -> np.ndarray:
+    size = np.sqrt((vectors**2).sum(axis=1, keepdims=True))
+    return np.rint(127 * vectors / np.maximum(size, 1e-9)).astype(np.int8)
+
+
+def codes(n: int, width: int = CODE_WIDTH) -> np.ndarray:
+    """Random signs for each of the commonest words, in their order; no signs for the others (the last row)."""
+    out = np.random.default_rng(11).choice(np.array([-1, 1], np.int32), (n + 1, width))
+    out[n] = 0
+    return out
+
+
+def fit_centres(vectors: np.ndarray, weights: np.ndarray, n: int, rounds: int = FIT_ROUNDS) -> np.ndarray:
+    """The directions of n groups of vectors; the first ones start at the vectors with the largest weights."""
+    units = vectors / np.maximum(np.sqrt((vectors**2).sum(axis=1, keepdims=True)), 1e-9)
+    order = np.argsort(-weights, kind="stable")
+    centres = units[order[:n]].copy()
+    for _ in range(rounds if len(centres) else 0):
+        group = (units @ centres.T).argmax(axis=1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, group, units * weights[:, None])
+        size = np.sqrt((sums**2).sum(axis=1, keepdims=True))
+        centres = np.where(size > 1e-9, sums / np.maximum(size, 1e-9), centres)
+    return centres
 
 
 def _start(classes: int, width: int) -> np.ndarray:
@@ -196,96 +231,82 @@ def _log_sums(first: np.ndarray, second: np.ndarray, output: np.ndarray, bias: n
 
 
 def score(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", classes: int = CLASSES, width: int = WIDTH, rounds: int = ROUNDS, parts: int = PARTS, chunk_bytes: int = C.CHUNK_BYTES
+    docs: DataFrame, id: str = "doc_id", text: str = "text", classes: int = CLASSES, own: int = OWN, width: int = WIDTH, rounds: int = ROUNDS, part_rows: int = PART_ROWS, chunk_bytes: int = C.CHUNK_BYTES
 ) -> DataFrame:
     """One row per row of `docs`: `id, held_out, n_tokens, n_known, train_tokens, base_score, score`.
 
     Learns from the rows whose crc32 of the id as text leaves a remainder other than 2 by 7 (null id: the empty text).
     Tokens: words outside white space with A-Z lower-cased, then one end; a null or empty text is an end alone.
-    `base_score` sums log10((c + 1) / (N + V + 1)), `score` is the log10 probability by word pairs and the class model.
-    Repeated rows count each.
-    Without training rows every count is 0 and all classes are equally likely.
+    `base_score` sums log10((c + 1) / (N + V + 1)), `score` is the model's log10 probability, every word that training rows do not have being the one unknown word.
+    Repeated rows count each. `classes` is the number of classes in all, `own` of them of single words. Centres of the others are fitted on
+    the vectors of at most 20,000 common words. Without training rows every count is 0 and only the unknown word is expected.
     """
     held = F.crc32(F.coalesce(F.col(id).cast("string"), F.lit("")).cast("binary")) % MODULUS == HELD
     kept, n = C.store(docs.select(F.col(id), held.alias("held"), F.col(text).alias("text")), "text", chunk_bytes)
+    own = max(1, min(own, classes - 3))
+    shortlist = max(CODES, own)
 
     def emit(batches):
         for batch in batches:
             for chunk, payload in zip(batch["chunk"].to_pylist(), batch["payload"]):
-                table = C.unpack(payload.as_buffer())
-                tokens = Tokens(table["text"].combine_chunks())
-                learned = np.repeat(~table["held"].to_numpy(), tokens.counts)
+                table, tokens, learned = _opened(payload)
                 keys, inverse = np.unique(tokens.key, return_inverse=True)
                 rows = C.by_range(chunk, keys, n, counts=np.bincount(inverse[learned], minlength=len(keys)).astype(np.int64))
                 if rows is not None:
                     yield rows
 
     counted = kept.mapInArrow(emit, "chunk long, part long, keys array<long>, counts array<long>")
-    counted = stored(C.settle(counted, _sum_up(classes), "chunk long, part long, totals array<long>, keys array<long>, counts array<long>, tokens long, words long"), "counts")
+    kinds = "chunk long, part long, totals array<long>, keys array<long>, counts array<long>, tokens long, words long, ones long, twos long"
+    counted = stored(C.settle(counted, _sum_up(shortlist), kinds), "counts")
     sums = counted.filter("chunk IS NULL")
-    total, vocabulary = (x or 0 for x in sums.agg(F.sum("tokens"), F.sum("words")).first())
-    # The last of the commonest words has at least the count of the last among the first few of every range.
-    few = 2 * classes // n + 8
-    floor = sums.select(F.explode(F.slice("counts", 1, few)).alias("count")).orderBy(F.desc("count")).limit(classes).agg(F.min("count")).first()[0] or 0
-    common = F.filter(F.arrays_zip("keys", "counts"), lambda x: x["counts"] >= floor)
-    listed = sums.select(F.inline(common)).orderBy(F.desc("counts"), "keys").limit(classes).toPandas()
-    model = _train(kept, listed["keys"].to_numpy(np.int64).view(np.uint64), listed["counts"].to_numpy(np.int64), int(total), int(vocabulary), width, rounds, parts)
+    total, vocabulary, ones, twos = (int(x or 0) for x in sums.agg(F.sum("tokens"), F.sum("words"), F.sum("ones"), F.sum("twos")).first())
+    common = _commonest(sums, "counts", shortlist, n).select("keys", "counts").toPandas()
+    # Words seen once have no class of their own.
+    common = common[common["counts"] > 1]
+    coded = common["keys"].to_numpy(np.int64)[:CODES].view(np.uint64)
+    alone = common["keys"].to_numpy(np.int64)[:own].view(np.uint64)
+    answers = counted.filter("chunk IS NOT NULL").select("chunk", "part", "totals")
+    by_chunk = kept.select("chunk", "payload").groupBy("chunk").cogroup(answers.groupBy("chunk"))
+
+    def emit_vectors(key, left, right):
+        for chunk, payload in zip(left["chunk"].to_pylist(), left["payload"]):
+            _, tokens, learned = _opened(payload)
+            found = _vectors(tokens, learned, right, coded, alone)
+            rows = None if found is None else C.by_range(chunk, found[0], n, totals=found[1])
+            if rows is not None:
+                cuts = np.r_[0, np.cumsum(rows["keys"].value_lengths().to_numpy())] * found[2].shape[1]
+                sums_ = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(found[2].ravel(), pa.int32()))
+                return pa.Table.from_batches([rows.append_column("sums", sums_)])
+        kinds = {"chunk": pa.int64(), "part": pa.int64(), "keys": pa.list_(pa.int64()), "totals": pa.list_(pa.int64()), "sums": pa.list_(pa.int32())}
+        return pa.table({c: pa.array([], t) for c, t in kinds.items()})
+
+    vectors = by_chunk.applyInArrow(emit_vectors, "chunk long, part long, keys array<long>, totals array<long>, sums array<int>")
+    vectors = stored(C.settle(vectors, _sum_vectors(-(-4 * FITTED // n) + 8), "chunk long, part long, vectors array<byte>, keys array<long>, counts array<long>"), "vectors")
+    how = _classes(vectors, alone, classes - own - 2)
+    size = len(alone) + 2 + len(how.centres)
+    parts = answers.select("chunk", "part", F.lit(1).alias("step"), "totals", F.lit(None).cast("array<tinyint>").alias("vectors"))
+    parts = parts.unionAll(vectors.filter("chunk IS NOT NULL").select("chunk", "part", F.lit(2), F.lit(None).cast("array<bigint>"), "vectors"))
+    known = kept.select("chunk", "payload").groupBy("chunk").cogroup(parts.groupBy("chunk"))
+    sent_how = send(docs.sparkSession, how)
+
+    def trigrams(key, left, right):
+        _, tokens, learned = _opened(left["payload"][0])
+        cls, _ = _token_classes(tokens, right, sent_how())
+        two, one = _contexts(cls, tokens)
+        found, times = np.unique(((two * size + one) * size + cls)[learned], return_counts=True)
+        return pa.table({"code": pa.array(found, pa.int64()), "n": pa.array(times, pa.int64())})
+
+    seen = stored(known.applyInArrow(trigrams, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")), "trigrams")
+    model = _train(seen, size, ones, twos, width, rounds, part_rows)
     sent = send(docs.sparkSession, model)  # tables of fixed size
 
-    def emit_pairs(batches):
-        for batch in batches:
-            for chunk, payload in zip(batch["chunk"].to_pylist(), batch["payload"]):
-                table = C.unpack(payload.as_buffer())
-                tokens = Tokens(table["text"].combine_chunks())
-                learned = np.repeat(~table["held"].to_numpy(), tokens.counts)
-                keys, inverse = np.unique(tokens.pairs(), return_inverse=True)
-                rows = C.by_range(chunk, keys, PAIR_RANGES * n, counts=np.bincount(inverse[learned], minlength=len(keys)).astype(np.int32))
-                if rows is not None:
-                    yield rows
-
-    paired = kept.mapInArrow(emit_pairs, "chunk long, part long, keys array<long>, counts array<int>")
-    paired = stored(C.settle(paired, _sum_pairs, "chunk long, part long, totals array<long>"), "pairs")
-    answers = counted.filter("chunk IS NOT NULL").select("chunk", "part", "totals", F.lit(False).alias("pair"))
-    answers = answers.unionAll(paired.select("chunk", "part", "totals", F.lit(True).alias("pair")))
-    known = kept.select("chunk", "payload").groupBy("chunk").cogroup(answers.groupBy("chunk"))
-
-    def counts_of(left, right):
-        """The chunk's rows and tokens, and every token's own count, its pair's, and that of the one before it."""
-        table = C.unpack(left["payload"][0].as_buffer())
-        tokens = Tokens(table["text"].combine_chunks())
-        count, pairs = (
-            right.filter(right["pair"] if pair else pa.compute.invert(right["pair"])).sort_by("part")["totals"].combine_chunks().flatten().to_numpy()[np.unique(keys, return_inverse=True)[1]]
-            for pair, keys in ((False, tokens.key), (True, tokens.pairs()))
-        )
-        return table, tokens, count, pairs, tokens.before(count)
-
-    def fit(key, left, right):
-        table, tokens, count, pairs, before = counts_of(left, right)
-        at = np.flatnonzero(np.repeat(~table["held"].to_numpy(), tokens.counts))
-        log_class = _class_scores(sent(), tokens, count, 1)
-        sums = np.zeros((len(STRENGTHS), 64))
-        for lo in range(0, len(at), 1 << 16):
-            i = at[lo : lo + (1 << 16)]
-            p, bins = 10 ** log_class[i], _bins(before[i])
-            for k, s in enumerate(STRENGTHS):
-                sums[k] += np.bincount(bins, np.log10((pairs[i] - 1 + s * p) / (before[i] - 1 + s)), 64)
-        some = np.flatnonzero(sums.any(axis=0))
-        return pa.table({"bin": pa.array(some, pa.int64()), "sums": pa.array(list(sums.T[some]), pa.list_(pa.float64()))})
-
-    fitted = known.applyInArrow(fit, "bin long, sums array<double>").groupBy("bin").agg(*[F.sum(F.get("sums", F.lit(k))).alias(f"s{k}") for k in range(len(STRENGTHS))])
-    strength = np.full(64, STRENGTHS[0])
-    for row in fitted.collect():  # a row for each power of two
-        strength[row[0]] = STRENGTHS[int(np.argmax(row[1:]))]
-    strength[0] = strength[1]  # a word seen once says nothing without itself
-
     def judge(key, left, right):
-        table, tokens, count, pairs, before = counts_of(left, right)
-        log_class = _class_scores(sent(), tokens, count, 0)
-        parts = _mixed(pairs, before, log_class, strength[_bins(before)])
+        table, tokens, _ = _opened(left["payload"][0])
+        cls, count = _token_classes(tokens, right, sent_how())
         return pa.table({
             "id": table[id], "held_out": table["held"], "n_tokens": pa.array(tokens.counts), "n_known": pa.array(tokens.per_text((count > 0).astype(np.int64)).astype(np.int64)),
             "train_tokens": pa.array(np.full(len(tokens.counts), total, np.int64)), "base_score": pa.array(tokens.per_text(np.log10(count + 1.0)) - tokens.counts * np.log10(total + vocabulary + 1.0)),
-            "score": pa.array(tokens.per_text(parts)),
+            "score": pa.array(tokens.per_text(_log_probability(sent(), tokens, cls, count))),
         })
 
     kind = docs.schema[id].dataType
@@ -293,56 +314,114 @@ def score(
     return known.applyInArrow(judge, schema).withColumnRenamed("id", id)
 
 
-def _bins(count: np.ndarray) -> np.ndarray:
-    """The power of two at or below each count; 0 for none."""
-    return np.log2(np.maximum(count, 1)).astype(np.int64)
-
-
-def _mixed(pairs: np.ndarray, before: np.ndarray, log_class: np.ndarray, strength: np.ndarray) -> np.ndarray:
-    """The log10 probability of tokens from the counts of their pairs and of the tokens before; unknown ones leave the class model alone."""
-    return np.where(before > 0, np.log10((pairs + strength * 10**log_class) / (before + strength)), log_class)
-
-
-def _class_scores(m: Model, tokens: Tokens, count: np.ndarray, left_out: int) -> np.ndarray:
-    """The class model's log10 probability of each token, its own count less by `left_out`."""
-    cls = _class_of(tokens.key, m.keys, m.classes, m.near)
+def _opened(payload) -> tuple[pa.Table, Tokens, np.ndarray]:
+    """A chunk's rows and tokens, and which tokens are learned from."""
+    table = C.unpack(payload.as_buffer())
+    tokens = Tokens(table["text"].combine_chunks())
+    return table, tokens, np.repeat(~table["held"].to_numpy(), tokens.counts)
+
+
+def _commonest(sums: DataFrame, counts: str, top: int, n: int) -> DataFrame:
+    """The `top` commonest entries of the ranges' lists, most frequent first; only a few of each list beyond its share are sorted."""
+    few = 2 * top // n + 8
+    floor = sums.select(F.explode(F.slice(counts, 1, few)).alias("count")).orderBy(F.desc("count")).limit(top).agg(F.min("count")).first()[0] or 0
+    entries = F.filter(F.arrays_zip("keys", counts), lambda x: x[counts] >= floor)
+    return sums.select(F.inline(entries)).orderBy(F.desc(counts), "keys").limit(top)
+
+
+def _totals(right: pa.Table, keys: int) -> np.ndarray:
+    """The settled counts of a chunk's distinct words, in their order."""
+    return right.sort_by("part")["totals"].combine_chunks().flatten().to_numpy() if keys else np.zeros(0, np.int64)
+
+
+def _wanted(keys: np.ndarray, totals: np.ndarray, alone: np.ndarray) -> np.ndarray:
+    """Which words need a vector: seen twice at least, and without a class of their own."""
+    return (totals > 1) & ~np.isin(keys, alone)
+
+
+def _vectors(tokens: Tokens, learned: np.ndarray, right: pa.Table, coded: np.ndarray, alone: np.ndarray):
+    """Words that need a vector, their settled counts, and the sums of their neighbours' codes in this chunk's training rows."""
+    keys, inverse = np.unique(tokens.key, return_inverse=True)
+    if not len(keys):
+        return None
+    totals = _totals(right, len(keys))
+    wanted = _wanted(keys, totals, alone)
+    if not wanted.any():
+        return None
+    order = np.argsort(coded)
+    at = np.minimum(np.searchsorted(coded[order], keys), max(len(coded) - 1, 0))
+    number = np.where(coded[order][at] == keys, order[at], len(coded)) if len(coded) else np.zeros(len(keys), np.int64)
+    code, word = codes(len(coded)), number[inverse]
+    starts = np.zeros(len(word), bool)
+    starts[tokens.bounds[:-1]] = True
+    before = np.where(starts, len(coded), np.r_[len(coded), word[:-1]])
+    after = np.where(np.r_[starts[1:], True], len(coded), np.r_[word[1:], len(coded)])
+    place = np.cumsum(wanted) - 1
+    use = np.flatnonzero(learned & wanted[inverse])
+    row, n = place[inverse[use]], int(wanted.sum())
+    # Each side adds up by word and common neighbour first: codes are applied to those counts.
+    sums = []
+    for side in (before, after):
+        near = side[use]
+        some = near < len(coded)
+        pair, times = np.unique(row[some] * (len(coded) + 1) + near[some], return_counts=True)
+        out = np.zeros((n, code.shape[1]), np.int64)
+        np.add.at(out, pair // (len(coded) + 1), code[pair % (len(coded) + 1)] * times[:, None])
+        sums.append(out)
+    return keys[wanted], totals[wanted], np.concatenate(sums, axis=1).astype(np.int32)
+
+
+def _classes(vectors: DataFrame, alone: np.ndarray, groups: int) -> Classes:
+    """Centres from the vectors of the commonest words; a bounded number comes to the driver."""
+    rows = vectors.filter("chunk IS NULL").select("keys", "counts", "vectors").toArrow()
+    counts = rows["counts"].combine_chunks().flatten().to_numpy().astype(float) if rows.num_rows else np.zeros(0)
+    found = rows["vectors"].combine_chunks().flatten().to_numpy().reshape(len(counts), -1).astype(float) if len(counts) else np.zeros((0, 2 * CODE_WIDTH))
+    best = np.argsort(-counts, kind="stable")[:FITTED]
+    found, counts = found[best], counts[best]
+    mean = (found * counts[:, None]).sum(axis=0) / max(counts.sum(), 1)
+    centres = fit_centres(found - mean, np.sqrt(counts), max(1, groups)) if len(found) else np.zeros((1, 2 * CODE_WIDTH))
+    order = np.argsort(alone)
+    near = np.zeros(1 << 16, bool)
+    near[(alone >> np.uint64(48)).astype(np.int64)] = True
+    return Classes(alone[order], order + REST + 1, near, centres, mean)
+
+
+def _token_classes(tokens: Tokens, right: pa.Table, how: Classes) -> tuple[np.ndarray, np.ndarray]:
+    """The class and the settled count of every token of a chunk, from the answers of both steps."""
+    keys, inverse = np.unique(tokens.key, return_inverse=True)
+    step = right["step"].to_numpy()
+    totals = _totals(right.filter(pa.array(step == 1)), len(keys))
+    cls = _class_of(keys, how.keys, how.numbers, how.near)
+    wanted = np.flatnonzero(_wanted(keys, totals, how.keys))
+    if len(wanted):
+        found = right.filter(pa.array(step == 2)).sort_by("part")["vectors"].combine_chunks().flatten().to_numpy().reshape(len(wanted), -1)
+        for lo in range(0, len(wanted), 1 << 14):
+            part = found[lo : lo + (1 << 14)].astype(float) - how.mean
+            cls[wanted[lo : lo + (1 << 14)]] = len(how.keys) + 2 + (part @ how.centres.T).argmax(axis=1)
+    return cls[inverse], totals[inverse]
+
+
+def _log_probability(m: Model, tokens: Tokens, cls: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The log10 probability of each token: of its class, and of the word within it."""
     two, one = _contexts(cls, tokens)
     out = np.empty(len(cls))
     for lo in range(0, len(cls), 1 << 16):
         s = slice(lo, lo + (1 << 16))
         out[s] = np.einsum("ij,ij->i", m.first[two[s]] + m.second[one[s]], m.output[cls[s]]) + m.bias[cls[s]] - m.log_sum[two[s], one[s]]
-    rest = cls == REST
-    out /= LOG10
-    out[rest] += np.log10(np.maximum(count[rest] + 1.0 - left_out, 1.0)) - np.log10(10**m.rest - left_out)
-    return out
-
-
-def _train(kept: DataFrame, keys: np.ndarray, counts: np.ndarray, total: int, vocabulary: int, width: int, rounds: int, parts: int) -> Model:
-    """Fit the classes of the commonest words, from the chunks' training rows."""
-    order = np.argsort(keys)
-    keys, counts = keys[order], counts[order]
-    numbers = np.arange(len(keys)) + REST + 1
-    size = len(keys) + REST + 1
-    near = np.zeros(1 << 16, bool)
-    near[(keys >> np.uint64(48)).astype(np.int64)] = True
-
-    def trigrams(batches):
-        for batch in batches:
-            for payload in batch["payload"]:
-                table = C.unpack(payload.as_buffer())
-                tokens = Tokens(table["text"].combine_chunks())
-                cls = _class_of(tokens.key, keys, numbers, near)
-                two, one = _contexts(cls, tokens)
-                code = ((two * size + one) * size + cls)[np.repeat(~table["held"].to_numpy(), tokens.counts)]
-                found, n = np.unique(code, return_counts=True)
-                yield pa.RecordBatch.from_pydict({"code": pa.array(found, pa.int64()), "n": pa.array(n, pa.int64())})
-
-    seen = kept.select("payload").mapInArrow(trigrams, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    seen = stored(seen.withColumn("part", F.pmod(F.xxhash64("code"), F.lit(parts))), "trigrams")
-    unigram = np.zeros(size)
-    unigram[numbers] = counts
-    unigram[REST] = total - counts.sum()
-    unigram = (unigram + 1e-9 * (np.arange(size) != BEGIN)) / max((unigram + 1e-9 * (np.arange(size) != BEGIN)).sum(), 1e-300)
+    share = np.where(cls == REST, np.where(count > 0, m.single, m.unknown), np.maximum(count, 1) / np.maximum(m.sizes[cls], 1))
+    return out / LOG10 + np.log10(share)
+
+
+def _train(seen: DataFrame, size: int, ones: int, twos: int, width: int, rounds: int, part_rows: int) -> Model:
+    """Fit the class model on all trigrams, in parts of about `part_rows` rows."""
+    by_class = {r[0]: r[1] for r in seen.groupBy((F.col("code") % size).alias("c")).agg(F.sum("n")).collect()}  # a row for each class
+    sizes = np.zeros(size)
+    for c, k in by_class.items():
+        sizes[c] = k
+    parts = max(1, -(-seen.count() // part_rows))
+    dealt = seen.withColumn("part", F.pmod(F.xxhash64("code"), F.lit(parts)))
+    unigram = sizes + 1e-9 * (np.arange(size) != BEGIN)
+    unigram = unigram / unigram.sum()
     params = _start(size, width)
     params[:, -1] = np.log(np.maximum(unigram, 1e-12))
 
@@ -356,12 +435,12 @@ def _train(kept: DataFrame, keys: np.ndarray, counts: np.ndarray, total: int, vo
         return learn
 
     for step in range(rounds):
-        learned = sorted(seen.groupBy("part").applyInArrow(learner(params, step), "part long, n long, params binary").collect())
+        learned = sorted(dealt.groupBy("part").applyInArrow(learner(params, step), "part long, n long, params binary").collect())  # as many as there are parts
         if not learned:
             break
         weight = np.array([x["n"] for x in learned], float)
         params = sum(w * np.frombuffer(x["params"], np.float32).reshape(size, -1).astype(float) for w, x in zip(weight / weight.sum(), learned))
     first, second, output, bias = params[:, :width], params[:, width : 2 * width], params[:, 2 * width : 3 * width], params[:, -1].copy()
     bias[BEGIN] = -1e9  # never predicted
-    rest = (total - int(counts.sum())) + (vocabulary - len(keys)) + 1
-    return Model(keys, numbers, near, first, second, output, bias, _log_sums(first, second, output, bias), total, vocabulary, float(np.log10(rest)))
+    unknown = (ones + 1) / (ones + 2 * twos + 2) if ones else 1.0
+    return Model(first, second, output, bias, _log_sums(first, second, output, bias), sizes, unknown, (1 - unknown) / max(ones, 1))

@@ -29,7 +29,7 @@ def test_base_against_brute_force(docs, corpus):
     total, words = sum(count.values()), len(count)
     want = sorted((repr(i), held(i), len(w := tokens(t)), sum(count[x] > 0 for x in w), total, round(sum(math.log10((count[x] + 1) / (total + words + 1)) for x in w), 5)) for i, t, *_ in corpus)
     for chunk_bytes in (3000, 1 << 22):
-        rows = lm.score(docs.selectExpr("*", "1 AS held", "2 AS chunk", "3 AS score"), classes=20, chunk_bytes=chunk_bytes, rounds=1).collect()
+        rows = lm.score(docs.selectExpr("*", "1 AS held", "2 AS chunk", "3 AS score"), classes=20, own=9, chunk_bytes=chunk_bytes, rounds=1).collect()
         assert sorted((repr(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5)) for r in rows) == want
         assert all(math.isfinite(r.score) and r.score < 0 for r in rows)
 
@@ -43,32 +43,96 @@ def test_model_beats_the_base_on_held_out_text(spark):
             text.append(f"w{at}")
             at = (at + 1) % 12 if rng.random() < 0.9 else rng.randrange(12)
         rows.append((i, " ".join(text), "", "", 0))
-    scored = [r for r in lm.score(spark.createDataFrame(rows, SCHEMA), classes=14).collect() if r.held_out]
+    scored = [r for r in lm.score(spark.createDataFrame(rows, SCHEMA), classes=20, own=13).collect() if r.held_out]
     assert sum(r.score for r in scored) > 0.75 * sum(r.base_score for r in scored)
 
 
-def test_words_without_a_class_are_learned(spark):
-    """Far more words than classes, each of which says which one follows: only exact pairs can know."""
+def test_words_without_a_class_of_their_own_are_learned(spark):
+    """Far more words than classes: which kind of word follows is known from the company that the words keep."""
     rng, rows = random.Random(3), []
-    for i in range(300):
-        at, text = rng.randrange(400), []
-        for _ in range(60):
-            text.append(f"w{at}")
-            at = (at * 7 + 1) % 400 if rng.random() < 0.9 else rng.randrange(400)
+    common = [[f"c{k}{i}" for i in range(4)] for k in range(4)]
+    for i in range(400):
+        text, kind = [], rng.randrange(4)
+        for _ in range(40):
+            kind = (kind + 1) % 4 if rng.random() < 0.9 else rng.randrange(4)
+            text += [rng.choice(common[kind]), f"rare{kind}x{rng.randrange(150)}"]
         rows.append((i, " ".join(text), "", "", 0))
+    gains = {}
     for chunk_bytes in (3000, 1 << 22):
-        scored = [r for r in lm.score(spark.createDataFrame(rows, SCHEMA), classes=8, rounds=1, chunk_bytes=chunk_bytes).collect() if r.held_out]
-        assert sum(r.score for r in scored) > 0.6 * sum(r.base_score for r in scored)
-
-
-def test_pair_probabilities_add_up():
-    """Over all words after one context, with or without a count."""
-    rng = np.random.default_rng(4)
-    lower = rng.dirichlet(np.ones(30))
-    for strength in (0.25, 16.0, 1e12):
-        for pairs in (np.zeros(30), rng.poisson(0.5, 30) * rng.integers(1, 9, 30)):
-            out = 10 ** lm._mixed(pairs, np.full(30, pairs.sum()), np.log10(lower), np.full(30, strength))
-            assert abs(out.sum() - 1) < 1e-6 and (out[pairs > 0] > 0).all()
+        scored = [r for r in lm.score(spark.createDataFrame(rows, SCHEMA), classes=32, own=18, chunk_bytes=chunk_bytes).collect() if r.held_out]
+        gains[chunk_bytes] = sum(r.score - r.base_score for r in scored) / sum(r.n_tokens for r in scored)
+    # Four kinds that follow each other: log10 of 4 is 0.6; the rare words alone are half of the tokens.
+    assert min(gains.values()) > 0.4
+
+
+def test_unknown_words_are_expected_as_often_as_new_ones_come(spark):
+    rng = random.Random(6)
+    rows = [(i, " ".join(f"new{i}x{k}" if rng.random() < 0.2 else f"w{rng.randrange(30)}" for k in range(100)), "", "", 0) for i in range(200)]
+    scored = [r for r in lm.score(spark.createDataFrame(rows, SCHEMA), classes=40, own=34).collect() if r.held_out]
+    unknown = sum(r.n_tokens - r.n_known for r in scored)
+    base = sum(r.base_score for r in scored)
+    assert unknown > 300 and sum(r.score for r in scored) - base > 3 * unknown
+
+
+def plain_probability(model, how, totals, vectors, two, one):
+    """Over every word that training rows have and the unknown one, after one context."""
+    logits = (model.first[two] + model.second[one]) @ model.output.T + model.bias
+    p = np.exp(logits - logits.max())
+    p /= p.sum()
+    out = {}
+    for key, n in totals.items():
+        if key in how.keys:
+            c = int(how.numbers[list(how.keys).index(key)])
+        elif n == 1:
+            c = lm.REST
+        else:
+            c = len(how.keys) + 2 + int(((vectors[key] - how.mean) @ how.centres.T).argmax())
+        out[key] = p[c] * (model.single if c == lm.REST else n / model.sizes[c])
+    out[None] = p[lm.REST] * model.unknown
+    return out
+
+
+def test_against_a_plain_normalised_scorer(spark, monkeypatch):
+    """Word by word with the fitted tables: every text's score is the same, and the words' probabilities add up to one."""
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choice(["the", "a", "of"]) + f" w{rng.randrange(40)}" + (f" z{rng.randrange(900)}" if rng.random() < 0.3 else "") for _ in range(rng.randrange(30))), "", "", 0) for i in range(120)]
+    seen = []
+    monkeypatch.setattr(lm, "_train", lambda *a, real=lm._train: seen.append(real(*a)) or seen[-1])
+    monkeypatch.setattr(lm, "_classes", lambda *a, real=lm._classes: seen.append(real(*a)) or seen[-1])
+    scored = {r.doc_id: r for r in lm.score(spark.createDataFrame(rows, SCHEMA), classes=20, own=8, chunk_bytes=2000).collect()}
+    how, model = seen
+    chunk = lm.Tokens(lm.pa.array([t for _, t, *_ in rows]))
+    learned = np.repeat([not held(i) for i, *_ in rows], chunk.counts)
+    totals = collections.Counter(chunk.key[learned].tolist())
+    totals = {np.uint64(k): n for k, n in totals.items()}
+    words = sorted(totals.items(), key=lambda x: (-x[1], int(x[0].view(np.int64))))
+    coded = {k: i for i, (k, n) in enumerate(words[: lm.CODES]) if n > 1}
+    code, sums = lm.codes(len(coded)), {k: np.zeros(2 * lm.CODE_WIDTH) for k in totals}
+    texts = [chunk.key[a:b] for a, b in zip(chunk.bounds[:-1], chunk.bounds[1:])]
+    for (i, *_), t in zip(rows, texts):
+        for j, k in enumerate(t if not held(i) else []):
+            if j and t[j - 1] in coded:
+                sums[k][: lm.CODE_WIDTH] += code[coded[t[j - 1]]]
+            if j + 1 < len(t) and t[j + 1] in coded:
+                sums[k][lm.CODE_WIDTH :] += code[coded[t[j + 1]]]
+    vectors = {k: lm.directions(v[None, :] / totals[k])[0].astype(float) for k, v in sums.items()}
+
+    def class_of(key):
+        if key in how.keys:
+            return int(how.numbers[list(how.keys).index(key)])
+        if totals.get(key, 0) < 2:
+            return lm.REST
+        return len(how.keys) + 2 + int(((vectors[key] - how.mean) @ how.centres.T).argmax())
+
+    for (i, *_), t in list(zip(rows, texts))[::3]:
+        cls = [class_of(k) for k in t]
+        total = 0.0
+        for j, k in enumerate(t):
+            two, one = (cls[j - 2] if j > 1 else lm.BEGIN), (cls[j - 1] if j else lm.BEGIN)
+            p = plain_probability(model, how, totals, vectors, two, one)
+            assert abs(sum(p.values()) - 1) < 1e-6
+            total += math.log10(p.get(k, p[None]))
+        assert abs(total - scored[i].score) < 1e-6 * max(1, abs(total))
 
 
 def test_every_occurrence_counts_once_in_each_pass():
