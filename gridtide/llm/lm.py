@@ -1,11 +1,12 @@
 """Language-model scores: a log-bilinear model over classes of the whole vocabulary, trained with noise-contrastive estimation.
 
-A word's probability is that of its class after the two classes before it, times the word's share of its class. Both levels are
+A word's probability is that of its class after the class before it and the kind of the word before that, times the word's share of its class. Both levels are
 normalised, so the whole adds up to one over all words of the training rows and one more for any unknown word.
 
 Classes. The commonest words have a class of their own. Every other word seen at least twice gets a vector: the sum of fixed random codes
 of the common words that stand before and after it, over all its occurrences in the training rows. Vectors are cut
-into classes by their nearest centre; the centres are fitted on the vectors of a bounded number of common words. Words seen once share the class of
+into classes by their nearest centre; the centres are fitted on the vectors of a bounded number of common words. A few coarse centres give
+every class its kind in the same way. Words seen once share the class of
 the unknown ones: how often something new comes, and after what, is learned from them; the unknown word's share in it
 follows from how many words were seen once and twice.
 
@@ -30,7 +31,8 @@ from gridtide.llm import chunks as C, words as W
 from gridtide.llm.sending import send
 from gridtide.session import stored
 
-CLASSES, OWN, WIDTH, ROUNDS, NOISE = 512, 320, 24, 3, 128  # classes in all; of single words
+CLASSES, OWN, WIDTH, ROUNDS, NOISE = 512, 320, 24, 2, 128  # classes in all; of single words
+KINDS = 32  # coarse classes, of the word two before
 CODES, CODE_WIDTH, FITTED, FIT_ROUNDS = 512, 16, 20_000, 15  # words with a code, numbers in it, words that centres are fitted on
 PART_ROWS = 1 << 20  # trigrams that one task learns from in a round
 MODULUS, HELD = 7, 2
@@ -41,7 +43,7 @@ BATCH, RATE, LEAST_STEPS = 512, 0.1, 200
 
 
 class Model(NamedTuple):
-    first: np.ndarray  # context vectors of the class two before, its matrix applied
+    first: np.ndarray  # context vectors of the kind two before, its matrix applied
     second: np.ndarray  # of the class before
     output: np.ndarray
     bias: np.ndarray
@@ -59,6 +61,7 @@ class Classes(NamedTuple):
     near: np.ndarray  # small table: may a hash have one
     centres: np.ndarray  # of the other classes, which follow
     mean: np.ndarray  # of all vectors, by occurrence
+    kinds: np.ndarray  # of all classes
 
 
 class Tokens:
@@ -131,17 +134,16 @@ def _sum_vectors(top: int):
 
     def work(g: C.Gathered) -> pa.Table:
         keys, inverse = np.unique(g.keys, return_inverse=True)
-        parts = g.column("sums").reshape(len(g.keys), -1)
+        parts = np.frombuffer(b"".join(g.table["sums"].to_pylist()), np.int32).reshape(len(g.keys), -1)
         sums = np.zeros((len(keys), parts.shape[1]))
         np.add.at(sums, inverse, parts)
         counts = np.zeros(len(keys), np.int64)
         counts[inverse] = g.column("totals")
         vectors = directions(sums / np.maximum(counts, 1)[:, None])
         best = np.lexsort((keys, -counts))[:top]
-        cuts = pa.array(np.r_[g.bounds].astype(np.int64) * vectors.shape[1], pa.int64())
-        answer = pa.LargeListArray.from_arrays(cuts, pa.array(vectors[inverse].ravel(), pa.int8())).cast(pa.list_(pa.int8()))
+        answer = pa.array([vectors[inverse[a:b]].tobytes() for a, b in zip(g.bounds[:-1], g.bounds[1:])], pa.binary())
         out = pa.table({"chunk": g.table["chunk"], "part": g.table["part"], "vectors": answer, "keys": pa.nulls(len(g.sizes), pa.list_(pa.int64())), "counts": pa.nulls(len(g.sizes), pa.list_(pa.int64()))})
-        extra = pa.table({"chunk": pa.nulls(1, pa.int64()), "part": pa.nulls(1, pa.int64()), "vectors": pa.array([vectors[best].ravel()], pa.list_(pa.int8())), "keys": pa.array([keys[best].view(np.int64)], pa.list_(pa.int64())), "counts": pa.array([counts[best]], pa.list_(pa.int64()))})
+        extra = pa.table({"chunk": pa.nulls(1, pa.int64()), "part": pa.nulls(1, pa.int64()), "vectors": pa.array([vectors[best].tobytes()], pa.binary()), "keys": pa.array([keys[best].view(np.int64)], pa.list_(pa.int64())), "counts": pa.array([counts[best]], pa.list_(pa.int64()))})
         return pa.concat_tables([out.cast(extra.schema), extra])
 
     return work
@@ -271,20 +273,20 @@ def score(
     def emit_vectors(key, left, right):
         for chunk, payload in zip(left["chunk"].to_pylist(), left["payload"]):
             _, tokens, learned = _opened(payload)
-            found = _vectors(tokens, learned, right, coded, alone)
+            found = _vectors(tokens, learned, right, coded)
             rows = None if found is None else C.by_range(chunk, found[0], n, totals=found[1])
             if rows is not None:
-                cuts = np.r_[0, np.cumsum(rows["keys"].value_lengths().to_numpy())] * found[2].shape[1]
-                sums_ = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(found[2].ravel(), pa.int32()))
+                cuts = np.r_[0, np.cumsum(rows["keys"].value_lengths().to_numpy())]
+                sums_ = pa.array([found[2][a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())
                 return pa.Table.from_batches([rows.append_column("sums", sums_)])
-        kinds = {"chunk": pa.int64(), "part": pa.int64(), "keys": pa.list_(pa.int64()), "totals": pa.list_(pa.int64()), "sums": pa.list_(pa.int32())}
+        kinds = {"chunk": pa.int64(), "part": pa.int64(), "keys": pa.list_(pa.int64()), "totals": pa.list_(pa.int64()), "sums": pa.binary()}
         return pa.table({c: pa.array([], t) for c, t in kinds.items()})
 
-    vectors = by_chunk.applyInArrow(emit_vectors, "chunk long, part long, keys array<long>, totals array<long>, sums array<int>")
-    vectors = stored(C.settle(vectors, _sum_vectors(-(-4 * FITTED // n) + 8), "chunk long, part long, vectors array<byte>, keys array<long>, counts array<long>"), "vectors")
+    vectors = by_chunk.applyInArrow(emit_vectors, "chunk long, part long, keys array<long>, totals array<long>, sums binary")
+    vectors = stored(C.settle(vectors, _sum_vectors(-(-4 * FITTED // n) + 8), "chunk long, part long, vectors binary, keys array<long>, counts array<long>"), "vectors")
     how = _classes(vectors, alone, classes - own - 2)
     size = len(alone) + 2 + len(how.centres)
-    parts = answers.select("chunk", "part", F.lit(1).alias("step"), "totals", F.lit(None).cast("array<tinyint>").alias("vectors"))
+    parts = answers.select("chunk", "part", F.lit(1).alias("step"), "totals", F.lit(None).cast("binary").alias("vectors"))
     parts = parts.unionAll(vectors.filter("chunk IS NOT NULL").select("chunk", "part", F.lit(2), F.lit(None).cast("array<bigint>"), "vectors"))
     known = kept.select("chunk", "payload").groupBy("chunk").cogroup(parts.groupBy("chunk"))
     sent_how = send(docs.sparkSession, how)
@@ -293,11 +295,11 @@ def score(
         _, tokens, learned = _opened(left["payload"][0])
         cls, _ = _token_classes(tokens, right, sent_how())
         two, one = _contexts(cls, tokens)
-        found, times = np.unique(((two * size + one) * size + cls)[learned], return_counts=True)
+        found, times = np.unique(((sent_how().kinds[two] * size + one) * size + cls)[learned], return_counts=True)
         return pa.table({"code": pa.array(found, pa.int64()), "n": pa.array(times, pa.int64())})
 
     seen = stored(known.applyInArrow(trigrams, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")), "trigrams")
-    model = _train(seen, size, ones, twos, width, rounds, part_rows)
+    model = _train(seen, size, int(how.kinds.max()) + 1, ones, twos, width, rounds, part_rows)
     sent = send(docs.sparkSession, model)  # tables of fixed size
 
     def judge(key, left, right):
@@ -306,7 +308,7 @@ def score(
         return pa.table({
             "id": table[id], "held_out": table["held"], "n_tokens": pa.array(tokens.counts), "n_known": pa.array(tokens.per_text((count > 0).astype(np.int64)).astype(np.int64)),
             "train_tokens": pa.array(np.full(len(tokens.counts), total, np.int64)), "base_score": pa.array(tokens.per_text(np.log10(count + 1.0)) - tokens.counts * np.log10(total + vocabulary + 1.0)),
-            "score": pa.array(tokens.per_text(_log_probability(sent(), tokens, cls, count))),
+            "score": pa.array(tokens.per_text(_log_probability(sent(), tokens, sent_how().kinds, cls, count))),
         })
 
     kind = docs.schema[id].dataType
@@ -334,18 +336,13 @@ def _totals(right: pa.Table, keys: int) -> np.ndarray:
     return right.sort_by("part")["totals"].combine_chunks().flatten().to_numpy() if keys else np.zeros(0, np.int64)
 
 
-def _wanted(keys: np.ndarray, totals: np.ndarray, alone: np.ndarray) -> np.ndarray:
-    """Which words need a vector: seen twice at least, and without a class of their own."""
-    return (totals > 1) & ~np.isin(keys, alone)
-
-
-def _vectors(tokens: Tokens, learned: np.ndarray, right: pa.Table, coded: np.ndarray, alone: np.ndarray):
-    """Words that need a vector, their settled counts, and the sums of their neighbours' codes in this chunk's training rows."""
+def _vectors(tokens: Tokens, learned: np.ndarray, right: pa.Table, coded: np.ndarray):
+    """Words seen twice at least, their settled counts, and the sums of their neighbours' codes in this chunk's training rows."""
     keys, inverse = np.unique(tokens.key, return_inverse=True)
     if not len(keys):
         return None
     totals = _totals(right, len(keys))
-    wanted = _wanted(keys, totals, alone)
+    wanted = totals > 1
     if not wanted.any():
         return None
     order = np.argsort(coded)
@@ -375,15 +372,25 @@ def _classes(vectors: DataFrame, alone: np.ndarray, groups: int) -> Classes:
     """Centres from the vectors of the commonest words; a bounded number comes to the driver."""
     rows = vectors.filter("chunk IS NULL").select("keys", "counts", "vectors").toArrow()
     counts = rows["counts"].combine_chunks().flatten().to_numpy().astype(float) if rows.num_rows else np.zeros(0)
-    found = rows["vectors"].combine_chunks().flatten().to_numpy().reshape(len(counts), -1).astype(float) if len(counts) else np.zeros((0, 2 * CODE_WIDTH))
-    best = np.argsort(-counts, kind="stable")[:FITTED]
-    found, counts = found[best], counts[best]
+    keys = rows["keys"].combine_chunks().flatten().to_numpy().view(np.uint64) if rows.num_rows else np.zeros(0, np.uint64)
+    found = np.frombuffer(b"".join(rows["vectors"].to_pylist()), np.int8).reshape(len(counts), 2 * CODE_WIDTH).astype(float)
+    best = np.lexsort((keys, -counts))[:FITTED]
+    keys, found, counts = keys[best], found[best], counts[best]
     mean = (found * counts[:, None]).sum(axis=0) / max(counts.sum(), 1)
-    centres = fit_centres(found - mean, np.sqrt(counts), max(1, groups)) if len(found) else np.zeros((1, 2 * CODE_WIDTH))
+    centred, own = found - mean, np.isin(keys, alone)
+    centres = fit_centres(centred[~own], np.sqrt(counts[~own]), max(1, groups)) if (~own).any() else np.zeros((1, 2 * CODE_WIDTH))
+    # Kinds of the classes, after those of the place before a text and of words seen once.
+    coarse = fit_centres(centred, np.sqrt(counts), min(KINDS - 2, len(alone) + len(centres))) if len(found) else np.zeros((1, 2 * CODE_WIDTH))
+    kinds = np.zeros(2 + len(alone) + len(centres), np.int64)
+    kinds[REST] = 1
+    place = {k: i for i, k in enumerate(keys.tolist())}
+    for i, k in enumerate(alone.tolist()):
+        kinds[REST + 1 + i] = 2 + int((coarse @ centred[place[k]]).argmax()) if k in place else 1
+    kinds[2 + len(alone) :] = 2 + (centres @ coarse.T).argmax(axis=1)
     order = np.argsort(alone)
     near = np.zeros(1 << 16, bool)
     near[(alone >> np.uint64(48)).astype(np.int64)] = True
-    return Classes(alone[order], order + REST + 1, near, centres, mean)
+    return Classes(alone[order], order + REST + 1, near, centres, mean, kinds)
 
 
 def _token_classes(tokens: Tokens, right: pa.Table, how: Classes) -> tuple[np.ndarray, np.ndarray]:
@@ -392,18 +399,20 @@ def _token_classes(tokens: Tokens, right: pa.Table, how: Classes) -> tuple[np.nd
     step = right["step"].to_numpy()
     totals = _totals(right.filter(pa.array(step == 1)), len(keys))
     cls = _class_of(keys, how.keys, how.numbers, how.near)
-    wanted = np.flatnonzero(_wanted(keys, totals, how.keys))
+    wanted = np.flatnonzero(totals > 1)
     if len(wanted):
-        found = right.filter(pa.array(step == 2)).sort_by("part")["vectors"].combine_chunks().flatten().to_numpy().reshape(len(wanted), -1)
+        found = np.frombuffer(b"".join(right.filter(pa.array(step == 2)).sort_by("part")["vectors"].to_pylist()), np.int8).reshape(len(wanted), -1)
         for lo in range(0, len(wanted), 1 << 14):
-            part = found[lo : lo + (1 << 14)].astype(float) - how.mean
-            cls[wanted[lo : lo + (1 << 14)]] = len(how.keys) + 2 + (part @ how.centres.T).argmax(axis=1)
+            at = wanted[lo : lo + (1 << 14)]
+            nearest = ((found[lo : lo + (1 << 14)].astype(float) - how.mean) @ how.centres.T).argmax(axis=1)
+            cls[at] = np.where(cls[at] == REST, len(how.keys) + 2 + nearest, cls[at])
     return cls[inverse], totals[inverse]
 
 
-def _log_probability(m: Model, tokens: Tokens, cls: np.ndarray, count: np.ndarray) -> np.ndarray:
+def _log_probability(m: Model, tokens: Tokens, kinds: np.ndarray, cls: np.ndarray, count: np.ndarray) -> np.ndarray:
     """The log10 probability of each token: of its class, and of the word within it."""
     two, one = _contexts(cls, tokens)
+    two = kinds[two]
     out = np.empty(len(cls))
     for lo in range(0, len(cls), 1 << 16):
         s = slice(lo, lo + (1 << 16))
@@ -412,7 +421,7 @@ def _log_probability(m: Model, tokens: Tokens, cls: np.ndarray, count: np.ndarra
     return out / LOG10 + np.log10(share)
 
 
-def _train(seen: DataFrame, size: int, ones: int, twos: int, width: int, rounds: int, part_rows: int) -> Model:
+def _train(seen: DataFrame, size: int, kinds: int, ones: int, twos: int, width: int, rounds: int, part_rows: int) -> Model:
     """Fit the class model on all trigrams, in parts of about `part_rows` rows."""
     by_class = {r[0]: r[1] for r in seen.groupBy((F.col("code") % size).alias("c")).agg(F.sum("n")).collect()}  # a row for each class
     sizes = np.zeros(size)
@@ -440,7 +449,7 @@ def _train(seen: DataFrame, size: int, ones: int, twos: int, width: int, rounds:
             break
         weight = np.array([x["n"] for x in learned], float)
         params = sum(w * np.frombuffer(x["params"], np.float32).reshape(size, -1).astype(float) for w, x in zip(weight / weight.sum(), learned))
-    first, second, output, bias = params[:, :width], params[:, width : 2 * width], params[:, 2 * width : 3 * width], params[:, -1].copy()
+    first, second, output, bias = params[:kinds, :width], params[:, width : 2 * width], params[:, 2 * width : 3 * width], params[:, -1].copy()
     bias[BEGIN] = -1e9  # never predicted
     unknown = (ones + 1) / (ones + 2 * twos + 2) if ones else 1.0
     return Model(first, second, output, bias, _log_sums(first, second, output, bias), sizes, unknown, (1 - unknown) / max(ones, 1))

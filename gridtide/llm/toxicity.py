@@ -158,7 +158,7 @@ def train(
 
     `toxic_rows` and `clean_rows` bound the rows that are read for it. Of texts that share one of four minwise 5-word
     runs only the first is used, so copies do not count as evidence. Labels other than 0 and 1, null ids and labels
-    without a document are left out. Without both classes only the starting words count.
+    without a document are left out; of rows with equal ids the smallest text counts. Without both classes only the starting words count.
     """
     usable = labels.filter(F.col(label).isin(0, 1) & F.col(id).isNotNull() & (F.crc32(F.col(id).cast("string").cast("binary")) % MODULUS != HELD))
     known = usable.select(F.col(id), F.col(label).cast("int").alias("__toxic")).distinct()
@@ -167,7 +167,8 @@ def train(
     order = F.xxhash64(F.col(id))
     chosen = known.filter("__toxic = 1").orderBy(order, id).limit(toxic_rows).unionAll(known.filter("__toxic = 0").orderBy(order, id).limit(clean_rows))
     sample = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen.withColumnRenamed(id, "id")), "id")
-    sample = stored(sample.select(F.col("id").cast("string").alias("id"), "__toxic", "text"), "toxicity_rows")  # read five times
+    sample = sample.groupBy(F.col("id").cast("string").alias("id"), "__toxic").agg(F.min("text").alias("text"))
+    sample = stored(sample, "toxicity_rows")  # read five times
 
     def sign(batches):
         hasher = W.Hasher()

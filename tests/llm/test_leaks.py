@@ -120,6 +120,15 @@ def test_windows_against_brute_force(spark):
         assert [m["passages"] >= 2 for r in got if r.doc_id == 201 for m in r.leaks if m["item"] == 3] == [True]
 
 
+def test_very_long_items_and_texts(spark):
+    rng = random.Random(13)
+    long_ = " ".join(words(rng, 3000)) + ". " + " ".join(words(rng, 800)) + "."
+    short = "Which of the nine rivers runs north in spring. The second one, as everybody knows."
+    texts = [(0, " ".join(words(rng, 20_000)) + " " + long_ + " " + " ".join(words(rng, 500)), "", "", 0), (1, " ".join(words(rng, 30_000)) + " " + short, "", "", 0), (2, long_[: len(long_) // 3], "", "", 0)]
+    found = leaks.find_leaks(spark.createDataFrame(texts, SCHEMA), spark.createDataFrame([(7, long_), (8, short)], "item_id long, text string")).collect()
+    assert {(r.doc_id, m["item"]) for r in found for m in r.leaks} == {(0, 7), (1, 8)}
+
+
 def test_no_items_or_documents(spark, docs, nothing):
     none = spark.createDataFrame([], "item_id long, text string")
     assert leaks.find_leaks(docs, none).filter("size(leaks) > 0").count() == 0

@@ -76,7 +76,7 @@ def test_unknown_words_are_expected_as_often_as_new_ones_come(spark):
 
 def plain_probability(model, how, totals, vectors, two, one):
     """Over every word that training rows have and the unknown one, after one context."""
-    logits = (model.first[two] + model.second[one]) @ model.output.T + model.bias
+    logits = (model.first[how.kinds[two]] + model.second[one]) @ model.output.T + model.bias
     p = np.exp(logits - logits.max())
     p /= p.sum()
     out = {}

@@ -63,3 +63,24 @@ def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality long, toxic long").write.parquet(f"{place}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{place}/benchmark.parquet")
     assert C.run(spark, place).count() == 0
+
+
+def test_odd_rows_and_clashing_columns(spark, folder, tmp_path):
+    """Nulls in any column, repeated rows, ties and columns with the operators' names pass through every stage."""
+    place, rows = folder
+    text = rows[5][1]
+    odd = [rows[0], rows[0], rows[5], (None, text, None, None, None), (None, None, None, None, None), (5, text, "de", "other", 1), (900, text, None, None, None), (901, "", None, None, None)]
+    docs = spark.createDataFrame([*rows[:70], *odd], SCHEMA)
+    docs = docs.selectExpr("*", "concat('k', doc_id) AS kept", "'w' AS n_words", "1 AS leaks", "'t' AS kept_text", "'s' AS score", "'c' AS chunk", "'d' AS doc", "2L AS component_id")
+    for name, stage in C.STAGES[:-1]:
+        out = C.stored(stage(spark, docs, place), "odd")
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes
+        got = out.collect()
+        assert got and all(r.n_words == "w" and r.leaks == 1 and r.kept == (None if r.doc_id is None else f"k{r.doc_id}") for r in got)
+        ids = [r.doc_id for r in got]
+        assert ids.count(0) >= 2 and (ids.count(900) == 0) == (name in ("minhash_near_dedup", "substring_dedup"))
+        assert (901 in ids) == (name != "quality_rules")
+    assert C.encode(spark, docs, place).count() == docs.count()
+    few = spark.createDataFrame([(1, "one text of a few words")], "doc_id long, text string")
+    for _, stage in C.STAGES[1:-1]:
+        assert stage(spark, few, place).columns == ["doc_id", "text"]

@@ -54,3 +54,29 @@ def test_without_labels_or_rows(spark, nothing):
     assert quality.judge(nothing, learned).count() == 0
     one = spark.createDataFrame([(1, "a fine text of at least ten words is kept without labels here")], "doc_id long, text string")
     assert quality.judge(one, quality.train(one, none)).first().kept
+
+
+def plain_probability(text, m):
+    """N-gram by n-gram: the mean weight of each family, then the curve."""
+    hasher, data = quality.W.Hasher(), (text or "").encode()
+    shift = 64 - quality.BITS
+    hashes = [hasher(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0] for w in data.split()]
+    pairs = [quality.W.mix(np.array([a * np.uint64(quality.W.MIX_1) + b]))[0] for a, b in zip(hashes, hashes[1:])]
+    grams = [(((data[i] << 16 | data[i + 1] << 8 | data[i + 2]) * 0x9E3779B1) % 2**32) >> (32 - quality.BITS) for i in range(len(data) - 2)]
+    z = m.bias
+    for table, slots in zip(m.weights, ([int(h) >> shift for h in hashes], [int(h) >> shift for h in pairs], grams)):
+        z += quality.SCALE * sum(float(table[s]) for s in slots) / max(len(slots), 1)
+    return 1 / (1 + np.exp(-(m.slope * z + m.offset)))
+
+
+def test_trained_probabilities_against_a_plain_scorer(spark, docs):
+    """With learned weights and calibration; verdicts follow from the probability and the counted rules."""
+    rows = [r for r in docs.collect() if r.doc_id is not None and len(r.text or "") < 20_000]
+    labels = spark.createDataFrame([(r.doc_id, r.doc_id % 2) for r in rows], "doc_id long, quality int")
+    m = quality.train(docs, labels)
+    assert np.abs(m.weights).max() > 0 and m.slope != 1.0
+    with np.errstate(over="ignore"):
+        for r in quality.judge(docs, m).collect():
+            if len(r.text or "") < 20_000:
+                assert abs(r.good_probability - plain_probability(r.text, m)) < 1e-6
+                assert r.kept == (not counts(r.text)[5] and r.good_probability >= quality.KEEP_FROM)

@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -49,3 +50,44 @@ def test_without_labels_or_rows(spark, nothing):
     assert X.score(nothing, learned).count() == 0
     one = spark.createDataFrame([(1, "you worthless idiot"), (2, "a fine day")], "doc_id long, text string")
     assert [r.predicted for r in X.score(one, learned).orderBy("doc_id").collect()] == [1, 0]
+
+
+def plain_score(m, text):
+    """Every entry tried at every place of the folded text."""
+    folded, best = X.fold(text or ""), {}
+    # The blank that ends an exception begins the next word, which is not spared.
+    spared = [(i, i + len(e) - 1) for e in m.exceptions for i in range(len(folded)) if folded.startswith(e, i)]
+    for entry, weight in m.entries.items():
+        for i in range(len(folded)):
+            if folded.startswith(entry, i) and not any(a <= i < b for a, b in spared):
+                best[i] = max(best.get(i, 0.0), weight)
+    total = sum(best.values())
+    z = m.curve[0] + m.curve[1] * math.log(1 + total) + m.curve[2] * min(100 * total / max(1, len(folded.split())), 100.0)
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+
+
+def test_scores_against_a_plain_scorer(spark):
+    """Random entries that begin and end in each other, exceptions over them; repeated rows, a very long text, columns of the same names."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abgo") for _ in range(rng.randint(1, 5)))
+    entries = {f" {word()}" + rng.choice(["", " "]): round(rng.uniform(0.5, 4), 2) for _ in range(30)}
+    m = X.Model(entries, frozenset(f" {word()}{rng.choice(['', ' ' + word()])} " for _ in range(8)), (-2.0, 1.5, 0.1))
+    texts = [" ".join(word() for _ in range(rng.randint(0, 40))) for _ in range(150)] + ["B4g0 " * 30, None, "", "ab " * 60_000]
+    rows = list(enumerate(texts)) + [(0, texts[0]), (None, texts[1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'old' AS score", "'old' AS predicted").repartition(4)
+    got = X.score(docs, m).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        if len(r.text or "") < 10_000:
+            assert abs(r.score - plain_score(m, r.text)) < 1e-12 and r.predicted == int(r.score >= 0.5)
+    assert len({r.score for r in got if r.doc_id == 0}) == 1 and len({round(r.score, 6) for r in got}) > 20
+
+
+def test_repeated_rows_do_not_change_what_is_learned_but_once(spark):
+    """Copies of a text count as one, with or without their ids repeated."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "slur"] if i % 4 == 0 else ["alpha", "beta", "gamma", "delta"]) for _ in range(30)), int(i % 4 == 0)) for i in range(300)]
+    table = lambda r: spark.createDataFrame([(i, t) for i, t, _ in r], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    once, twice = X.train(table(rows), labels), X.train(table(rows + rows), labels.unionAll(labels))
+    assert once.entries == twice.entries and once.exceptions == twice.exceptions

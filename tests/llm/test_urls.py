@@ -50,3 +50,12 @@ def test_empty_tables(spark):
     row = urls.judge(pages, none).first()
     assert not row.blocked and row.n_active == 0
     assert urls.judge(pages.limit(0), none).count() == 0
+
+
+def test_very_long_urls(spark):
+    deep = "http://a.bad.org/" + "/".join(f"p{i}" for i in range(3000)) + "?" + "q" * 50_000
+    wide = "http://" + ".".join(f"s{i}" for i in range(300)) + ".bad.org/x"
+    pages = spark.createDataFrame([(1, deep, DAY(5)), (2, wide, DAY(5)), (3, "http://good.org/" + "x" * 100_000, DAY(5))], "page_id long, url string, fetched date")
+    table = spark.createDataFrame([("domain", "bad.org", "spam", "add", DAY(1)), ("prefix", "a.bad.org/p0/p1", "malware", "add", DAY(2))], "kind string, pattern string, category string, action string, listed_at date")
+    got = {r.page_id: (r.blocked, r.n_active, r.pattern) for r in urls.judge(pages, table).collect()}
+    assert got == {1: (True, 2, "a.bad.org/p0/p1"), 2: (True, 1, "bad.org"), 3: (False, 0, None)}
