@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gridtide.session import stored
 
-SHARDS, ROUNDS, SLACK = 8, 4, 0.1
+SHARDS, ROUNDS, SLACK = 8, 12, 0.1  # rounds at most; it ends when no document wants to move
 
 
 def _quotas(moves: list[list[int]], loads: list[int], capacity: float) -> list[list[float]]:
@@ -45,16 +45,19 @@ def _unit(*parts: Column) -> Column:
 def propagate(rows: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, slack: float = SLACK) -> DataFrame:
     """`row, group, linked, shard` from `row, group`: labels after some rounds, near even sizes."""
     sizes = rows.groupBy("group").agg(F.count(F.lit(1)).alias("members"))
-    state = rows.join(sizes, "group").select("row", "group", "members", (F.col("members") > 1).alias("linked"), F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int").alias("shard"))
-    state = stored(state, "labels")
-    total = state.count()
+    total = rows.count()
     capacity = total / shards * (1 + slack)
+    # A group that no shard can hold stays where its rows fall: drawing it together would only shut others out.
+    linked = (F.col("members") > 1) & (F.col("members") <= total / shards)
+    state = rows.join(sizes, "group").select("row", "group", "members", linked.alias("linked"), F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int").alias("shard"))
+    state = stored(state, "labels")
     for step in range(rounds):
         votes = state.filter("linked").groupBy("group", "shard").agg(F.count(F.lit(1)).alias("n"))
         goal = votes.groupBy("group").agg(F.max(F.struct("n", F.xxhash64("group", "shard").alias("tie"), "shard")).alias("best")).select("group", F.col("best.shard").alias("goal"))
         wanted = stored(state.join(goal, "group", "left").withColumn("goal", F.coalesce("goal", "shard")), "moves")
         moves, loads = [[0] * shards for _ in range(shards)], [0] * shards
-        for a, b, n in wanted.groupBy("shard", "goal").count().collect():
+        # Rows without links fill the shards at the end; only linked ones need room now.
+        for a, b, n in wanted.filter("linked").groupBy("shard", "goal").count().collect():
             loads[a] += n
             if a != b:
                 moves[a][b] += n
@@ -80,6 +83,16 @@ def _ranked(state: DataFrame) -> DataFrame:
     return ordered.join(F.broadcast(before), ["shard", "part"]).select("row", "shard", (F.col("at") - F.col("first") + F.col("before")).alias("rank"))
 
 
+def cut_links(placed: DataFrame, group: list[str], shard: str = "shard") -> DataFrame:
+    """`groups, links, cut`: the linked groups, the links that hold them together (one less than members), and how many the shards cut.
+
+    What the method minimises; a group over k shards costs k - 1 links.
+    """
+    members = placed.groupBy(*group, shard).agg(F.count(F.lit(1)).alias("n")).groupBy(*group).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("shards"))
+    linked = members.filter("n > 1")
+    return linked.agg(F.count(F.lit(1)).alias("groups"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("links"), F.coalesce(F.sum(F.col("shards") - 1), F.lit(0)).alias("cut"))
+
+
 def assign(docs: DataFrame, id: str = "doc_id", text: str = "text", shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
     """One row per row of `docs`: `id, size, text_crc32, law, shard, slot, grown_shard`.
 

@@ -1,7 +1,7 @@
 import collections
 import zlib
 
-from gridtide.llm.shards import _quotas, assign
+from gridtide.llm.shards import _quotas, assign, cut_links, propagate
 
 from .conftest import SCHEMA
 
@@ -47,3 +47,22 @@ def test_quotas_respect_capacity():
     for j in range(3):
         after = loads[j] + sum(share[i][j] * moves[i][j] - share[j][i] * moves[j][i] for i in range(3))
         assert after <= 111
+
+
+def test_small_groups_are_not_cut_where_nothing_forces_it(spark):
+    """A few dozen groups among many single documents, several times over."""
+    for seed in range(3):
+        rows = [(i, f"group {seed} {i % 37}" if i < 150 else f"own {seed} {i}", "", "", 0) for i in range(1000)]
+        placed = assign(spark.createDataFrame(rows, SCHEMA))
+        found = cut_links(placed, ["size", "text_crc32"]).first()
+        assert (found.groups, found.links, found.cut) == (37, 113, 0)
+
+
+def test_propagation_ends_with_less_cut_than_it_began_with(spark):
+    """A group of a third of all rows has to be spread; the others end whole, and no shard is far above its share."""
+    rows = spark.range(6000).selectExpr("id AS row", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN concat('g', id div 12) ELSE concat('own', id) END AS group")
+    cuts = [cut_links(propagate(rows, 8, rounds).filter("group <> 'hot'"), ["group"]).first().cut for rounds in (0, 1, 12)]
+    assert cuts[0] > 500 and cuts[1] < cuts[0] / 3 and cuts[2] <= cuts[1] and cuts[2] <= 10
+    loads = [r["count"] for r in propagate(rows).groupBy("shard").count().collect()]
+    assert len(loads) == 8 and max(loads) <= 6000 / 8 * 1.12
+    assert tuple(cut_links(spark.createDataFrame([], "group string, shard int"), ["group"]).first()) == (0, 0, 0)
