@@ -134,7 +134,7 @@ def _sum_vectors(top: int):
 
     def work(g: C.Gathered) -> pa.Table:
         keys, inverse = np.unique(g.keys, return_inverse=True)
-        parts = np.frombuffer(b"".join(g.table["sums"].to_pylist()), np.int32).reshape(len(g.keys), -1)
+        parts = np.concatenate([_unpacked(x, n) for x, n in zip(g.table["sums"].to_pylist(), g.sizes)])
         sums = np.zeros((len(keys), parts.shape[1]))
         np.add.at(sums, inverse, parts)
         counts = np.zeros(len(keys), np.int64)
@@ -149,6 +149,17 @@ def _sum_vectors(top: int):
     return work
 
 
+def _packed(sums: np.ndarray) -> bytes:
+    """Rows of whole numbers in as few bytes each as the largest needs; most words are rare."""
+    top = np.abs(sums).max(initial=0)
+    return sums.astype(np.int8 if top < 128 else np.int16 if top < 32768 else np.int32).tobytes()
+
+
+def _unpacked(packed: bytes, rows: int) -> np.ndarray:
+    kind = {1: np.int8, 2: np.int16, 4: np.int32}[len(packed) // (rows * 2 * CODE_WIDTH)]
+    return np.frombuffer(packed, kind).reshape(rows, -1).astype(np.int32)
+
+
 def directions(vectors: np.ndarray) -> np.ndarray:
     size = np.sqrt((vectors**2).sum(axis=1, keepdims=True))
     return np.rint(127 * vectors / np.maximum(size, 1e-9)).astype(np.int8)
@@ -277,7 +288,7 @@ def score(
             rows = None if found is None else C.by_range(chunk, found[0], n, totals=found[1])
             if rows is not None:
                 cuts = np.r_[0, np.cumsum(rows["keys"].value_lengths().to_numpy())]
-                sums_ = pa.array([found[2][a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())
+                sums_ = pa.array([_packed(found[2][a:b]) for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())
                 return pa.Table.from_batches([rows.append_column("sums", sums_)])
         kinds = {"chunk": pa.int64(), "part": pa.int64(), "keys": pa.list_(pa.int64()), "totals": pa.list_(pa.int64()), "sums": pa.binary()}
         return pa.table({c: pa.array([], t) for c, t in kinds.items()})

@@ -159,3 +159,10 @@ def test_empty_table_and_no_training_rows(spark, nothing):
     out = next(i for i in range(100) if held(i))
     row = lm.score(spark.createDataFrame([(out, "never seen words", "", "", 0)], SCHEMA)).first()
     assert row.held_out and row.n_known == 0 and row.train_tokens == 0 and row.base_score == 0
+
+
+def test_sums_are_packed_without_loss():
+    rng = np.random.default_rng(1)
+    for top in (1, 100, 127, 128, 30_000, 40_000, 10**6):
+        sums = rng.integers(-top, top + 1, (5, 2 * lm.CODE_WIDTH))
+        assert (lm._unpacked(lm._packed(sums), 5) == sums).all()
