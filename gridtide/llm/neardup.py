@@ -29,8 +29,8 @@ NODE_LIMIT, LEVELS, MORE_LEVELS = 256, 2, 3
 # and the pairs that a node may still have to be compared, as a multiple of the limit's square.
 WIDE, FEW = 4, 64
 PIVOTS, VOTES = 4, 16
-# Shingles that a comparison sorts at a time.
-SLICE = 1 << 19
+# Shingles that a comparison sorts at a time, and that one task holds: sets that are longer together are compared a range of hashes at a time, each in a task of its own.
+SLICE, BLOCK_SHINGLES = 1 << 19, 1 << 22
 # Sketches of 128 values are off by 0.03 at the threshold, as a standard deviation; pairs within 0.14 are compared in full.
 SLACK = 0.14
 
@@ -152,39 +152,70 @@ def _groups(linked: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _exact(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links `a, b` of each block's members, compared on full sets: each member with the smallest it is connected to."""
+def _common(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The members of a block in order, the sizes of their sets, and how much every two have in common."""
+    docs = table["doc"].to_numpy()
+    place = np.argsort(np.argsort(docs, kind="stable"), kind="stable")
+    sizes, parts, lo = np.zeros(len(docs), np.int64), [], 0
+    for part in table["shingles"].chunks:
+        n = pa.compute.list_value_length(part).to_numpy().astype(np.int64)
+        sizes[place[lo : lo + len(n)]] = n
+        parts.append((part.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.repeat(place[lo : lo + len(n)].astype(np.int32), n)))
+        lo += len(n)
+    common = np.zeros((len(docs), len(docs)), np.float32)
+    width = max(1, (4 << 20) // (4 * len(docs)))
+    # A range of hashes at a time, so that long texts cost no more memory than their sets.
+    slices = int(sizes.sum()) // SLICE + 1
+    for k in range(slices):
+        value, row = (np.concatenate(x) for x in zip(*[(v[i], r[i]) for v, r in parts for i in [np.flatnonzero(C.range_of(v, slices) == k)]]))
+        by = np.argsort(value)
+        value, row = value[by], row[by]
+        column = np.cumsum(np.r_[False, value[1:] != value[:-1]]) if len(value) else value.astype(np.int64)
+        for left in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+            a, b = np.searchsorted(column, [left, left + width])
+            present = np.zeros((len(docs), width), np.float32)
+            present[row[a:b], column[a:b] - left] = 1
+            common += present @ present.T
+    return np.sort(docs), sizes, common
+
+
+def _exact(blocks: DataFrame, sets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Links `a, b` of each block's members, compared on full sets.
+
+    Of a block that one task can hold: each member with the smallest it is connected to. Of longer ones: all linked pairs.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        docs = table["doc"].to_numpy()
-        place = np.argsort(np.argsort(docs, kind="stable"), kind="stable")
-        sizes, parts, lo = np.zeros(len(docs), np.int64), [], 0
-        for part in table["shingles"].chunks:
-            n = pa.compute.list_value_length(part).to_numpy().astype(np.int64)
-            sizes[place[lo : lo + len(n)]] = n
-            parts.append((part.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.repeat(place[lo : lo + len(n)].astype(np.int32), n)))
-            lo += len(n)
-        docs = np.sort(docs)
-        common = np.zeros((len(docs), len(docs)), np.float32)
-        width = max(1, (4 << 20) // (4 * len(docs)))
-        # A range of hashes at a time, so that long texts cost no more memory than their sets.
-        slices = int(sizes.sum()) // SLICE + 1
-        for k in range(slices):
-            value, row = (np.concatenate(x) for x in zip(*[(v[i], r[i]) for v, r in parts for i in [np.flatnonzero(C.range_of(v, slices) == k)]]))
-            by = np.argsort(value)
-            value, row = value[by], row[by]
-            column = np.cumsum(np.r_[False, value[1:] != value[:-1]]) if len(value) else value.astype(np.int64)
-            for left in range(0, int(column[-1]) + 1 if len(column) else 0, width):
-                a, b = np.searchsorted(column, [left, left + width])
-                present = np.zeros((len(docs), width), np.float32)
-                present[row[a:b], column[a:b] - left] = 1
-                common += present @ present.T
+        docs, sizes, common = _common(table)
         union = sizes[:, None] + sizes[None, :] - common
         label = _groups(100 * common >= percent * union)
         joined = np.flatnonzero(label != np.arange(len(docs)))
         return pa.table({"a": pa.array(docs[joined], pa.int64()), "b": pa.array(docs[label[joined]], pa.int64())})
 
-    return blocks.join(sets, "doc").groupBy("block").applyInArrow(run, "a long, b long")
+    sizes = reps.select("doc", "size")
+    weights = blocks.join(sizes, "doc").groupBy("block").agg(F.sum("size").alias("total"))
+    long_ = stored(weights.filter(F.col("total") > BLOCK_SHINGLES).select("block", F.ceil(F.col("total") / BLOCK_SHINGLES).cast("long").alias("slices")), "long_blocks")
+    if long_.isEmpty():
+        return blocks.join(sets, "doc").groupBy("block").applyInArrow(run, "a long, b long")
+    whole = blocks.join(long_, "block", "left_anti").join(sets, "doc").groupBy("block").applyInArrow(run, "a long, b long")
+
+    def cut(batches):
+        for batch in batches:
+            for block, doc, slices, values in zip(*(batch.column(c) for c in ("block", "doc", "slices", "shingles"))):
+                values, n = values.values.to_numpy(zero_copy_only=False).view(np.uint64), slices.as_py()
+                at = C.range_of(values, n)
+                parts = [values[at == k].view(np.int64) for k in range(n)]
+                yield pa.RecordBatch.from_pydict({"block": [block.as_py()] * n, "doc": [doc.as_py()] * n, "slice": pa.array(range(n), pa.int64()), "shingles": pa.array(parts, pa.list_(pa.int64()))})
+
+    def count(table: pa.Table) -> pa.Table:
+        docs, _, common = _common(table)
+        i, j = np.nonzero(np.triu(common, 1))
+        return pa.table({"block": pa.array([table["block"][0].as_py()] * len(i), pa.int64()), "a": pa.array(docs[i], pa.int64()), "b": pa.array(docs[j], pa.int64()), "common": pa.array(common[i, j].astype(np.int64))})
+
+    dealt = blocks.join(long_, "block").join(sets, "doc").select("block", "doc", "slices", "shingles").mapInArrow(cut, "block long, doc long, slice long, shingles array<long>")
+    pairs = dealt.groupBy("block", "slice").applyInArrow(count, "block long, a long, b long, common long").groupBy("block", "a", "b").agg(F.sum("common").alias("common"))
+    pairs = pairs.join(sizes.select(F.col("doc").alias("a"), F.col("size").alias("m")), "a").join(sizes.select(F.col("doc").alias("b"), F.col("size").alias("n")), "b")
+    return whole.unionByName(pairs.filter(100 * F.col("common") >= percent * (F.col("m") + F.col("n") - F.col("common"))).select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
 def _shingles(docs: DataFrame, wanted: DataFrame, id: str, text: str, k: int) -> DataFrame:
@@ -264,7 +295,7 @@ def _close(parts: DataFrame, least: float) -> DataFrame:
 
 def _alike(big: DataFrame, reps: DataFrame, sets: DataFrame, links: DataFrame, percent: int, trees: int, limit: int, levels: int, more: int, least: float) -> DataFrame:
     """The links that the nodes still too large after `levels` levels hold."""
-    links = links.unionByName(stored(_exact(_stars(big, limit), sets, percent), "links"))
+    links = links.unionByName(stored(_exact(_stars(big, limit), sets, reps, percent), "links"))
     label = components(links)
     done, rows = [], big.select("node", "doc")
     for level in range(levels, levels + more + 1):
@@ -277,7 +308,7 @@ def _alike(big: DataFrame, reps: DataFrame, sets: DataFrame, links: DataFrame, p
         rows = _branch(rows, reps, trees, level).drop("votes")
     sketched = _union(done).join(reps.select("doc", "sketch"), "doc")
     blocks = stored(_close(_crossed(sketched, limit), least), "blocks")
-    return links.unionByName(stored(_exact(blocks, sets, percent), "links"))
+    return links.unionByName(stored(_exact(blocks, sets, reps, percent), "links"))
 
 
 def near_duplicates(
@@ -287,7 +318,7 @@ def near_duplicates(
     """All columns of `docs`, then `n_shingles`, `component_id` and `kept`; columns of those names are replaced.
 
     Sets of `shingle`-word runs (A-Z lower-cased; a shorter text is one run), linked where 100 times the intersection is
-    at least `percent` times the union. `component_id` is the smallest id reachable, `kept` says that it is the row's own.
+    at least `percent` times the union. Ids are whole numbers. `component_id` is the smallest id reachable, `kept` says that it is the row's own.
     Texts without words (also null) have empty sets and link with nothing. Rows with equal ids get one
     verdict, that of the smallest component of any of them. A null id links with nothing: its component is null and the row is kept. Empty tables give none.
     """
@@ -304,7 +335,7 @@ def near_duplicates(
         big = stored(big, "nodes")
     wanted = blocks.select("doc") if big is None else blocks.select("doc").unionAll(big.select("doc"))
     sets = stored(_shingles(docs, wanted, id, text, shingle), "shingles")
-    links = stored(_exact(blocks, sets, percent), "links")
+    links = stored(_exact(blocks, sets, reps, percent), "links")
     if big is not None:
         links = _alike(big, reps, sets, links, percent, trees, limit, levels, more_levels, least)
     label = components(links).withColumnRenamed("node", "rep")

@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from gridtide.llm import neardup
 from gridtide.llm.graph import components
 from gridtide.llm.neardup import near_duplicates
 
@@ -57,6 +58,36 @@ def test_large_alike_groups(spark, levels, more):
     assert verdicts(found) == brute(rows)
 
 
+@pytest.mark.parametrize("limit", [300, 40])
+def test_blocks_too_long_for_one_task(spark, docs, corpus, monkeypatch, limit):
+    """Sets are compared a range of hashes at a time, in tasks of their own; one of them is far longer than a task may hold."""
+    monkeypatch.setattr(neardup, "BLOCK_SHINGLES", limit)
+    rng = random.Random(5)
+    long_ = words(rng, 4000)
+    near = [w if rng.random() > 0.01 else "changed" for w in long_]
+    rows = [*corpus, *((i, " ".join(w), "", "", 0) for i, w in ((5000, long_), (5001, near), (5002, near[:2500])))]
+    assert verdicts(near_duplicates(spark.createDataFrame(rows, SCHEMA))) == brute(rows)
+
+
+def test_recall_at_every_level(spark):
+    """Pairs at the threshold inside a crowd that shares most shingles with them, dealt out over all levels: none is lost."""
+    rng = random.Random(8)
+    base, rows, n = words(rng, 300), [], 0
+    for pair in range(40):
+        own = list(base)
+        for _ in range(12):  # far enough from the others to be no link: each change spoils five shingles
+            own[rng.randrange(300)] = f"p{pair}x{rng.randrange(999)}"
+        near = list(own)
+        for at in rng.sample(range(0, 295, 6), 4):
+            near[at] = f"q{pair}x{at}"
+        rows += [(n, " ".join(own), "", "", 0), (n + 1, " ".join(near), "", "", 0)]
+        n += 2
+    want = brute(rows)
+    found = verdicts(near_duplicates(spark.createDataFrame(rows, SCHEMA), limit=4, levels=2, more_levels=3))
+    assert sum(found[i] == want[i] for i in want) >= 0.999 * len(want)
+    assert len({v[1] for v in want.values()}) > 20
+
+
 def test_extra_columns_and_empty_tables(docs, nothing):
     odd = docs.selectExpr("*", "1 AS doc", "2 AS node", "'k' AS kept", "3 AS component")
     found = near_duplicates(odd)
