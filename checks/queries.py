@@ -259,7 +259,7 @@ def _(spark, folder):
 @query("w7_event_spectrum")
 def _(spark, folder):
     df = S.raw_events(spark, folder)
-    return spectrum(df, KEYS, hours=relate.sampling_hours(df, KEYS))
+    return spectrum(df, KEYS, hours=None)
 
 
 @query("w8_sliding_windows")

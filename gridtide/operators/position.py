@@ -149,18 +149,25 @@ def index_series(
     ts: str = "timestamp",
     totals: Sequence[str] = (),
     cell_rows: int = CELL_ROWS,
+    step: str | None = None,
 ) -> DataFrame:
-    """Add `idx` (0-based position by time), `n` (rows of the series) and `total_<c>` sums.
+    """Add `idx` (0-based position by time), `n` (rows of the series) and `total_<c>` sums; and, as `step`, the seconds since the row before.
 
     Times must be unique inside a series. The rows are shuffled once, by series and cell.
     """
     measures = [F.sum(c).alias(f"_sum_{c}") for c in totals]
-    cells = time_cells(df, keys, ts, measures, cell_rows)
+    cells = time_cells(df, keys, ts, [*measures, *([F.max(micros(ts)).alias("_last")] if step else [])], cell_rows)
     sums = {"_rows": "n", **{f"_sum_{c}": f"total_{c}" for c in totals}}
-    placed = outline(cells, keys, {"_rows": "_start"}, sums).table
-    placed = placed.select(*keys, "_bits", "_cell", "_start", "n", *[f"total_{c}" for c in totals])
+    if step:
+        cells = nearest_cells(cells, keys, {"_last": "_prev"}, later=False)
+        placed = outline(cells.with_table(cells.table.drop("_last")), keys, {"_rows": "_start"}, sums).table
+    else:
+        placed = outline(cells, keys, {"_rows": "_start"}, sums).table
+    placed = placed.select(*keys, "_bits", "_cell", "_start", "n", *[f"total_{c}" for c in totals], *(["_prev"] if step else []))
     rows = lookup(cells.place(df, keys, ts), placed, [*keys, "_bits", "_cell"], keep="_at")
     inside = Window.partitionBy("_at").orderBy(ts)
+    if step:
+        rows = rows.withColumn(step, (micros(ts) - F.coalesce(F.lag(micros(ts)).over(inside), F.col("_prev"))) / 1e6).drop("_prev")
     return rows.withColumn("idx", F.col("_start") + F.row_number().over(inside) - 1).drop("_at", "_bits", "_cell", "_start")
 
 

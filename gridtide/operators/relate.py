@@ -136,6 +136,15 @@ def sampling_hours(
     cells = _last_times(df, keys, ts, cell_rows)
     steps = _time_steps(df, keys, ts, cells)
     series = cells.table.groupBy(*keys).agg(F.sum("_rows").alias("_rows"))
+    return _median_hours(series, steps, keys)
+
+
+def hours_of_steps(rows: DataFrame, keys: Sequence[str] = (), seconds: str = "seconds") -> DataFrame:
+    """The same from rows that carry the seconds since the row before, as `index_series` gives them."""
+    return _median_hours(rows.filter("idx = 0").select(*keys), rows.select(*keys, F.col(seconds).alias("seconds")), keys)
+
+
+def _median_hours(series: DataFrame, steps: DataFrame, keys: Sequence[str]) -> DataFrame:
     middle = quantiles(steps, keys, "seconds", [0.5], ["_step"])
     hours = F.when(F.col("_step") > 0, F.col("_step") / 3600.0).otherwise(1.0)
     return lookup(series, middle, list(keys), how="left").select(*keys, hours.alias("sampling_hours"))

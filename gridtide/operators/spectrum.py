@@ -9,7 +9,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from gridtide.operators.position import index_series
+from gridtide.operators.relate import hours_of_steps
 from gridtide.operators.skew import attach, lookup
+from gridtide.session import stored
 
 # A series of up to this many rows is transformed in one task (16 MB of complex values).
 GROUP_POINTS = 1 << 20
@@ -19,14 +21,17 @@ MID_FREQUENCY = 0.02
 
 
 def spectrum(
-    df: DataFrame, keys: Sequence[str] = (), value: str = "load", hours: DataFrame | float = 1.0,
+    df: DataFrame, keys: Sequence[str] = (), value: str = "load", hours: DataFrame | float | None = 1.0,
     group_points: int = GROUP_POINTS,
 ) -> DataFrame:
     """`keys…, harmonic, frequency, amplitude` for the positive frequencies of the mean-centred series.
 
-    `hours` is the sampling step: one number, or a table `keys…, sampling_hours`. Short series are
-    transformed in one task each; series beyond `group_points` go through `_long_amplitudes`.
+    `hours` is the sampling step: one number, or a table `keys…, sampling_hours`; with None it is the median step of each series, found while the rows
+    are numbered. Short series are transformed in one task each; series beyond `group_points` go through `_long_amplitudes`.
     """
+    if hours is None:
+        df = stored(index_series(df.select(*keys, "timestamp", value), keys, totals=[value], step="_seconds"), "numbered")
+        hours = hours_of_steps(df, keys, "_seconds")
     ready = "idx" in df.columns and f"total_{value}" in df.columns
     rows = df if ready else index_series(df, keys, totals=[value])
     largest = (df if ready else df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))).agg(F.max("n")).first()[0] or 0

@@ -75,3 +75,20 @@ def test_a_dense_series_leaves_the_cells_of_others(spark):
     got = pandas_of(position.index_series(both, ["k"], totals=["load"], cell_rows=400), "k", "timestamp")
     assert got["idx"].tolist() == [*range(3000), *range(4000)]
     assert set(got["total_load"]) == {sum(range(3000)), sum(range(4000))}
+
+
+def test_steps_come_with_the_positions(spark):
+    """Seconds since the row before, over cells of any width; the median step of each series follows from them."""
+    from gridtide.operators import relate
+    from gridtide.operators.spectrum import spectrum
+
+    rows = spark.range(900).selectExpr("IF(id % 3 = 0, 'a', 'b') AS k", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(CAST(id div 100 AS INT), 0, CAST(id * id % 977 AS INT), id) AS timestamp", "double(id % 7) AS load")
+    rows = rows.dropDuplicates(["k", "timestamp"]).unionByName(spark.sql("SELECT 'one' AS k, timestamp_ntz'2024-05-05 00:00:00' AS timestamp, 1.0D AS load")).cache()
+    for cell_rows in (1_000_000, 20):
+        found = index_series(rows, ["k"], totals=["load"], step="seconds", cell_rows=cell_rows).cache()
+        want = {(r["k"], r["timestamp"]): r["s"] for r in rows.selectExpr("*", "(unix_micros(CAST(timestamp AS timestamp)) - lag(unix_micros(CAST(timestamp AS timestamp))) OVER (PARTITION BY k ORDER BY timestamp)) / 1e6 AS s").collect()}
+        assert {(r["k"], r["timestamp"]): r["seconds"] for r in found.collect()} == want
+        hours = sorted(map(tuple, relate.hours_of_steps(found, ["k"]).collect()))
+        assert hours == sorted(map(tuple, relate.sampling_hours(rows, ["k"]).collect())) and dict(hours)["one"] == 1.0
+    both = [sorted(map(tuple, spectrum(rows, ["k"], hours=h).collect())) for h in (None, relate.sampling_hours(rows, ["k"]))]
+    assert len(both[0]) > 100 and all(a[:2] == b[:2] and abs(a[3] - b[3]) < 1e-6 for a, b in zip(*both))
