@@ -8,6 +8,9 @@ encoder takes the longest token that is compatible with the one before (a table
 tells whether the merges would join or cut the pair in another way), falls back to the next shorter prefix, and steps
 back where none is left; a position that failed is never tried again, so the time is linear. A sequence whose adjacent
 pairs are all compatible is the one that the merges give.
+
+The backtracking over longest matches and the test of a pair (undo the later of two merges until their halves meet) are a
+published scheme: that of the `bpe` crate in GitHub's rust-gems (MIT licence); the tables, caches, splitting and decoding here are its own.
 """
 
 from __future__ import annotations
