@@ -182,40 +182,33 @@ def _common(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _exact(blocks: DataFrame, sets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Links `a, b` of each block's members, compared on full sets.
 
-    Of a block that one task can hold: each member with the smallest it is connected to. Of longer ones: all linked pairs.
+    A block whose sets are no longer together than a task may hold gives each member with the smallest it is connected to. Longer ones are
+    compared a range of hashes at a time, every range a group of its own; what pairs have in common is added up, and all linked pairs are given.
     """
 
-    def run(table: pa.Table) -> pa.Table:
+    def run(key, table: pa.Table) -> pa.Table:
         docs, sizes, common = _common(table)
-        union = sizes[:, None] + sizes[None, :] - common
-        label = _groups(100 * common >= percent * union)
-        joined = np.flatnonzero(label != np.arange(len(docs)))
-        return pa.table({"a": pa.array(docs[joined], pa.int64()), "b": pa.array(docs[label[joined]], pa.int64())})
-
-    sizes = reps.select("doc", "size")
-    weights = blocks.join(sizes, "doc").groupBy("block").agg(F.sum("size").alias("total"))
-    long_ = stored(weights.filter(F.col("total") > BLOCK_SHINGLES).select("block", F.ceil(F.col("total") / BLOCK_SHINGLES).cast("long").alias("slices")), "long_blocks")
-    if long_.isEmpty():
-        return blocks.join(sets, "doc").groupBy("block").applyInArrow(run, "a long, b long")
-    whole = blocks.join(long_, "block", "left_anti").join(sets, "doc").groupBy("block").applyInArrow(run, "a long, b long")
-
-    def cut(batches):
-        for batch in batches:
-            for block, doc, slices, values in zip(*(batch.column(c) for c in ("block", "doc", "slices", "shingles"))):
-                values, n = values.values.to_numpy(zero_copy_only=False).view(np.uint64), slices.as_py()
-                at = C.range_of(values, n)
-                parts = [values[at == k].view(np.int64) for k in range(n)]
-                yield pa.RecordBatch.from_pydict({"block": [block.as_py()] * n, "doc": [doc.as_py()] * n, "slice": pa.array(range(n), pa.int64()), "shingles": pa.array(parts, pa.list_(pa.int64()))})
-
-    def count(table: pa.Table) -> pa.Table:
-        docs, _, common = _common(table)
-        i, j = np.nonzero(np.triu(common, 1))
-        return pa.table({"block": pa.array([table["block"][0].as_py()] * len(i), pa.int64()), "a": pa.array(docs[i], pa.int64()), "b": pa.array(docs[j], pa.int64()), "common": pa.array(common[i, j].astype(np.int64))})
-
-    dealt = blocks.join(long_, "block").join(sets, "doc").select("block", "doc", "slices", "shingles").mapInArrow(cut, "block long, doc long, slice long, shingles array<long>")
-    pairs = dealt.groupBy("block", "slice").applyInArrow(count, "block long, a long, b long, common long").groupBy("block", "a", "b").agg(F.sum("common").alias("common"))
-    pairs = pairs.join(sizes.select(F.col("doc").alias("a"), F.col("size").alias("m")), "a").join(sizes.select(F.col("doc").alias("b"), F.col("size").alias("n")), "b")
-    return whole.unionByName(pairs.filter(100 * F.col("common") >= percent * (F.col("m") + F.col("n") - F.col("common"))).select(F.col("b").alias("a"), F.col("a").alias("b")))
+        if key[2].as_py() > 1:
+            i, j = np.nonzero(np.triu(common, 1))
+            n = common[i, j].astype(np.int64)
+        else:
+            label = _groups(100 * common >= percent * (sizes[:, None] + sizes[None, :] - common))
+            i = np.flatnonzero(label != np.arange(len(docs)))
+            j, n = label[i], None
+        return pa.table({"block": pa.array([key[0].as_py()] * len(i), pa.int64()), "a": pa.array(docs[i], pa.int64()), "b": pa.array(docs[j], pa.int64()), "common": pa.nulls(len(i), pa.int64()) if n is None else pa.array(n)})
+
+    total = F.sum(F.size("shingles")).over(Window.partitionBy("block"))
+    members = blocks.join(sets, "doc").select("block", "doc", "shingles", F.ceil(total / BLOCK_SHINGLES).cast("long").alias("slices"))
+    at = lambda v: F.shiftright(F.shiftrightunsigned(v, 32) * F.col("slices"), 32)
+    part = lambda k: F.struct(k.alias("slice"), F.filter("shingles", lambda v: at(v) == k).alias("shingles"))
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("slice"), F.col("shingles")))
+    parts = F.when(F.col("slices") > 1, F.transform(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1), part)).otherwise(whole)
+    found = stored(members.select("block", "doc", "slices", F.inline(parts)).groupBy("block", "slice", "slices").applyInArrow(run, "block long, a long, b long, common long"), "compared")
+    links = found.filter("common IS NULL").select("a", "b")
+    pairs = found.filter("common IS NOT NULL").groupBy("block", "a", "b").agg(F.sum("common").alias("common"))
+    size = lambda c, n: reps.select(F.col("doc").alias(c), F.col("size").alias(n))
+    pairs = pairs.join(size("a", "m"), "a").join(size("b", "n"), "b")
+    return links.unionByName(pairs.filter(100 * F.col("common") >= percent * (F.col("m") + F.col("n") - F.col("common"))).select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
 def _shingles(docs: DataFrame, wanted: DataFrame, id: str, text: str, k: int) -> DataFrame:
