@@ -186,7 +186,7 @@ def _exact(blocks: DataFrame, sets: DataFrame, reps: DataFrame, percent: int) ->
     compared a range of hashes at a time, every range a group of its own; what pairs have in common is added up, and all linked pairs are given.
     """
 
-    def run(key, table: pa.Table) -> pa.Table:
+    def run(key, table):
         docs, sizes, common = _common(table)
         if key[2].as_py() > 1:
             i, j = np.nonzero(np.triu(common, 1))
