@@ -297,11 +297,20 @@ def score(
     vectors = stored(C.settle(vectors, _sum_vectors(-(-4 * FITTED // n) + 8), "chunk long, part long, vectors binary, keys array<long>, counts array<long>"), "vectors")
     how = _classes(vectors, alone, classes - own - 2)
     size = len(alone) + 2 + len(how.centres)
-    parts = answers.select("chunk", "part", F.lit(1).alias("step"), "totals", F.lit(None).cast("binary").alias("vectors"))
-    parts = parts.unionAll(vectors.filter("chunk IS NOT NULL").select("chunk", "part", F.lit(2), F.lit(None).cast("array<bigint>"), "vectors"))
-    known = kept.select("chunk", "payload").groupBy("chunk").cogroup(parts.groupBy("chunk"))
     sent_how = send(docs.sparkSession, how)
 
+    def nearest(batches):
+        how = sent_how()
+        for batch in batches:
+            labels = [_nearest(np.frombuffer(v.as_buffer(), np.int8).reshape(-1, 2 * CODE_WIDTH), how).tobytes() for v in batch["vectors"]]
+            yield pa.RecordBatch.from_pydict({"chunk": batch["chunk"], "part": batch["part"], "labels": pa.array(labels, pa.binary())})
+
+    # Two bytes for each word go back to its chunks, not its vector.
+    labels = stored(vectors.filter("chunk IS NOT NULL").select("chunk", "part", "vectors").mapInArrow(nearest, "chunk long, part long, labels binary"), "labels")
+    parts = answers.select("chunk", "part", F.lit(1).alias("step"), "totals", F.lit(None).cast("binary").alias("labels"))
+    parts = parts.unionAll(labels.select("chunk", "part", F.lit(2), F.lit(None).cast("array<bigint>"), "labels"))
+    known = kept.select("chunk", "payload").groupBy("chunk").cogroup(parts.groupBy("chunk"))
+
     def trigrams(key, left, right):
         _, tokens, learned = _opened(left["payload"][0])
         cls, _ = _token_classes(tokens, right, sent_how())
@@ -404,6 +413,14 @@ def _classes(vectors: DataFrame, alone: np.ndarray, groups: int) -> Classes:
     return Classes(alone[order], order + REST + 1, near, centres, mean, kinds)
 
 
+def _nearest(vectors: np.ndarray, how: Classes) -> np.ndarray:
+    """The number of the centre nearest to each vector."""
+    out = np.empty(len(vectors), np.uint16)
+    for lo in range(0, len(vectors), 1 << 14):
+        out[lo : lo + (1 << 14)] = ((vectors[lo : lo + (1 << 14)].astype(float) - how.mean) @ how.centres.T).argmax(axis=1)
+    return out
+
+
 def _token_classes(tokens: Tokens, right: pa.Table, how: Classes) -> tuple[np.ndarray, np.ndarray]:
     """The class and the settled count of every token of a chunk, from the answers of both steps."""
     keys, inverse = np.unique(tokens.key, return_inverse=True)
@@ -412,11 +429,8 @@ def _token_classes(tokens: Tokens, right: pa.Table, how: Classes) -> tuple[np.nd
     cls = _class_of(keys, how.keys, how.numbers, how.near)
     wanted = np.flatnonzero(totals > 1)
     if len(wanted):
-        found = np.frombuffer(b"".join(right.filter(pa.array(step == 2)).sort_by("part")["vectors"].to_pylist()), np.int8).reshape(len(wanted), -1)
-        for lo in range(0, len(wanted), 1 << 14):
-            at = wanted[lo : lo + (1 << 14)]
-            nearest = ((found[lo : lo + (1 << 14)].astype(float) - how.mean) @ how.centres.T).argmax(axis=1)
-            cls[at] = np.where(cls[at] == REST, len(how.keys) + 2 + nearest, cls[at])
+        label = np.frombuffer(b"".join(right.filter(pa.array(step == 2)).sort_by("part")["labels"].to_pylist()), np.uint16)
+        cls[wanted] = np.where(cls[wanted] == REST, len(how.keys) + 2 + label.astype(np.int64), cls[wanted])
     return cls[inverse], totals[inverse]
 
 
