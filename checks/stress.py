@@ -12,14 +12,14 @@ import sys
 
 from checks import compare, queries
 from gridtide.operators import (
-    clean, decompose, describe, distribution, forecast, models, position, quantile, relate, sequence, skew, spectrum,
+    clean, decompose, describe, distribution, forecast, models, position, quantile, relate, sequence, sifting, skew, spectrum,
 )
 
 BOUNDS = {"cell_rows": 50, "block_rows": 256, "run_rows": 1, "group_points": 200}
 
 
 def lower_bounds() -> None:
-    for module in (clean, decompose, describe, distribution, forecast, models, position, quantile, relate, sequence, skew, spectrum):
+    for module in (clean, decompose, describe, distribution, forecast, models, position, quantile, relate, sequence, sifting, skew, spectrum):
         for function in vars(module).values():
             if not inspect.isfunction(function) or not function.__defaults__:
                 continue
