@@ -128,8 +128,11 @@ def _blocks(lines: DataFrame) -> DataFrame:
     return known.select("path", "block", "size", "spans", inside.alias("inside"))
 
 
-def _cut(fragments: bool):
-    """The records of each byte range; or, with `fragments`, the pieces of those that go beyond their range."""
+def _cut(fragments: bool, sent=None):
+    """The records of each byte range; or, with `fragments`, the pieces of those that go beyond their range.
+
+    Which ranges start inside quotes is told by `sent`, a broadcast set, or else by a column `inside`.
+    """
     schema = pa.schema([("path", pa.string()), ("block", pa.int64()), ("opens", pa.int32()), ("header", pa.bool_()), ("value", pa.binary())])
 
     def run(batches):
@@ -144,14 +147,15 @@ def _cut(fragments: bool):
             """What is still held at the end of a range continues in the next one."""
             return [(int(opened), header and opened, b"\n".join(held))] if fragments and held is not None else []
 
+        known = None if sent is None else sent.value
         for batch in batches:
-            values, starts_inside = batch.column("value"), batch.column("inside")
+            values, starts_inside = batch.column("value"), None if sent else batch.column("inside")
             marked = np.flatnonzero(pc.match_substring(values, '"').to_numpy(zero_copy_only=False))
             for lo, hi, here in _stretches(batch):
                 if here != key:
                     if key and (rest := piece()):
                         yield out(rest)
-                    key, inside = here, starts_inside[int(lo)].as_py()
+                    key, inside = here, here in known if sent else starts_inside[int(lo)].as_py()
                     # Lines before the first start belong to a record of an earlier range; the first record of a file is its header.
                     held, opened, header = ([], False, False) if inside else (None, False, here[1] == 0)
                 state = np.full(hi - lo, inside)
@@ -193,23 +197,23 @@ def _records(lines: DataFrame, blocks: DataFrame) -> DataFrame:
     check = F.when(same, F.col("block")).otherwise(F.raise_error(F.lit("The files are cut otherwise than before; keep spark.sql.files.maxPartitionBytes and minPartitionNum as they are.")).cast("long"))
     lines = lines.withColumn("block", check).drop("size")
     schema = "path string, block long, opens int, header boolean, value binary"
-    if not n:
-        return lines.withColumn("inside", F.lit(False)).mapInArrow(_cut(False), schema).select("value")
     inside = blocks.filter("inside").select("path", "block", "inside")
     if n <= SENT_BLOCKS:
-        marked = lines.join(F.broadcast(inside), ["path", "block"], "left")
+        sent, marked = lines.sparkSession.sparkContext.broadcast({(r["path"], r["block"]) for r in inside.collect()}), lines
     else:
-        marked = lines.withColumn("row", F.monotonically_increasing_id()).join(inside, ["path", "block"], "left")
+        sent, marked = None, lines.withColumn("row", F.monotonically_increasing_id()).join(inside, ["path", "block"], "left")
         marked = marked.repartition("path", "block").sortWithinPartitions("path", "block", "row").drop("row")
-    marked = marked.withColumn("inside", F.coalesce("inside", F.lit(False)))
-    pieces = stored(marked.mapInArrow(_cut(True), schema), "fragments")
+        marked = marked.withColumn("inside", F.coalesce("inside", F.lit(False)))
+    if not n:
+        return marked.mapInArrow(_cut(False, sent), schema).select("value")
+    pieces = stored(marked.mapInArrow(_cut(True, sent), schema), "fragments")
     order = Window.partitionBy("path").orderBy("block", "opens")
     pieces = pieces.withColumn("record", F.sum("opens").over(order))
     lost = F.array_sort(F.collect_list(F.struct("block", "opens", "value")))
     joined = pieces.groupBy("path", "record").agg(F.max("header").alias("header"), lost.alias("parts")).filter("NOT header")
     # Bytes are joined as they are, because no encoding is known here.
     joined = joined.select(F.aggregate(F.slice("parts", 2, F.greatest(F.size("parts"), F.lit(1))), F.element_at("parts", 1)["value"], lambda a, x: F.concat(a, F.lit(b"\n"), x["value"])).alias("value"))
-    return marked.mapInArrow(_cut(False), schema).select("value").unionByName(joined)
+    return marked.mapInArrow(_cut(False, sent), schema).select("value").unionByName(joined)
 
 
 def _header(spark: SparkSession, path: str, encoding: str) -> list[str]:
