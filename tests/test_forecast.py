@@ -161,3 +161,46 @@ def test_metrics_edge_cases(spark):
     assert np.isclose(score.metrics(df).first()["MAPE"], 50.0)
     flat = spark.createDataFrame([(2.0, 1.0), (2.0, 3.0)], "actual_load double, predicted_load double")
     assert score.metrics(flat).first()["R2"] is None
+
+
+def test_windows_are_cut_from_runs_and_never_written(two, monkeypatch):
+    """Runs of any length give the same forecasts; no stored table has windows, and models give a row per target, not per step."""
+    written, keep = [], fc.stored
+
+    def recording(df, *args):
+        written.append(df.columns)
+        return keep(df, *args)
+
+    monkeypatch.setattr(fc, "stored", recording)
+    found = []
+    for rows in (models.RUN_ROWS, 17):
+        monkeypatch.setattr(models, "RUN_ROWS", rows)
+        series = fc.prepare(two, CFG, ["k"])
+        table = pandas_of(fc.component_forecasts(series, ["seasonal_naive", "moving_average", "linear"]), "k", "component", "model", "idx")
+        found.append(table)
+    assert not any("truth" in c or "season" in c for c in written)
+    assert found[0].drop(columns=["actual", "predicted"]).equals(found[1].drop(columns=["actual", "predicted"]))
+    assert np.allclose(found[0][["actual", "predicted"]], found[1][["actual", "predicted"]])
+    steps = models.MODELS["linear"](fc.training_windows(series), fc.testing_windows(series), CFG, ["k"])
+    hits = steps.agg(F.sum("hits")).first()[0]
+    assert hits == 3 * CFG.horizon * ((260 - 208 - 5) + (200 - 160 - 5)) and steps.count() < hits / 3
+
+
+def test_unknown_values_are_passed_over(spark):
+    """A window near a gap reaches further back; its last steps are missing where the values end."""
+    load = walk(120, 5).tolist()
+    rows = [("a", t, None if i in (40, 41, 119) else v) for i, (t, v) in enumerate(zip(times(120), load))]
+    cfg = models.ForecastConfig(lookback=10, horizon=4, imf_components=1, exogenous=False, period=6, block_rows=32)
+    series = fc.prepare(spark.createDataFrame(rows, "k string, timestamp timestamp_ntz, load double"), cfg, ["k"])
+    z = {r["idx"]: r["z"] for r in series.scaled.filter("component = 'imf_1'").collect()}
+    known = sorted(z)
+    windows = {r["origin_idx"]: r for r in fc.training_windows(series).filter("component = 'imf_1'").collect()}
+    assert sorted(windows) == [i for i in known if 9 <= i <= 95 - 4]
+    for o in (39, 42, 44, 91):
+        p = known.index(o)
+        assert windows[o]["season"] == [z[i] for i in known[p - 5 : p - 1]]
+        assert windows[o]["truth"] == [z[i] for i in known[p + 1 : p + 5] if i < 96]
+        assert windows[o]["features"][:3] == [1.0, z[o], z[known[p - 1]]]
+        assert np.isclose(windows[o]["mean_recent"], np.mean([z[i] for i in known[p - 3 : p + 1]]))
+    last = max(r["idx"] for r in fc.component_forecasts(series, ["seasonal_naive"]).filter("component = 'imf_1'").collect())
+    assert last in (118, 119)
