@@ -67,18 +67,25 @@ class _Rows:
 
     def __init__(self, fixed: np.ndarray, season: np.ndarray, steps: np.ndarray):
         self.fixed, self.season, self.steps = fixed, season, steps
-        self.row = np.arange(len(fixed))[:, None]
 
     def walk(self, tree: Tree, levels: int) -> np.ndarray:
-        """The node of every step after so many levels."""
-        node = np.ones(self.season.shape, np.int64)
+        """The node of every step after so many levels.
+
+        A cut is tried on whole columns: on all windows, all steps or both, whatever its input has; so it costs a pass of
+        byte operations over the matrix at most. Of two children `a` and `b`, `a ^ ((a ^ b) & mask)` is `b` where the mask is all ones.
+        """
+        kind = np.uint8 if levels < 8 else np.uint32
         n = self.fixed.shape[1]
-        for _ in range(levels):
-            feature = tree.feature[node]
-            x = self.fixed[self.row, np.clip(feature, 0, n - 1)]
-            x = np.where(feature == n, self.season, np.where(feature == n + 1, self.steps, x))
-            node = np.where(feature >= 0, 2 * node + (x > tree.cut[node]), node)
-        return node
+
+        def below(k: int, left: int) -> np.ndarray:
+            f, cut = tree.feature[k], tree.cut[k]
+            if not left or f < 0:
+                return np.full((1, 1), k, kind)
+            x = self.fixed[:, f, None] if f < n else self.season if f == n else self.steps[None, :]
+            a, b = below(2 * k, left - 1), below(2 * k + 1, left - 1)
+            return a ^ ((a ^ b) & np.negative((x > cut).astype(kind)))
+
+        return np.broadcast_to(below(1, levels), self.season.shape)
 
 
 def _edges(windows: DataFrame, horizon: int) -> dict[str, Ensemble]:
@@ -109,40 +116,66 @@ def _binned(batch: pa.RecordBatch, model: Ensemble, at: np.ndarray, horizon: int
     return _Rows(bin_of(fixed, model.low[:n], model.high[:n], bins), bin_of(season, model.low[n], model.high[n], bins), steps)
 
 
-PREPARED = "component string, fixed binary, season binary, truth binary, done binary"
+PREPARED = "component string, at binary, fixed binary, season binary, truth binary, done binary"
+CHUNK = 1024  # windows of a stored row
+
+
+def _chain(rows: np.ndarray) -> np.ndarray:
+    """Of every row, whether it is the one before moved on by a step."""
+    return np.r_[False, (rows[1:, :-1] == rows[:-1, 1:]).all(axis=1)]
+
+
+def _unrolled(rows: np.ndarray, chained: np.ndarray) -> np.ndarray:
+    """The rows one after the other, without what a chained row repeats."""
+    new = np.ones(rows.shape, bool)
+    new[chained, :-1] = False
+    return rows[new]
 
 
 def _prepare(windows: DataFrame, models: dict[str, Ensemble], horizon: int, bins: int) -> DataFrame:
-    """Training windows with binned inputs, the true values, and the prediction so far (none yet)."""
+    """Training windows with binned inputs, the true values, and the prediction so far (none yet), many windows in a row.
+
+    Windows that follow each other share all but one value of their seasons and true values: those are kept once, with the place `at` that each window starts at.
+    """
 
     def run(batches):
         for batch in batches:
             names = np.array(batch.column("component").to_pylist())
             truth = _matrix(batch.column("truth"))
             for name in np.unique(names):
-                at = names == name
-                rows = _binned(batch, models[str(name)], at, horizon, bins)
-                as_bytes = lambda m: pa.array([r.tobytes() for r in m], pa.binary())
-                yield pa.RecordBatch.from_pydict({
-                    "component": [str(name)] * len(rows.fixed), "fixed": as_bytes(rows.fixed), "season": as_bytes(rows.season), "truth": as_bytes(truth[at]), "done": as_bytes(np.zeros((len(rows.fixed), horizon))),
-                })
+                every = np.flatnonzero(names == name)
+                for start in range(0, len(every), CHUNK):
+                    at = every[start : start + CHUNK]
+                    rows, y = _binned(batch, models[str(name)], at, horizon, bins), truth[at]
+                    chained = _chain(rows.season) & _chain(y)
+                    place = np.cumsum(np.where(chained, 1, horizon)) - horizon
+                    yield pa.RecordBatch.from_pydict({
+                        "component": [str(name)], "at": [place.astype(np.int32).tobytes()], "fixed": [rows.fixed.tobytes()],
+                        "season": [_unrolled(rows.season, chained).tobytes()], "truth": [_unrolled(y, chained).tobytes()], "done": [b""],
+                    })
 
     return windows.select("component", "features", "season", "truth").mapInArrow(run, PREPARED)
 
 
 def _groups(batch: pa.RecordBatch, models: dict[str, Ensemble], horizon: int, bins: int, skip: int):
-    """`name, rows of the batch, binned inputs, true values, predictions` by component; the trees from `skip` on are added to the stored predictions."""
-    names = np.array(batch.column("component").to_pylist())
-    read = lambda column, at, kind: np.frombuffer(b"".join(batch.column(column).filter(pa.array(at)).to_pylist()), kind)
-    for name in np.unique(names):
-        at, model = names == name, models[str(name)]
-        n = int(at.sum())
+    """`name, number, binned inputs, true values, predictions` of each stored row; the trees from `skip` on are added to the stored predictions."""
+    for i, name in enumerate(batch.column("component").to_pylist()):
+        model = models[name]
+        read = lambda column, kind: np.frombuffer(batch.column(column)[i].as_buffer(), kind)
+        at = read("at", np.int32)
         steps = bin_of(np.arange(1, horizon + 1) / horizon, model.low[-1], model.high[-1], bins)
-        rows = _Rows(read("fixed", at, np.uint8).reshape(n, -1), read("season", at, np.uint8).reshape(n, -1), steps)
-        truth, done = (read(c, at, np.float64).reshape(n, -1) for c in ("truth", "done"))
+        season, truth = (np.lib.stride_tricks.sliding_window_view(read(c, k), horizon)[at] for c, k in (("season", np.uint8), ("truth", np.float64)))
+        rows = _Rows(read("fixed", np.uint8).reshape(len(at), -1), season, steps)
+        done = read("done", np.float64).reshape(-1, horizon)
+        if not len(done):
+            done = np.zeros(truth.shape)
         for tree in model.trees[skip:]:
-            done = done + tree.value[rows.walk(tree, int(np.log2(len(tree.value))) - 1)]
-        yield str(name), at, rows, truth, done
+            done = done + np.take(tree.value, rows.walk(tree, _depth(tree)), mode="clip")
+        yield name, i, rows, truth, done
+
+
+def _depth(tree: Tree) -> int:
+    return int(np.log2(len(tree.value))) - 1
 
 
 def _sums(prepared: DataFrame, models: dict[str, Ensemble], growing: dict[str, Tree], level: int, horizon: int, bins: int, skip: int) -> DataFrame:
@@ -153,22 +186,29 @@ def _sums(prepared: DataFrame, models: dict[str, Ensemble], growing: dict[str, T
         held: dict[str, np.ndarray] = {}
         for batch in batches:
             for name, _, rows, truth, done in _groups(batch, models, horizon, bins, skip):
-                w, inputs = len(truth), rows.fixed.shape[1]
-                node = rows.walk(growing[name], level) - first
-                here = node >= 0  # the others have come to rest in a leaf
+                w, inputs = rows.fixed.shape
+                node = rows.walk(growing[name], level).astype(np.int64) - first
                 residual = np.floor((truth - done) / STEP + 0.5)
+                season, steps, window = rows.season, np.broadcast_to(rows.steps, node.shape), np.broadcast_to(np.arange(w)[:, None] * first, node.shape)
+                here = node >= 0  # the others have come to rest in a leaf
+                if not here.all():
+                    node, residual, season, steps, window = (x[here] for x in (node, residual, season, steps, window))
+                node, residual = node.ravel(), residual.ravel()
                 total = held.setdefault(name, np.zeros((2, first, inputs + 2, bins), np.int64))
                 # All steps of a window have the same bin of its own inputs: they are added up first.
-                cell = (np.arange(w)[:, None] * first + node)[here]
-                by_window = [np.bincount(cell, x, w * first).reshape(w, first) for x in (residual[here], None)]
-                at = np.arange(first)[None, :] * bins
+                cell = window.ravel() + node
+                by_window = np.hstack([np.bincount(cell, x, w * first).reshape(w, first) for x in (residual, None)])
                 for k in range(inputs):
-                    key = (at + rows.fixed[:, k, None]).ravel()
+                    order = np.argsort(rows.fixed[:, k], kind="stable")
+                    sorted_bins = rows.fixed[order, k]
+                    starts = np.flatnonzero(np.r_[True, sorted_bins[1:] != sorted_bins[:-1]])
+                    added = np.rint(np.add.reduceat(by_window[order], starts, axis=0)).astype(np.int64)
                     for i in (0, 1):
-                        total[i, :, k] += np.rint(np.bincount(key, by_window[i].ravel(), first * bins)).astype(np.int64).reshape(first, bins)
-                for k, x in ((inputs, rows.season), (inputs + 1, np.broadcast_to(rows.steps, rows.season.shape))):
-                    key = (node * bins + x)[here]
-                    for i, weights in enumerate((residual[here], None)):
+                        total[i, :, k, sorted_bins[starts]] += added[:, i * first : (i + 1) * first]
+                node = node * bins
+                for k, x in ((inputs, season), (inputs + 1, steps)):
+                    key = node + x.ravel()
+                    for i, weights in enumerate((residual, None)):
                         total[i, :, k] += np.rint(np.bincount(key, weights, first * bins)).astype(np.int64).reshape(first, bins)
         for name, total in held.items():
             node, feature, place = np.nonzero(total[1])
@@ -209,7 +249,9 @@ def fit(train: DataFrame, horizon: int, rounds: int, depth: int, bins: int, rate
     models = _edges(train, horizon)
     if not models:
         return models
-    prepared, skip = stored(_prepare(train, models, horizon, bins), "binned"), 0
+    # Every pass reads all rows: they are few and large, and dealt out so that all cores have some.
+    parts = 2 * train.sparkSession.sparkContext.defaultParallelism
+    prepared, skip = stored(_prepare(train, models, horizon, bins).repartition(parts), "binned"), 0
     for r in range(rounds):
         if r - skip == KEPT_ROUNDS:
             prepared, skip = stored(_applied(prepared, models, horizon, bins, skip), "binned"), r
@@ -234,9 +276,9 @@ def _applied(prepared: DataFrame, models: dict[str, Ensemble], horizon: int, bin
 
     def run(batches):
         for batch in batches:
-            for _, at, _, _, done in _groups(batch, models, horizon, bins, skip):
-                part = batch.filter(pa.array(at))
-                yield part.set_column(part.schema.get_field_index("done"), "done", pa.array([r.tobytes() for r in done], pa.binary()))
+            for _, i, _, _, done in _groups(batch, models, horizon, bins, skip):
+                part = batch.slice(i, 1)
+                yield part.set_column(part.schema.get_field_index("done"), "done", pa.array([done.tobytes()], pa.binary()))
 
     return prepared.mapInArrow(run, PREPARED)
 
@@ -253,8 +295,9 @@ def predict(windows: DataFrame, models: dict[str, Ensemble], horizon: int, bins:
                     model, at = models[str(name)], names == name
                     rows = _binned(batch, model, at, horizon, bins)
                     for tree in model.trees:
-                        values[at] += tree.value[rows.walk(tree, int(np.log2(len(tree.value))) - 1)]
-            yield batch.append_column(out, pa.array(list(values), pa.list_(pa.float64())))
+                        values[at] += np.take(tree.value, rows.walk(tree, _depth(tree)), mode="clip")
+            places = pa.array(np.arange(len(values) + 1, dtype=np.int32) * horizon)
+            yield batch.append_column(out, pa.ListArray.from_arrays(places, pa.array(values.ravel())))
 
     return windows.mapInArrow(run, T.StructType([*windows.schema.fields, T.StructField(out, T.ArrayType(T.DoubleType()))]))
 

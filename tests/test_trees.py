@@ -98,3 +98,15 @@ def test_edge_cases(spark, series):
     assert trees.fit(flat.limit(0), CFG.horizon, 3, 3, 8, 0.1, 5) == {}
     with pytest.raises(ValueError):
         trees.boost(flat, flat, models.ForecastConfig(tree_bins=1), ["k"])
+
+
+def test_stored_rows_hold_many_windows_without_what_they_share(series):
+    train = fc.training_windows(series).cache()
+    fitted = trees._edges(train, CFG.horizon)
+    rows = trees._prepare(train, fitted, CFG.horizon, CFG.tree_bins).collect()
+    windows = train.count()
+    assert len(rows) < windows / 20 and sum(len(r["at"]) for r in rows) == 4 * windows
+    assert sum(len(r["truth"]) for r in rows) < 8 * windows * 1.3
+    # In any other order they are as many, and none is lost.
+    mixed = trees._prepare(train.orderBy(F.xxhash64("k", "component", "origin_idx")), fitted, CFG.horizon, CFG.tree_bins).collect()
+    assert sum(len(r["at"]) for r in mixed) == 4 * windows
