@@ -1,7 +1,7 @@
 import collections
 import zlib
 
-from gridtide.llm.shards import _quotas, assign, cut_links, propagate
+from gridtide.llm.shards import _pieces, _quotas, assign, cut_links, propagate
 
 from .conftest import SCHEMA
 
@@ -66,3 +66,25 @@ def test_propagation_ends_with_less_cut_than_it_began_with(spark):
     loads = [r["count"] for r in propagate(rows).groupBy("shard").count().collect()]
     assert len(loads) == 8 and max(loads) <= 6000 / 8 * 1.12
     assert tuple(cut_links(spark.createDataFrame([], "group string, shard int"), ["group"]).first()) == (0, 0, 0)
+
+
+def test_groups_larger_than_a_shard_take_as_few_shards_as_can_hold_them(spark):
+    """A third and a fifth of all rows, over eight shards: three and two shards, and no small group is cut for them."""
+    text = lambda i: "first" if i % 3 == 0 else "second" if i % 5 == 1 else f"group {i // 20}" if i % 2 else f"own {i}"
+    rows = [(i, text(i), "", "", 0) for i in range(3000)]
+    placed = assign(spark.createDataFrame(rows, SCHEMA)).collect()
+    check(placed, rows)
+    where = collections.defaultdict(set)
+    for r in placed:
+        where[text(r.doc_id)].add(r.shard)
+    assert len(where["first"]) == 3 and len(where["second"]) == 2
+    assert sum(len(v) - 1 for k, v in where.items() if k.startswith("group")) <= 10
+    everything = [(i, "the same", "", "", 0) for i in range(21)]
+    check(assign(spark.createDataFrame(everything, SCHEMA)).collect(), everything)
+
+
+def test_pieces_fill_whole_shards_first():
+    pieces, room = _pieces([1000, 400], [375] * 8)
+    assert [sorted(n for _, n in mine) for mine in pieces] == [[250, 375, 375], [25, 375]]
+    assert sum(room) == 3000 - 1400 and pieces[0][-1][0] == pieces[1][-1][0]
+    assert _pieces([], [2, 1]) == ([], [2, 1]) and sum(_pieces([15], [2] * 7 + [1])[1]) == 0
