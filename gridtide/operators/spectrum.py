@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from gridtide.operators.position import index_series
@@ -15,6 +16,8 @@ from gridtide.session import stored
 
 # A series of up to this many rows is transformed in one task (16 MB of complex values).
 GROUP_POINTS = 1 << 20
+# Columns or rows of a long transform that one task makes at a time.
+TILE = 64
 # Lower bounds of the high and mid classes, in cycles per hour.
 HIGH_FREQUENCY = 0.1
 MID_FREQUENCY = 0.02
@@ -75,79 +78,91 @@ def _short_amplitudes(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.withColumn("_one", F.lit(1)).groupBy(*keys, "_one").applyInPandas(transform, schema)
 
 
-def _sub_transform(rows: DataFrame, groups: Sequence[str], position: str, out: str, length: str) -> DataFrame:
-    """Transform `a` and `b` along `position` inside each group; absent positions are zero."""
-    groups = list(groups)
-    names = [*groups, length]
+def _sizes(n: int) -> tuple[int, int]:
+    """`n1, n2`: powers of two, near each other, whose product is at least 2n - 1."""
+    bits = max((2 * n - 2).bit_length(), 0)
+    return 1 << (bits + 1) // 2, 1 << bits // 2
 
-    def transform(group: pd.DataFrame) -> pd.DataFrame:
-        size = int(group[length].iloc[0])
-        at = group[position].to_numpy()
-        result = {k: np.repeat(group[k].iloc[:1].to_numpy(), size) for k in names}
-        result[out] = np.arange(size)
-        for c in ("a", "b"):
-            dense = np.zeros(size, dtype=complex)
-            dense[at] = group[f"{c}_re"].to_numpy() + 1j * group[f"{c}_im"].to_numpy()
-            dense = np.fft.fft(dense)
-            result[f"{c}_re"], result[f"{c}_im"] = dense.real, dense.imag
-        return pd.DataFrame(result)
-
-    values = [T.StructField(f"{c}_{part}", T.DoubleType()) for c in ("a", "b") for part in ("re", "im")]
-    schema = T.StructType([*_schema(rows, names), T.StructField(out, T.LongType()), *values])
-    return rows.groupBy(*groups).applyInPandas(transform, schema)
-
-
-def _rotate(df: DataFrame, angle: Column) -> DataFrame:
-    c, s = F.cos(angle), F.sin(angle)
-    turned = {}
-    for v in ("a", "b"):
-        turned[f"{v}_re"] = F.col(f"{v}_re") * c - F.col(f"{v}_im") * s
-        turned[f"{v}_im"] = F.col(f"{v}_re") * s + F.col(f"{v}_im") * c
-    return df.withColumns(turned)
-
-
-def _transform(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Discrete Fourier transform of length m = n1 * n2 over column `j`, in two grouped halves.
-
-    No task holds more than about the square root of m values: columns `j mod n2` first, a twiddle
-    rotation, then rows by the first output index.
-    """
-    carried = [*keys, "n", "m", "n1", "n2"]
-    cut = rows.withColumns({"i1": F.floor(F.col("j") / F.col("n2")), "i2": F.col("j") % F.col("n2")}).drop("j")
-    half = _sub_transform(cut, [*keys, "n", "m", "n2", "i2"], "i1", "k1", "n1")
-    turned = _rotate(half, -2 * F.pi() * (F.col("i2") * F.col("k1")) / F.col("m"))
-    whole = _sub_transform(turned, [*keys, "n", "m", "n1", "k1"], "i2", "k2", "n2")
-    return whole.withColumn("j", F.col("k1") + F.col("n1") * F.col("k2")).select(*carried, "j", "a_re", "a_im", "b_re", "b_im")
+
+def _chirp(j: np.ndarray, n: int) -> np.ndarray:
+    """exp(i*pi*j^2/n), with j^2 reduced modulo 2n in whole numbers before it becomes an angle."""
+    j = j.astype(np.uint64) if n < 1 << 31 else j.astype(object)
+    return np.exp(1j * np.pi * ((j * j) % (2 * n)).astype(float) / n)
+
+
+def _turn(a: np.ndarray, b: np.ndarray, m: int) -> np.ndarray:
+    """exp(-2*pi*i*a*b/m) of all pairs; a*b is below m."""
+    return np.exp(-2j * np.pi * np.outer(a, b) / m)
+
+
+def _tiles(values: np.ndarray, row0: int, keys: pa.Table, n: int) -> pa.Table:
+    """A matrix, whose rows begin at `row0`, cut along its columns into tiles of bytes, for tasks that want whole columns."""
+    starts = range(0, values.shape[-1], TILE)
+    cut = [np.ascontiguousarray(values[..., c : c + TILE]).tobytes() for c in starts]
+    keys = keys.take(pa.array([0] * len(cut), pa.int64()))
+    return pa.table([*keys.columns, pa.array([n] * len(cut), pa.int64()), pa.array(list(starts), pa.int64()), pa.array([row0] * len(cut), pa.int64()), pa.array(cut, pa.binary())], names=[*keys.column_names, "n", "group", "part", "tile"])
 
 
 def _long_amplitudes(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Amplitudes for any length, as a chirp convolution over a power-of-two length m >= 2n - 1.
+    """Amplitudes for any length, as a chirp convolution over a power-of-two length m = n1 * n2 >= 2n - 1.
 
-    a_j = x_j * exp(-i*pi*j^2/n), b_j = exp(i*pi*j^2/n) mirrored round m; |X_k| is the modulus of their
-    circular convolution. j^2 is reduced modulo 2n in exact decimals before it becomes an angle.
+    a_j = x_j * exp(-i*pi*j^2/n), b_j = exp(i*pi*j^2/n) mirrored round m; |X_k| is the modulus of their circular convolution.
+    A transform of length m is made in two halves, with j = j1 * n2 + j2 and k = k1 + n1 * k2: columns of equal j2, a rotation, then rows of
+    equal k1. The way back begins with the rows that a task has just made, so there are three shuffles: of the values, and twice of tiles.
+    No task holds more than about `TILE` times the square root of m values.
     """
-    bits = F.ceil(F.log2(2 * F.col("n") - 1)).cast("int")
-    sized = rows.withColumns({
-        "n1": F.pow(F.lit(2), F.ceil(bits / 2)).cast("long"),
-        "n2": F.pow(F.lit(2), F.floor(bits / 2)).cast("long"),
-    }).withColumn("m", F.col("n1") * F.col("n2"))
-    j = F.col("idx").cast("decimal(19,0)")
-    angle = F.pi() * F.pmod(j * j, (2 * F.col("n")).cast("decimal(38,0)")).cast("double") / F.col("n")
-    c, s = F.cos("_t"), F.sin("_t")
-    here = F.struct(F.col("idx").alias("j"), (F.col("x") * c).alias("a_re"), (-F.col("x") * s).alias("a_im"), c.alias("b_re"), s.alias("b_im"))
-    mirror = F.struct((F.col("m") - F.col("idx")).alias("j"), F.lit(0.0).alias("a_re"), F.lit(0.0).alias("a_im"), c.alias("b_re"), s.alias("b_im"))
-    both = F.when(F.col("idx") > 0, F.array(here, mirror)).otherwise(F.array(here))
-    chirp = sized.withColumn("_t", angle).select(*keys, "n", "m", "n1", "n2", F.inline(both))
-    ab = _transform(chirp, keys)
-    # The inverse transform's modulus is that of the forward transform of the conjugate, over m.
-    product = ab.select(
-        *keys, "n", "m", "n1", "n2", "j",
-        (F.col("a_re") * F.col("b_re") - F.col("a_im") * F.col("b_im")).alias("a_re"),
-        (-(F.col("a_re") * F.col("b_im") + F.col("a_im") * F.col("b_re"))).alias("a_im"),
-        F.lit(0.0).alias("b_re"), F.lit(0.0).alias("b_im"),
-    )
-    back = _transform(product, keys).filter((F.col("j") >= 1) & (F.col("j") <= F.floor((F.col("n") - 1) / 2)))
-    return back.select(*keys, "n", F.col("j").alias("harmonic"), (F.hypot("a_re", "a_im") / F.col("m")).alias("amplitude"))
+    keys = list(keys)
+    tiles = T.StructType([*_schema(rows, keys), *[T.StructField(c, T.LongType()) for c in ("n", "group", "part")], T.StructField("tile", T.BinaryType())])
+    found = T.StructType([*_schema(rows, keys), T.StructField("n", T.LongType()), T.StructField("harmonic", T.LongType()), T.StructField("amplitude", T.DoubleType())])
+
+    def head(table: pa.Table) -> tuple[pa.Table, int, int, int, int]:
+        n = table["n"][0].as_py()
+        n1, n2 = _sizes(n)
+        return table.select(keys).slice(0, 1), n, n1, n2, table["group"][0].as_py()
+
+    def gathered(table: pa.Table, matrices: int, width: int) -> np.ndarray:
+        """The tiles of whole columns below each other."""
+        tiles = table.sort_by("part")["tile"]
+        return np.concatenate([np.frombuffer(t.as_buffer(), complex).reshape(matrices, -1, width) for t in tiles], axis=1)
+
+    def columns(table: pa.Table) -> pa.Table:
+        """For some j2: values and chirp at all j1, transformed to k1."""
+        first, n, n1, n2, j2 = head(table)
+        wide = min(TILE, n2)
+        x = np.zeros((n1, wide))
+        idx = table["idx"].to_numpy()
+        x[idx // n2, idx % n2 - j2] = table["x"].fill_null(np.nan).to_numpy()
+        m, j = n1 * n2, np.arange(n1)[:, None] * n2 + np.arange(j2, j2 + wide)
+        near = np.minimum(j, m - j)
+        chirp = np.where(near < n, _chirp(np.where(near < n, near, 0), n), 0)
+        a = np.where(j < n, x * chirp.conj(), 0)
+        both = np.fft.fft(np.stack([a, chirp]), axis=1) * _turn(np.arange(n1), np.arange(j2, j2 + wide), m)
+        return _tiles(both.transpose(0, 2, 1), j2, first, n)
+
+    def rows_of(table: pa.Table) -> pa.Table:
+        """For some k1: the transform over all j2, the product, and the first half of the way back, over k2."""
+        first, n, n1, n2, k1 = head(table)
+        a, b = np.fft.fft(gathered(table, 2, min(TILE, n1)), axis=1)  # k2 by k1
+        # The inverse transform's modulus is that of the forward transform of the conjugate, over m.
+        back = np.fft.fft((a * b).conj(), axis=0) * _turn(np.arange(n2), np.arange(k1, k1 + a.shape[1]), n1 * n2)
+        return _tiles(back.T, k1, first, n)
+
+    def amplitudes(table: pa.Table) -> pa.Table:
+        """For some remainders of the result's place by n2: the second half of the way back, over k1."""
+        first, n, n1, n2, r = head(table)
+        values = np.abs(np.fft.fft(gathered(table, 1, min(TILE, n2))[0], axis=0)) / (n1 * n2)
+        place = np.arange(n1)[:, None] * n2 + np.arange(r, r + values.shape[1])
+        here = (place >= 1) & (place <= (n - 1) // 2)
+        count = int(here.sum())
+        one = first.take(pa.array(np.zeros(count, np.int64)))
+        return pa.table([*one.columns, pa.array(np.full(count, n)), pa.array(place[here]), pa.array(values[here])], names=found.names)
+
+    n2 = F.pow(F.lit(2), F.floor(F.length(F.bin(2 * F.col("n") - 2)) / 2)).cast("long")
+    grouped = [*keys, "group"]
+    values = rows.withColumn("group", F.col("idx") % n2 - F.col("idx") % n2 % TILE)
+    there = values.groupBy(*grouped).applyInArrow(columns, tiles)
+    turned = there.groupBy(*grouped).applyInArrow(rows_of, tiles)
+    return turned.groupBy(*grouped).applyInArrow(amplitudes, found)
 
 
 def dominant_frequency(amplitudes: DataFrame, groups: Sequence[str]) -> DataFrame:

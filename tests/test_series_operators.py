@@ -198,3 +198,18 @@ def test_decomposition_passes_over_gaps(spark):
         assert got[f"imf_{j}"].isna().sum() == (3 if j == 1 else 0)
         level = smooth
     assert np.allclose(got["imf_8"], level)
+
+
+def test_long_spectrum_shuffles_tiles(spark, monkeypatch):
+    """Series of several lengths, one keyed by NULL: amplitudes of the direct transform, from tiles of many values."""
+    sizes = {"a": 3000, "b": 2049, None: 777}
+    loads = {k: walk(n, n) for k, n in sizes.items()}
+    df = frame(spark, loads, {k: times(n) for k, n in sizes.items()})
+    monkeypatch.setattr(spectrum, "TILE", 16)
+    plain = spectrum.spectrum(df, ["k"], hours=1.0, group_points=16)
+    assert "tile" in plain._jdf.queryExecution().toString()
+    got = pandas_of(plain, "harmonic")
+    for k, load in loads.items():
+        mine = got[got["k"].isna()] if k is None else got[got["k"] == k]
+        want = np.abs(np.fft.rfft(load - load.mean()))[1 : (len(load) - 1) // 2 + 1]
+        assert mine["harmonic"].tolist() == list(range(1, len(want) + 1)) and np.allclose(mine["amplitude"], want, atol=1e-6)
